@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestride.llm import exact_dedup, mixing, secrets
+from lodestride.llm import exact_dedup, mixing, secrets, simhash
 from lodestride.llm.common import read
 
 
@@ -23,8 +23,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "row.source", "mix_source", "share", "block", "pos", "slot", "release", "due", "mix_order")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_secrets, op4_mixing)
+    f.__name__: f for f in (op2_exact_dedup, op3_secrets, op4_mixing, op5_simhash)
 }
 
 ORACLES: dict[str, str] = {
