@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestride.llm import exact_dedup, language_id, mixing, packing, secrets, simhash
+from lodestride.llm import exact_dedup, language_id, mixing, packing, secrets, simhash, toxicity
 from lodestride.llm.common import read
 
 
@@ -35,8 +35,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_secrets, op4_mixing, op5_simhash, op8_language_id, op9_packing)
+    f.__name__: f for f in (op2_exact_dedup, op3_secrets, op4_mixing, op5_simhash, op7_toxicity, op8_language_id, op9_packing)
 }
 
 ORACLES: dict[str, str] = {

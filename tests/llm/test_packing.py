@@ -9,9 +9,11 @@ from tokenizers import Tokenizer
 from lodestride.llm import packing as P
 
 
+TOKENIZER = Tokenizer.from_file(P.default_tokenizer())
+
+
 def ids_of(text):
-    tokenizer = Tokenizer.from_file(P.default_tokenizer())
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, P.END_ID]
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, P.END_ID]
 
 
 ODD = ["", "a", " ", "don't  x's <|endoftext|>y ẞΣ\x1cfoo", " bar é é ́ İx ªb", '"ÀÉa!!" ... a_b x%%% Ça\'s naïve-co <|a 12ab/', "Σας ΣΑΣ", "日本語 test", "a\x00b", "x" * 3000]
