@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestride.llm import exact_dedup, language_id, mixing, packing, secrets, simhash, toxicity
+from lodestride.llm import exact_dedup, language_id, licenses, mixing, packing, secrets, simhash, toxicity
 from lodestride.llm.common import read
 
 
@@ -39,8 +39,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_secrets, op4_mixing, op5_simhash, op7_toxicity, op8_language_id, op9_packing)
+    f.__name__: f for f in (op2_exact_dedup, op3_secrets, op4_mixing, op5_simhash, op7_toxicity, op8_language_id, op9_packing, op10_licenses)
 }
 
 ORACLES: dict[str, str] = {
