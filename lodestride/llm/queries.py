@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestride.llm import exact_dedup, language_id, licenses, mixing, packing, secrets, simhash, toxicity
+from lodestride.llm import exact_dedup, language_id, licenses, mixing, neighbors, packing, secrets, simhash, toxicity
 from lodestride.llm.common import read
 
 
+def op1_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbors.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -44,7 +48,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_secrets, op4_mixing, op5_simhash, op7_toxicity, op8_language_id, op9_packing, op10_licenses)
+    f.__name__: f for f in (op1_neighbors, op2_exact_dedup, op3_secrets, op4_mixing, op5_simhash, op7_toxicity, op8_language_id, op9_packing, op10_licenses)
 }
 
 ORACLES: dict[str, str] = {
