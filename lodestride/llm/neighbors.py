@@ -139,10 +139,10 @@ def nearest(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     lists = int(min(MAX_LISTS, max(1, np.sqrt(total)), max(1, len(x) // 16)))
     centers = kmeans(x, lists)
     probe = probes_needed(x, centers, k, target_recall)
-    shared = table.sparkSession.sparkContext.broadcast((centers, x))
+    shared = table.sparkSession.sparkContext.broadcast((centers, x, squared(x, centers).argmin(1)))
 
     def assign(batches):
-        centers, _ = shared.value
+        centers = shared.value[0]
         for b in batches:
             v = _matrix(b.column("v"))
             home = np.concatenate([np.empty(0, np.int64), *(squared(v[i : i + 4096], centers).argmin(1) for i in range(0, len(v), 4096))])
@@ -156,19 +156,22 @@ def nearest(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     units = classes.join(asked.select("class").distinct(), "class").select("class", "v")
 
     def route(batches):
-        centers, known = shared.value
+        centers, known, homes = shared.value
         for b in batches:
             v = _matrix(b.column("v"))
             if not len(v):
                 continue
-            order = np.argsort(squared(v, centers), 1, kind="stable")[:, :probe].astype(np.int32)
-            # A rank beyond k, so that the test's few wrong drops can't leave fewer than k results.
-            far = 3 * (k + 1)
-            if len(known) > far:
-                distance = np.concatenate([np.partition(squared(v[i : i + 256], known), far, axis=1)[:, far] for i in range(0, len(v), 256)])
-            else:
-                distance = np.full(len(v), np.inf)
-            columns = [b.column("class"), b.column("v"), pa.array(distance), pa.array(list(order), pa.list_(pa.int32()))]
+            order = np.argsort(squared(v, centers), 1, kind="stable")[:, :probe]
+            # Lists that hold a query's nearest sampled rows are probed, too. The bound is of a rank
+            # beyond k, so that the test's few wrong drops can't leave fewer than k results.
+            distance, lists_of, far = np.full(len(v), np.inf), [], min(3 * (k + 1), len(known) - 1)
+            for i in range(len(v)):
+                near = squared(v[i : i + 1], known)[0]
+                rows = np.argpartition(near, far)[: far + 1]
+                if far > k:
+                    distance[i] = near[rows].max()
+                lists_of.append(np.union1d(order[i], homes[rows]).astype(np.int32))
+            columns = [b.column("class"), b.column("v"), pa.array(distance), pa.array(lists_of, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names=["class", "v", "bound", "lists"])
 
     routed = checkpointed(units.mapInArrow(route, "class long, v array<double>, bound double, lists array<int>"))
