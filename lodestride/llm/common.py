@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,20 +11,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared checkpoint folder.
-
-    The folder is the one the session names in ``spark.checkpoint.dir``; only where that is
-    unset (single-machine tests) a temporary folder is set.
-    """
-    spark = df.sparkSession
+def _shared_folder(spark: SparkSession) -> str:
+    """The session's own folder below ``spark.checkpoint.dir``; only where that is unset (single-machine tests) a temporary one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder; for narrow tables."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again; for tables with texts."""
+    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -298,7 +298,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component (rows without an id stay)."""
+    """The rows of ``docs`` whose id is the smallest of its component (rows without an id stay).
+
+    ``options`` are those of near_duplicates. A wider radius wants more partitions, for probes grow
+    with the thresholds: radius 7 with m = 4 probes 68 values of 16 bits for each fingerprint.
+    """
     kept = near_duplicates(docs, id_col, text_col, **options).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
     stays = docs.join(kept, docs[id_col] == F.col("__kept"), "left_semi")
     return stays.unionByName(docs.where(F.col(id_col).isNull()))
