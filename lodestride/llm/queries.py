@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestride.llm import exact_dedup, language_id, licenses, mixing, neighbors, packing, secrets, simhash, toxicity
+from lodestride.llm import exact_dedup, language_id, licenses, mixing, neighbors, packing, secrets, simhash, suffix_dedup, toxicity
 from lodestride.llm.common import read
 
 
@@ -39,6 +39,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels"))
 
@@ -48,7 +52,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_neighbors, op2_exact_dedup, op3_secrets, op4_mixing, op5_simhash, op7_toxicity, op8_language_id, op9_packing, op10_licenses)
+    f.__name__: f for f in (op1_neighbors, op2_exact_dedup, op3_secrets, op4_mixing, op5_simhash, op6_suffix_dedup, op7_toxicity, op8_language_id, op9_packing, op10_licenses)
 }
 
 ORACLES: dict[str, str] = {
