@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestride.config import ARMS, DELTAS, EPS, HIGH, LOW
 from lodestride.functions import arms as A
-from lodestride.operators import actions, cleaning, daily, decisions, ewma, features, ope, records
+from lodestride.operators import actions, cleaning, daily, decisions, ewma, features, models, ope, records
 from lodestride.plans import register
 from lodestride.sources import game
 from lodestride.sources.game import game_events
@@ -557,17 +557,17 @@ def deploy_gate(spark, d):
 
 # Rankings -------------------------------------------------------------------------------------
 
-SCORES = """(SELECT 'f' || CAST(p_size AS VARCHAR(10)) AS feature, p_brand AS arm, round(avg(p_retailprice), 2) - 940 AS importance FROM part GROUP BY 1, 2)"""
+SCORES = """(SELECT 'f' || CAST(p_size AS VARCHAR(10)) AS feature, p_brand AS arm, avg(p_retailprice) - 940 AS importance FROM part GROUP BY 1, 2)"""
 
 
 def _scores(spark, d):
     part = spark.read.parquet(f"{d}/part.parquet")
-    return part.groupBy(F.concat(F.lit("f"), F.col("p_size").cast("string")).alias("feature"), F.col("p_brand").alias("arm")).agg((F.round(F.avg("p_retailprice"), 2) - 940).alias("importance"))
+    return part.groupBy(F.concat(F.lit("f"), F.col("p_size").cast("string")).alias("feature"), F.col("p_brand").alias("arm")).agg((F.avg("p_retailprice") - 940).alias("importance"))
 
 
-@register("topk_features", f"SELECT feature, round(sum(importance), 2) AS importance FROM {SCORES} GROUP BY feature ORDER BY importance DESC, feature LIMIT 10")
+@register("topk_features", f"SELECT feature, round(sum(importance), 4) AS importance FROM {SCORES} GROUP BY feature ORDER BY importance DESC, feature LIMIT 10")
 def topk_features(spark, d):
-    total = _scores(spark, d).groupBy("feature").agg(F.round(F.sum("importance"), 2).alias("importance"))
+    total = _scores(spark, d).groupBy("feature").agg(F.round(F.sum("importance"), 4).alias("importance"))
     return total.orderBy(F.desc("importance"), "feature").limit(10)
 
 
@@ -595,3 +595,55 @@ def jaccard_stability(spark, d):
     pairs = top.withColumnRenamed("arm", "arm_a").join(top.withColumnRenamed("arm", "arm_b"), "feature").where("arm_a < arm_b")
     both = F.count(F.lit(1))
     return rounded(pairs.groupBy("arm_a", "arm_b").agg((both / (40.0 - both)).alias("jaccard")))
+
+
+# Models (trained, so without SQL twins) -------------------------------------------------------
+
+MODEL_FEATURES = ["daily_event_count", "daily_spend_coins", "completion_rate", "total_level_attempts", "coin_balance_end"]
+
+
+def model_rows(spark: SparkSession, d: str) -> DataFrame:
+    table = bandit_table(spark, d).select("user_id", "session_date", "difficulty_arm", *MODEL_FEATURES)
+    rows = table.join(observations(spark, d), ["user_id", "session_date"])
+    return rows.select("*").fillna(0.0, subset=MODEL_FEATURES)
+
+
+@register("forest_importances")
+def forest_importances(spark, d):
+    return models.forest_importances(model_rows(spark, d), MODEL_FEATURES, trees=20, depth=5)
+
+
+@register("logistic_ranking")
+def logistic_ranking(spark, d):
+    return models.logistic_ranking(model_rows(spark, d), MODEL_FEATURES)
+
+
+@register("arm_importances")
+def arm_importances(spark, d):
+    return models.arm_importances(model_rows(spark, d), MODEL_FEATURES, least_rows=5, trees=5, depth=4)
+
+
+@register("logged_propensities")
+def logged_propensities(spark, d):
+    rows = model_rows(spark, d)
+    scored = models.propensity_pipeline(MODEL_FEATURES).fit(rows).transform(rows)
+    return scored.select("user_id", "session_date", "difficulty_arm", F.col("label").cast("int").alias("label"))
+
+
+@register("forest_propensities")
+def forest_propensities(spark, d):
+    rows = cleaning.user_folds(model_rows(spark, d), portable=True)
+    out = models.forest_propensities(rows.where("fold <> 0"), rows.where("fold = 0"), MODEL_FEATURES, trees=20, depth=5)
+    return out.select("user_id", "session_date", "arm", "pscore")
+
+
+@register("ope_with_reward_models")
+def ope_with_reward_models(spark, d):
+    """Doubly robust estimate with model Q values, on a fold that the models haven't seen."""
+    rows = cleaning.user_folds(model_rows(spark, d), portable=True)
+    scored = models.reward_models(rows.where("fold <> 0"), rows.where("fold = 0"), MODEL_FEATURES)
+    pi = A.uniform_policy(F.col("multiplier"))
+    v = A.array_total(F.zip_with(pi, F.col("qhat"), lambda p, q: p * q))
+    w = F.element_at(pi, F.col("arm") + 1) / F.col("pi_old")
+    q = F.element_at("qhat", F.col("arm") + 1)
+    return scored.select((v + w * (F.col("reward") - q)).alias("x")).agg(F.avg("x").alias("dr"), F.count("x").alias("n"))
