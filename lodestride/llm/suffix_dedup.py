@@ -6,14 +6,16 @@ a smaller id, or earlier in the same one) is removed. Matches never cross docume
 1. Anchors. In each window of ``length`` bytes the ANCHOR-byte string with the smallest hash is
    its anchor, which depends on the window's bytes alone, so equal windows have equal anchors at
    equal places. Only anchors whose hash occurs more than once matter.
-2. Contexts. Around each such anchor lie all windows that have it. Contexts are dealt to tasks by
-   the anchor's hash; of equal contexts, all but the earliest are removed as a whole.
+2. Contexts. Around each such anchor lie all windows that have it. Keys of contexts (the anchor's
+   hash and a hash of the whole context, 128 bits) meet by anchor; of equal contexts, all but the
+   earliest are removed as a whole. Only where an anchor has several contexts are the bytes of the
+   earliest of each fetched and dealt to tasks by the anchor's hash.
 3. Transforms. The distinct contexts of a batch of anchors form shards. Each shard sorts the
    rotations of its own contexts once; then the shards' transforms are merged by refining their
    interleave: starting from one block, rows in the current order are stably sorted by the
    STEP symbols before them (their transform), which yields the order by STEP more symbols. No
    suffix is compared or sorted again. Where a new block begins during round r, neighbours share fewer
-   than STEP x r symbols, so after length / STEP rounds the blocks are the repeated intervals
+   than STEP x r symbols, so after length / STEP rounds (the last one shorter) the blocks are the repeated intervals
    of ``length`` bytes. In each, every window but the earliest is removed.
 4. Removed windows are merged per document and cut out.
 
@@ -29,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +39,7 @@ from lodestride.llm.common import strings
 
 LENGTH = 100
 ANCHOR = 32
-STEP = 4
+STEP = 8
 CHUNK_BYTES = 4_000_000
 BATCH_BYTES = 2_000_000
 SHARDS = 4
@@ -115,9 +118,9 @@ class Shard:
         def ahead(k: int) -> np.ndarray:
             return base + (place + k) % size
 
-        word = flat.astype(np.uint32)
+        word = flat.astype(np.uint64)
         for k in range(1, STEP):
-            word = (word << np.uint32(8)) | flat[ahead(k)]
+            word = (word << np.uint64(8)) | flat[ahead(k)]
         rank, known = _dense(word), STEP
         while known < length:  # doubling, the last time by what is missing
             more = min(known, length - known)
@@ -131,27 +134,34 @@ class Shard:
 def merge(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of all shards (numbered one shard after another) in merged order, and the block of each."""
     sizes = [len(s.place) for s in shards]
-    n, codes = sum(sizes), np.concatenate([s.transform for s in shards])
-    codes = _dense(codes)
-    low, high = (codes & 0xFFFF).astype(np.uint16), (codes >> 16).astype(np.uint16)
+    n, words = sum(sizes), np.concatenate([s.transform for s in shards])
     source = np.repeat(np.arange(len(shards), dtype=np.uint8), sizes)  # the interleave
     block = np.zeros(n, np.int32)
     rows = np.empty(n, np.int64)
-    for _ in range(length // STEP):
+    steps = [STEP] * (length // STEP) + ([length % STEP] if length % STEP else [])
+    codes, low, high = _radix(words)
+    for step in steps:
+        if step != STEP:  # the last few symbols alone
+            codes, low, high = _radix(words & np.uint64((1 << 8 * step) - 1))
         rows[np.argsort(source, kind="stable")] = np.arange(n)  # each shard's rows stay in its order
         order = np.argsort(low[rows], kind="stable")
-        if high.any():
-            order = order[np.argsort(high[rows][order], kind="stable")]
-        symbol = codes[rows[order]]
-        old = block[order]
-        new = np.empty(n, np.int32)
-        new[0] = 0
-        np.cumsum((symbol[1:] != symbol[:-1]) | (old[1:] != old[:-1]), out=new[1:])
-        source, block = source[order], new
+        if high is not None:
+            order = order[np.argsort(high[rows[order]], kind="stable")]
+        symbol, old = codes[rows[order]], block[order]
+        block = np.empty(n, np.int32)
+        block[0] = 0
+        np.cumsum((symbol[1:] != symbol[:-1]) | (old[1:] != old[:-1]), out=block[1:])
+        source = source[order]
     rows[np.argsort(source, kind="stable")] = np.arange(n)
     return rows, block
 
 
+def _radix(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Dense numbers of symbols, in their order, and their 16-bit digits (numpy sorts these by radix)."""
+    codes = _dense(words).astype(np.int32)
+    return codes, (codes & 0xFFFF).astype(np.uint16), (codes >> 16).astype(np.uint16) if len(codes) and codes.max() > 0xFFFF else None
+
+
 def repeated_windows(texts: list[bytes], order: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """(text number, place) of every window of ``texts`` that also is in a text of lower ``order`` or earlier in the same.
 
@@ -199,71 +209,120 @@ def _find_anchors(length: int):
     return over
 
 
-def _cut_contexts(length: int):
+def _context_keys(length: int):
     side = length - ANCHOR
 
     def over(batches):
         for b in batches:
             texts = [t.encode() for t in strings(b.column("text"))]
-            out, n = ([], [], [], [], []), 0
-            ids, versions = b.column("doc_id").to_pylist(), b.column("version").to_pylist()
-            for i, found in enumerate(b.column("found").to_pylist()):
-                for f in found:
-                    start = max(0, f["place"] - side)
-                    context = texts[i][start : f["place"] + length]
-                    for column, x in zip(out, (f["hash"], context, ids[i], versions[i], start)):
-                        column.append(x)
-                    n += 1
-                if n >= 20_000 or i == len(texts) - 1:
-                    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["hash", "context", "doc_id", "version", "start"])
-                    out, n = ([], [], [], [], []), 0
+            for i in range(0, len(texts), 256):
+                at, rows = [], []
+                for j, found in enumerate(b.column("found").slice(i, 256).to_pylist(), i):
+                    view = memoryview(texts[j])
+                    for f in found:
+                        start = max(0, f["place"] - side)
+                        context = view[start : f["place"] + length]
+                        at.append(j)
+                        rows.append((f["hash"], xxhash.xxh64_intdigest(context) - (1 << 63), start, len(context)))
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
+                take = pa.array(at)
+                yield pa.RecordBatch.from_arrays([*columns, b.column("doc_id").take(take), b.column("version").take(take)], names=["hash", "key", "start", "size", "doc_id", "version"])
 
     return over
 
 
-def _resolve(length: int):
-    """Removed intervals from contexts sorted by hash, context, doc_id, version, start."""
+def _sort_out(copies: bool):
+    """Of rows sorted by hash, key, doc_id, version, start: the later ones of equal contexts, or the first ones of anchors with several contexts."""
+    names = ["hash", "key", "start", "size", "doc_id", "version"]
 
-    def emit(ids, starts, ends) -> pa.RecordBatch:
-        doc, version = ([i[k] for i in ids] for k in (0, 1))
-        columns = [pa.array(doc, pa.int64()), pa.array(version, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "start", "end"])
+    def over(batches):
+        last, held, several = None, [], False  # last row; first rows of the anchor that isn't over
+        for b in batches:
+            if not b.num_rows:
+                continue
+            h, key, start, size, doc, version = (b.column(c).to_numpy(zero_copy_only=False) for c in names)
+            h0, k0 = (np.r_[last[i] if last else x[0], x[:-1]] for i, x in ((0, h), (1, key)))
+            same = (h == h0) & (key == k0)
+            same[0] &= last is not None
+            if copies:
+                # Rows of one document version and place are one context, not copies of each other;
+                # such rows come from repeated rows of the table and stand side by side.
+                run = np.maximum.accumulate(np.where(same, 0, np.arange(len(h)) + 1))
+                lead = [np.where(run > 0, x[np.maximum(run - 1, 0)], y) for x, y in zip((doc, version, start), last[2:] if last else (0, 0, 0))]
+                later = same & ~((doc == lead[0]) & (version == lead[1]) & (start == lead[2]))
+                if later.any():
+                    yield b.filter(pa.array(later))
+                last = (h[-1], key[-1], *(x[-1] for x in lead))
+                continue
+            first = np.flatnonzero(~same)
+            if len(first):
+                group = np.cumsum(np.r_[last is None or h[first[0]] != last[0], h[first[1:]] != h[first[:-1]]])
+                n = np.bincount(group)
+                open_end = group[-1]
+                if n[0]:  # the anchor of the last batch goes on
+                    several = several or bool(held) or n[0] > 1
+                    held.append(b.take(pa.array(first[group == 0])))
+                if open_end > 0:
+                    if held and several:
+                        yield from held
+                    full = first[(group > 0) & (group < open_end) & (n[group] > 1)]
+                    if len(full):
+                        yield b.take(pa.array(full))
+                    held, several = [b.take(pa.array(first[group == open_end]))], n[open_end] > 1
+            last = (h[-1], key[-1])
+        if held and several:
+            yield from held
+
+    return over
 
-    def solve(held: list[tuple[bytes, tuple, int]]) -> pa.RecordBatch:
-        texts = [h[0] for h in held]
-        number = {d: i for i, d in enumerate(sorted({h[1] for h in held}))}
-        order = np.array([(number[h[1]], h[2]) for h in held], np.int64)
-        text, place = repeated_windows(texts, order, length)
-        which, start, end = _intervals(text, place, length)
-        return emit([held[w][1] for w in which], start + order[which, 1], end + order[which, 1])
+
+def _cut_contexts(batches):
+    for b in batches:
+        texts = [t.encode() for t in strings(b.column("text"))]
+        for i in range(0, len(texts), 256):
+            at, rows = [], []
+            for j, found in enumerate(b.column("found").slice(i, 256).to_pylist(), i):
+                for f in found:
+                    at.append(j)
+                    rows.append((f["hash"], texts[j][f["start"] : f["start"] + f["size"]], f["start"]))
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.binary(), pa.int32()))]
+            take = pa.array(at)
+            yield pa.RecordBatch.from_arrays([*columns, b.column("doc_id").take(take), b.column("version").take(take)], names=["hash", "context", "start", "doc_id", "version"])
+
+
+def _resolve(length: int):
+    """Removed intervals from distinct contexts sorted by hash."""
+
+    def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        doc, version, start = (table.column(c).to_numpy() for c in ("doc_id", "version", "start"))
+        at = np.lexsort((version, doc))
+        number = np.empty(len(at), np.int64)
+        number[at] = np.cumsum(np.r_[False, (doc[at][1:] != doc[at][:-1]) | (version[at][1:] != version[at][:-1])])
+        text, place = repeated_windows(table.column("context").to_pylist(), np.stack([number, start.astype(np.int64)], 1), length)
+        which, begin, end = _intervals(text, place, length)
+        columns = [pa.array(doc[which]), pa.array(version[which]), pa.array((start[which] + begin).astype(np.int32)), pa.array((start[which] + end).astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "start", "end"])
 
     def over(batches):
-        held: list[tuple[bytes, tuple, int]] = []  # distinct contexts of whole anchor groups
-        group: list[tuple[bytes, tuple, int]] = []  # those of the current anchor
-        n, key, previous = 0, None, None
+        held, n = [], 0  # whole anchors, but for the last one
         for b in batches:
-            hashes, contexts, docs, versions, starts = (b.column(c).to_pylist() for c in ("hash", "context", "doc_id", "version", "start"))
-            copies = []
-            for h, context, doc, version, start in zip(hashes, contexts, docs, versions, starts):
-                if h != key:
-                    if len(group) > 1:  # a single context repeats nothing else
-                        held += group
-                        n += sum(len(g[0]) for g in group)
-                    group, key, previous = [], h, None
-                    if n >= BATCH_BYTES:
-                        yield solve(held)
-                        held, n = [], 0
-                if previous is not None and context == previous[0]:
-                    if (doc, version, start) != (*previous[1], previous[2]):
-                        copies.append(((doc, version), start, start + len(context)))
-                else:
-                    previous = (context, (doc, version), start)
-                    group.append(previous)
-            if copies:
-                yield emit(*zip(*copies))
-        if len(group) > 1:
-            held += group
+            if not b.num_rows:
+                continue
+            held.append(b)
+            n += b.column("context").nbytes
+            if n < BATCH_BYTES:
+                continue
+            h = b.column("hash").to_numpy()
+            cut = int(np.flatnonzero(h != h[-1])[-1] + 1) if h[0] != h[-1] else 0
+            if not cut and len(held) > 1 and held[-2].column("hash")[-1].as_py() != h[0]:
+                yield solve(held[:-1])
+            elif cut:
+                yield solve([*held[:-1], b.slice(0, cut)])
+            else:
+                continue
+            held = [b.slice(cut)]
+            n = held[0].column("context").nbytes
         if held:
             yield solve(held)
 
@@ -300,9 +359,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = long.select("doc_id", "version", "text").mapInArrow(_find_anchors(length), "doc_id long, version long, place int, hash long")
     repeated = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
     places = found.join(repeated, "hash", "left_semi").groupBy("doc_id", "version").agg(F.collect_set(F.struct("place", "hash")).alias("found"))
-    contexts = base.select("doc_id", "version", "text").join(places, ["doc_id", "version"]).mapInArrow(_cut_contexts(length), "hash long, context binary, doc_id long, version long, start int")
-    ordered = contexts.repartition("hash").sortWithinPartitions("hash", "context", "doc_id", "version", "start")
-    removed = ordered.mapInArrow(_resolve(length), "doc_id long, version long, start int, `end` int")
+
+    def of_texts(marks: DataFrame, function, schema: str) -> DataFrame:
+        # The texts are shuffled by document once: all three joins read the same exchange.
+        return base.join(marks, ["doc_id", "version"]).select("id", "text", "found", "doc_id", "version").mapInArrow(function, schema)
+
+    keys = of_texts(places, _context_keys(length), "hash long, key long, start int, size int, doc_id long, version long")
+    keys = keys.repartition("hash").sortWithinPartitions("hash", "key", "doc_id", "version", "start")
+    copies = keys.mapInArrow(_sort_out(True), keys.schema).select("doc_id", "version", "start", (F.col("start") + F.col("size")).alias("end"))
+    firsts = keys.mapInArrow(_sort_out(False), keys.schema).groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "size", "hash")).alias("found"))
+    contexts = of_texts(firsts, _cut_contexts, "hash long, context binary, start int, doc_id long, version long")
+    contexts = contexts.repartition("hash").sortWithinPartitions("hash")
+    removed = copies.union(contexts.mapInArrow(_resolve(length), "doc_id long, version long, start int, `end` int"))
     per_doc = removed.groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end")).alias("found"))
     joined = base.join(per_doc, ["doc_id", "version"], "left").select("id", "text", "found")
 

@@ -1,6 +1,8 @@
 import random
 from hashlib import sha256
 
+import pytest
+
 from lodestride.llm import suffix_dedup as S
 
 
@@ -59,7 +61,9 @@ def test_anchors_cover_every_window():
     assert set(again[2]) <= set(twice[2])
 
 
-def test_documents_match_brute_force(spark):
+@pytest.mark.parametrize("batch_rows", [10_000, 7])
+def test_documents_match_brute_force(spark, batch_rows):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
     rng = random.Random(2)
     passages = [words(rng, rng.randint(15, 60)) for _ in range(12)]
     rows = []
@@ -77,3 +81,4 @@ def test_documents_match_brute_force(spark):
     assert [r for r in mine if r[0] not in same_id] == [r for r in want if r[0] not in same_id]
     assert len(mine) == len(want)
     assert S.remove_repeats(docs.limit(0)).count() == 0
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
