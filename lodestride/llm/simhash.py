@@ -152,9 +152,9 @@ class Plan:
                 costs[:, i, t + 1] = total
         return allocate(costs, self.radius)
 
-    def probes(self, fps: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def probes(self, fps: np.ndarray, index_only: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(partition, row numbers, partition values): the index entry of every fingerprint and its probes."""
-        t = self.thresholds(fps)
+        t = np.zeros((len(fps), len(self.parts)), np.int8) if index_only else self.thresholds(fps)
         for i, mask in enumerate(self.masks):
             yield i, np.arange(len(fps)), fps & mask
             for d in range(1, self.radius + 1):
@@ -211,8 +211,15 @@ def _link_sorted(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.
         number = np.repeat(np.arange(len(starts)), sizes)
         for k in range(1, min(64, int(sizes.max()))):
             near = np.flatnonzero((number[k:] == number[:-k]) & small[k:] & (np.bitwise_count(fp[k:] ^ fp[:-k]) <= radius))
-            a.append(node[near])
-            b.append(node[near + k])
+            a.append(near)
+            b.append(near + k)
+        # Of the pairs, a spanning set of each group goes on.
+        if a and sum(map(len, a)):
+            root = _roots(len(fp), np.concatenate(a), np.concatenate(b))
+            moved = np.flatnonzero(root != np.arange(len(root)))
+            a, b = [node[root[moved]]], [node[moved]]
+        else:
+            a, b = [], []
         for g in np.flatnonzero(sizes > 64):
             rows = slice(starts[g], starts[g] + sizes[g])
             root = link_bucket(fp[rows], radius)
@@ -220,7 +227,10 @@ def _link_sorted(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.
             a.append(node[rows][root[moved]])
             b.append(node[rows][moved])
         empty = np.empty(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([empty, *a])), pa.array(np.concatenate([empty, *b]))], names=["a", "b"])
+        a, b = np.concatenate([empty, *a]), np.concatenate([empty, *b])
+        pairs = np.unique(np.stack([a, b], 1)[a != b], axis=0)  # classes may have a node in common
+        a, b = pairs[:, 0], pairs[:, 1]
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     held: list[tuple[np.ndarray, ...]] = []
     for batch in batches:
@@ -241,13 +251,13 @@ def _link_sorted(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.
         yield groups(*map(np.concatenate, zip(*held)))
 
 
-def _entries(rows: DataFrame, plan: Plan) -> DataFrame:
+def _entries(rows: DataFrame, plan: Plan, index_only: bool) -> DataFrame:
     """(part, i, value, fp, node) rows of every index entry and probe; ``part`` is of the bucket above and partition i."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bucket, fp, node = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("bucket", "fp", "node"))
-            for i, at, value in plan.probes(fp.view(np.uint64)):
+            for i, at, value in plan.probes(fp.view(np.uint64), index_only):
                 part = bucket[at] * np.int64(31) + np.int64(i)
                 columns = [part, np.full(len(at), i, np.int32), value.view(np.int64), fp[at], node[at]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "i", "value", "fp", "node"])
@@ -260,12 +270,15 @@ def _sample(rows: DataFrame, n: int) -> np.ndarray:
     return picked["fp"].to_numpy(np.int64).view(np.uint64)
 
 
-def links(classes: DataFrame, radius: int = 2, m: int = PARTITIONS, sample: int = SAMPLE, max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """Edges (a, b) that connect all (fp, node) rows within ``radius`` bits of each other."""
+def links(classes: DataFrame, radius: int = 2, m: int = PARTITIONS, sample: int = SAMPLE, max_bucket: int = MAX_BUCKET, index_only: bool = False) -> DataFrame:
+    """Edges (a, b) that connect all (fp, node) rows within ``radius`` bits of each other.
+
+    ``index_only``: only the pairs that agree in a whole partition.
+    """
 
     def level(rows: DataFrame, bits: list[int]) -> DataFrame:
         plan = Plan(_sample(rows, sample), rows.count(), bits, m, radius)
-        entries = _entries(rows, plan)
+        entries = _entries(rows, plan, index_only)
         deeper = []
         # Distinct fingerprints that may differ in few bits are few, so the last level needs no split.
         if len(bits) >= 16:
@@ -292,7 +305,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document: doc_id, fingerprint (hex), component_id."""
     prints = checkpointed(fingerprints(docs, id_col, text_col, words_per_shingle))
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    joined = components(links(checkpointed(classes.where("node is not null")), radius, **options))
+    classes = checkpointed(classes)
+    known = classes.where("node is not null")
+    m = options.get("m", PARTITIONS)
+    if radius >= m:
+        # Probes multiply the rows of each class. Classes that agree in a whole partition are joined
+        # first, so that probes link what is still apart and a large group gives few edges.
+        near = components(links(known, radius, index_only=True, **options))
+        classes = checkpointed(classes.join(near, "node", "left").select("fp", F.coalesce("component", "node").alias("node")))
+        known = classes.where("node is not null")
+    joined = components(links(known, radius, **options))
     named = classes.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
