@@ -41,8 +41,8 @@ LENGTH = 100
 ANCHOR = 32
 STEP = 8
 CHUNK_BYTES = 4_000_000
-BATCH_BYTES = 2_000_000
-SHARDS = 4
+BATCH_BYTES = 100_000  # keeps a batch's arrays in the processor's cache
+SHARDS = 2
 
 
 # Anchors ------------------------------------------------------------------------------------
@@ -137,13 +137,13 @@ def merge(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarray]:
     n, words = sum(sizes), np.concatenate([s.transform for s in shards])
     source = np.repeat(np.arange(len(shards), dtype=np.uint8), sizes)  # the interleave
     block = np.zeros(n, np.int32)
-    rows = np.empty(n, np.int64)
+    rows, numbers = np.empty(n, np.int32), np.arange(n, dtype=np.int32)
     steps = [STEP] * (length // STEP) + ([length % STEP] if length % STEP else [])
     codes, low, high = _radix(words)
     for step in steps:
         if step != STEP:  # the last few symbols alone
             codes, low, high = _radix(words & np.uint64((1 << 8 * step) - 1))
-        rows[np.argsort(source, kind="stable")] = np.arange(n)  # each shard's rows stay in its order
+        rows[np.argsort(source, kind="stable")] = numbers  # each shard's rows stay in its order
         order = np.argsort(low[rows], kind="stable")
         if high is not None:
             order = order[np.argsort(high[rows[order]], kind="stable")]
@@ -152,7 +152,7 @@ def merge(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarray]:
         block[0] = 0
         np.cumsum((symbol[1:] != symbol[:-1]) | (old[1:] != old[:-1]), out=block[1:])
         source = source[order]
-    rows[np.argsort(source, kind="stable")] = np.arange(n)
+    rows[np.argsort(source, kind="stable")] = numbers
     return rows, block
 
 
