@@ -5,11 +5,12 @@ a smaller id, or earlier in the same one) is removed. Matches never cross docume
 
 1. Anchors. In each window of ``length`` bytes the ANCHOR-byte string with the smallest hash is
    its anchor, which depends on the window's bytes alone, so equal windows have equal anchors at
-   equal places. Only anchors whose hash occurs more than once matter.
-2. Contexts. Around each such anchor lie all windows that have it. Keys of contexts (the anchor's
-   hash and a hash of the whole context, 128 bits) meet by anchor; of equal contexts, all but the
-   earliest are removed as a whole. Only where an anchor has several contexts are the bytes of the
-   earliest of each fetched and dealt to tasks by the anchor's hash.
+   equal places.
+2. Contexts. Around each anchor lie all windows that have it. Keys of contexts (the anchor's
+   hash and a hash of the whole context, 128 bits) are joined within some megabytes, then meet by
+   anchor; of equal contexts, all but the earliest are removed as a whole. Only where an anchor has
+   several contexts are the bytes of the earliest of each fetched and dealt to tasks by the anchor's
+   hash. Those that share no part around the anchor that a common window would hold are set aside.
 3. Transforms. The distinct contexts of a batch of anchors form shards. Each shard sorts the
    rotations of its own contexts once; then the shards' transforms are merged by refining their
    interleave: starting from one block, rows in the current order are stably sorted by the
@@ -27,11 +28,12 @@ same id and different texts are ordered by a hash of the text. Other columns are
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +42,10 @@ from lodestride.llm.common import strings
 LENGTH = 100
 ANCHOR = 32
 STEP = 8
-CHUNK_BYTES = 4_000_000
+SPLITS = 4
+CHUNK_BYTES = 4_000_000  # texts whose equal contexts are joined before the shuffle
+BLOCK = 32_768  # bytes hashed at a time, for the processor's cache
+PLACE_BITS = 17  # of a place in a block
 BATCH_BYTES = 100_000  # keeps a batch's arrays in the processor's cache
 SHARDS = 2
 
@@ -48,16 +53,18 @@ SHARDS = 2
 # Anchors ------------------------------------------------------------------------------------
 
 
-def _powers_hash(text: np.ndarray, size: int) -> np.ndarray:
-    """Mixed 64-bit hash of every ``size``-byte string (a power of two)."""
+def _hashes(text: np.ndarray) -> np.ndarray:
+    """Mixed 64-bit hash of every ANCHOR-byte string (a power of two)."""
     with np.errstate(over="ignore"):
         h, n, power = (text.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), 1, np.uint64(0xD6E8FEB86659FD93)
-        while n < size:
-            h = h[:-n] * power + h[n:]
-            power, n = power * power, 2 * n
+        while n < ANCHOR:
+            next_h = h[:-n] * power
+            next_h += h[n:]
+            h, power, n = next_h, power * power, 2 * n
         h ^= h >> np.uint64(31)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-        return h ^ (h >> np.uint64(29))
+        h ^= h >> np.uint64(29)
+        return h
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -67,24 +74,43 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - n)], x[width - n :]) if width > n else x
 
 
-def anchors(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, place, hash) of the anchors of all windows of some texts."""
-    width = length - ANCHOR + 1
+def anchors(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """(text number, place, hash, start and end of the context, key of the context) of the anchors of all windows of some texts.
+
+    The key hashes the whole context by the hashes of ANCHOR-byte strings that cover it.
+    """
+    width, side = length - ANCHOR + 1, length - ANCHOR
     whole = np.frombuffer(b"".join(texts), np.uint8)
     if len(whole) < length:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    h = _powers_hash(whole, ANCHOR)
-    ends = np.cumsum([len(t) for t in texts])
-    starts = ends - np.array([len(t) for t in texts])
-    # The place in the low bits makes the smallest key the first smallest hash.
-    bits = np.uint64(int(len(whole)).bit_length())
-    key = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)
-    place = (_sliding_min(key, width) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    doc = np.searchsorted(ends, np.arange(len(place)), side="right")
-    place = place[np.arange(len(place)) + length <= ends[doc]]  # windows inside one text
+        none = np.empty(0, np.int64)
+        return none, none, none.astype(np.uint64), none, none, none.astype(np.uint64)
+    sizes = np.array([len(t) for t in texts])
+    ends = np.cumsum(sizes)
+    hashes, places = np.empty(len(whole) - ANCHOR + 1, np.uint64), []
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    for at in range(0, len(whole) - length + 1, BLOCK):
+        h = _hashes(whole[at : at + BLOCK + length - 1])
+        hashes[at : at + len(h)] = h
+        # The place in the low bits makes the smallest key the first smallest hash.
+        key = (h & ~low) | np.arange(len(h), dtype=np.uint64)
+        found = (_sliding_min(key, width) & low).astype(np.int64) + at
+        inside = np.ones(len(found), bool)  # windows inside one text
+        for end in ends[np.searchsorted(ends, at, side="right") : np.searchsorted(ends, at + len(found) + length)]:
+            inside[max(0, end - length + 1 - at) : max(0, end - at)] = False
+        found = found[inside]
+        places.append(found[np.r_[True, found[1:] != found[:-1]]] if len(found) else found)
+    place = np.concatenate(places)
     place = place[np.r_[True, place[1:] != place[:-1]]] if len(place) else place
     doc = np.searchsorted(ends, place, side="right")
-    return doc, place - starts[doc], h[place]
+    first = ends[doc] - sizes[doc]
+    start, end = np.maximum(first, place - side), np.minimum(ends[doc], place + length)
+    with np.errstate(over="ignore"):
+        key = (end - start).astype(np.uint64)
+        for k in range(0, length + side, ANCHOR):
+            key ^= hashes[np.minimum(start + k, end - ANCHOR)]
+            key *= np.uint64(0x9FB21C651E98DF25)
+            key ^= key >> np.uint64(32)
+    return doc, place - first, hashes[place], start - first, end - first, key
 
 
 def _chunks(sizes: list[int]) -> Iterator[slice]:
@@ -196,98 +222,134 @@ def _intervals(doc: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndar
 # Jobs ---------------------------------------------------------------------------------------
 
 
-def _find_anchors(length: int):
-    def over(batches):
-        for b in batches:
-            texts = [t.encode() for t in strings(b.column("text"))]
-            doc_id, version = b.column("doc_id"), b.column("version")
-            for part in _chunks([len(t) for t in texts]):
-                doc, place, h = anchors(texts[part], length)
-                at = pa.array(doc + part.start)
-                yield pa.RecordBatch.from_arrays([doc_id.take(at), version.take(at), pa.array(place.astype(np.int32)), pa.array(h.view(np.int64))], names=["doc_id", "version", "place", "hash"])
+# Rows between the jobs: contexts, or (gone) intervals that are to be removed.
+ROWS = "hash long, key long, start int, size int, anchor int, doc_id long, version long, gone boolean"
 
-    return over
 
+def _gone(doc_id: np.ndarray, version: np.ndarray, start: np.ndarray, end: np.ndarray) -> dict[str, np.ndarray]:
+    """Rows of removed intervals, merged where they touch; their hash spreads documents over tasks."""
+    at = np.lexsort((start, version, doc_id))
+    doc_id, version, start, end = doc_id[at], version[at], start[at], end[at]
+    # All intervals of a document come after those of the one before on this line.
+    shift = np.cumsum(np.r_[False, (doc_id[1:] != doc_id[:-1]) | (version[1:] != version[:-1])][: len(at)]) << 40
+    reach = np.maximum.accumulate(shift + end)
+    first = np.flatnonzero(np.r_[True, (shift + start)[1:] > reach[:-1]][: len(at)])
+    last = np.r_[first[1:] - 1, len(at) - 1] if len(first) else first
+    none = np.zeros(len(first), np.int64)
+    end = reach[last] - shift[first]
+    return {"hash": version[first] ^ doc_id[first], "key": none, "start": start[first], "size": end - start[first], "anchor": none, "doc_id": doc_id[first], "version": version[first], "gone": none == 0}
 
-def _context_keys(length: int):
-    side = length - ANCHOR
+
+def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    kinds = {"start": pa.int32(), "size": pa.int32(), "anchor": pa.int32(), "gone": pa.bool_()}
+    return pa.RecordBatch.from_arrays([pa.array(x).cast(kinds.get(k, pa.int64())) for k, x in columns.items()], names=list(columns))
+
+
+def _find_contexts(length: int):
+    """Contexts of all anchors; of equal ones within some megabytes, the later are removed at once."""
 
     def over(batches):
         for b in batches:
             texts = [t.encode() for t in strings(b.column("text"))]
-            for i in range(0, len(texts), 256):
-                at, rows = [], []
-                for j, found in enumerate(b.column("found").slice(i, 256).to_pylist(), i):
-                    view = memoryview(texts[j])
-                    for f in found:
-                        start = max(0, f["place"] - side)
-                        context = view[start : f["place"] + length]
-                        at.append(j)
-                        rows.append((f["hash"], xxhash.xxh64_intdigest(context) - (1 << 63), start, len(context)))
-                columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
-                take = pa.array(at)
-                yield pa.RecordBatch.from_arrays([*columns, b.column("doc_id").take(take), b.column("version").take(take)], names=["hash", "key", "start", "size", "doc_id", "version"])
+            ids, versions = (b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "version"))
+            for part in _chunks([len(t) for t in texts]):
+                order = np.lexsort((versions[part], ids[part])) + part.start
+                doc, place, h, start, end, key = anchors([texts[i] for i in order], length)
+                doc_id, version = ids[order][doc], versions[order][doc]
+                # Rows stand in the order of documents and places, which a stable sort keeps among equals.
+                at = np.argsort(h ^ key, kind="stable")
+                same = np.r_[False, (h[at][1:] == h[at][:-1]) & (key[at][1:] == key[at][:-1])] if len(at) else np.empty(0, bool)
+                lead = at[np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))]
+                # The same place of a repeated row is no copy.
+                copy = at[same & ((doc_id[at] != doc_id[lead]) | (version[at] != version[lead]) | (start[at] != start[lead]))]
+                at = np.sort(at[~same])
+                yield _batch(_gone(doc_id[copy], version[copy], start[copy], end[copy]))
+                yield _batch({"hash": h[at].view(np.int64), "key": key[at].view(np.int64), "start": start[at], "size": (end - start)[at], "anchor": (place - start)[at], "doc_id": doc_id[at], "version": version[at], "gone": np.zeros(len(at), bool)})
 
     return over
 
 
-def _sort_out(copies: bool):
-    """Of rows sorted by hash, key, doc_id, version, start: the later ones of equal contexts, or the first ones of anchors with several contexts."""
-    names = ["hash", "key", "start", "size", "doc_id", "version"]
+def _sort_out(batches):
+    """Of rows sorted by hash, key, doc_id, version, start: later ones of equal contexts as intervals, and the first ones of anchors with several contexts."""
+    names = ["hash", "key", "doc_id", "version", "start"]
+    last, held = None, None  # last row; the first context of an anchor that has one so far
+    for b in batches:
+        gone = b.column("gone")
+        yield b.filter(gone)
+        b = b.filter(pc.invert(gone))
+        if not b.num_rows:
+            continue
+        h, key, doc, version, start = (b.column(c).to_numpy(zero_copy_only=False) for c in names)
+        h0, k0 = (np.r_[last[i] if last else x[0], x[:-1]] for i, x in ((0, h), (1, key)))
+        same = (h == h0) & (key == k0)
+        same[0] &= last is not None
+        # Rows of one document version and place are one context, not copies of each other;
+        # such rows come from repeated rows of the table.
+        run = np.maximum.accumulate(np.where(same, 0, np.arange(len(h)) + 1))
+        lead = [np.where(run > 0, x[np.maximum(run - 1, 0)], y) for x, y in zip((doc, version, start), last[2:] if last else (0, 0, 0))]
+        later = same & ~((doc == lead[0]) & (version == lead[1]) & (start == lead[2]))
+        if later.any():
+            copies = b.filter(pa.array(later))
+            none = pa.array(np.zeros(copies.num_rows, np.int64))
+            yield pa.RecordBatch.from_arrays([none, none, *copies.columns[2:7], pa.array(np.ones(copies.num_rows, bool))], schema=b.schema)
+        first = np.flatnonzero(~same)
+        if len(first):
+            new = np.r_[last is None or h[first[0]] != last[0], h[first[1:]] != h[first[:-1]]]  # of another anchor than the one before
+            if not new[0] and held is not None:
+                yield held
+            several = ~new | np.r_[~new[1:], False]
+            if several.any():
+                yield b.take(pa.array(first[several]))
+            held = b.take(pa.array(first[-1:])) if new[-1] else None
+        last = (h[-1], key[-1], *(x[-1] for x in lead))
+
+
+def _cut_contexts(length: int):
+    """The bytes of contexts, and the removed intervals of each document merged (without bytes)."""
 
     def over(batches):
-        last, held, several = None, [], False  # last row; first rows of the anchor that isn't over
         for b in batches:
-            if not b.num_rows:
-                continue
-            h, key, start, size, doc, version = (b.column(c).to_numpy(zero_copy_only=False) for c in names)
-            h0, k0 = (np.r_[last[i] if last else x[0], x[:-1]] for i, x in ((0, h), (1, key)))
-            same = (h == h0) & (key == k0)
-            same[0] &= last is not None
-            if copies:
-                # Rows of one document version and place are one context, not copies of each other;
-                # such rows come from repeated rows of the table and stand side by side.
-                run = np.maximum.accumulate(np.where(same, 0, np.arange(len(h)) + 1))
-                lead = [np.where(run > 0, x[np.maximum(run - 1, 0)], y) for x, y in zip((doc, version, start), last[2:] if last else (0, 0, 0))]
-                later = same & ~((doc == lead[0]) & (version == lead[1]) & (start == lead[2]))
-                if later.any():
-                    yield b.filter(pa.array(later))
-                last = (h[-1], key[-1], *(x[-1] for x in lead))
-                continue
-            first = np.flatnonzero(~same)
-            if len(first):
-                group = np.cumsum(np.r_[last is None or h[first[0]] != last[0], h[first[1:]] != h[first[:-1]]])
-                n = np.bincount(group)
-                open_end = group[-1]
-                if n[0]:  # the anchor of the last batch goes on
-                    several = several or bool(held) or n[0] > 1
-                    held.append(b.take(pa.array(first[group == 0])))
-                if open_end > 0:
-                    if held and several:
-                        yield from held
-                    full = first[(group > 0) & (group < open_end) & (n[group] > 1)]
-                    if len(full):
-                        yield b.take(pa.array(full))
-                    held, several = [b.take(pa.array(first[group == open_end]))], n[open_end] > 1
-            last = (h[-1], key[-1])
-        if held and several:
-            yield from held
+            texts = [t.encode() for t in strings(b.column("text"))]
+            doc_id, version = (b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "version"))
+            for i in range(0, len(texts), 256):
+                lists = b.column("found").slice(i, 256)
+                owner = np.repeat(np.arange(i, i + len(lists)), np.diff(lists.offsets.to_numpy()))
+                found = {k: pc.struct_field(lists.flatten(), k).to_numpy(zero_copy_only=False) for k in ("start", "size", "anchor", "hash", "gone")}
+                g = found["gone"].astype(bool)
+                start, size = found["start"].astype(np.int64), found["size"].astype(np.int64)
+                gone = _gone(doc_id[owner[g]], version[owner[g]], start[g], (start + size)[g])
+                kept = owner[~g]
+                bytes_ = [texts[j][s : s + n] for j, s, n in zip(kept.tolist(), start[~g].tolist(), size[~g].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.r_[found["hash"][~g], gone["hash"]]),
+                        pa.array([*bytes_, *[None] * len(gone["hash"])], pa.binary()),
+                        *(pa.array(np.r_[x[~g], gone[k]].astype(np.int32)) for k, x in (("start", start), ("size", size), ("anchor", found["anchor"]))),
+                        pa.array(np.r_[doc_id[kept], gone["doc_id"]]),
+                        pa.array(np.r_[version[kept], gone["version"]]),
+                    ],
+                    names=["hash", "context", "start", "size", "anchor", "doc_id", "version"],
+                )
 
     return over
 
 
-def _cut_contexts(batches):
-    for b in batches:
-        texts = [t.encode() for t in strings(b.column("text"))]
-        for i in range(0, len(texts), 256):
-            at, rows = [], []
-            for j, found in enumerate(b.column("found").slice(i, 256).to_pylist(), i):
-                for f in found:
-                    at.append(j)
-                    rows.append((f["hash"], texts[j][f["start"] : f["start"] + f["size"]], f["start"]))
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.binary(), pa.int32()))]
-            take = pa.array(at)
-            yield pa.RecordBatch.from_arrays([*columns, b.column("doc_id").take(take), b.column("version").take(take)], names=["hash", "context", "start", "doc_id", "version"])
+def may_share(hashes: list[int], contexts: list[bytes], places: list[int], length: int = LENGTH) -> np.ndarray:
+    """False for contexts that can't share a window with another one of the same anchor.
+
+    A window has between 0 and length - ANCHOR bytes before the anchor. In each of SPLITS ranges of that
+    number, all windows hold a common part around the anchor, so two contexts that share a window share
+    such a part.
+    """
+    side = length - ANCHOR
+    step = -(-(side + 1) // SPLITS)
+    shared = np.zeros(len(contexts), bool)
+    for before in range(0, side + 1, step):
+        after = side - min(before + step - 1, side)
+        parts = [(h, c[p - before : p + ANCHOR + after]) if p >= before and p + ANCHOR + after <= len(c) else None for h, c, p in zip(hashes, contexts, places)]
+        times = Counter(parts)
+        shared |= np.fromiter((x is not None and times[x] > 1 for x in parts), bool, len(parts))
+    return shared
 
 
 def _resolve(length: int):
@@ -295,10 +357,14 @@ def _resolve(length: int):
 
     def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held)
+        shared = may_share(*(table.column(c).to_pylist() for c in ("hash", "context", "anchor")), length)
+        table = table.filter(pa.array(shared))
         doc, version, start = (table.column(c).to_numpy() for c in ("doc_id", "version", "start"))
         at = np.lexsort((version, doc))
         number = np.empty(len(at), np.int64)
         number[at] = np.cumsum(np.r_[False, (doc[at][1:] != doc[at][:-1]) | (version[at][1:] != version[at][:-1])])
+        if not table.num_rows:
+            return pa.RecordBatch.from_arrays([pa.array([], k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.int32())], names=["doc_id", "version", "start", "end"])
         text, place = repeated_windows(table.column("context").to_pylist(), np.stack([number, start.astype(np.int64)], 1), length)
         which, begin, end = _intervals(text, place, length)
         columns = [pa.array(doc[which]), pa.array(version[which]), pa.array((start[which] + begin).astype(np.int32)), pa.array((start[which] + end).astype(np.int32))]
@@ -307,6 +373,10 @@ def _resolve(length: int):
     def over(batches):
         held, n = [], 0  # whole anchors, but for the last one
         for b in batches:
+            gone = pc.is_null(b.column("context"))
+            done = b.filter(gone)
+            yield pa.RecordBatch.from_arrays([*(done.column(c) for c in ("doc_id", "version", "start")), pc.add(done.column("start"), done.column("size"))], names=["doc_id", "version", "start", "end"])
+            b = b.filter(pc.invert(gone))
             if not b.num_rows:
                 continue
             held.append(b)
@@ -356,21 +426,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), least).alias("doc_id"), text.alias("text"))
     base = base.withColumn("version", F.xxhash64("text"))
     long = base.where(F.octet_length("text") >= length)
-    found = long.select("doc_id", "version", "text").mapInArrow(_find_anchors(length), "doc_id long, version long, place int, hash long")
-    repeated = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    places = found.join(repeated, "hash", "left_semi").groupBy("doc_id", "version").agg(F.collect_set(F.struct("place", "hash")).alias("found"))
-
-    def of_texts(marks: DataFrame, function, schema: str) -> DataFrame:
-        # The texts are shuffled by document once: all three joins read the same exchange.
-        return base.join(marks, ["doc_id", "version"]).select("id", "text", "found", "doc_id", "version").mapInArrow(function, schema)
-
-    keys = of_texts(places, _context_keys(length), "hash long, key long, start int, size int, doc_id long, version long")
-    keys = keys.repartition("hash").sortWithinPartitions("hash", "key", "doc_id", "version", "start")
-    copies = keys.mapInArrow(_sort_out(True), keys.schema).select("doc_id", "version", "start", (F.col("start") + F.col("size")).alias("end"))
-    firsts = keys.mapInArrow(_sort_out(False), keys.schema).groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "size", "hash")).alias("found"))
-    contexts = of_texts(firsts, _cut_contexts, "hash long, context binary, start int, doc_id long, version long")
+    rows = long.select("doc_id", "version", "text").mapInArrow(_find_contexts(length), ROWS)
+    rows = rows.repartition("hash").sortWithinPartitions("hash", "key", "doc_id", "version", "start").mapInArrow(_sort_out, ROWS)
+    marks = rows.groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "size", "anchor", "hash", "gone")).alias("found"))
+    # The texts are shuffled by document once: both joins read the same exchange.
+    contexts = base.join(marks, ["doc_id", "version"]).select("id", "text", "found", "doc_id", "version")
+    contexts = contexts.mapInArrow(_cut_contexts(length), "hash long, context binary, start int, size int, anchor int, doc_id long, version long")
     contexts = contexts.repartition("hash").sortWithinPartitions("hash")
-    removed = copies.union(contexts.mapInArrow(_resolve(length), "doc_id long, version long, start int, `end` int"))
+    removed = contexts.mapInArrow(_resolve(length), "doc_id long, version long, start int, `end` int")
     per_doc = removed.groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end")).alias("found"))
     joined = base.join(per_doc, ["doc_id", "version"], "left").select("id", "text", "found")
 

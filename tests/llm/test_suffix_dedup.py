@@ -52,7 +52,7 @@ def test_merged_transforms_give_the_repeated_windows():
 def test_anchors_cover_every_window():
     rng = random.Random(1)
     texts = [words(rng, n).encode() for n in (3, 60, 200, 0, 25)]
-    doc, place, h = S.anchors(texts)
+    doc, place, h = S.anchors(texts)[:3]
     for i, t in enumerate(texts):
         mine = sorted(place[doc == i])
         for p in range(len(t) - 99):
