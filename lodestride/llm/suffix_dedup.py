@@ -11,13 +11,13 @@ a smaller id, or earlier in the same one) is removed. Matches never cross docume
    anchor; of equal contexts, all but the earliest are removed as a whole. Only where an anchor has
    several contexts are the bytes of the earliest of each fetched and dealt to tasks by the anchor's
    hash. Those that share no part around the anchor that a common window would hold are set aside.
-3. Transforms. The distinct contexts of a batch of anchors form shards. Each shard sorts the
+3. Transforms. What is left of the contexts of a batch of anchors forms shards. Each shard sorts the
    rotations of its own contexts once; then the shards' transforms are merged by refining their
-   interleave: starting from one block, rows in the current order are stably sorted by the
-   STEP symbols before them (their transform), which yields the order by STEP more symbols. No
-   suffix is compared or sorted again. Where a new block begins during round r, neighbours share fewer
-   than STEP x r symbols, so after length / STEP rounds (the last one shorter) the blocks are the repeated intervals
-   of ``length`` bytes. In each, every window but the earliest is removed.
+   interleave: starting from one block, rows in the current order are stably sorted by the symbol (STEP
+   bytes) before them (their transform), which yields the order by one symbol more. No suffix is compared
+   or sorted again. Where a new block begins during round r, neighbours share fewer than r symbols, so
+   after length / STEP rounds the blocks are the repeated intervals of ``length`` bytes. In each, every
+   window but the earliest is removed.
 4. Removed windows are merged per document and cut out.
 
 Null texts count as empty; texts shorter than ``length`` stay whole. Null ids come before all
@@ -41,12 +41,14 @@ from lodestride.llm.common import strings
 
 LENGTH = 100
 ANCHOR = 32
-STEP = 8
-SPLITS = 4
+STEP = 20  # bytes of a symbol
+WORD = 8
+SPLITS = 8
 CHUNK_BYTES = 4_000_000  # texts whose equal contexts are joined before the shuffle
 BLOCK = 32_768  # bytes hashed at a time, for the processor's cache
 PLACE_BITS = 17  # of a place in a block
-BATCH_BYTES = 100_000  # keeps a batch's arrays in the processor's cache
+BATCH_BYTES = 40_000  # keeps a batch's arrays in the processor's cache and its symbols in 16 bits
+BATCH_ROWS = 64
 SHARDS = 2
 
 
@@ -131,49 +133,56 @@ def _dense(x: np.ndarray) -> np.ndarray:
     return np.unique(x, return_inverse=True)[1].astype(np.int64)
 
 
+def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, place, number of the STEP bytes from there on, the same for the STEP bytes before) of every rotation.
+
+    The numbers are dense and in the order of the bytes; texts are read as rings.
+    """
+    flat = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(t) for t in texts])
+    base, size = np.repeat(np.cumsum(sizes) - sizes, sizes), np.repeat(sizes, sizes)
+    place = np.arange(len(flat)) - base
+
+    def ahead(k: int) -> np.ndarray:
+        return base + (place + k) % size
+
+    word, n = flat.astype(np.uint64), 1
+    while n < WORD:
+        word, n = (word << np.uint64(8 * n)) | word[ahead(n)], 2 * n
+    rank = _dense(word)
+    many = int(rank.max()) + 1
+    code = rank
+    for k in (WORD, STEP - WORD):  # the last word overlaps the one before
+        code = _dense(code * many + rank[ahead(k)])
+    return np.repeat(np.arange(len(texts)), sizes), place, code, ahead(STEP)
+
+
 class Shard:
     """Rotations of some byte strings, sorted by their first ``length`` bytes, with their transform."""
 
-    def __init__(self, texts: list[bytes], length: int) -> None:
-        flat = np.frombuffer(b"".join(texts), np.uint8)
-        sizes = np.array([len(t) for t in texts])
-        base = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        size = np.repeat(sizes, sizes)
-        place = np.arange(len(flat)) - base
-
-        def ahead(k: int) -> np.ndarray:
-            return base + (place + k) % size
-
-        word = flat.astype(np.uint64)
-        for k in range(1, STEP):
-            word = (word << np.uint64(8)) | flat[ahead(k)]
-        rank, known = _dense(word), STEP
-        while known < length:  # doubling, the last time by what is missing
-            more = min(known, length - known)
-            rank = _dense(rank * (int(rank.max()) + 1) + rank[ahead(more)])
-            known += more
-        order = np.argsort(rank, kind="stable")
-        self.text, self.place = np.repeat(np.arange(len(texts)), sizes)[order], place[order]
-        self.transform = word[ahead(-STEP)][order]  # the STEP bytes before each rotation
+    def __init__(self, text: np.ndarray, place: np.ndarray, code: np.ndarray, ahead: np.ndarray, length: int) -> None:
+        digits = [code]
+        for _ in range(length // STEP - 1):
+            digits.append(digits[-1][ahead])
+        order = np.lexsort(digits[::-1])
+        self.text, self.place = text[order], place[order]
+        before = np.empty_like(code)
+        before[ahead] = code  # what stands STEP before each rotation
+        self.transform = before[order]
 
 
 def merge(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of all shards (numbered one shard after another) in merged order, and the block of each."""
     sizes = [len(s.place) for s in shards]
-    n, words = sum(sizes), np.concatenate([s.transform for s in shards])
+    n, codes = sum(sizes), np.concatenate([s.transform for s in shards])
     source = np.repeat(np.arange(len(shards), dtype=np.uint8), sizes)  # the interleave
     block = np.zeros(n, np.int32)
     rows, numbers = np.empty(n, np.int32), np.arange(n, dtype=np.int32)
-    steps = [STEP] * (length // STEP) + ([length % STEP] if length % STEP else [])
-    codes, low, high = _radix(words)
-    for step in steps:
-        if step != STEP:  # the last few symbols alone
-            codes, low, high = _radix(words & np.uint64((1 << 8 * step) - 1))
+    for _ in range(length // STEP):
         rows[np.argsort(source, kind="stable")] = numbers  # each shard's rows stay in its order
-        order = np.argsort(low[rows], kind="stable")
-        if high is not None:
-            order = order[np.argsort(high[rows[order]], kind="stable")]
-        symbol, old = codes[rows[order]], block[order]
+        symbol = codes[rows]
+        order = np.argsort(symbol, kind="stable")
+        symbol, old = symbol[order], block[order]
         block = np.empty(n, np.int32)
         block[0] = 0
         np.cumsum((symbol[1:] != symbol[:-1]) | (old[1:] != old[:-1]), out=block[1:])
@@ -182,22 +191,19 @@ def merge(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarray]:
     return rows, block
 
 
-def _radix(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    """Dense numbers of symbols, in their order, and their 16-bit digits (numpy sorts these by radix)."""
-    codes = _dense(words).astype(np.int32)
-    return codes, (codes & 0xFFFF).astype(np.uint16), (codes >> 16).astype(np.uint16) if len(codes) and codes.max() > 0xFFFF else None
-
-
 def repeated_windows(texts: list[bytes], order: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """(text number, place) of every window of ``texts`` that also is in a text of lower ``order`` or earlier in the same.
 
     ``order`` ranks window starts: that of window p of text i is (order[i, 0], order[i, 1] + p).
     """
+    text, place, code, ahead = symbols(texts)
+    if len(code) <= 1 << 16:
+        code = code.astype(np.uint16)  # numpy sorts these by radix
     each = -(-len(texts) // SHARDS)
-    parts = [texts[i : i + each] for i in range(0, len(texts), each)]
-    shards = [Shard(p, length) for p in parts]
+    cuts = np.searchsorted(text, [*range(0, len(texts), each), len(texts)])
+    shards = [Shard(text[i:j], place[i:j], code[i:j], ahead[i:j] - i, length) for i, j in zip(cuts[:-1], cuts[1:])]
     rows, block = merge(shards, length)
-    text = np.concatenate([s.text + i * each for i, s in enumerate(shards)])[rows]
+    text = np.concatenate([s.text for s in shards])[rows]
     place = np.concatenate([s.place for s in shards])[rows]
     inside = place + length <= np.array([len(t) for t in texts])[text]
     text, place, block = text[inside], place[inside], block[inside]
@@ -334,8 +340,8 @@ def _cut_contexts(length: int):
     return over
 
 
-def may_share(hashes: list[int], contexts: list[bytes], places: list[int], length: int = LENGTH) -> np.ndarray:
-    """False for contexts that can't share a window with another one of the same anchor.
+def shared_parts(hashes: list[int], contexts: list[bytes], places: list[int], length: int = LENGTH) -> list[tuple[int, int]]:
+    """(start, end) of the part of each context that holds all windows that another one of the same anchor may have; (0, 0) if none.
 
     A window has between 0 and length - ANCHOR bytes before the anchor. In each of SPLITS ranges of that
     number, all windows hold a common part around the anchor, so two contexts that share a window share
@@ -343,13 +349,16 @@ def may_share(hashes: list[int], contexts: list[bytes], places: list[int], lengt
     """
     side = length - ANCHOR
     step = -(-(side + 1) // SPLITS)
-    shared = np.zeros(len(contexts), bool)
+    least, most = [side + 1] * len(contexts), [-1] * len(contexts)
     for before in range(0, side + 1, step):
-        after = side - min(before + step - 1, side)
-        parts = [(h, c[p - before : p + ANCHOR + after]) if p >= before and p + ANCHOR + after <= len(c) else None for h, c, p in zip(hashes, contexts, places)]
+        last = min(before + step - 1, side)
+        after = ANCHOR + side - last
+        parts = [(h, c[p - before : p + after]) if p >= before and p + after <= len(c) else None for h, c, p in zip(hashes, contexts, places)]
         times = Counter(parts)
-        shared |= np.fromiter((x is not None and times[x] > 1 for x in parts), bool, len(parts))
-    return shared
+        for i, part in enumerate(parts):
+            if part is not None and times[part] > 1:
+                least[i], most[i] = min(least[i], before), last
+    return [(max(0, p - m), min(len(c), p + length - n)) if m >= 0 else (0, 0) for c, p, n, m in zip(contexts, places, least, most)]
 
 
 def _resolve(length: int):
@@ -357,15 +366,21 @@ def _resolve(length: int):
 
     def solve(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(held)
-        shared = may_share(*(table.column(c).to_pylist() for c in ("hash", "context", "anchor")), length)
-        table = table.filter(pa.array(shared))
+        contexts = table.column("context").to_pylist()
+        parts = shared_parts(table.column("hash").to_pylist(), contexts, table.column("anchor").to_pylist(), length)
+        # A part may be shorter than a window where a context ends early.
+        kept = [i for i, (a, b) in enumerate(parts) if b - a >= length]
+        contexts = [contexts[i][parts[i][0] : parts[i][1]] for i in kept]
+        skipped = np.array([parts[i][0] for i in kept], np.int64)
+        table = table.take(pa.array(kept, pa.int64()))
+        if not table.num_rows:
+            return pa.RecordBatch.from_arrays([pa.array([], k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.int32())], names=["doc_id", "version", "start", "end"])
         doc, version, start = (table.column(c).to_numpy() for c in ("doc_id", "version", "start"))
+        start = start + skipped
         at = np.lexsort((version, doc))
         number = np.empty(len(at), np.int64)
         number[at] = np.cumsum(np.r_[False, (doc[at][1:] != doc[at][:-1]) | (version[at][1:] != version[at][:-1])])
-        if not table.num_rows:
-            return pa.RecordBatch.from_arrays([pa.array([], k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.int32())], names=["doc_id", "version", "start", "end"])
-        text, place = repeated_windows(table.column("context").to_pylist(), np.stack([number, start.astype(np.int64)], 1), length)
+        text, place = repeated_windows(contexts, np.stack([number, start], 1), length)
         which, begin, end = _intervals(text, place, length)
         columns = [pa.array(doc[which]), pa.array(version[which]), pa.array((start[which] + begin).astype(np.int32)), pa.array((start[which] + end).astype(np.int32))]
         return pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "start", "end"])
@@ -376,23 +391,23 @@ def _resolve(length: int):
             gone = pc.is_null(b.column("context"))
             done = b.filter(gone)
             yield pa.RecordBatch.from_arrays([*(done.column(c) for c in ("doc_id", "version", "start")), pc.add(done.column("start"), done.column("size"))], names=["doc_id", "version", "start", "end"])
-            b = b.filter(pc.invert(gone))
-            if not b.num_rows:
-                continue
-            held.append(b)
-            n += b.column("context").nbytes
-            if n < BATCH_BYTES:
-                continue
-            h = b.column("hash").to_numpy()
-            cut = int(np.flatnonzero(h != h[-1])[-1] + 1) if h[0] != h[-1] else 0
-            if not cut and len(held) > 1 and held[-2].column("hash")[-1].as_py() != h[0]:
-                yield solve(held[:-1])
-            elif cut:
-                yield solve([*held[:-1], b.slice(0, cut)])
-            else:
-                continue
-            held = [b.slice(cut)]
-            n = held[0].column("context").nbytes
+            whole = b.filter(pc.invert(gone))
+            for i in range(0, whole.num_rows, BATCH_ROWS):
+                b = whole.slice(i, BATCH_ROWS)
+                held.append(b)
+                n += b.column("context").nbytes
+                if n < BATCH_BYTES:
+                    continue
+                h = b.column("hash").to_numpy()
+                cut = int(np.flatnonzero(h != h[-1])[-1] + 1) if h[0] != h[-1] else 0
+                if not cut and len(held) > 1 and held[-2].column("hash")[-1].as_py() != h[0]:
+                    yield solve(held[:-1])
+                elif cut:
+                    yield solve([*held[:-1], b.slice(0, cut)])
+                else:
+                    continue
+                held = [b.slice(cut)]
+                n = held[0].column("context").nbytes
         if held:
             yield solve(held)
 
