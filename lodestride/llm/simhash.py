@@ -38,34 +38,49 @@ SEED = 42
 SAMPLE = 32_768
 PARTITIONS = 3
 MAX_BUCKET = 50_000
+LANES = 8
+REACH = 86  # of LANES x 64 bits: one deviation above what a similarity of 0.8 gives
 
 
 # Fingerprints -------------------------------------------------------------------------------
 
 
-def fingerprint(text: str, words_per_shingle: int = 3) -> int:
-    """64-bit vote of the shingles' XXH64 (seed 42); a bit needs over half of all shingles."""
+def lane_fingerprints(text: str, words_per_shingle: int = 3, lanes: int = 1) -> np.ndarray:
+    """64-bit votes of the shingles' XXH64 (seed 42), and in further lanes of remixed hashes; a bit needs over half of all shingles."""
     words = text.encode().lower().split()  # bytes: lower-cases A-Z alone, splits at \x20 and \x09-\x0D
     if not words:
-        return 0
+        return np.zeros(lanes, np.uint64)
     n = words_per_shingle
     shingles = map(b" ".join, zip(*(words[i:] for i in range(n)))) if len(words) > n else [b" ".join(words)]
     hashes = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], np.dtype("<u8"))
-    votes = np.zeros(64, np.int64)
+    votes = np.zeros((lanes, 64), np.int64)
     for i in range(0, len(hashes), 65_536):  # bounds the unpacked bits of very long texts
-        votes += np.unpackbits(hashes[i : i + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<u8")[0])
+        h = hashes[i : i + 65_536]
+        for lane in range(lanes):
+            if lane:
+                h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+                h ^= h >> np.uint64(32)
+            bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            for j in range(0, len(bits), 255):  # sums of bytes
+                votes[lane] += bits[j : j + 255].sum(0, dtype=np.uint8)
+    return np.packbits(2 * votes > len(hashes), axis=1, bitorder="little").view("<u8")[:, 0]
+
 
+def fingerprint(text: str, words_per_shingle: int = 3) -> int:
+    return int(lane_fingerprints(text, words_per_shingle)[0])
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as the signed long with its 64 bits."""
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3, lanes: int = 1) -> DataFrame:
+    """(doc_id, fp, wide): the fingerprint as the signed long with its 64 bits, and those of all lanes as bytes (null for one lane)."""
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        found = np.array([fingerprint(t, words_per_shingle) for t in strings(b.column("text"))], np.uint64)
-        return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+        found = [lane_fingerprints(t, words_per_shingle, lanes) for t in strings(b.column("text"))]
+        first = np.array([f[0] for f in found], np.uint64).view(np.int64)
+        wide = pa.array([f.tobytes() if lanes > 1 else None for f in found], pa.binary())
+        return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(first), wide], names=["doc_id", "fp", "wide"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return map_batches(rows, batch, "doc_id long, fp long")
+    return map_batches(rows, batch, "doc_id long, fp long, wide binary")
 
 
 # Planning -----------------------------------------------------------------------------------
@@ -183,13 +198,39 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits, row by row, of fingerprints or of rows of lanes."""
+    bits = np.bitwise_count(a ^ b)
+    return bits if bits.ndim == 1 else bits.sum(-1, dtype=np.int32)
+
+
+def _spread(fps: np.ndarray, radius: int) -> np.ndarray:
+    """As link_bucket, by spreading from one row after another to rows not reached yet: a tight group takes few steps."""
+    root, left = np.arange(len(fps)), np.arange(len(fps))
+    while len(left):
+        first, todo, left = left[0], [left[:1]], left[1:]
+        while todo and len(left):
+            rows = todo.pop()
+            for row in rows:
+                near = _distance(fps[left], fps[row]) <= radius
+                if near.any():
+                    todo.append(left[near])
+                    root[left[near]] = first
+                    left = left[~near]
+                if not len(left):
+                    break
+    return root
+
+
 def link_bucket(fps: np.ndarray, radius: int) -> np.ndarray:
     """Component (as the row number of its first member) of the graph of pairs within ``radius``."""
     n = len(fps)
-    if n <= 64 or radius != 2:
+    if n > 64 and (radius != 2 or fps.ndim > 1):
+        return _spread(fps, radius)
+    if n <= 64:
         left, right = [], []
         for k in range(1, n):
-            near = np.flatnonzero(np.bitwise_count(fps[k:] ^ fps[:-k]) <= radius)
+            near = np.flatnonzero(_distance(fps[k:], fps[:-k]) <= radius)
             left.append(near)
             right.append(near + k)
         return _roots(n, np.concatenate(left), np.concatenate(right)) if left else np.arange(n)
@@ -201,7 +242,15 @@ def link_bucket(fps: np.ndarray, radius: int) -> np.ndarray:
 
 
 def _link_sorted(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Edges (a, b) between class ids from rows sorted by bucket (part, value)."""
+    """Edges (a, b) between class ids from rows sorted by bucket (part, value).
+
+    The distance is that of ``fp``, a long or the bytes of all lanes.
+    """
+
+    def bits(column: pa.Array) -> np.ndarray:
+        if not pa.types.is_binary(column.type):
+            return column.to_numpy(zero_copy_only=False).view(np.uint64)
+        return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(len(column), -1)
 
     def groups(part: np.ndarray, value: np.ndarray, fp: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
         starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (value[1:] != value[:-1])])
@@ -210,7 +259,8 @@ def _link_sorted(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.
         small = np.repeat(sizes <= 64, sizes)
         number = np.repeat(np.arange(len(starts)), sizes)
         for k in range(1, min(64, int(sizes.max()))):
-            near = np.flatnonzero((number[k:] == number[:-k]) & small[k:] & (np.bitwise_count(fp[k:] ^ fp[:-k]) <= radius))
+            near = np.flatnonzero((number[k:] == number[:-k]) & small[k:])
+            near = near[_distance(fp[near + k], fp[near]) <= radius]
             a.append(near)
             b.append(near + k)
         # Of the pairs, a spanning set of each group goes on.
@@ -236,8 +286,8 @@ def _link_sorted(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = tuple(batch.column(n).to_numpy(zero_copy_only=False) for n in ("part", "value", "fp", "node"))
-        columns = (columns[0], columns[1], columns[2].view(np.uint64), columns[3])
+        part, value, node = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("part", "value", "node"))
+        columns = (part, value, bits(batch.column("fp")), node)
         last = (columns[0][-1], columns[1][-1])
         if held and (held[0][0][0], held[0][1][0]) == last:
             held.append(columns)
@@ -252,7 +302,7 @@ def _link_sorted(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.
 
 
 def _entries(rows: DataFrame, plan: Plan, index_only: bool) -> DataFrame:
-    """(part, i, value, fp, node) rows of every index entry and probe; ``part`` is of the bucket above and partition i."""
+    """(part, i, value, fp, node, wide) rows of every index entry and probe; ``part`` is of the bucket above and partition i."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,9 +310,10 @@ def _entries(rows: DataFrame, plan: Plan, index_only: bool) -> DataFrame:
             for i, at, value in plan.probes(fp.view(np.uint64), index_only):
                 part = bucket[at] * np.int64(31) + np.int64(i)
                 columns = [part, np.full(len(at), i, np.int32), value.view(np.int64), fp[at], node[at]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "i", "value", "fp", "node"])
+                wide = batch.column("wide").take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), wide], names=["part", "i", "value", "fp", "node", "wide"])
 
-    return rows.mapInArrow(over, "part long, i int, value long, fp long, node long")
+    return rows.mapInArrow(over, "part long, i int, value long, fp long, node long, wide binary")
 
 
 def _sample(rows: DataFrame, n: int) -> np.ndarray:
@@ -270,11 +321,13 @@ def _sample(rows: DataFrame, n: int) -> np.ndarray:
     return picked["fp"].to_numpy(np.int64).view(np.uint64)
 
 
-def links(classes: DataFrame, radius: int = 2, m: int = PARTITIONS, sample: int = SAMPLE, max_bucket: int = MAX_BUCKET, index_only: bool = False) -> DataFrame:
+def links(classes: DataFrame, radius: int = 2, m: int = PARTITIONS, sample: int = SAMPLE, max_bucket: int = MAX_BUCKET, index_only: bool = False, reach: int | None = None) -> DataFrame:
     """Edges (a, b) that connect all (fp, node) rows within ``radius`` bits of each other.
 
-    ``index_only``: only the pairs that agree in a whole partition.
+    ``index_only``: only the pairs that agree in a whole partition. With ``reach``, classes have columns
+    lane and wide too: candidates are found in each lane, and linked if all lanes differ in ``reach`` bits or fewer.
     """
+    compared = F.col("fp" if reach is None else "wide").alias("fp")
 
     def level(rows: DataFrame, bits: list[int]) -> DataFrame:
         plan = Plan(_sample(rows, sample), rows.count(), bits, m, radius)
@@ -287,18 +340,49 @@ def links(classes: DataFrame, radius: int = 2, m: int = PARTITIONS, sample: int
             parts = [r.i for r in large.select("i").distinct().collect()]  # at most m
             members = entries.join(large.drop("n", "i"), ["part", "value"])
             for i in parts:
-                inside = members.where(F.col("i") == i).select(F.xxhash64("part", "value").alias("bucket"), "fp", "node").distinct()
+                inside = members.where(F.col("i") == i).select(F.xxhash64("part", "value").alias("bucket"), "fp", "node", "wide").distinct()
                 # Members agree (nearly) on the bits of partition i; the others split them.
                 deeper.append(level(checkpointed(inside), [b for b in bits if b not in plan.parts[i]]))
             if parts:
                 entries = entries.join(large.select("part", "value"), ["part", "value"], "left_anti")
-        sorted_entries = entries.select("part", "value", "fp", "node").repartition("part", "value").sortWithinPartitions("part", "value")
-        found = sorted_entries.mapInArrow(lambda batches: _link_sorted(batches, radius), "a long, b long")
+        sorted_entries = entries.select("part", "value", compared, "node").repartition("part", "value").sortWithinPartitions("part", "value", "node")
+        found = sorted_entries.mapInArrow(lambda batches: _link_sorted(batches, radius if reach is None else reach), "a long, b long")
         for more in deeper:
             found = found.union(more)
         return found
 
-    return level(classes.withColumn("bucket", F.lit(0).cast("long")), list(range(64)))
+    if reach is None:
+        classes = classes.withColumn("lane", F.lit(0)).withColumn("wide", F.lit(None).cast("binary"))
+    return level(classes.select(F.col("lane").cast("long").alias("bucket"), "fp", "node", "wide"), list(range(64)))
+
+
+def _by_lane(classes: DataFrame, first: int, last: int) -> DataFrame:
+    """(lane, fp, node, wide) of lanes ``first`` to ``last`` - 1."""
+
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        rows = np.frombuffer(b"".join(b.column("wide").to_pylist()), "<i8").reshape(b.num_rows, -1)[:, first:last]
+        at = pa.array(np.repeat(np.arange(b.num_rows), last - first))
+        lane = np.tile(np.arange(first, last), b.num_rows)
+        return pa.RecordBatch.from_arrays([pa.array(lane), pa.array(rows.ravel()), b.column("node").take(at), b.column("wide").take(at)], names=["lane", "fp", "node", "wide"])
+
+    return map_batches(classes.where("node is not null").select("node", "wide"), batch, "lane long, fp long, node long, wide binary")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 5, lanes: int = LANES, reach: int = REACH, m: int = 4) -> DataFrame:
+    """As near_duplicates, for a wide radius: links at ``reach`` or fewer differing bits of ``lanes`` fingerprints together.
+
+    Of 8 lanes (512 bits), texts with a similarity of 0.8 differ in about 78 bits, too many for a pigeonhole
+    index that must lose no pair. Instead each lane has its own index with radius m - 1 (a guarantee for pairs that
+    close in any lane), whose 4 x 8 partitions of 16 bits find a pair with similarity 0.8 with a probability of 0.9, one of 0.9
+    with 0.998. All candidates are verified. Null, empty and repeated rows count as in near_duplicates.
+    """
+    prints = checkpointed(fingerprints(docs, id_col, text_col, words_per_shingle, lanes))
+    classes = checkpointed(prints.groupBy("wide").agg(F.min("doc_id").alias("node")))
+    for first, last in ((0, 1), (1, lanes)):  # what the first lane joins gives few edges in the others
+        joined = components(links(_by_lane(classes, first, last), m - 1, m, reach=reach))
+        classes = checkpointed(classes.join(joined, "node", "left").select("wide", F.coalesce("component", "node").alias("node")))
+    named = classes.withColumnRenamed("node", "component_id")
+    return prints.join(named, "wide").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3, radius: int = 2, **options) -> DataFrame:
@@ -320,11 +404,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component (rows without an id stay).
+    """The rows of ``docs`` whose id is the smallest of its group of near copies (rows without an id stay).
 
-    ``options`` are those of near_duplicates. A wider radius wants more partitions, for probes grow
-    with the thresholds: radius 7 with m = 4 probes 68 values of 16 bits for each fingerprint.
+    ``options`` are those of near_copies.
     """
-    kept = near_duplicates(docs, id_col, text_col, **options).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = near_copies(docs, id_col, text_col, **options).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
     stays = docs.join(kept, docs[id_col] == F.col("__kept"), "left_semi")
     return stays.unionByName(docs.where(F.col(id_col).isNull()))

@@ -93,10 +93,39 @@ def test_documents(spark):
     assert {i: c for i, c in label.items() if i is not None} == want
     assert want[7] == want[8] == 2 and want[9] == want[5]
     assert S.near_duplicates(docs.limit(0)).count() == 0
-    stay = S.one_of_each(docs)
+    stay = S.one_of_each(docs, words_per_shingle=3)
     assert stay.columns == docs.columns and {r.doc_id for r in stay.collect()} == {None, *want.values()}
 
 
+def test_near_copies_of_similarity_over_eight_tenths_meet(spark):
+    rng = random.Random(5)
+    rows, pairs = [], []
+    for i in range(0, 300, 2):
+        words = [f"w{rng.randrange(3000)}" for _ in range(300)]
+        other = list(words)
+        for _ in range(4):  # each changes up to five of 296 shingles: similarity of 0.87 or more
+            other[rng.randrange(300)] = "new"
+        rows += [(i, " ".join(words)), (i + 1, " ".join(other))]
+        pairs.append((i, i + 1))
+    hub = [f"h{j}" for j in range(300)]
+    for i in range(1000, 1150):
+        rows.append((i, " ".join([*hub[: i - 900], f"x{i}", *hub[i - 899 :]])))
+    got = {r.doc_id: r.component_id for r in S.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert sum(got[b] == a for a, b in pairs) >= 0.95 * len(pairs)
+    assert all(got[a] == a for a, _ in pairs)
+    assert {got[i] for i in range(1000, 1150)} == {1000}
+
+
+def test_spreading_gives_all_components():
+    rng = np.random.default_rng(4)
+    for radius in (3, 28):
+        fps = rng.integers(0, 2**63, (12, 1), np.uint64) ^ (np.uint64(1) << rng.integers(0, 64, (12, 10), np.uint64))
+        fps = fps.reshape(-1, 1)
+        apart = np.bitwise_count(fps ^ fps.T) > radius
+        root = S.link_bucket(fps, radius)
+        assert (root == S._roots(len(fps), *np.nonzero(~apart))).all()
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(0, 60)]
     star = [(100, i) for i in range(101, 140)]
