@@ -4,7 +4,7 @@ import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
-from lodestride.llm.simhash import fingerprint  # noqa: E402
+from lodestride.llm.simhash import LANES, REACH, lane_fingerprints  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -33,12 +33,14 @@ def test_each_stage_on_its_input(stages):
     for r in language:
         best[r["text"]] = max(best[r["text"]], r["doc_id"])
     assert sorted(ids(exact)) == sorted(best.values()) and len(exact) == len(best)
-    prints = {r["doc_id"]: fingerprint(r["text"], corpus_pipeline.NEAR_WORDS) for r in exact}
+    # Brute force over all pairs, by the distance in all lanes; the stage's candidates may miss some links, but make none.
+    prints = {r["doc_id"]: int.from_bytes(lane_fingerprints(r["text"], corpus_pipeline.NEAR_WORDS, LANES).tobytes(), "little") for r in exact}
     label = {i: i for i in prints}
     for _ in prints:
         for i in prints:
-            label[i] = min(label[j] for j in prints if (prints[i] ^ prints[j]).bit_count() <= corpus_pipeline.NEAR_RADIUS)
-    assert ids(near) == {i for i in label if label[i] == i} and 5005 not in ids(near)
+            label[i] = min(label[j] for j in prints if (prints[i] ^ prints[j]).bit_count() <= REACH)
+    gone, linked = ids(exact) - ids(near), {i for i in label if label[i] != i}
+    assert gone <= linked and len(gone) >= 0.9 * len(linked) and 5005 in gone
     key = lambda r: tuple(map(str, r.values()))
     assert Counter(map(key, mixed)) == Counter(map(key, near))
     assert {r["doc_id"] for r in packed} == ids(mixed)
