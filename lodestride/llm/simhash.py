@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestride.llm.common import checkpointed, map_batches, strings
@@ -39,20 +39,28 @@ SAMPLE = 32_768
 PARTITIONS = 3
 MAX_BUCKET = 50_000
 LANES = 8
-REACH = 86  # of LANES x 64 bits: one deviation above what a similarity of 0.8 gives
+REACH = 102  # of LANES x 64 bits: three deviations above what a similarity of 0.8 gives
+SIMILARITY = 0.8  # Jaccard, of the distinct shingle hashes
+BLOCK_BYTES = 32 << 20  # shingle hashes compared in one task
 
 
 # Fingerprints -------------------------------------------------------------------------------
 
 
-def lane_fingerprints(text: str, words_per_shingle: int = 3, lanes: int = 1) -> np.ndarray:
-    """64-bit votes of the shingles' XXH64 (seed 42), and in further lanes of remixed hashes; a bit needs over half of all shingles."""
+def shingle_hashes(text: str, words_per_shingle: int = 3) -> np.ndarray:
+    """XXH64 (seed 42) of each shingle, in order; none for a text without words."""
     words = text.encode().lower().split()  # bytes: lower-cases A-Z alone, splits at \x20 and \x09-\x0D
-    if not words:
-        return np.zeros(lanes, np.uint64)
     n = words_per_shingle
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(n)))) if len(words) > n else [b" ".join(words)]
-    hashes = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], np.dtype("<u8"))
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(n)))) if len(words) > n else [b" ".join(words)] if words else []
+    return np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], np.dtype("<u8"))
+
+
+def lane_fingerprints(text: str, words_per_shingle: int = 3, lanes: int = 1) -> np.ndarray:
+    """64-bit votes of the shingles' hashes, and in further lanes of remixed hashes; a bit needs over half of all shingles."""
+    return _votes(shingle_hashes(text, words_per_shingle), lanes)
+
+
+def _votes(hashes: np.ndarray, lanes: int) -> np.ndarray:
     votes = np.zeros((lanes, 64), np.int64)
     for i in range(0, len(hashes), 65_536):  # bounds the unpacked bits of very long texts
         h = hashes[i : i + 65_536]
@@ -70,6 +78,27 @@ def fingerprint(text: str, words_per_shingle: int = 3) -> int:
     return int(lane_fingerprints(text, words_per_shingle)[0])
 
 
+def _set_key(hashes: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(hashes.tobytes())
+
+
+def _set_prints(docs: DataFrame, id_col: str, text_col: str, words_per_shingle: int, lanes: int) -> DataFrame:
+    """(doc_id, fp, wide, key, size) of the distinct shingle hashes: votes of the first and of all lanes, 128-bit hash of the set, its size."""
+
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        found = []
+        for t in strings(b.column("text")):
+            hashes = np.unique(shingle_hashes(t, words_per_shingle))
+            lane = _votes(hashes, lanes)
+            found.append((lane[:1].view(np.int64)[0], lane.tobytes(), _set_key(hashes), len(hashes)))
+        fp, wide, key, size = zip(*found) if found else ((), (), (), ())
+        columns = [b.column("doc_id"), pa.array(fp, pa.int64()), pa.array(wide, pa.binary()), pa.array(key, pa.binary()), pa.array(size, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", "wide", "key", "size"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return map_batches(rows, batch, "doc_id long, fp long, wide binary, key binary, size long")
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3, lanes: int = 1) -> DataFrame:
     """(doc_id, fp, wide): the fingerprint as the signed long with its 64 bits, and those of all lanes as bytes (null for one lane)."""
 
@@ -368,21 +397,101 @@ def _by_lane(classes: DataFrame, first: int, last: int) -> DataFrame:
     return map_batches(classes.where("node is not null").select("node", "wide"), batch, "lane long, fp long, node long, wide binary")
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 5, lanes: int = LANES, reach: int = REACH, m: int = 4) -> DataFrame:
-    """As near_duplicates, for a wide radius: links at ``reach`` or fewer differing bits of ``lanes`` fingerprints together.
+def link_sets(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Component (as the row number of its first member) of the graph of sets with a Jaccard similarity of ``similarity`` or more.
+
+    Overlaps come from lists of the sets of each element; one set after another spreads to those not reached yet.
+    """
+    sizes = np.array([len(x) for x in sets])
+    elements, at = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)[np.argsort(at, kind="stable")]
+    ends = np.cumsum(np.bincount(at, minlength=len(elements)))
+    starts, rows = np.r_[0, ends[:-1]], np.split(at, np.cumsum(sizes)[:-1])
+    root, left = np.arange(len(sets)), np.ones(len(sets), bool)
+    for first in range(len(sets)):
+        if not left[first]:
+            continue
+        left[first], todo = False, [first]
+        while todo and left.any():
+            row = todo.pop()
+            length = ends[rows[row]] - starts[rows[row]]
+            places = np.repeat(starts[rows[row]] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+            common = np.bincount(owner[places], minlength=len(sets))
+            near = np.flatnonzero(left & (common >= similarity * (sizes + sizes[row] - common) - 1e-9))
+            root[near], left[near] = first, False
+            todo.extend(near)
+    return root
+
+
+def _similar(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str, words_per_shingle: int, similarity: float, block_bytes: int) -> DataFrame:
+    """Edges (a, b) that connect all members (key, node, group, size) of a group whose sets are similar, by their true Jaccard.
+
+    A group of more than ``block_bytes`` of hashes is dealt into blocks, and each two blocks are compared in a task.
+    """
+
+    def hashed(b: pa.RecordBatch) -> pa.RecordBatch:
+        found = [np.unique(shingle_hashes(t, words_per_shingle)) for t in strings(b.column("text"))]
+        same = [i for i, (x, key) in enumerate(zip(found, b.column("key").to_pylist())) if _set_key(x) == key]
+        hashes = pa.array([found[i].tobytes() for i in same], pa.binary())
+        picked = [b.column(n).take(pa.array(same, pa.int64())) for n in ("group", "blocks", "node")]
+        return pa.RecordBatch.from_arrays([*picked, hashes], names=["group", "blocks", "node", "hashes"])
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def edges(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+            node, root = np.array(nodes), link_sets(sets, similarity)
+            moved = np.flatnonzero(node[root] != node)
+            return pa.RecordBatch.from_arrays([pa.array(node[root[moved]]), pa.array(node[moved])], names=["a", "b"])
+
+        now, nodes, sets = None, [], []
+        for batch in batches:
+            for *group, node, hashes in zip(*(batch.column(n).to_pylist() for n in ("group", "low", "high", "node", "hashes"))):
+                if group != now:
+                    if len(nodes) > 1:
+                        yield edges(nodes, sets)
+                    now, nodes, sets = group, [], []
+                nodes.append(node)
+                sets.append(np.frombuffer(hashes, "<u8"))
+        if len(nodes) > 1:
+            yield edges(nodes, sets)
+
+    sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n"), (F.sum("size") * 8).alias("bytes")).where("n > 1")
+    blocks = F.when(F.col("bytes") > block_bytes, F.ceil(2 * F.col("bytes") / block_bytes)).otherwise(1).cast("int").alias("blocks")
+    members = groups.join(sizes.select("group", blocks), "group").select("key", "node", "group", "blocks")
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(members, "node")
+    rows = map_batches(texts, hashed, "group long, blocks int, node long, hashes binary")
+    dealt = _block_pairs(rows, F.col("blocks"))
+    ordered = dealt.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high", "node")
+    return ordered.select("group", "low", "high", "node", "hashes").mapInArrow(linked, "a long, b long")
+
+
+def _block_pairs(rows: DataFrame, blocks: Column) -> DataFrame:
+    """Each row once for every pair of blocks (low, high) with its own (by its node); (0, 0) where there is one block."""
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    other = F.when(blocks > 1, F.array_except(F.sequence(F.lit(0), blocks - 1), F.array(F.col("__own")))).otherwise(F.array(F.lit(0)))
+    pairs = rows.withColumn("__own", own).withColumn("__other", F.explode(other))
+    return pairs.withColumn("low", F.least("__own", "__other")).withColumn("high", F.greatest("__own", "__other")).drop("__own", "__other")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 5, lanes: int = LANES, reach: int = REACH, m: int = 5, similarity: float = SIMILARITY, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """As near_duplicates, for a wide radius: links at a Jaccard similarity of at least ``similarity`` of the distinct shingle hashes.
 
     Of 8 lanes (512 bits), texts with a similarity of 0.8 differ in about 78 bits, too many for a pigeonhole
     index that must lose no pair. Instead each lane has its own index with radius m - 1 (a guarantee for pairs that
-    close in any lane), whose 4 x 8 partitions of 16 bits find a pair with similarity 0.8 with a probability of 0.9, one of 0.9
-    with 0.998. All candidates are verified. Null, empty and repeated rows count as in near_duplicates.
+    close in any lane), whose 5 x 8 partitions of 12 or 13 bits find a pair with similarity 0.8 with a probability of
+    0.995; ``reach`` lets 0.998 of these pass. These candidates form groups; within a group all members with the true
+    similarity are linked, candidates or not. Null, empty and repeated rows count as in near_duplicates.
     """
-    prints = checkpointed(fingerprints(docs, id_col, text_col, words_per_shingle, lanes))
-    classes = checkpointed(prints.groupBy("wide").agg(F.min("doc_id").alias("node")))
+    prints = checkpointed(_set_prints(docs, id_col, text_col, words_per_shingle, lanes))
+    sets = checkpointed(prints.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("wide").alias("wide"), F.first("size").alias("size")))
+    classes = sets.groupBy("wide").agg(F.min("node").alias("node"))
+    classes = checkpointed(classes)
     for first, last in ((0, 1), (1, lanes)):  # what the first lane joins gives few edges in the others
-        joined = components(links(_by_lane(classes, first, last), m - 1, m, reach=reach))
+        joined = components(links(_by_lane(classes, first, last), m - 1, m, index_only=True, reach=reach))
         classes = checkpointed(classes.join(joined, "node", "left").select("wide", F.coalesce("component", "node").alias("node")))
-    named = classes.withColumnRenamed("node", "component_id")
-    return prints.join(named, "wide").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    groups = sets.where("node is not null").select("key", "node", "size", "wide").join(classes.select("wide", F.col("node").alias("group")), "wide")
+    joined = components(_similar(docs, checkpointed(groups.drop("wide")), id_col, text_col, words_per_shingle, similarity, block_bytes))
+    named = sets.join(joined, "node", "left").select("key", F.coalesce("component", "node").alias("component_id"))
+    return prints.join(named, "key").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3, radius: int = 2, **options) -> DataFrame:

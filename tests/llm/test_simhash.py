@@ -132,3 +132,50 @@ def test_components(spark):
     edges = spark.createDataFrame([*path, *star, (7, 7), (3, 2), (None, 5)], "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}
     assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 140)}
+
+
+def jaccard(a, b, n=5):
+    a, b = ({tuple(t.split()[i : i + n]) for i in range(len(t.split()) - n + 1)} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def edited(rng, size, edits):
+    """A text and a copy with ``edits`` words changed."""
+    words = [f"w{rng.randrange(5000)}" for _ in range(size)]
+    other = list(words)
+    for at in rng.sample(range(size), edits):
+        other[at] = f"n{rng.randrange(5000)}"
+    return " ".join(words), " ".join(other)
+
+
+def test_near_copies_are_those_of_true_jaccard(spark):
+    rng = random.Random(11)
+    texts = [edited(rng, 200, rng.choice([4, 5, 6])) for _ in range(400)]  # similarity of 0.72 to 0.85
+    rows = [(2 * i + k, t) for i, pair in enumerate(texts) for k, t in enumerate(pair)]
+    got = {r.doc_id: r.component_id for r in S.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    near = {2 * i for i, pair in enumerate(texts) if jaccard(*pair) >= 0.8}
+    linked = {i for i in range(0, 800, 2) if got[i + 1] == i}
+    assert len(near) >= 80 and all(got[i] == i for i in range(0, 800, 2))
+    assert linked <= near and len(linked) >= 0.97 * len(near)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 25, 3000])
+def test_groups_are_linked_by_true_jaccard(spark, block_bytes):
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(5000)}" for _ in range(60)]
+    texts = [" ".join(base)]
+    for _ in range(60):  # a tree of copies, each one word from another
+        words = rng.choice(texts).split()
+        words[rng.randrange(60)] = f"n{rng.randrange(5000)}"
+        texts.append(" ".join(words))
+    label = list(range(len(texts)))
+    near = [[j for j in range(len(texts)) if j == i or jaccard(texts[i], texts[j]) >= 0.85] for i in range(len(texts))]
+    for _ in texts:
+        label = [min(label[j] for j in js) for js in near]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    groups = [(S._set_key(x), i, 0, len(x)) for i, t in enumerate(texts) for x in [np.unique(S.shingle_hashes(t, 5))]]
+    groups = spark.createDataFrame(groups, "key binary, node long, group long, size long")
+    edges = S._similar(docs, groups, "doc_id", "text", 5, 0.85, block_bytes)
+    got = {r.node: r.component for r in components(edges).collect()}
+    assert 1 < len(set(label)) < len(texts)
+    assert [got.get(i, i) for i in range(len(texts))] == label
