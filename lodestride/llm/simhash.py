@@ -11,7 +11,9 @@ all partition values within them. Every candidate pair is verified by its true d
 
 Rows that share a partition value form a bucket. A bucket of up to ``max_bucket`` fingerprints is
 linked in one task; for larger ones the pigeonhole is applied again to the bits outside the
-partition, so the group splits until it is small, and no pair within the radius is lost. Within
+partition, so the group splits until it is small, and no pair within the radius is lost. That guarantee
+doesn't hold for pairs that are compared by all lanes: there a larger bucket is dealt into blocks, and each
+two blocks are compared in a task of about ``max_bucket`` rows, so no pair of the bucket is lost. Within
 a bucket of more than a few members pairs aren't listed: two fingerprints are within two bits just when they share a
 neighbour at one bit, so members meet by sorting their one-bit neighbours.
 Only a spanning set of the links leaves a task.
@@ -368,12 +370,16 @@ def links(classes: DataFrame, radius: int = 2, m: int = PARTITIONS, sample: int
             large = checkpointed(sizes.where(F.col("n") > max_bucket))
             parts = [r.i for r in large.select("i").distinct().collect()]  # at most m
             members = entries.join(large.drop("n", "i"), ["part", "value"])
-            for i in parts:
+            for i in parts if reach is None else []:
                 inside = members.where(F.col("i") == i).select(F.xxhash64("part", "value").alias("bucket"), "fp", "node", "wide").distinct()
                 # Members agree (nearly) on the bits of partition i; the others split them.
                 deeper.append(level(checkpointed(inside), [b for b in bits if b not in plan.parts[i]]))
             if parts:
                 entries = entries.join(large.select("part", "value"), ["part", "value"], "left_anti")
+            if parts and reach is not None:  # other bits of the lane would lose pairs: each two blocks are compared
+                dealt = _block_pairs(members.join(large.drop("i"), ["part", "value"]), F.ceil(2 * F.col("n") / max_bucket).cast("int"), "wide")
+                dealt = dealt.withColumn("part", -1 - F.col("part")).withColumn("value", F.xxhash64("value", "low", "high"))
+                entries = entries.unionByName(dealt.select(entries.columns))
         sorted_entries = entries.select("part", "value", compared, "node").repartition("part", "value").sortWithinPartitions("part", "value", "node")
         found = sorted_entries.mapInArrow(lambda batches: _link_sorted(batches, radius if reach is None else reach), "a long, b long")
         for more in deeper:
@@ -459,14 +465,14 @@ def _similar(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str, wor
     members = groups.join(sizes.select("group", blocks), "group").select("key", "node", "group", "blocks")
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text")).join(members, "node")
     rows = map_batches(texts, hashed, "group long, blocks int, node long, hashes binary")
-    dealt = _block_pairs(rows, F.col("blocks"))
+    dealt = _block_pairs(rows, F.col("blocks"), "node")
     ordered = dealt.repartition("group", "low", "high").sortWithinPartitions("group", "low", "high", "node")
     return ordered.select("group", "low", "high", "node", "hashes").mapInArrow(linked, "a long, b long")
 
 
-def _block_pairs(rows: DataFrame, blocks: Column) -> DataFrame:
-    """Each row once for every pair of blocks (low, high) with its own (by its node); (0, 0) where there is one block."""
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+def _block_pairs(rows: DataFrame, blocks: Column, by: str) -> DataFrame:
+    """Each row once for every pair of blocks (low, high) with its own (by a hash of ``by``); (0, 0) where there is one block."""
+    own = F.pmod(F.xxhash64(by), blocks).cast("int")
     other = F.when(blocks > 1, F.array_except(F.sequence(F.lit(0), blocks - 1), F.array(F.col("__own")))).otherwise(F.array(F.lit(0)))
     pairs = rows.withColumn("__own", own).withColumn("__other", F.explode(other))
     return pairs.withColumn("low", F.least("__own", "__other")).withColumn("high", F.greatest("__own", "__other")).drop("__own", "__other")

@@ -54,3 +54,15 @@ def test_each_stage_on_its_input(stages):
 def test_run(spark, stages):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert got.columns == stages[-1].columns and got.count() >= 150
+
+
+def test_near_stage_gives_the_groups_of_true_jaccard(stages):
+    n = corpus_pipeline.NEAR_WORDS
+    exact, near = ([r.asDict() for r in s.collect()] for s in stages[2:4])
+    sets = {r["doc_id"]: {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} for r in exact for w in [r["text"].lower().split()]}
+    label = {i: i for i in sets}
+    pairs = [(i, j) for i in sets for j in sets if j < i and 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])]
+    for _ in pairs:
+        for i, j in pairs:
+            label[i] = label[j] = min(label[i], label[j])
+    assert len(pairs) >= 3 and {r["doc_id"] for r in near} == set(label.values())

@@ -179,3 +179,16 @@ def test_groups_are_linked_by_true_jaccard(spark, block_bytes):
     got = {r.node: r.component for r in components(edges).collect()}
     assert 1 < len(set(label)) < len(texts)
     assert [got.get(i, i) for i in range(len(texts))] == label
+
+
+def test_large_buckets_of_lanes_lose_nothing(spark):
+    rng = np.random.default_rng(6)
+    wide = rng.integers(0, 2**63, (300, 8), np.uint64)
+    wide[:, 0] = 7  # all in the same buckets of the first lane
+    for i in range(0, 300, 2):  # pairs with 70 to 100 differing bits of the other lanes
+        bits = rng.permutation(448)[: 70 + i % 31]
+        wide[i + 1] = wide[i]
+        np.bitwise_xor.at(wide[i + 1], 1 + bits // 64, np.uint64(1) << (bits % 64).astype(np.uint64))
+    first = spark.createDataFrame([(0, 7, i, bytearray(w.tobytes())) for i, w in enumerate(wide)], "lane long, fp long, node long, wide binary")
+    edges = S.links(first, 4, 5, max_bucket=40, index_only=True, reach=102)
+    assert {(r.a, r.b) for r in edges.collect()} == {(i, i + 1) for i in range(0, 300, 2)}
