@@ -1,12 +1,11 @@
-"""License scan: winnowed template fingerprints pick candidates, banded alignment confirms them.
+"""License scan: counts of template words pick candidates, banded alignment confirms them.
 
-Templates are short license notices. Words are runs of letters and digits, in lower case. Of each
-template's five-word shingles, winnowing keeps the one with the smallest hash in every window of
-WINDOW (all of them in templates too short for that); an inverted index maps them to template and place. All five-word
-runs of a text that consist of template words are looked up in it. A hit gives a diagonal (place
-in the text less place in the template); the template is then aligned to the text in a band
-around it, with one point for an equal word and one off for an edit. A template counts where at
-least ``LEAST_COVERAGE`` of its words match in order; the best of overlapping places is reported.
+Templates are short license notices. Words are runs of letters and digits, in lower case. A match of a
+template lies in a band of diagonals (place in the text less place in the template), so a diagonal is a
+candidate when enough of the template's places have an equal word within the band around it; no match is lost by
+this, whatever words are changed. Only stretches of text with enough words of the template are looked at. The
+template is then aligned to the text in the band, with one point for an equal word and one off for an edit. A
+template counts where at least ``LEAST_COVERAGE`` of its words match in order; the best of overlapping places is reported.
 
 The index holds templates alone, so its size is fixed. Null and empty texts have no match; texts
 may have any length; repeated rows are scanned each for itself; other columns are left alone.
@@ -14,8 +13,9 @@ may have any length; repeated rows are scanned each for itself; other columns ar
 
 from __future__ import annotations
 
+import math
 import re
-import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from lodestride.llm.common import map_batches, strings
 
-SHINGLE = 5
 WINDOW = 4
 LEAST_COVERAGE = 0.8
 WORD = re.compile(r"[^\W_]+")
@@ -65,26 +64,49 @@ class Index:
     templates: tuple[tuple[str, str], ...]
     words: list[list[str]] = field(default_factory=list)
     vocabulary: dict[str, int] = field(default_factory=dict)
-    places: dict[int, list[tuple[int, int]]] = field(default_factory=dict)  # shingle hash -> (template, place)
+    numbers: list[np.ndarray] = field(default_factory=list)
+    members: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), bool))  # template x word number
 
     def __post_init__(self) -> None:
         self.words = [words_of(t) for _, t in self.templates]
         for word in sorted({w for ws in self.words for w in ws}):
             self.vocabulary[word] = len(self.vocabulary) + 1
-        for t, ws in enumerate(self.words):
-            hashes = shingle_hashes(np.array([self.vocabulary[w] for w in ws]))
-            for place in winnow([zlib.crc32(int(h).to_bytes(8, "little")) for h in hashes]):
-                self.places.setdefault(int(hashes[place]), []).append((t, place))
-        self.keys = np.array(sorted(self.places), np.uint64)
-
-
-def shingle_hashes(numbers: np.ndarray) -> np.ndarray:
-    """Hash of every run of SHINGLE word numbers."""
-    n = len(numbers) - SHINGLE + 1
-    h = np.zeros(max(0, n), np.uint64)
-    for i in range(SHINGLE):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + numbers[i : i + len(h)].astype(np.uint64)
-    return h
+        self.numbers = [np.array([self.vocabulary[w] for w in ws], np.int64) for ws in self.words]
+        self.members = np.zeros((len(self.words), len(self.vocabulary) + 1), bool)
+        for t, numbers in enumerate(self.numbers):
+            self.members[t, numbers] = True
+
+    def diagonals(self, t: int, numbers: np.ndarray) -> Iterator[int]:
+        """Diagonals with an equal word on them and enough places of template ``t`` with one in the band around them."""
+        own = self.numbers[t]
+        n, band = len(own), band_of(len(own))
+        need, width = math.ceil(LEAST_COVERAGE * n - 1e-9), n + 2 * band
+        if not n or len(numbers) < need:
+            return
+        known = np.r_[0, np.cumsum(self.members[t][numbers])]
+        if known[-1] < need:
+            return
+        ends = np.minimum(np.arange(len(numbers)) + width, len(numbers))
+        full = np.flatnonzero(known[ends] - known[:-1] >= need)
+        if not len(full):
+            return
+        for run in np.split(full, np.flatnonzero(np.diff(full) > width) + 1):
+            first, last = int(run[0]), min(int(run[-1]) + width, len(numbers))
+            size = last - first + n - 1  # diagonals from first - n + 1
+            count, exact = np.zeros(size, np.int32), np.zeros(size, bool)
+            low, high = np.maximum(np.arange(size) - band, 0), np.minimum(np.arange(size) + band + 1, size)
+            for i, word in enumerate(own):
+                hit = np.zeros(size, bool)
+                hit[n - 1 - i : n - 1 - i + last - first] = numbers[first:last] == word
+                exact |= hit
+                total = np.r_[0, np.cumsum(hit)]
+                count += total[high] > total[low]
+            for d in np.flatnonzero(exact & (count >= need)):
+                yield int(d) + first - n + 1
+
+
+def band_of(n: int) -> int:
+    return max(2, -(-n // 5))
 
 
 @lru_cache(4)
@@ -125,21 +147,11 @@ def find_licenses(text: str, index: Index) -> list[tuple[int, int, int, int]]:
     """(template, start, end, matched words) of every match, in code points."""
     words = words_of(text)
     numbers = np.fromiter((index.vocabulary.get(w, 0) for w in words), np.int64, len(words))
-    if len(numbers) < SHINGLE or not len(index.keys):
-        return []
-    known = np.r_[0, np.cumsum(numbers > 0)]
-    full = np.flatnonzero(known[SHINGLE:] - known[:-SHINGLE] == SHINGLE)
-    if not len(full):
-        return []
-    hashes = shingle_hashes(numbers)[full]
-    hits = np.flatnonzero(np.isin(hashes, index.keys))
-    if not len(hits):
-        return []
-    diagonals = sorted({(t, int(full[h]) - place) for h in hits for t, place in index.places[int(hashes[h])]})
+    diagonals = [(t, at) for t in range(len(index.words)) for at in index.diagonals(t, numbers)]
     found: list[tuple[int, int, int, int]] = []
     for t, at in diagonals:
         template = index.words[t]
-        matched, first, last = align(template, words, at, max(2, -(-len(template) // 5)))
+        matched, first, last = align(template, words, at, band_of(len(template)))
         if matched >= LEAST_COVERAGE * len(template):
             if found and found[-1][0] == t and first < found[-1][2]:
                 if matched > found[-1][3]:

@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 from lodestride.llm import licenses as S
 
@@ -60,3 +61,17 @@ def test_rows(spark):
     got = sorted(((r.doc_id or 0, r.license, r.start, r.end, r.coverage) for r in S.scan_licenses(docs).collect()))
     assert got == [(0, "CC-BY-NC-4.0", 200_000, 200_027, 1.0), (3, "MIT", 2, 32, 1.0), (3, "MIT", 2, 32, 1.0)]
     assert S.scan_licenses(docs.limit(0)).count() == 0
+
+
+def test_every_edit_that_leaves_enough_words_is_found():
+    index, rng = S.index_of(), random.Random(1)
+    for t, template in enumerate(index.words):
+        n = len(template)
+        most = n - -(-4 * n // 5)
+        sets = list(combinations(range(n), most)) if n <= 8 else [rng.sample(range(n), most) for _ in range(20)]
+        for gone in [*sets, range(n)[4::5][:most]]:
+            changed = ["other" if i in gone else w for i, w in enumerate(template)]
+            left = [w for i, w in enumerate(template) if i not in gone]
+            for words in (changed, left):
+                found = S.find_licenses(" ".join(["intro", "text", *words, "and", "more"]), index)
+                assert any(x[0] == t and x[3] >= n - most for x in found), (words, found)
