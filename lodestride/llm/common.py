@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -12,10 +14,13 @@ from pyspark.sql import types as T
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """The session's own folder below ``spark.checkpoint.dir``; only where that is unset (single-machine tests) a temporary one."""
+    """The session's own folder below ``spark.checkpoint.dir``. Only a local master may do without that setting: it gets a temporary one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
 
@@ -36,14 +41,33 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _return_memory() -> None:
+    """What a task has freed goes back to the system: Python workers live on, and those of several stages share a machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: T.StructType | str) -> DataFrame:
     """Applies ``function`` to each Arrow batch; rows stay where Spark put them."""
+    return map_tasks(df, lambda: function, schema)
+
+
+def map_tasks(df: DataFrame, begin: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: T.StructType | str) -> DataFrame:
+    """As map_batches, with a function of its own (and its caches) for each task; they go when the task ends."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = function(batch)
-            if out is not None:
-                yield out
+        function = begin()
+        try:
+            for batch in batches:
+                out = function(batch)
+                if out is not None:
+                    yield out
+        finally:
+            del function
+            _return_memory()
 
     return df.mapInArrow(over, schema)
 
