@@ -9,9 +9,14 @@ followed. A document's language is the one with the largest sum of word marginal
 its share.
 
 The model is fitted by gradient ascent on the likelihood of a bounded sample of labelled
-documents (``SAMPLE_DOCS``; whole texts, every word labelled with its document's language), on
-the driver; it has a fixed size (NO_FEATURE x languages). Prediction reads every whole text in
-tasks.
+documents (``SAMPLE_DOCS``, dealt evenly over the languages; whole texts, every word labelled with its
+document's language), on the driver; it has a fixed size (NO_FEATURE x languages). As each of these is in one
+language, sequences spliced from short spans of documents in several languages are added, so that the
+transitions of code-switched text are learned. Prediction reads every whole text in tasks.
+
+Runs of over WORD_LETTERS letters (text without spaces, such as Chinese or Thai) are cut into pieces of that size, and
+each piece is a word. Sequences of over SEGMENT_WORDS words are cut into chains of that size, whose word marginals are
+summed, so memory doesn't grow with a text. The cache of word emissions belongs to a task.
 
 A text that is null or has no letter is ``und`` with score 0. Without any labelled text all are
 ``und``. Repeated rows are predicted each for itself; other columns are left alone.
@@ -20,17 +25,16 @@ A text that is null or has no letter is ``und`` with score 0. Without any labell
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestride.llm.common import map_batches
-from lodestride.llm.sampling import bounded, held_out
+from lodestride.llm.common import map_tasks
+from lodestride.llm.sampling import held_out
 
 BUCKET_BITS = 16
 SAMPLE_DOCS = 800
@@ -38,15 +42,32 @@ SAMPLE_CHARS = 2_500_000
 LEXICON = 5000
 NO_FEATURE = (1 << BUCKET_BITS) + LEXICON
 ROUNDS = 20
-CHUNK_CHARS = 1_000_000
-CACHE_WORDS = 300_000
+SPLICED = 0.5  # spliced sequences for each document
+WORD_LETTERS = 40
+SEGMENT_WORDS = 20_000
+CHUNK_WORDS = 100_000
+CACHE_WORDS = 100_000
 LETTERS = re.compile(r"[^\W\d_]+")
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
 def words_of(text: str) -> list[str]:
-    """Words at white space; none if the text has no letter."""
-    return text.lower().split() if LETTERS.search(text) else []
+    """Words at white space, long runs of letters in pieces; none if the text has no letter."""
+    if not LETTERS.search(text):
+        return []
+    words = text.lower().split()
+    if max(map(len, words)) <= WORD_LETTERS:
+        return words
+    out = []
+    for w in words:
+        if len(w) > WORD_LETTERS:
+            w = "".join(LETTERS.findall(w)) or w[:1]
+        out += [w[i : i + WORD_LETTERS] for i in range(0, len(w), WORD_LETTERS)]
+    return out
+
+
+def segments(words: list[str]) -> list[list[str]]:
+    return [words[i : i + SEGMENT_WORDS] for i in range(0, len(words), SEGMENT_WORDS)]
 
 
 def _hashed(columns: list[np.ndarray]) -> np.ndarray:
@@ -64,10 +85,9 @@ def features(words: list[str], lexicon: dict[str, int]) -> np.ndarray:
     Letter pairs and triples run over the word with a mark at either end, so the first and last
     hold the affixes of one and two letters; affixes of three are added, then the lexicon entry.
     Marks, digits and signs of a word aren't read; a word without a letter has no feature.
-    Words over 40 letters are no words; their first letters say enough.
     """
     words = [w if w.isalpha() else "".join(LETTERS.findall(w)) for w in words]
-    letters = np.array([w[:40] for w in words] + ["   "])[:-1]
+    letters = np.array([*words, "   "])[:-1]
     letters = letters.view(np.uint32).reshape(len(words), -1).astype(np.uint64)
     sizes, width, rows = (letters != 0).sum(1), letters.shape[1], np.arange(len(words))
     marked = np.zeros((len(words), width + 4), np.uint64)
@@ -133,21 +153,41 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, transition: np.nda
     return out, pairs * step, logz
 
 
+def spliced(pairs: list[tuple[list[str], str]], n: int) -> list[tuple[list[str], list[str]]]:
+    """``n`` sequences of two to four short spans, each of a document in another language than the one before, with a label per word."""
+    rng, by = np.random.default_rng(0), {}
+    for words, lang in pairs:
+        by.setdefault(lang, []).append(words)
+    languages, out = sorted(by), []
+    for _ in range(n if len(languages) > 1 else 0):
+        last, sequence, labels = -1, [], []
+        for _ in range(rng.integers(2, 5)):
+            last = (last + int(rng.integers(1, len(languages)))) % len(languages) if last >= 0 else int(rng.integers(len(languages)))
+            words = by[languages[last]][rng.integers(len(by[languages[last]]))]
+            size = min(len(words), int(rng.integers(3, 41)))
+            at = int(rng.integers(len(words) - size + 1))
+            sequence += words[at : at + size]
+            labels += [languages[last]] * size
+        out.append((sequence, labels))
+    return out
+
+
 def fit(texts: list[str], langs: list[str], rounds: int = ROUNDS) -> Model | None:
-    """CRF of labelled texts; each word has its text's label. Adagrad on the whole sample."""
+    """CRF of labelled texts, each word with its text's label, and of sequences spliced from them. Adagrad on the whole sample."""
     pairs = [(w, lang) for t, lang in zip(texts, langs) if (w := words_of(t))]
     if not pairs:
         return None
-    pairs.sort(key=lambda p: (-len(p[0]), p[1]))
+    sequences = [(part, [lang] * len(part)) for words, lang in pairs for part in segments(words)] + spliced(pairs, int(SPLICED * len(pairs)))
+    sequences.sort(key=lambda p: (-len(p[0]), p[1]))
     languages = sorted({lang for _, lang in pairs})
     k = len(languages)
     seen = Counter(w for words, _ in pairs for w in set(words))
     frequent = [w for w, n in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LEXICON] if n > 2]
     lexicon = {w: (1 << BUCKET_BITS) + i for i, w in enumerate(frequent)}
     vocabulary = {w: i for i, w in enumerate(sorted(seen, key=lambda w: (len(w), w)))}
-    ids = np.array([vocabulary[w] for words, _ in pairs for w in words])
-    lengths = np.array([len(words) for words, _ in pairs])
-    labels = np.repeat([languages.index(lang) for _, lang in pairs], lengths)
+    ids = np.array([vocabulary[w] for words, _ in sequences for w in words])
+    lengths, number = np.array([len(words) for words, _ in sequences]), {lang: i for i, lang in enumerate(languages)}
+    labels = np.array([number[lang] for _, each in sequences for lang in each])
     flat, sizes = [], []
     for i in range(0, len(vocabulary), 50_000):
         found = features(list(vocabulary)[i : i + 50_000], lexicon)
@@ -157,9 +197,10 @@ def fit(texts: list[str], langs: list[str], rounds: int = ROUNDS) -> Model | Non
     word_of, scale = np.repeat(np.arange(len(vocabulary)), sizes), 1 / np.sqrt(np.maximum(1, sizes))[:, None]
     empirical = np.zeros((len(vocabulary), k))
     np.add.at(empirical, (ids, labels), 1.0)
-    together = np.zeros((k, k))
-    for label, n in zip(labels[np.r_[0, np.cumsum(lengths)[:-1]]], lengths):
-        together[label, label] += n - 1
+    together, inner = np.zeros((k, k)), np.ones(len(labels), bool)
+    inner[np.cumsum(lengths) - 1] = False  # the last word of a sequence has no next one
+    pair = np.flatnonzero(inner)
+    np.add.at(together, (labels[pair], labels[pair + 1]), 1.0)
     w, t = np.zeros((NO_FEATURE + 1, k)), np.zeros((k, k))
     sum_w, sum_t = np.full((NO_FEATURE + 1, k), 1e-8), np.full((k, k), 1e-8)
     for _ in range(rounds):
@@ -177,103 +218,114 @@ def fit(texts: list[str], langs: list[str], rounds: int = ROUNDS) -> Model | Non
 
 
 class _Cache:
-    """Emissions of the words that this worker has met, for one model."""
-
-    key: int | None = None
-    rows: dict[str, int] = {}
-    table: np.ndarray = np.zeros((0, 0))
-
-    @classmethod
-    def emissions(cls, model: Model, words: list[str], key: int) -> np.ndarray:
-        if cls.key != key:
-            cls.key, cls.rows, cls.table = key, {}, np.zeros((CACHE_WORDS, len(model.languages)), np.float32)
-        new = list(set(words).difference(cls.rows))
-        if len(cls.rows) + len(new) > len(cls.table):
-            cls.rows = {}
-            new = list(set(words))
-            if len(new) > len(cls.table):  # one very long text
-                cls.table = np.zeros((len(new), len(model.languages)), np.float32)
+    """Emissions of the words that a task has met."""
+
+    def __init__(self, model: Model) -> None:
+        self.model, self.rows, self.table = model, {}, np.zeros((CACHE_WORDS, len(model.languages)), np.float32)
+
+    def emissions(self, words: list[str]) -> np.ndarray:
+        """``words``: at most CHUNK_WORDS + SEGMENT_WORDS."""
+        new = list(set(words).difference(self.rows))
+        if len(self.rows) + len(new) > len(self.table):
+            self.rows, new = {}, list(set(words))
+            if len(new) > len(self.table):
+                self.table = np.zeros((len(new), len(self.model.languages)), np.float32)
         new.sort(key=len)  # words of alike length make narrow blocks
-        at = len(cls.rows)
-        cls.rows.update(zip(new, range(at, at + len(new))))
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            cls.table[at + i : at + i + len(part)] = model.emissions(part)
-        return cls.table[np.fromiter(map(cls.rows.__getitem__, words), np.int64, len(words))]
+        at = len(self.rows)
+        self.rows.update(zip(new, range(at, at + len(new))))
+        for i in range(0, len(new), 8192):
+            part = new[i : i + 8192]
+            self.table[at + i : at + i + len(part)] = self.model.emissions(part)
+        return self.table[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))]
 
 
-def predict(model: Model | None, texts: list[str | None], key: int = 0) -> tuple[list[str], np.ndarray]:
+def predict(model: Model | None, texts: list[str | None], cache: _Cache | None = None) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
     langs, scores = ["und"] * len(texts), np.zeros(len(texts))
     if model is None:
         return langs, scores
-    order = sorted((i for i, x in enumerate(texts) if x), key=lambda i: -len(texts[i]))
-    at = 0
-    while at < len(order):
-        n, end = 0, at  # some texts of alike length at a time
-        while end < len(order) and (end == at or n + len(texts[order[end]]) <= CHUNK_CHARS):
-            n += len(texts[order[end]])
-            end += 1
-        split = {i: words for i in order[at:end] if (words := words_of(texts[i]))}
-        part, at = sorted(split, key=lambda i: -len(split[i])), end
-        if not part:
-            continue
-        lengths = np.array([len(split[i]) for i in part])
-        emit = _Cache.emissions(model, [w for i in part for w in split[i]], key).astype(np.float64)
+    cache = cache or _Cache(model)
+    sums = np.zeros((len(texts), len(model.languages)))
+
+    def add(held: list[tuple[int, list[str]]]) -> None:
+        held.sort(key=lambda x: -len(x[1]))
+        lengths = np.array([len(words) for _, words in held])
+        emit = cache.emissions([w for _, words in held for w in words]).astype(np.float64)
         marginals, _, _ = forward_backward(emit, lengths, model.transition, count_pairs=False)
-        share = np.add.reduceat(marginals, np.r_[0, np.cumsum(lengths)[:-1]], axis=0)
-        share /= share.sum(1, keepdims=True)
-        for i, j, s in zip(part, share.argmax(1), share.max(1)):
-            langs[i], scores[i] = model.languages[j], min(1.0, float(s))
+        np.add.at(sums, [i for i, _ in held], np.add.reduceat(marginals, np.r_[0, np.cumsum(lengths)[:-1]], axis=0))
+
+    held, n = [], 0
+    for i in sorted((i for i, x in enumerate(texts) if x), key=lambda i: -len(texts[i])):  # texts of alike length together
+        for words in segments(words_of(texts[i])):
+            held.append((i, words))
+            n += len(words)
+            if n >= CHUNK_WORDS:
+                add(held)
+                held, n = [], 0
+    if held:
+        add(held)
+    for i in np.flatnonzero(sums.sum(1) > 0):
+        langs[i] = model.languages[sums[i].argmax()]
+        scores[i] = min(1.0, float(sums[i].max() / sums[i].sum()))
     return langs, scores
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """Model of a bounded sample of the rows that aren't held out and have a text and a language.
 
-    The sample is of at most ``sample_docs`` documents, and of as many of them, in order, as
-    hold SAMPLE_CHARS characters.
+    The sample takes turns over the languages, in each in the order of a hash; it is of at most ``sample_docs``
+    documents, and of as many of them, in order, as hold SAMPLE_CHARS characters. Of rows with equal id, language and
+    length, one text (the smallest) is in it.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    texts, langs, chars = [], [], 0
-    picked = bounded(rows.select("doc_id", "lang", F.length("text").alias("n")), sample_docs, "doc_id", "n").collect()
-    ids = []
-    for r in picked:  # numbers only; long texts that pass the limit aren't fetched
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
+    rows = rows.withColumn("n", F.length("text"))
+    order = F.xxhash64(F.lit(7), "doc_id", "n")
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id", "n"))
+    turns = rows.select("doc_id", "lang", "n").distinct().withColumn("turn", turn).where(F.col("turn") <= sample_docs)
+    chars, picked = 0, []
+    for r in turns.orderBy("turn", order, "doc_id", "n", "lang").limit(sample_docs).collect():  # numbers only
         if chars + r.n <= SAMPLE_CHARS:
             chars += r.n
-            ids.append(r.doc_id)
-    if not ids:
+            picked.append((r.doc_id, r.lang, r.n))
+    if not picked:
         return None
-    for r in sorted(rows.where(F.col("doc_id").isin(ids)).limit(2 * sample_docs).toLocalIterator(), key=lambda r: (r.doc_id, r.lang)):
-        texts.append(r.text)
-        langs.append(r.lang)
-    return fit(texts, langs)
+    wanted = docs.sparkSession.createDataFrame(picked, "doc_id long, lang string, n int")
+    found = rows.join(F.broadcast(wanted), ["doc_id", "lang", "n"]).groupBy("doc_id", "lang", "n").agg(F.min("text").alias("text"))
+    texts = sorted((r.doc_id, r.lang, r.n, r.text) for r in found.toLocalIterator())
+    return fit([t[3] for t in texts], [t[1] for t in texts])
 
 
 def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score. Fits a model unless one is given."""
     model = model or train(docs, id_col, text_col, lang_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    key = zlib.crc32(model.weights.tobytes()) if model else 0
 
-    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        langs, scores = predict(shared.value, b.column("text").to_pylist(), key)
-        columns = [b.column("doc_id"), b.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "lang_pred", "score"])
+    def begin():
+        cache = _Cache(shared.value) if shared.value else None
+
+        def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+            langs, scores = predict(shared.value, b.column("text").to_pylist(), cache)
+            columns = [b.column("doc_id"), b.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "lang_pred", "score"])
+
+        return batch
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
-    return map_batches(rows, batch, SCHEMA)
+    return map_tasks(rows, begin, SCHEMA)
 
 
 def accepted_documents(docs: DataFrame, least_score: float = 0.4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with a language of at least ``least_score``; ``und`` goes."""
-    model = train(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    key = zlib.crc32(model.weights.tobytes()) if model else 0
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, id_col, text_col))
+
+    def begin():
+        cache = _Cache(shared.value) if shared.value else None
+
+        def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+            langs, scores = predict(shared.value, b.column(text_col).to_pylist(), cache)
+            return b.filter(pa.array([lang != "und" and s >= least_score for lang, s in zip(langs, scores)], pa.bool_()))
 
-    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        langs, scores = predict(shared.value, b.column(text_col).to_pylist(), key)
-        return b.filter(pa.array([lang != "und" and s >= least_score for lang, s in zip(langs, scores)], pa.bool_()))
+        return batch
 
-    return map_batches(docs, batch, docs.schema)
+    return map_tasks(docs, begin, docs.schema)

@@ -54,3 +54,40 @@ def test_held_out_accuracy_and_edges(spark):
     none = L.identify(more.where("lang is null and doc_id is null"))
     assert [r.lang_pred for r in none.collect()] == ["und"]
     assert L.identify(both.limit(0)).count() == 0
+
+
+def test_long_runs_are_read_to_their_end():
+    model = L.fit(["the thing and other that was here", "das ding und andere die nicht waren"] * 20, ["en", "de"] * 20)
+    run = "thethingandotherthatwashere"
+    tail = "dasdingundanderedienichtwarenunddasdingund" * 20
+    assert L.predict(model, [run * 2])[0] == ["en"] and L.predict(model, [run * 2 + tail])[0] == ["de"]
+    assert "".join(L.words_of("x" * 95)) == "x" * 95 and max(map(len, L.words_of("x" * 95 + " y"))) == 40
+    assert L.words_of("\u4e2d\u6587" * 50) and L.words_of("1" * 60) == []
+
+
+def test_transitions_are_learned_from_spliced_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null").collect()
+    docs = [d for d in docs if len(d.text.split()) > 60]
+    model = L.fit([d.text for d in docs[:150]], [d.lang for d in docs[:150]])
+    other = L.spliced([(L.words_of(d.text), d.lang) for d in docs[150:250]], 60)
+    right = []
+    for words, labels in other:
+        marginals, _, _ = L.forward_backward(model.emissions(words), np.array([len(words)]), model.transition)
+        right += [model.languages[i] == lang for i, lang in zip(marginals.argmax(1), labels)]
+    assert np.mean(right) > 0.93
+    off = model.transition - np.diag(np.diag(model.transition))
+    assert np.diag(model.transition).min() > off.max()
+
+
+def test_segments_give_one_result():
+    model = L.fit(["the thing and other", "das ding und andere"] * 10, ["en", "de"] * 10)
+    long = "the thing and " * 3 * L.SEGMENT_WORDS
+    langs, scores = L.predict(model, [long, "das ding", None, long])
+    assert langs == ["en", "de", "und", "en"] and scores[0] == scores[3] > 0.9
+
+
+def test_sample_with_one_id_on_many_rows(spark):
+    rows = [(1, f"the thing and other {i}", "en", "a") for i in range(300)] + [(i, "das ding und andere", "de", "b") for i in range(1000, 1040)] + [(None, "und", None, "c")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, held_out string")
+    got = L.identify(docs).collect()
+    assert len(got) == len(rows) and {r.lang_pred for r in got if r.doc_id == 1} == {"en"}
