@@ -8,8 +8,7 @@ from lodestride.llm.sampling import crc
 
 def test_margin_equals_all_pairs():
     rng = np.random.default_rng(0)
-    slot = np.arange(30)
-    m = X.Model(0.3, slot, rng.normal(size=30), rng.normal(size=(30, 4)))
+    m = X.Model(0.3, rng.normal(size=30), rng.normal(size=(30, 4)))
     rows = [np.array([], np.int64), np.array([3]), np.array([1, 5, 7, 20])]
     for row, got in zip(rows, m.margin(rows)):
         want = 0.3 + sum(m.linear[i] for i in row) + sum(m.factors[i] @ m.factors[j] for i in row for j in row if i < j)
@@ -24,11 +23,28 @@ def test_pairs_are_learned():
         a, b = rng.random() < 0.5, rng.random() < 0.5
         texts.append(" ".join([*(["insult"] if a else []), *(["group"] if b else []), *rng.choices("u v w x y z".split(), k=5)]))
         labels.append(float(a and b))
-    model = X.fit([X._Hashes.of(t) for t in texts], np.array(labels))
-    score = model.score([X._Hashes.of(t) for t in ("insult group x", "insult x", "group y", "x y")])
+    score = scores(texts, labels, ("insult group x", "insult x", "group y", "x y"))
     assert score[0] > 0.9 and max(score[1:]) < 0.1
 
 
+def scores(texts, labels, asked):
+    hashes = X.Hashes()
+    model = X.fit([hashes.of(t) for t in texts], np.array(labels))
+    return model.score([hashes.of(t) for t in asked])
+
+
+def test_pairs_of_terms_without_an_effect_of_their_own():
+    """Toxic just when one of both words is there: neither has a single-term effect."""
+    rng = random.Random(1)
+    texts, labels = [], []
+    for _ in range(3000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        texts.append(" ".join([*(["insult"] if a else []), *(["group"] if b else []), *rng.choices([f"w{i}" for i in range(200)], k=12)]))
+        labels.append(float(a != b))
+    score = scores(texts, labels, ("insult w1 w2 w3", "group w4 w5 w6", "insult group w7 w8", "w9 w10 w11"))
+    assert min(score[:2]) > 0.9 and max(score[2:]) < 0.1
+
+
 def test_held_out_rows_and_edges(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
@@ -44,3 +60,11 @@ def test_held_out_rows_and_edges(spark):
     none = X.score_toxicity(odd, labels.limit(0)).toPandas()
     assert (none["score"] == 0).all() and len(none) == 5
     assert X.score_toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_one_id_on_many_rows_and_clashing_columns(spark):
+    rows = [(6, f"you idiot group {i}", "s") for i in range(200)] + [(i, "a fine day", "s") for i in range(100, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(6, 1), (6, None), (6, 0), *((i, 0) for i in range(100, 200))], "doc_id long, toxic int")
+    got = X.score_toxicity(docs, labels).toPandas()
+    assert len(got) == 300 and got["score"].between(0, 1).all()
