@@ -12,10 +12,12 @@ from lodestride.llm.common import read, stored
 from lodestride.llm.exact_dedup import distinct_documents
 from lodestride.llm.language_id import accepted_documents
 from lodestride.llm.mixing import mixed_documents
-from lodestride.llm.packing import pack_documents
+from lodestride.llm.packing import pack_in_order
 from lodestride.llm.simhash import one_of_each
 
 NEAR_WORDS = 5
+MIX_WEIGHTS: dict[str, float] | None = None  # by source; None: row counts to the power MIX_ALPHA
+MIX_ALPHA = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +37,12 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, stored in an order that interleaves sources at their target weights."""
-    return mixed_documents(docs)
+    return mixed_documents(docs, weights=MIX_WEIGHTS, alpha=MIX_ALPHA)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences."""
-    return pack_documents(docs)
+    """Pieces of the documents in sequences, which follow the mixed order in which ``docs`` are stored."""
+    return pack_in_order(docs)
 
 
 STAGES = [("language", language), ("exact", exact), ("near", near), ("mixture", mixture), ("packing", packed)]

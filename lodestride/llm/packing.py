@@ -1,24 +1,28 @@
 """Cost-balanced packing of tokenised documents into sequences.
 
 A piece of n tokens costs n + n^2 x QUADRATIC (attention within the piece). Documents are dealt
-to groups of about GROUP_SEQUENCES full sequences by a hash of their id, and each group is packed
+to groups of about ``group_sequences`` full sequences, and each group is packed
 by itself: the documents go in descending length to the sequence with the lowest cost among those with
 enough room. Documents longer than a sequence are cut into full sequences first. One that fits
 nowhere is cut at a multiple of BLOCK tokens to fill the cheapest sequences with room, so a group
 wastes less than BLOCK tokens a sequence and one open sequence.
 
+Groups are either drawn by a hash of the id, or, for documents stored in a meaningful order (pack_in_order), ranges of
+that order: then the sequences of a group, and the groups, follow it, and the order decides among documents of equal length.
+
 Texts are tokenised once, in tasks; of the token ids only their number and the CRC-32 of each
-block are kept, from which the CRC-32 of any piece follows. Words are tokenised one by one with a
-bounded cache of word ids: the tokenizer drops white space and merges within words alone, so this
-gives the ids of the whole text.
+block are kept, from which the CRC-32 of any piece follows. With the tokenizer for which that holds
+(white space dropped, merges within words alone), words are tokenised one by one with the task's
+cache of word ids; with any other, whole texts are.
 
-Null texts count as empty and hold the end token alone. Every row is packed, repeated ones too.
-An empty table gives an empty result; other columns are left alone.
+Null texts count as empty and hold the end token alone. Every row is packed, repeated ones too; rows without an id, or
+with one id on many rows, are spread over groups. An empty table gives an empty result; other columns are left alone.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import re
 import zlib
@@ -27,17 +31,19 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestride.llm.common import checkpointed, map_batches, strings
+from lodestride.llm.common import checkpointed, map_tasks, strings
 
 CAPACITY = 4096
 END_ID = 2
 BLOCK = 32
 QUADRATIC = 1 / 12288  # 4 d n / 24 d^2 for a model of width d = 2048
 GROUP_SEQUENCES = 1024
-CACHE_WORDS = 400_000
+ORDERED_SEQUENCES = 256
+CACHE_WORDS = 150_000
+CACHE_BYTES = 32 << 20  # of words and ids
 TOKENS_SCHEMA = "doc_id long, n long, crc long, blocks binary"
 PIECES_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -59,6 +65,15 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# How the tokenizer changes and splits texts if words can be tokenised one by one.
+NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+WORD_SPLIT = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 # A run of Latin letters with ASCII marks around it: the tokenizer splits it just there. Apostrophes
 # (contractions), digits and all else take the tokenizer's own way.
 PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
@@ -67,15 +82,20 @@ VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_CHARS = dict(zip((b for b in range(256) if b not in VISIBLE), range(0x100, 0x200)))
 
 
-class _Words:
-    """Ids of words, as bytes, by tokenizer; bounded caches of one worker."""
+class Words:
+    """Ids of words, as bytes; bounded caches of one task."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
         self.model = self.tokenizer.model
-        self.words, self.cores, self.marks = {"": b""}, {}, {"": b""}
+        form = json.loads(self.tokenizer.to_str())
+        self.by_word = (form["normalizer"], form["pre_tokenizer"]) == (NORMAL, WORD_SPLIT)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.cores, self.marks, self.bytes = {"": b""}, {}, {"": b""}, 0
 
-    def _encode(self, words: list[str]) -> list[bytes]:
+    def encode(self, words: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _core(self, letters: str) -> bytes:
@@ -88,14 +108,18 @@ class _Words:
     def _mark(self, marks: str) -> bytes:
         ids = self.marks.get(marks)
         if ids is None:
-            if len(self.marks) > CACHE_WORDS // 4:
-                self.marks = {"": b""}
-            ids = self.marks[marks] = self._encode([marks])[0]
+            ids = self.marks[marks] = self.encode([marks])[0]
         return ids
 
-    def learn(self, new: set[str]) -> None:
-        if len(self.cores) + len(new) > CACHE_WORDS:
-            self.cores = {}
+    def learn(self, words: set[str]) -> None:
+        """Takes the ids of ``words`` into the cache, which forgets what it held before where that is too much."""
+        new = words.difference(self.words)
+        if not new:
+            return
+        if len(self.words) + len(new) > CACHE_WORDS or self.bytes > CACHE_BYTES:
+            self._forget()
+            new = words - {""}
+        self.bytes += sum(map(len, new))
         other = []
         for w in new:
             m = PLAIN.fullmatch(w)
@@ -104,45 +128,47 @@ class _Words:
                 self.words[w] = self._mark(before) + self._core(letters.lower()) + self._mark(after)
             else:
                 other.append(w)
-        self.words.update(zip(other, self._encode(other)) if other else ())
-
+        self.words.update(zip(other, self.encode(other)) if other else ())
 
-_WORDS: dict[str, _Words] = {}
 
-
-def encode_all(texts: list[str], path: str) -> Iterator[bytes]:
+def encode_all(texts: list[str], words: Words) -> Iterator[bytes]:
     """Ids of each text and the end id, as little-endian unsigned 32-bit numbers."""
-    if path not in _WORDS:
-        _WORDS[path] = _Words(path)
-    known, end = _WORDS[path], array("I", [END_ID]).tobytes()
+    end = array("I", [END_ID]).tobytes()
     for i in range(0, len(texts), 64):
+        part = texts[i : i + 64]
+        if not words.by_word:
+            yield from (ids + end for ids in words.encode(part))
+            continue
         # Only characters that surely are white space to the tokenizer part words here.
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts[i : i + 64]]
-        new = set().union(*split).difference(known.words)
-        if new:
-            if len(known.words) + len(new) > CACHE_WORDS:
-                known.words = {"": b""}
-                new = set().union(*split) - {""}
-            known.learn(new)
-        for words in split:
-            yield b"".join(map(known.words.__getitem__, words)) + end
-
-
-def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n, crc, blocks): number and CRC-32 of each document's ids, and of each block of them."""
-    path = path or default_tokenizer()
-
-    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        n, crc, blocks = [], [], []
-        for ids in encode_all(strings(b.column("text")), path):
-            n.append(len(ids) // 4)
-            crc.append(zlib.crc32(ids))
-            view = memoryview(ids)
-            blocks.append(array("I", [zlib.crc32(view[i : i + 4 * BLOCK]) for i in range(0, len(ids), 4 * BLOCK)]).tobytes())
-        columns = [pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(blocks, pa.binary())]
-        return pa.RecordBatch.from_arrays([b.column("doc_id"), *columns], names=["doc_id", "n", "crc", "blocks"])
-
-    return map_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), batch, TOKENS_SCHEMA)
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in part]
+        words.learn(set().union(*split))
+        for each in split:
+            yield b"".join(map(words.words.__getitem__, each)) + end
+
+
+def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", kept: dict[str, Column] | None = None) -> DataFrame:
+    """(doc_id, n, crc, blocks) and ``kept``: number and CRC-32 of each document's ids, and of each block of them."""
+    path, kept = path or default_tokenizer(), kept or {}
+    names = list(kept)
+
+    def begin():
+        words = Words(path)
+
+        def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+            n, crc, blocks = [], [], []
+            for ids in encode_all(strings(b.column("text")), words):
+                n.append(len(ids) // 4)
+                crc.append(zlib.crc32(ids))
+                view = memoryview(ids)
+                blocks.append(array("I", [zlib.crc32(view[i : i + 4 * BLOCK]) for i in range(0, len(ids), 4 * BLOCK)]).tobytes())
+            columns = [pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(blocks, pa.binary())]
+            return pa.RecordBatch.from_arrays([b.column("doc_id"), *columns, *(b.column(k) for k in names)], names=["doc_id", "n", "crc", "blocks", *names])
+
+        return batch
+
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *[c.alias(k) for k, c in kept.items()])
+    more = "".join(f", {k} {rows.schema[k].dataType.simpleString()}" for k in names)
+    return map_tasks(rows, begin, TOKENS_SCHEMA + more)
 
 
 def piece_crc(blocks: array, start: int, end: int) -> int:
@@ -211,23 +237,46 @@ def pack(sizes: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, int
     return pieces
 
 
+def _pack_group(table: pa.Table) -> pa.Table:
+    """Pieces of the documents (doc_id, n, crc, blocks) of group g; equal lengths by ``at``, and sequences numbered by the first of it that they hold."""
+    rows = sorted(zip(*(table.column(c).to_pylist() for c in ("n", "doc_id", "crc", "blocks", "g", "at"))), key=lambda r: (-r[0], r[5], r[1] is not None, r[1] or 0))
+    pieces = pack([r[0] for r in rows])
+    first: dict[int, tuple[int, int]] = {}
+    for i, start, _, s, _ in pieces:
+        first[s] = min(first.get(s, (2**63, 0)), (rows[i][5], start))
+    number = {s: k for k, s in enumerate(sorted(first, key=lambda s: (first[s], s)))}
+    out = []
+    for i, start, length, s, offset in pieces:
+        n, doc_id, crc, blocks, g, _ = rows[i]
+        if length < n:
+            crc = piece_crc(memoryview(blocks).cast("I"), start, start + length)
+        out.append((doc_id, start, length, crc, n, (g << 32) + number[s], offset))
+    return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+
+
 def pack_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", group_sequences: int = GROUP_SEQUENCES) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     tokens = checkpointed(token_counts(docs, path, id_col, text_col))
-    total = tokens.agg(F.sum("n")).first()[0] or 0
-    groups = max(1, -(-total // (CAPACITY * group_sequences)))
-
-    def group(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("n", "doc_id", "crc", "blocks", "g"))), key=lambda r: (-r[0], r[1] is not None, r[1] or 0))
-        out = []
-        for i, start, length, s, offset in pack([r[0] for r in rows]):
-            n, doc_id, crc, blocks, g = rows[i]
-            if length < n:
-                crc = piece_crc(memoryview(blocks).cast("I"), start, start + length)
-            out.append((doc_id, start, length, crc, n, (g << 32) + s, offset))
-        return pa.Table.from_arrays(
-            [pa.array(c, pa.int64()) for c in zip(*out)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-        )
-
-    dealt = tokens.withColumn("g", F.pmod(F.xxhash64("doc_id"), F.lit(groups)))
-    return dealt.groupBy("g").applyInArrow(group, PIECES_SCHEMA)
+    total, rows, ids = tokens.agg(F.sum("n"), F.count(F.lit(1)), F.approx_count_distinct("doc_id")).first()
+    groups = max(1, -(-(total or 0) // (CAPACITY * group_sequences)))
+    # Where ids repeat, they can't spread rows evenly; places in the checkpoint do.
+    spread = F.xxhash64("doc_id") if rows and ids > 0.8 * rows else F.xxhash64("doc_id", F.monotonically_increasing_id())
+    dealt = tokens.withColumn("g", F.pmod(spread, F.lit(groups))).withColumn("at", F.lit(0).cast("long"))
+    return dealt.groupBy("g").applyInArrow(_pack_group, PIECES_SCHEMA)
+
+
+def pack_in_order(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", group_sequences: int = ORDERED_SEQUENCES) -> DataFrame:
+    """As pack_documents, along the order in which ``docs`` are stored: sequence_id ascends with it, from group to group and by first documents within one.
+
+    ``docs`` must come from files (as those of mixing.mixed_documents do when they are read again): the order is that of their names and
+    of rows in them.
+    """
+    kept = {"file": F.col("_metadata.file_name"), "row": F.col("_metadata.row_index")}
+    tokens = checkpointed(token_counts(docs, path, id_col, text_col, kept))
+    total, rows = tokens.agg(F.sum("n"), F.count(F.lit(1))).first()
+    each = max(1, round((rows or 0) * CAPACITY * group_sequences / max(total or 0, 1)))  # documents of a group
+    files = tokens.groupBy("file").agg((F.max("row") + 1).alias("rows"))  # one row a file
+    files = files.select("file", (F.sum("rows").over(Window.orderBy("file")) - F.col("rows")).alias("before"))
+    placed = tokens.join(files, "file").withColumn("at", F.col("before") + F.col("row"))
+    dealt = placed.withColumn("g", F.expr(f"at div {each}")).select("doc_id", "n", "crc", "blocks", "g", "at")
+    return dealt.groupBy("g").applyInArrow(_pack_group, PIECES_SCHEMA)

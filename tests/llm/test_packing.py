@@ -22,7 +22,7 @@ ODD = ["", "a", " ", "don't  x's <|endoftext|>y ẞΣ\x1cfoo", " bar é é 
 def test_ids_equal_the_tokenizer():
     rng = random.Random(0)
     texts = ODD + ["".join(rng.choices("aBé'! \n\t1_%<|>ßİŒΣ́", k=rng.randint(0, 40))) for _ in range(500)]
-    for text, got in zip(texts, P.encode_all(texts, P.default_tokenizer())):
+    for text, got in zip(texts, P.encode_all(texts, P.Words(P.default_tokenizer()))):
         assert list(array("I", got)) == ids_of(text), text
 
 
@@ -94,3 +94,51 @@ def test_documents(spark):
             at += n
         assert at <= P.CAPACITY
     assert P.pack_documents(docs.limit(0)).count() == 0
+
+
+def test_other_tokenizers_read_whole_texts():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words, plain = P.Words(path), Tokenizer.from_file(path)
+    assert not words.by_word and P.Words(P.default_tokenizer()).by_word
+    texts = ["a b  c", "", " x\n\n y", "don't"]
+    for text, got in zip(texts, P.encode_all(texts, words)):
+        assert list(array("I", got)) == [*plain.encode(text, add_special_tokens=False).ids, P.END_ID]
+
+
+def test_small_caches_change_nothing(monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(50)) for _ in range(300)]
+    want = list(P.encode_all(texts, P.Words(P.default_tokenizer())))
+    monkeypatch.setattr(P, "CACHE_WORDS", 100)
+    assert list(P.encode_all(texts, P.Words(P.default_tokenizer()))) == want
+
+
+def test_packing_follows_the_stored_order(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(i if i % 7 else None, "word " * rng.randint(200, 900), "n") for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string, file string").repartition(3).write.parquet(str(tmp_path / "a"))
+    docs = spark.read.parquet(str(tmp_path / "a"))
+    order = [(r["text"], r["doc_id"]) for r in docs.selectExpr("*", "_metadata.file_name f", "_metadata.row_index k").orderBy("f", "k").collect()]
+    got = [r.asDict() for r in P.pack_in_order(docs, group_sequences=4).collect()]
+    total = defaultdict(int)
+    for r in got:
+        total[r["sequence_id"]] += r["length"]
+    assert sum(total.values()) == sum(len(t.split()) + 1 for t, _ in order) and max(total.values()) <= P.CAPACITY
+    place = {i: k for k, (_, i) in enumerate(order) if i is not None}
+    groups = defaultdict(list)
+    for r in got:
+        if r["doc_id"] is not None:
+            groups[r["sequence_id"] >> 32].append(place[r["doc_id"]])
+    assert len(groups) > 5
+    cut = [(min(g), max(g)) for _, g in sorted(groups.items())]
+    assert all(a[1] < b[0] for a, b in zip(cut, cut[1:]))
+    assert P.pack_in_order(docs.limit(0) if False else docs.where("false")).count() == 0
+
+
+def test_one_id_on_many_rows_is_spread(spark):
+    docs = spark.createDataFrame([(7, "word " * 400, 1)] * 200 + [(None, "word " * 300, 2)] * 200, "doc_id long, text string, g int")
+    got = P.pack_documents(docs, group_sequences=2).collect()
+    assert sum(r.length for r in got) == 200 * 401 + 200 * 301
+    assert len({r.sequence_id >> 32 for r in got}) > 5
