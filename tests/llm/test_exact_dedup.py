@@ -25,12 +25,12 @@ def brute(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("split_rows", [8192, 1])
-def test_groups_match_brute_force(spark, split_rows):
+@pytest.mark.parametrize("split_rows, max_large", [(8192, 10), (1, 100), (2, 100), (1, 0)])
+def test_groups_match_brute_force(spark, split_rows, max_large):
     docs = spark.createDataFrame(ROWS, "doc_id long, text string, digest int").repartition(3)
-    got = duplicate_groups(docs, split_rows=split_rows, max_split=1000)
+    got = duplicate_groups(docs, split_rows=split_rows, max_large=max_large)
     assert sorted(map(tuple, got.collect()), key=str) == brute(ROWS)
-    stays = distinct_documents(docs, split_rows=split_rows, max_split=1000)
+    stays = distinct_documents(docs, split_rows=split_rows, max_large=max_large)
     assert stays.columns == docs.columns
     assert sorted(r.doc_id for r in stays.collect()) == [2, 5, 6, 8, 9]
 
@@ -38,3 +38,16 @@ def test_groups_match_brute_force(spark, split_rows):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert duplicate_groups(docs).count() == 0 and distinct_documents(docs).count() == 0
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a", 5, True), (2, "a", 6, False), (3, None, 7, None)], "doc_id long, text string, null_text long, `the.salt` boolean")
+    assert sorted(map(tuple, distinct_documents(docs, split_rows=1).collect())) == [(2, "a", 6, False), (3, None, 7, None)]
+    assert len(duplicate_groups(docs).collect()) == 3
+
+
+def test_salts_of_a_large_digest_stay_apart(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "'same' AS text")
+    got = duplicate_groups(docs, split_rows=100)
+    rows = got.collect()
+    assert len(rows) == 4000 and {r.keep_id for r in rows} == {3999} and {r.group_size for r in rows} == {4000} and sum(r.kept for r in rows) == 1
