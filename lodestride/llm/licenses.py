@@ -1,9 +1,11 @@
-"""License scan: counts of template words pick candidates, banded alignment confirms them.
-
-Templates are short license notices. Words are runs of letters and digits, in lower case. A match of a
-template lies in a band of diagonals (place in the text less place in the template), so a diagonal is a
-candidate when enough of the template's places have an equal word within the band around it; no match is lost by
-this, whatever words are changed. Only stretches of text with enough words of the template are looked at. The
+"""License scan: winnowed fingerprints pick candidates, banded alignment confirms them.
+
+Templates are license notices and the full texts of short licenses (longer licenses are found by their notices). Words are
+runs of letters and digits, in lower case. Fingerprints are pairs of neighbouring words; of a template's, winnowing keeps the
+smallest hash of each window (all, where the template is short), in an inverted index from pair to places. A pair of the text
+that is in the index gives a diagonal (place in the text less place in the template). Of n template words, any 80 % that
+match with words changed or left out hold a run of four equal words (two, for under 16 words), and so a fingerprint. A diagonal
+goes on where enough of the template's places have an equal word within the band around it, which no match can lack. The
 template is then aligned to the text in the band, with one point for an equal word and one off for an edit. A
 template counts where at least ``LEAST_COVERAGE`` of its words match in order; the best of overlapping places is reported.
 
@@ -15,7 +17,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -25,29 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestride.llm.common import map_batches, strings
+from lodestride.llm.license_texts import TEMPLATES
 
-WINDOW = 4
+SHINGLE = 2
+WINDOW = 3  # of templates with at least SHORT words; 1 for others
+SHORT = 16
 LEAST_COVERAGE = 0.8
 WORD = re.compile(r"[^\W_]+")
 SCHEMA = "doc_id long, license string, template int, start long, `end` long, matched_words int, template_words int, coverage double"
 
-# The notices, each with its license identifier.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
-    ("LGPL-3.0", "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License"),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-)
-
-
 def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
@@ -59,50 +46,73 @@ def winnow(hashes: list[int], window: int = WINDOW) -> list[int]:
     return sorted({max(range(i, i + window), key=lambda j: (-hashes[j], j)) for i in range(len(hashes) - window + 1)})
 
 
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return h ^ (h >> np.uint64(32))
+
+
 @dataclass
 class Index:
+    """Inverted index of the templates' winnowed fingerprints, and their words as numbers (from 1; 0: any other word)."""
+
     templates: tuple[tuple[str, str], ...]
     words: list[list[str]] = field(default_factory=list)
     vocabulary: dict[str, int] = field(default_factory=dict)
     numbers: list[np.ndarray] = field(default_factory=list)
-    members: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), bool))  # template x word number
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # sorted fingerprints, each with template and place
+    of: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    at: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     def __post_init__(self) -> None:
         self.words = [words_of(t) for _, t in self.templates]
         for word in sorted({w for ws in self.words for w in ws}):
             self.vocabulary[word] = len(self.vocabulary) + 1
         self.numbers = [np.array([self.vocabulary[w] for w in ws], np.int64) for ws in self.words]
-        self.members = np.zeros((len(self.words), len(self.vocabulary) + 1), bool)
+        found = []
         for t, numbers in enumerate(self.numbers):
-            self.members[t, numbers] = True
-
-    def diagonals(self, t: int, numbers: np.ndarray) -> Iterator[int]:
-        """Diagonals with an equal word on them and enough places of template ``t`` with one in the band around them."""
-        own = self.numbers[t]
+            codes = self.fingerprints(numbers)
+            kept = winnow(_mixed(codes).tolist(), WINDOW if len(numbers) >= SHORT else 1)
+            found += [(int(codes[i]), t, i) for i in kept]
+        if found:
+            self.keys, self.of, self.at = (np.array(x, np.int64) for x in zip(*sorted(found)))
+
+    def fingerprints(self, numbers: np.ndarray) -> np.ndarray:
+        """Codes of all pairs of neighbours; a lone word is paired with nothing."""
+        nothing = np.zeros(SHINGLE - 1, np.int64)
+        padded = numbers if len(numbers) >= SHINGLE else np.r_[numbers, nothing]
+        return padded[:-1] * (len(self.vocabulary) + 1) + padded[1:]
+
+    def candidates(self, numbers: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """(template, ascending diagonals) that a fingerprint of the text hits."""
+        if not len(numbers) or not len(self.keys):
+            return []
+        codes = self.fingerprints(numbers)
+        low, high = np.searchsorted(self.keys, codes), np.searchsorted(self.keys, codes, side="right")
+        place = np.flatnonzero((high > low) & (codes > 0))
+        if not len(place):
+            return []
+        n = (high - low)[place]
+        hit = np.repeat(low[place] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        pairs = np.unique(np.stack([self.of[hit], np.repeat(place, n) - self.at[hit]], 1), axis=0)
+        cuts = np.flatnonzero(np.diff(pairs[:, 0])) + 1
+        return [(int(part[0, 0]), part[:, 1]) for part in np.split(pairs, cuts)]
+
+    def enough(self, t: int, diagonals: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """Those of ascending ``diagonals`` on which enough places of template ``t`` have an equal word in the band around them."""
+        own, out = self.numbers[t], []
         n, band = len(own), band_of(len(own))
-        need, width = math.ceil(LEAST_COVERAGE * n - 1e-9), n + 2 * band
-        if not n or len(numbers) < need:
-            return
-        known = np.r_[0, np.cumsum(self.members[t][numbers])]
-        if known[-1] < need:
-            return
-        ends = np.minimum(np.arange(len(numbers)) + width, len(numbers))
-        full = np.flatnonzero(known[ends] - known[:-1] >= need)
-        if not len(full):
-            return
-        for run in np.split(full, np.flatnonzero(np.diff(full) > width) + 1):
-            first, last = int(run[0]), min(int(run[-1]) + width, len(numbers))
-            size = last - first + n - 1  # diagonals from first - n + 1
-            count, exact = np.zeros(size, np.int32), np.zeros(size, bool)
-            low, high = np.maximum(np.arange(size) - band, 0), np.minimum(np.arange(size) + band + 1, size)
+        need = math.ceil(LEAST_COVERAGE * n - 1e-9)
+        for run in np.split(diagonals, np.flatnonzero(np.diff(diagonals) > n + 2 * band) + 1):
+            first, last = int(run[0]) - band, int(run[-1]) + n + band
+            text = numbers[max(0, first) : last]
+            at = run - band - max(0, first)  # of the band's first place for template word 0
+            count = np.zeros(len(run), np.int32)
             for i, word in enumerate(own):
-                hit = np.zeros(size, bool)
-                hit[n - 1 - i : n - 1 - i + last - first] = numbers[first:last] == word
-                exact |= hit
-                total = np.r_[0, np.cumsum(hit)]
-                count += total[high] > total[low]
-            for d in np.flatnonzero(exact & (count >= need)):
-                yield int(d) + first - n + 1
+                total = np.r_[0, np.cumsum(text == word)]
+                count += total[np.clip(at + i + 2 * band + 1, 0, len(text))] > total[np.clip(at + i, 0, len(text))]
+            out.append(run[count >= need])
+        return np.concatenate(out)
 
 
 def band_of(n: int) -> int:
@@ -147,7 +157,7 @@ def find_licenses(text: str, index: Index) -> list[tuple[int, int, int, int]]:
     """(template, start, end, matched words) of every match, in code points."""
     words = words_of(text)
     numbers = np.fromiter((index.vocabulary.get(w, 0) for w in words), np.int64, len(words))
-    diagonals = [(t, at) for t in range(len(index.words)) for at in index.diagonals(t, numbers)]
+    diagonals = [(t, int(at)) for t, hits in index.candidates(numbers) for at in index.enough(t, hits, numbers)]
     found: list[tuple[int, int, int, int]] = []
     for t, at in diagonals:
         template = index.words[t]
