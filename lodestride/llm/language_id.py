@@ -280,9 +280,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
     rows = rows.withColumn("n", F.length("text"))
+    # Of languages with many documents, those with small hashes alone take part: four times as many as can be drawn.
+    each = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).cast("long").alias("doc_id")).where("lang is not null")
+    each = each.groupBy("lang").agg(F.greatest(F.lit(1.0), F.approx_count_distinct("doc_id") / (4.0 * sample_docs)).alias("one_in"))
+    low = (F.xxhash64(F.lit(8), "doc_id").bitwiseAND((1 << 30) - 1) * F.col("one_in")) < float(1 << 30)
+    numbers = rows.select("doc_id", "lang", "n").join(each, "lang").where(low).drop("one_in")
     order = F.xxhash64(F.lit(7), "doc_id", "n")
     turn = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id", "n"))
-    turns = rows.select("doc_id", "lang", "n").distinct().withColumn("turn", turn).where(F.col("turn") <= sample_docs)
+    turns = numbers.distinct().withColumn("turn", turn).where(F.col("turn") <= sample_docs)
     chars, picked = 0, []
     for r in turns.orderBy("turn", order, "doc_id", "n", "lang").limit(sample_docs).collect():  # numbers only
         if chars + r.n <= SAMPLE_CHARS:

@@ -8,9 +8,11 @@ distance p fails the test p x D / d <= (1 + EPSILON / sqrt(d))^2 x (k-th distanc
 dropped. Survivors get their exact Euclidean distance in double precision from the original
 vectors, and only these distances rank results.
 
-Centroids and the number of lists to probe are fitted on a bounded sample (``SAMPLE`` classes by
-hash): as many lists as reach ``TARGET_RECALL`` for sampled queries among sampled rows. Every row
-is indexed. The sample also gives each query a bound of the distances to keep at the start.
+There are about 2 sqrt(n) lists, so a list's rows grow with the square root of the table. A list has a pair of
+centroids: one of the vectors, and one of what is left after that one is taken off; both codebooks have about the fourth
+root of n entries and are fitted on a bounded sample (``SAMPLE`` classes by hash), as is the number of lists to probe: as many as
+reach ``TARGET_RECALL`` for sampled queries among sampled rows. Every row is indexed. The sample also gives each
+query a bound of the distances to keep at the start.
 
 Work units are (list, row chunk, query chunk) with bounded rows and queries, so a list that holds
 very many rows, or is probed by very many queries, spreads over tasks.
@@ -22,6 +24,7 @@ once; of an id with several vectors each is a row. Fewer than k candidates give
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -34,7 +37,7 @@ from lodestride.llm.common import checkpointed
 SAMPLE = 8192
 CALIBRATION_QUERIES = 200
 TARGET_RECALL = 0.985
-MAX_LISTS = 256
+LISTS = 2.0  # times the square root of the number of vectors
 CHUNK_ROWS = 8192
 CHUNK_QUERIES = 2048
 COLUMN_BLOCK = 16
@@ -70,51 +73,100 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return centers
 
 
-def probes_needed(x: np.ndarray, centers: np.ndarray, k: int, target: float) -> int:
+@dataclass
+class Lists:
+    """Centroids of all lists: sums of one entry of each codebook."""
+
+    coarse: np.ndarray
+    fine: np.ndarray
+
+    @staticmethod
+    def fitted(x: np.ndarray, lists: int) -> Lists:
+        first = max(1, round(lists**0.5))
+        coarse = kmeans(x, min(first, len(x)))
+        left = x - coarse[squared(x, coarse).argmin(1)]
+        return Lists(coarse, kmeans(left, min(-(-lists // first), len(x))) if lists > first else np.zeros((1, x.shape[1])))
+
+    def __len__(self) -> int:
+        return len(self.coarse) * len(self.fine)
+
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        """Squared distances to all lists' centroids, from products with each codebook."""
+        cross = (self.coarse @ self.fine.T).ravel()
+        norms = ((self.coarse**2).sum(1)[:, None] + (self.fine**2).sum(1)[None, :]).ravel() + 2 * cross
+        near = (x @ self.coarse.T)[:, :, None] + (x @ self.fine.T)[:, None, :]
+        return np.maximum((x * x).sum(1)[:, None] + norms[None, :] - 2 * near.reshape(len(x), -1), 0)
+
+    def homes(self, x: np.ndarray) -> np.ndarray:
+        step = max(1, (1 << 21) // max(1, len(self)))  # bounds the matrix of distances
+        return np.concatenate([np.empty(0, np.int64), *(self.distances(x[i : i + step]).argmin(1) for i in range(0, len(x), step))])
+
+
+def probes_needed(x: np.ndarray, lists: Lists, home: np.ndarray, k: int, target: float) -> int:
     """Lists to probe so that sampled queries find ``target`` of their true neighbours in the sample."""
-    home = squared(x, centers).argmin(1)
     q = x[:: max(1, len(x) // CALIBRATION_QUERIES)]
     near = np.argsort(squared(q, x), 1, kind="stable")[:, 1 : k + 1]
-    rank = np.argsort(np.argsort(squared(q, centers), 1, kind="stable"), 1, kind="stable")
-    places = np.sort(rank[np.arange(len(q))[:, None], home[near]].ravel())
+    away = lists.distances(q)
+    places = np.sort((away[:, None, :] < np.take_along_axis(away, home[near], 1)[:, :, None]).sum(2).ravel())
     return int(places[min(len(places) - 1, int(np.ceil(target * len(places))) - 1)]) + 1 if len(places) else 1
 
 
-def scan(rotated: np.ndarray, query: np.ndarray, k: int, bound: float) -> np.ndarray:
-    """Rows of ``rotated`` that may be among the k nearest, by the adaptive test; ``bound``: a known k-th distance, squared."""
-    dims = rotated.shape[1]
-    alive_all = []
+def scan(rotated: np.ndarray, queries: np.ndarray, k: int, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) pairs, by query, that may be among the k nearest rows to a query, by the adaptive test; ``bounds``: known k-th distances, squared.
+
+    Column block by column block, for all queries at once: the first block of all pairs is one matrix product, later ones are
+    added to the pairs that are left. The first rows are scanned before the others, to bound these.
+    """
+    dims, bounds = rotated.shape[1], bounds.copy()
+    found_q, found_r = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for start, end in ((0, FIRST_ROWS), (FIRST_ROWS, len(rotated))):
-        alive = np.arange(start, min(end, len(rotated)))
-        if not len(alive):
+        rows = rotated[start:end]
+        if not len(rows):
             continue
-        partial = np.zeros(len(alive))
-        for d in range(0, dims, COLUMN_BLOCK):
-            block = rotated[alive, d : d + COLUMN_BLOCK] - query[d : d + COLUMN_BLOCK]
+        partial = squared(queries[:, :COLUMN_BLOCK], rows[:, :COLUMN_BLOCK])
+        seen = min(dims, COLUMN_BLOCK)
+
+        def slack(seen: int) -> float:
+            return (1 + EPSILON / np.sqrt(seen)) ** 2 if seen < dims else 1 + 1e-9
+
+        q, r = np.nonzero(partial * (dims / seen) <= slack(seen) * bounds[:, None] + 1e-12)
+        partial = partial[q, r]
+        for d in range(COLUMN_BLOCK, dims, COLUMN_BLOCK):
+            block = rows[r, d : d + COLUMN_BLOCK] - queries[q, d : d + COLUMN_BLOCK]
             partial += np.einsum("ij,ij->i", block, block)
             seen = min(dims, d + COLUMN_BLOCK)
-            slack = (1 + EPSILON / np.sqrt(seen)) ** 2 if seen < dims else 1 + 1e-9
-            keep = partial * (dims / seen) <= slack * bound
-            alive, partial = alive[keep], partial[keep]
-            if not len(alive):
-                break
-        if len(alive) >= k:  # the k-th of these bounds what follows
-            bound = min(bound, float(np.partition(partial, k - 1)[k - 1]))
-        alive_all.append(alive)
-    return np.concatenate(alive_all) if alive_all else np.empty(0, np.int64)
+            keep = partial * (dims / seen) <= slack(seen) * bounds[q] + 1e-12
+            q, r, partial = q[keep], r[keep], partial[keep]
+        # The k-th of a query's rows bounds what follows.
+        order = np.lexsort((partial, q))
+        first = np.searchsorted(q[order], np.arange(len(queries)))
+        last = first + k - 1
+        full = np.flatnonzero(last < np.searchsorted(q[order], np.arange(len(queries)), side="right"))
+        bounds[full] = np.minimum(bounds[full], partial[order][last[full]] * (1 + 1e-9))
+        found_q.append(q)
+        found_r.append(r + start)
+    q, r = np.concatenate(found_q), np.concatenate(found_r)
+    order = np.argsort(q, kind="stable")
+    return q[order], r[order]
 
 
 def search_unit(vectors: np.ndarray, ids: list[list[int]], queries: np.ndarray, bounds: np.ndarray, k: int) -> list[tuple[int, int, float]]:
     """(query row, id, distance) of the k nearest ids to each query, ties to smaller ids."""
     turn = rotation(vectors.shape[1])
-    rotated, turned = vectors @ turn, queries @ turn
-    out = []
-    for q in range(len(queries)):
-        rows = scan(rotated, turned[q], k, bounds[q] * (1 + 1e-9))
-        diff = vectors[rows] - queries[q]
-        exact = np.sqrt((diff * diff).sum(1))
-        best = sorted((float(d), i) for d, r in zip(exact, rows) for i in ids[r])[:k]
-        out += [(q, i, d) for d, i in best]
+    rotated, turned, out = vectors @ turn, queries @ turn, []
+    step = max(1, (1 << 20) // max(1, len(vectors)))  # queries at a time
+    for at in range(0, len(queries), step):
+        q, r = scan(rotated, turned[at : at + step], k, bounds[at : at + step] * (1 + 1e-9))
+        diff = vectors[r] - queries[at + q]
+        exact = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+        order = np.lexsort((exact, q))
+        q, r, exact = q[order], r[order], exact[order]
+        cuts = np.searchsorted(q, np.arange(min(step, len(queries) - at) + 1))
+        for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if high - low > k:  # rows as far as the k-th are ties
+                high = low + int(np.searchsorted(exact[low:high], exact[low + k - 1], side="right"))
+            best = sorted((d, x) for d, row in zip(exact[low:high].tolist(), r[low:high].tolist()) for x in ids[row])[:k]
+            out += [(at + i, x, d) for d, x in best]
     return out
 
 
@@ -136,16 +188,15 @@ def nearest(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     total = classes.count()
     drawn = classes.orderBy(F.xxhash64("class"), "class").limit(sample).select("v").toArrow()
     x = _matrix(drawn.column("v"))
-    lists = int(min(MAX_LISTS, max(1, np.sqrt(total)), max(1, len(x) // 16)))
-    centers = kmeans(x, lists)
-    probe = probes_needed(x, centers, k, target_recall)
-    shared = table.sparkSession.sparkContext.broadcast((centers, x, squared(x, centers).argmin(1)))
+    lists = Lists.fitted(x, max(1, round(LISTS * total**0.5)))
+    known_homes = lists.homes(x)
+    probe = probes_needed(x, lists, known_homes, k, target_recall)
+    shared = table.sparkSession.sparkContext.broadcast((lists, x, known_homes))
 
     def assign(batches):
-        centers = shared.value[0]
         for b in batches:
             v = _matrix(b.column("v"))
-            home = np.concatenate([np.empty(0, np.int64), *(squared(v[i : i + 4096], centers).argmin(1) for i in range(0, len(v), 4096))])
+            home = shared.value[0].homes(v) if len(v) else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("class", "v", "ids")), pa.array(home, pa.int32())], names=["class", "v", "ids", "list"])
 
     homed = checkpointed(classes.mapInArrow(assign, "class long, v array<double>, ids array<long>, list int"))
@@ -156,37 +207,36 @@ def nearest(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     units = classes.join(asked.select("class").distinct(), "class").select("class", "v")
 
     def route(batches):
-        centers, known, homes = shared.value
+        lists, known, homes = shared.value
+        far = min(3 * (k + 1), len(known) - 1)
         for b in batches:
             v = _matrix(b.column("v"))
             if not len(v):
                 continue
-            order = np.argsort(squared(v, centers), 1, kind="stable")[:, :probe]
             # Lists that hold a query's nearest sampled rows are probed, too. The bound is of a rank
             # beyond k, so that the test's few wrong drops can't leave fewer than k results.
-            distance, lists_of, far = np.full(len(v), np.inf), [], min(3 * (k + 1), len(known) - 1)
-            for i in range(len(v)):
-                near = squared(v[i : i + 1], known)[0]
-                rows = np.argpartition(near, far)[: far + 1]
-                if far > k:
-                    distance[i] = near[rows].max()
-                lists_of.append(np.union1d(order[i], homes[rows]).astype(np.int32))
-            columns = [b.column("class"), b.column("v"), pa.array(distance), pa.array(lists_of, pa.list_(pa.int32()))]
+            distance, lists_of = [], []
+            for i in range(0, len(v), 128):
+                part = v[i : i + 128]
+                away, near = lists.distances(part), squared(part, known)
+                order = np.argpartition(away, probe - 1, 1)[:, :probe] if probe < away.shape[1] else np.tile(np.arange(away.shape[1]), (len(part), 1))
+                rows = np.argpartition(near, far, 1)[:, : far + 1]
+                distance.append(np.take_along_axis(near, rows, 1).max(1) if far > k else np.full(len(part), np.inf))
+                lists_of += [np.union1d(a, homes[r]).astype(np.int32) for a, r in zip(order, rows)]
+            columns = [b.column("class"), b.column("v"), pa.array(np.concatenate(distance)), pa.array(lists_of, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, names=["class", "v", "bound", "lists"])
 
     routed = checkpointed(units.mapInArrow(route, "class long, v array<double>, bound double, lists array<int>"))
     routed = routed.select("class", "v", "bound", F.explode("lists").alias("list"))
 
-    # Chunks of each list: as many as its rows and its queries need (at most MAX_LISTS numbers each).
-    n_rows = {r.list: -(-r["count"] // CHUNK_ROWS) for r in homed.groupBy("list").count().collect()}
-    n_asks = {r.list: -(-r["count"] // CHUNK_QUERIES) for r in routed.groupBy("list").count().collect()}
-
-    def per_list(numbers: dict[int, int]):
-        return F.element_at(F.array(*[F.lit(numbers.get(i, 1)) for i in range(lists)]), F.col("list") + 1)
+    # Chunks of each list, as many as its rows and its queries need: a small table, a row a list.
+    def chunks(rows: DataFrame, size: int, name: str) -> DataFrame:
+        return rows.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
 
-    row_chunks, ask_chunks = per_list(n_rows), per_list(n_asks)
-    left = homed.withColumn("rc", F.pmod(F.xxhash64("class"), row_chunks).cast("int")).withColumn("qc", F.explode(F.sequence(F.lit(0), ask_chunks - 1)))
-    right = routed.withColumn("qc", F.pmod(F.xxhash64("class"), ask_chunks).cast("int")).withColumn("rc", F.explode(F.sequence(F.lit(0), row_chunks - 1)))
+    plan = checkpointed(chunks(homed, CHUNK_ROWS, "rcs").join(chunks(routed, CHUNK_QUERIES, "qcs"), "list"))
+    own = F.xxhash64("class")
+    left = homed.join(plan, "list").withColumn("rc", F.pmod(own, "rcs").cast("int")).withColumn("qc", F.explode(F.sequence(F.lit(0), F.col("qcs") - 1)))
+    right = routed.join(plan, "list").withColumn("qc", F.pmod(own, "qcs").cast("int")).withColumn("rc", F.explode(F.sequence(F.lit(0), F.col("rcs") - 1)))
 
     def unit(rows: pa.Table, asks: pa.Table) -> pa.Table:
         out = []

@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from lodestride.llm import neighbors as S
 
@@ -41,7 +42,7 @@ def test_adaptive_scan_drops_rows_but_not_neighbours():
     turn, kept, hit = S.rotation(64), 0, 0
     assert np.allclose(turn @ turn.T, np.eye(64))
     for v in q:
-        rows = S.scan(x @ turn, v @ turn, 10, np.inf)
+        _, rows = S.scan(x @ turn, (v @ turn)[None], 10, np.array([np.inf]))
         true = np.argsort(((x - v) ** 2).sum(1))[:10]
         kept += len(rows)
         hit += len(np.intersect1d(rows, true))
@@ -62,3 +63,36 @@ def test_recall_on_embeddings(spark):
         assert len(mine) == 10 and (np.diff(mine.score) >= 0).all()
         hit += len(set(mine.vec_id) & set(ids[np.lexsort((ids, d))[:10]]))
     assert hit / (10 * len(queries)) >= 0.95
+
+
+def test_lists_are_sums_of_two_codebooks():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 6))
+    lists = S.Lists.fitted(x, 50)
+    centers = (lists.coarse[:, None, :] + lists.fine[None, :, :]).reshape(-1, 6)
+    assert 45 <= len(lists) <= 60 and np.allclose(lists.distances(x), S.squared(x, centers))
+    assert (lists.homes(x) == S.squared(x, centers).argmin(1)).all()
+
+
+def test_scan_of_many_queries_equals_one_by_one():
+    rng = np.random.default_rng(3)
+    x, q = rng.normal(size=(700, 40)), rng.normal(size=(30, 40))
+    bounds = np.full(30, np.inf)
+    many = S.scan(x, q, 5, bounds)
+    for i in range(30):
+        assert set(many[1][many[0] == i]) == set(S.scan(x, q[i : i + 1], 5, bounds[:1])[1])
+
+
+def test_recall_at_several_sizes(spark):
+    rng = np.random.default_rng(1)
+    centers = rng.normal(size=(60, 24))
+    for n in (2_000, 30_000):
+        x = centers[rng.integers(60, size=n)] + 0.6 * rng.normal(size=(n, 24))
+        table = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": list(x.astype(np.float64))}))
+        got = S.nearest(table, every=n // 40).toPandas()
+        hit = 0
+        for i in range(0, n, n // 40):
+            d = ((x - x[i]) ** 2).sum(1)
+            d[i] = np.inf
+            hit += len(set(got[got.query_id == i].vec_id) & set(np.argsort(d)[:10]))
+        assert hit / (10 * len(range(0, n, n // 40))) >= 0.95
