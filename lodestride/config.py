@@ -24,6 +24,7 @@ NEVER_SPENT_DAYS = 999
 EWMA_ALPHAS = (0.1, 0.3, 0.5, 0.7)
 TRAIN_PERCENT, VALID_PERCENT = 80, 90
 WINSOR_QUANTILE = 0.999
+QUANTILE_ACCURACY = 10_000  # rank error of at most 1 in so many; exact up to as many rows
 WEIGHT_CLIP = 10.0
 PROPENSITY_FLOOR = 1e-6
 SRM_CRITICAL = 10.8276  # chi-square, one degree of freedom, p = 0.001

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestride.config import TRAIN_PERCENT, VALID_PERCENT, WINSOR_QUANTILE
+from lodestride.config import QUANTILE_ACCURACY, TRAIN_PERCENT, VALID_PERCENT, WINSOR_QUANTILE
 from lodestride.functions.arms import md5_bucket
 
+LEAK = "action"  # the change of the multiplier is the label
+
 
 def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
     """Numeric features; ids, targets and columns of the next row are left out."""
@@ -20,16 +22,68 @@ def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     stats = df.agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(F.col(c).isNull().cast("long")).alias(f"{c}__null") for c in columns],
-        *[F.sum((F.coalesce(F.col(c).cast("double"), F.lit(1.0)) == 0).cast("long")).alias(f"{c}__zero") for c in columns],
+        *[F.sum((F.coalesce(F.col(c).try_cast("double"), F.lit(1.0)) == 0).cast("long")).alias(f"{c}__zero") for c in columns],
     )
     rows = stats.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col("n"), F.col(f"{c}__null").alias("nulls"), F.col(f"{c}__zero").alias("zeros")) for c in columns])).alias("r")).select("r.*")
     return rows.withColumn("dropped", (F.col("nulls") == F.col("n")) | (F.col("zeros") >= 0.99 * F.col("n")))
 
 
+def lower_cased(df: DataFrame) -> DataFrame:
+    """All column names in lower case, and userid as user_id."""
+    names = [c.lower() for c in df.columns]
+    return df.toDF(*["user_id" if c == "userid" and "user_id" not in names else c for c in names])
+
+
+def without_dead_columns(df: DataFrame, keep: tuple[str, ...] = ("user_id", "session_date")) -> DataFrame:
+    """``df`` without columns that are null throughout, or numeric and 0 in 99 % of the rows. Reads the table once, as the schema depends on it."""
+    dead = {r.name for r in column_profile(df, [c for c in df.columns if c not in keep]).where("dropped").collect()}  # names of columns
+    return df.drop(*dead)
+
+
+def selected(df: DataFrame, names: list[str], required: tuple[str, ...] = ()) -> DataFrame:
+    """Required columns and those named in the whitelist, in any case, in the order of ``df``; a column that gives away the label never passes."""
+    asked = {n.upper() for n in names} - {LEAK.upper()}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c in required or (c.upper() in asked and c != LEAK)])
+
+
+def without_leaks(names: list[str]) -> list[str]:
+    return [n for n in names if n.lower() != LEAK]
+
+
+def distinct_values(df: DataFrame, column: str, most: int = 100) -> list[str]:
+    """Values of a column of few values, ascending, without null; an error beyond ``most``."""
+    found = [r[0] for r in df.select(F.col(column).cast("string")).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return sorted(found)
+
+
+def encoded(df: DataFrame, keep: tuple[str, ...] = ("user_id", "difficulty_arm", "session_date")) -> DataFrame:
+    """All string columns one-hot by the values that are there (null gives 0 everywhere), timestamps dropped, numbers filled with 0."""
+    for f in list(df.schema.fields):
+        if f.name in keep:
+            continue
+        if isinstance(f.dataType, T.StringType):
+            df = one_hot(df, f.name, distinct_values(df, f.name)).drop(f.name)
+        elif isinstance(f.dataType, T.TimestampType | T.TimestampNTZType):
+            df = df.drop(f.name)
+    return df.fillna(0, subset=numeric_columns(df, exclude=keep)) if numeric_columns(df, exclude=keep) else df
+
+
+def sampled(df: DataFrame, fraction: float = 0.01, seed: int = 42) -> DataFrame:
+    """A Bernoulli sample without replacement."""
+    return df.sample(False, fraction, seed)
+
+
+def average_row_bytes(df: DataFrame) -> DataFrame:
+    """Rows and the average size of one as JSON."""
+    return df.agg(F.count(F.lit(1)).alias("n"), F.avg(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))).alias("avg_bytes"))
+
+
 def winsorized(df: DataFrame, column: str, quantile: float = WINSOR_QUANTILE) -> DataFrame:
-    """Values over the exact quantile are set to it."""
-    cap = df.agg(F.expr(f"percentile({column}, {quantile})")).first()[0]
-    return df.withColumn(column, F.least(F.col(column), F.lit(cap)))
+    """Values over the quantile (rank error of 1 in 10,000) are set to it; the cap is a scalar subquery."""
+    cap = df.agg(F.percentile_approx(column, F.lit(quantile), F.lit(QUANTILE_ACCURACY))).scalar()
+    return df.withColumn(column, F.least(F.col(column), cap))
 
 
 def filled(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -40,12 +94,12 @@ def filled(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def minmax_scaled(train: DataFrame, df: DataFrame, columns: list[str]) -> DataFrame:
     """[0, 1] by the minima and maxima of ``train`` alone, clipped; constant columns are 0."""
-    stats = train.agg(*[f(c).cast("double").alias(f"{c}__{f.__name__}") for c in columns for f in (F.min, F.max)]).first()
     out = {}
+    stats = train.agg(*[f(F.col(c).cast("double")).alias(f"{c}__{f.__name__}") for c in columns for f in (F.min, F.max)])
     for c in columns:
-        low, high = stats[f"{c}__min"], stats[f"{c}__max"]
-        flat = low is None or high == low
-        out[c] = F.lit(0.0) if flat else F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(c) - low) / (high - low)))
+        low, high = stats.select(f"{c}__min").scalar(), stats.select(f"{c}__max").scalar()
+        scaled = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(c) - low) / (high - low)))
+        out[c] = F.when(low.isNull() | (high == low), 0.0).otherwise(scaled)
     return df.withColumns(out)
 
 
@@ -72,9 +126,10 @@ def user_folds(df: DataFrame, k: int = 5, portable: bool = False) -> DataFrame:
 def stratified_split(df: DataFrame, value: str, bins: int = 5) -> DataFrame:
     """Users in quantile bins of their mean value, each bin dealt 80/10/10 by a hash of the user.
 
-    The bin bounds are a few exact quantiles, and a user's place needs no sort of all users.
+    The bin bounds are a few quantiles (rank error of 1 in 10,000), and a user's place needs no sort of all users.
     """
     users = df.groupBy("user_id").agg(F.round(F.avg(value), 6).alias("mean_value"))
-    bounds = users.agg(*[F.expr(f"percentile(mean_value, {i / bins})").alias(f"q{i}") for i in range(1, bins)]).first()
-    bin_no = sum((F.when(F.col("mean_value") > F.lit(b), 1).otherwise(0) for b in bounds), F.lit(1))
-    return users.withColumn("bin", bin_no).withColumn("split", split_of(md5_bucket(F.col("user_id"))))
+    at = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    bounds = users.agg(F.percentile_approx("mean_value", at, F.lit(QUANTILE_ACCURACY)).alias("q")).scalar()
+    users = users.withColumn("__q", bounds).withColumn("bin", F.aggregate("__q", F.lit(1), lambda n, q: n + F.when(F.col("mean_value") > q, 1).otherwise(0))).drop("__q")
+    return users.withColumn("split", split_of(md5_bucket(F.col("user_id"))))

@@ -1,9 +1,9 @@
 """Exponentially weighted averages of each user's earlier rows, without Python.
 
 y_1 = x_1, y_t = (1 - a) y_(t-1) + a x_t, shifted by one row; a null decays the weight of what
-came before, and the result is 0 where nothing has. The fold runs over a frame of at most
-``frame_rows`` rows: what lies further back weighs (1 - a)^frame_rows, which is below double
-precision for a >= 0.1 at the default, so memory is bounded for any history.
+came before, and the result is 0 where nothing has. Each row is a linear map y -> keep y + add, so
+rows are composed in blocks of BLOCK: a row folds the maps of whole blocks before its own and of the rows
+before it in its block. Every earlier row counts, however long the history; a fold has a step for each BLOCK of them.
 """
 
 from __future__ import annotations
@@ -13,34 +13,45 @@ from pyspark.sql import functions as F
 
 from lodestride.config import EWMA_ALPHAS
 
-FRAME_ROWS = 400
-
-
-def fold(history: Column, column: str, alpha: float) -> Column:
-    """EWMA of one field of an array of structs; null for no value."""
-
-    def step(state: Column, row: Column) -> Column:
-        x, mean = row[column].cast("double"), state["mean"]
-        old = state["weight"] * (1 - alpha)
-        new_mean = F.when(x.isNull(), mean).when(mean.isNull(), x).otherwise((old * mean + alpha * x) / (old + alpha))
-        return F.struct(new_mean.alias("mean"), F.when(x.isNull() & mean.isNotNull(), old).otherwise(F.lit(1.0)).alias("weight"))
-
-    start = F.struct(F.lit(None).cast("double").alias("mean"), F.lit(1.0).alias("weight"))
-    return F.aggregate(history, start, step)["mean"]
+BLOCK = 64
 
 
 def name_of(column: str, alpha: float) -> str:
-    return f"ewma_{column}_alpha{round(alpha * 10)}"
-
-
-def add_ewma(rows: DataFrame, columns: list[str], alphas: tuple[float, ...] = EWMA_ALPHAS, pairs: list[tuple[str, float]] | None = None, frame_rows: int = FRAME_ROWS) -> DataFrame:
-    """``rows`` with ewma_{column}_alpha{10 a} for all columns and alphas, or for ``pairs`` alone."""
-    wanted = pairs or [(c, a) for c in columns for a in alphas]
-    frame = Window.partitionBy("user_id").orderBy("session_date").rowsBetween(-frame_rows, -1)
-    used = list(dict.fromkeys(c for c, _ in wanted))
-    kept = rows.columns
-    rows = rows.withColumn("__history", F.collect_list(F.struct(*used)).over(frame))
-    return rows.select(*kept, *[F.coalesce(fold(F.col("__history"), c, a), F.lit(0.0)).alias(name_of(c, a)) for c, a in wanted])
+    """Tenths of alpha by their number, others with their digits: alpha3, alpha0_01."""
+    tenths = round(alpha * 10)
+    return f"ewma_{column}_alpha{tenths}" if abs(alpha * 10 - tenths) < 1e-9 else f"ewma_{column}_alpha{format(alpha, 'f').rstrip('0').replace('.', '_')}"
+
+
+def _step(column: str, alpha: float) -> Column:
+    """The map of a row: nothing for a null, the value itself for a user's first one."""
+    x, since = F.col(column).cast("double"), F.col("__rn") - F.col(f"__last_{column}")
+    old = F.pow(F.lit(1 - alpha), since)
+    weight = alpha / (old + alpha)
+    empty = x.isNull() | F.isnan(x)
+    keep = F.when(empty, 1.0).when(since.isNull(), 0.0).otherwise(1 - weight)
+    add = F.when(empty, 0.0).when(since.isNull(), x).otherwise(weight * x)
+    return F.struct(keep.alias("keep"), add.alias("add"))
+
+
+def add_ewma(rows: DataFrame, columns: list[str], alphas: tuple[float, ...] = EWMA_ALPHAS, pairs: list[tuple[str, float]] | None = None) -> DataFrame:
+    """``rows`` with an average (name_of) for all columns and alphas, or for ``pairs`` alone."""
+    wanted, kept = pairs or [(c, a) for c in columns for a in alphas], rows.columns
+    by_user = Window.partitionBy("user_id").orderBy("session_date")
+    earlier = by_user.rowsBetween(Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy("user_id", "__block").orderBy("__rn").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__rn", F.row_number().over(by_user) - 1)
+    used = dict.fromkeys(c for c, _ in wanted)
+    rows = rows.withColumns({f"__last_{c}": F.last(F.when(F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")), F.col("__rn")), ignorenulls=True).over(earlier) for c in used})
+    rows = rows.withColumn("__map", F.array(*[_step(c, a) for c, a in wanted])).withColumn("__block", F.floor(F.col("__rn") / BLOCK))
+    rows = rows.withColumn("__inside", F.collect_list("__map").over(in_block))
+    start = F.struct(F.lit(1.0).alias("keep"), F.lit(0.0).alias("add"))
+    both = lambda i: lambda s, m: F.struct((s["keep"] * m[i]["keep"]).alias("keep"), (s["add"] * m[i]["keep"] + m[i]["add"]).alias("add"))
+    whole = F.array(*[F.aggregate(F.concat("__inside", F.array("__map")), start, both(i)) for i in range(len(wanted))])
+    rows = rows.withColumn("__whole", F.when(F.col("__rn") % BLOCK == BLOCK - 1, whole))
+    rows = rows.withColumn("__before", F.collect_list("__whole").over(Window.partitionBy("user_id").orderBy("__rn").rowsBetween(Window.unboundedPreceding, -1)))
+    maps = F.concat("__before", "__inside")
+    value = lambda i: lambda y, m: y * m[i]["keep"] + m[i]["add"]
+    return rows.select(*kept, *[F.aggregate(maps, F.lit(0.0), value(i)).alias(name_of(c, a)) for i, (c, a) in enumerate(wanted)])
 
 
 def compare(stored: DataFrame, recomputed: DataFrame, columns: list[str], tolerance: float = 1e-10) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -62,7 +62,7 @@ def propensity_pipeline(features: list[str], scaled: bool = False) -> Pipeline:
     if scaled:
         stages.append(StandardScaler(inputCol="raw_features", outputCol="scaled_features", withMean=True))
         column = "scaled_features"
-    learner = LogisticRegression(featuresCol=column, labelCol="label", maxIter=50)
+    learner = LogisticRegression(featuresCol=column, labelCol="label", maxIter=500 if scaled else 50)
     return Pipeline(stages=[*stages, learner.setWeightCol("weight") if scaled else learner])
 
 
@@ -73,6 +73,12 @@ def balanced_weights(rows: DataFrame) -> DataFrame:
     return rows.join(counts, "difficulty_arm").withColumn("weight", F.lit(total) / (k * F.col("count"))).drop("count")
 
 
+def logged_propensities(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """``rows`` with label, the probability of each label, and logged_propensity, that of the arm taken."""
+    scored = model.transform(rows).withColumn("label", F.col("label").cast("int")).withColumn("probabilities", vector_to_array("probability"))
+    return scored.select(*rows.columns, "label", "probabilities", F.try_element_at("probabilities", F.col("label") + 1).alias("logged_propensity"))
+
+
 def forest_propensities(train: DataFrame, rows: DataFrame, features: list[str], trees: int = 100, depth: int = 10) -> DataFrame:
     """``rows`` with pscore, the floored probability of the arm taken, by a forest on ``train``."""
     model = RandomForestClassifier(featuresCol="__x", labelCol="arm", numTrees=trees, maxDepth=depth, seed=SEED).fit(_assembled(train, features))
@@ -81,7 +87,7 @@ def forest_propensities(train: DataFrame, rows: DataFrame, features: list[str],
     return scored.select(*rows.columns, F.greatest(p, F.lit(PROPENSITY_FLOOR)).alias("pscore"))
 
 
-def reward_models(train: DataFrame, rows: DataFrame, features: list[str], least_rows: int = 10, trees: int = 20, depth: int = 5) -> DataFrame:
+def reward_models(train: DataFrame, rows: DataFrame, features: list[str], least_rows: int = 10, trees: int = 100, depth: int = 10) -> DataFrame:
     """``rows`` with qhat, the expected reward of each arm; the global mean for arms with few rows."""
     mean = train.agg(F.avg("reward")).first()[0] or 0.0
     counts = {r.arm: r["count"] for r in train.groupBy("arm").count().collect()}

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestride.config import ARMS, PROPENSITY_FLOOR, WEIGHT_CLIP
+from lodestride.config import ARMS, PROPENSITY_FLOOR, QUANTILE_ACCURACY, WEIGHT_CLIP
 from lodestride.functions.arms import array_total, uniform_policy
 
 
@@ -18,53 +18,64 @@ def arm_mean_q(rows: DataFrame) -> DataFrame:
     arms = rows.sparkSession.range(len(ARMS)).select(F.col("id").cast("int").alias("arm"))
     means = rows.groupBy(F.col("arm").cast("int").alias("arm")).agg(F.avg("reward").alias("q"), F.count("reward").alias("n"), F.sum("reward").alias("s"))
     joined = arms.join(means, "arm", "left").select("arm", "q", F.coalesce("n", F.lit(0)).alias("n"), "s")
-    total = joined.agg(F.sum("s") / F.sum("n")).first()[0]  # one number of five rows
-    return joined.select("arm", F.coalesce("q", F.lit(total)).alias("q"), "n")
+    # Five rows become one and five again, so the global mean needs no second pass.
+    whole = joined.agg(F.collect_list(F.struct("arm", "q", "n")).alias("arms"), F.try_divide(F.sum("s"), F.sum("n")).alias("mean"))
+    return whole.select(F.explode("arms").alias("a"), "mean").select("a.arm", F.coalesce("a.q", "mean").alias("q"), "a.n")
 
 
-def weighted(rows: DataFrame, clip: float | None = WEIGHT_CLIP) -> DataFrame:
-    """Rows with the target probability, weight w, q of the arm and the expectation v of q under the target."""
-    q = F.array(*[F.lit(r.q) for r in arm_mean_q(rows).orderBy("arm").collect()])  # five values
+def with_weights(rows: DataFrame, clip: float | None = WEIGHT_CLIP) -> DataFrame:
+    """Rows with pi, the target probability of the arm taken, and its weight, clipped and not."""
     if "pi" not in rows.columns:
         rows = rows.withColumn("pi", uniform_policy(F.col("multiplier")))
     target = F.element_at("pi", F.col("arm").cast("int") + 1)
     w = target / F.col("pi_old")
-    return rows.select(
-        "*",
-        target.alias("pi_target"),
-        w.alias("raw_w"),
-        (F.least(w, F.lit(clip)) if clip else w).alias("w"),
-        F.element_at(q, F.col("arm").cast("int") + 1).alias("q_obs"),
-        array_total(F.zip_with("pi", q, lambda p, x: p * x)).alias("v"),
-    )
+    return rows.select("*", target.alias("pi_target"), w.alias("raw_w"), (F.least(w, F.lit(clip)) if clip else w).alias("w"))
 
 
-def _estimates() -> list:
-    return [
-        F.count(F.lit(1)).alias("n"),
-        F.avg(F.col("w") * F.col("reward")).alias("ips"),
-        (F.sum(F.col("w") * F.col("reward")) / F.sum("w")).alias("snips"),
-        F.avg(F.col("v") + F.col("w") * (F.col("reward") - F.col("q_obs"))).alias("dr"),
-        F.avg("reward").alias("baseline"),
-    ]
+def weighted(rows: DataFrame, clip: float | None = WEIGHT_CLIP) -> DataFrame:
+    """As with_weights, with q of the arm and the expectation v of q under the target; q comes from a scalar subquery."""
+    means = arm_mean_q(rows).agg(F.transform(F.array_sort(F.collect_list(F.struct("arm", "q"))), lambda x: x["q"]).alias("q"))
+    ready = with_weights(rows, clip).withColumn("__q", means.scalar())
+    ready = ready.withColumn("q_obs", F.element_at("__q", F.col("arm").cast("int") + 1))
+    return ready.withColumn("v", array_total(F.zip_with("pi", "__q", lambda p, x: p * x))).drop("__q")
 
 
 def estimators(rows: DataFrame, clip: float | None = WEIGHT_CLIP, by: str | None = None) -> DataFrame:
-    """IPS, SNIPS and DR, in one aggregation; per group with ``by``."""
-    ready = weighted(rows, clip)
-    return (ready.groupBy(by) if by else ready.groupBy()).agg(*_estimates())
+    """IPS, SNIPS and DR, in one pass over the rows; per group with ``by``.
+
+    All that the estimators need are sums for each arm and target vector (160 for the uniform target), so q and v are found
+    from these, which become one row.
+    """
+    ready = with_weights(rows, clip)
+    sums = {"n": F.count(F.lit(1)), "nr": F.count("reward"), "r": F.sum("reward"), "w": F.sum("w"), "wr": F.sum(F.col("w") * F.col("reward"))}
+    key = F.col(by) if by else F.lit(0)
+    cells = ready.groupBy(key.alias("by"), F.col("arm").cast("int").alias("arm"), "pi").agg(*[c.alias(k) for k, c in sums.items()])
+    whole = cells.agg(F.collect_list(F.struct("by", "arm", "pi", *sums)).alias("cells"))
+    total = lambda field, arm=None: F.aggregate(F.filter("cells", lambda c: c["arm"] == arm) if arm is not None else F.col("cells"), F.lit(0.0), lambda s, c: s + F.coalesce(c[field].cast("double"), F.lit(0.0)))
+    q = F.array(*[F.coalesce(F.try_divide(total("r", i), total("nr", i)), F.try_divide(total("r"), total("nr"))) for i in range(len(ARMS))])
+    flat = whole.withColumn("q", q).select("q", F.explode("cells").alias("c")).select("q", "c.*")
+    v = array_total(F.zip_with("pi", "q", lambda p, x: p * x))
+    dr = F.col("n") * v + F.col("wr") - F.element_at("q", F.col("arm") + 1) * F.col("w")
+    out = flat.withColumn("dr", dr).groupBy("by").agg(
+        F.sum("n").alias("n"),
+        F.try_divide(F.sum("wr"), F.sum("nr")).alias("ips"),
+        F.try_divide(F.sum("wr"), F.sum("w")).alias("snips"),
+        F.try_divide(F.sum("dr"), F.sum("n")).alias("dr"),
+        F.try_divide(F.sum("r"), F.sum("nr")).alias("baseline"),
+    )
+    return out.withColumnRenamed("by", by) if by else out.drop("by")
 
 
 def ess_diagnostics(rows: DataFrame) -> DataFrame:
-    """Effective sample size, weight quantiles, clip rates at 10, 20, 50 and 100, counts over 50 and 100."""
-    ready = weighted(rows, None)
+    """Effective sample size, weight quantiles (rank error of 1 in 10,000), clip rates at 10, 20, 50 and 100, counts over 50 and 100."""
+    ready = with_weights(rows, None)
     w = F.col("raw_w")
     ess = F.sum(w) * F.sum(w) / F.sum(w * w)
     return ready.agg(
         F.count(F.lit(1)).alias("n"),
         ess.alias("ess"),
         (ess / F.count(F.lit(1))).alias("ess_ratio"),
-        *[F.expr(f"percentile(raw_w, {p / 100})").alias(f"w_p{p}") for p in (5, 50, 90, 99)],
+        *[F.percentile_approx("raw_w", F.lit(p / 100), F.lit(QUANTILE_ACCURACY)).alias(f"w_p{p}") for p in (5, 50, 90, 99)],
         *[F.avg((w > c).cast("double")).alias(f"clip_rate_{c}") for c in (10, 20, 50, 100)],
         F.max(w).alias("w_max"),
         F.sum((w > 50).cast("long")).alias("n_over_50"),
@@ -82,7 +93,7 @@ def dr_mean_q(rows: DataFrame) -> DataFrame:
 
 def ips_policy(rows: DataFrame) -> DataFrame:
     """IPS of the target policy with propensities floored."""
-    ready = weighted(rows, None)
+    ready = with_weights(rows, None)
     return ready.agg(F.avg(F.col("pi_target") / F.greatest("pi_old", F.lit(PROPENSITY_FLOOR)) * F.col("reward")).alias("ips"), F.count(F.lit(1)).alias("n"))
 
 
@@ -99,6 +110,13 @@ def input_checks(rows: DataFrame) -> DataFrame:
     )
 
 
+def uid_rate(parsed: DataFrame) -> DataFrame:
+    """Share of parsed records with a user id, and how many lack one."""
+    missing = F.sum(F.col("uid").isNull().cast("long"))
+    n = F.count(F.lit(1))
+    return parsed.agg(n.alias("n"), F.coalesce(F.try_divide(n - missing, n), F.lit(0.0)).alias("success_rate"), F.coalesce(missing, F.lit(0)).alias("missing"))
+
+
 def coverage(rows: DataFrame) -> DataFrame:
     """Arm counts and shares with entropy, population deviation, balance and rare arms; arms without rows stay."""
     arms = rows.sparkSession.range(len(ARMS)).select(F.col("id").cast("int").alias("arm"))
@@ -118,32 +136,50 @@ def coverage(rows: DataFrame) -> DataFrame:
     )
 
 
-def bootstrap(rows: DataFrame, replicates: int = 200, clip: float | None = WEIGHT_CLIP, seed: int = 42, alpha: float = 0.05) -> DataFrame:
-    """Cluster bootstrap by user: SNIPS and DR with mean, population deviation and percentile bounds.
+def scale_factor(dr: float, loss: float) -> float:
+    """Factor from a learner's (negative) loss to the scale of rewards."""
+    if loss >= 0:
+        raise ValueError(f"the loss must be negative, not {loss}")
+    return dr / -loss
 
-    Each user's sufficient statistics get Poisson(1) weights from a hash of user, replicate and
-    seed, so a replicate is one weighted sum and any partitioning gives the same numbers.
-    """
+
+# Bootstrap: weights are Poisson(1), drawn from 16 bits of an md5, eight replicates a digest.
+DRAWS, LEVELS = 8, 65536
+
+
+def poisson_steps() -> list[float]:
+    """Distribution function of Poisson(1), as far as 16 bits tell it from 1."""
+    steps, p, total = [], 0.36787944117144233, 0.0
+    for k in range(9):
+        total += p
+        steps.append(total)
+        p /= k + 1
+    return steps
+
+
+def replicate_sums(rows: DataFrame, replicates: int, clip: float | None, seed: int, by: str | None = None) -> DataFrame:
+    """(by, replicate, n, sw, swr, sdr): weighted sums of per-user statistics; a replicate's weights depend on user, replicate and seed alone."""
     ready = weighted(rows, clip)
-    per_user = ready.groupBy("user_id").agg(
+    per_user = ready.groupBy(*([by] if by else []), "user_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("w").alias("sw"),
         F.sum(F.col("w") * F.col("reward")).alias("swr"),
         F.sum(F.col("v") + F.col("w") * (F.col("reward") - F.col("q_obs"))).alias("sdr"),
     )
-    u = (F.pmod(F.xxhash64("user_id", "replicate", F.lit(seed)), F.lit(1 << 30)) + 0.5) / F.lit(float(1 << 30))
-    # Poisson(1) distribution function, as far as a double tells it from 1.
-    steps, p, total = [], 0.36787944117144233, 0.0
-    for k in range(14):
-        total += p
-        steps.append(total)
-        p /= k + 1
-    times = F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= F.col("u")))
-    drawn = per_user.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("u", u).withColumn("k", times)
-    each = drawn.groupBy("replicate").agg(
-        (F.sum(F.col("k") * F.col("swr")) / F.sum(F.col("k") * F.col("sw"))).alias("snips"), (F.sum(F.col("k") * F.col("sdr")) / F.sum(F.col("k") * F.col("n"))).alias("dr")
-    )
-    long = each.select(F.explode(F.array(*[F.struct(F.lit(e).alias("estimator"), F.col(e).alias("x")) for e in ("snips", "dr")])).alias("r"))
+    digest = F.md5(F.concat_ws("_", F.col("user_id").cast("string"), F.col("block").cast("string"), F.lit(str(seed))))
+    drawn = per_user.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(-(-replicates // DRAWS) - 1)))).withColumn("digest", digest)
+    drawn = drawn.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(DRAWS - 1)))).withColumn("replicate", F.col("block") * DRAWS + F.col("draw"))
+    u = (F.conv(F.substring(F.col("digest"), F.col("draw") * 4 + 1, F.lit(4)), 16, 10).cast("int") + 0.5) / LEVELS
+    k = sum(((F.col("u") >= x).cast("int") for x in poisson_steps()[1:]), (F.col("u") >= poisson_steps()[0]).cast("int"))
+    drawn = drawn.where(F.col("replicate") < replicates).withColumn("u", u).withColumn("k", k)
+    return drawn.groupBy(*([by] if by else []), "replicate").agg(*[F.sum(F.col("k") * F.col(c)).alias(c) for c in ("n", "sw", "swr", "sdr")])
+
+
+def bootstrap(rows: DataFrame, replicates: int = 1000, clip: float | None = WEIGHT_CLIP, seed: int = 42, alpha: float = 0.05) -> DataFrame:
+    """Cluster bootstrap by user: IPS, SNIPS and DR with mean, population deviation and percentile bounds."""
+    each = replicate_sums(rows, replicates, clip, seed)
+    of = {"ips": F.try_divide("swr", "n"), "snips": F.try_divide("swr", "sw"), "dr": F.try_divide("sdr", "n")}
+    long = each.select(F.explode(F.array(*[F.struct(F.lit(e).alias("estimator"), x.alias("x")) for e, x in of.items()])).alias("r"))
     return long.groupBy("r.estimator").agg(
         F.avg("r.x").alias("mean"),
         F.stddev_pop("r.x").alias("std"),
@@ -151,3 +187,11 @@ def bootstrap(rows: DataFrame, replicates: int = 200, clip: float | None = WEIGH
         F.expr(f"percentile(r.x, {1 - alpha / 2})").alias("high"),
         F.count("r.x").alias("replicates"),
     )
+
+
+def lift_interval(rows: DataFrame, replicates: int = 10_000, clip: float | None = WEIGHT_CLIP, seed: int = 42, alpha: float = 0.05) -> DataFrame:
+    """Percentile bounds of DR of treatment less DR of control (column grp), users drawn with repeats in each group."""
+    each = replicate_sums(rows, replicates, clip, seed, "grp")
+    of = lambda g: F.max(F.when(F.col("grp") == g, F.try_divide("sdr", "n")))
+    lift = each.groupBy("replicate").agg((of("treatment") - of("control")).alias("x"))
+    return lift.agg(F.expr(f"percentile(x, {alpha / 2})").alias("ci_low"), F.expr(f"percentile(x, {1 - alpha / 2})").alias("ci_high"), F.count("x").alias("replicates"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestride.config import DELTAS, NAMESPACES, OTHER_NAMESPACE
-from lodestride.functions.arms import feasible_flags, propensity_vector
+from lodestride.functions.arms import feasible_flags, normalized, propensity_vector
 
 
 def namespace_of(name: str) -> str:
@@ -43,25 +43,39 @@ def _features(columns: list[str], single_namespace: str | None) -> Column:
     return F.concat_ws(" ", *parts)
 
 
-def cb_adf_records(rows: DataFrame, features: list[str], online: bool = False) -> DataFrame:
-    """user_id, session_date and record, from rows with arm, reward, multiplier and pi_old.
+def cb_adf_records(rows: DataFrame, features: list[str], form: str = "train") -> DataFrame:
+    """user_id, session_date and record. Forms:
 
-    Only the chosen arm is labelled, with index:-reward:propensity; ``online`` puts all features
-    in one namespace and labels the other arms with cost 0.
+    train: only the chosen arm is labelled, with index:-reward:propensity; needs arm, reward, multiplier and pi_old.
+    legacy: the same, with the probabilities in an array column ``probs`` (null: 1e-6), normalised, and no user id.
+    online: all features in one namespace, every arm labelled (cost 0 but for the chosen one); needs arm, reward, probs (null: 0.2).
+    prediction: arms by their index, without labels; needs multiplier.
     """
-    feasible, probabilities = feasible_flags(F.col("multiplier")), propensity_vector(F.col("multiplier"), F.col("arm"), F.col("pi_old"))
-    rows = rows.withColumn("__f", feasible).withColumn("__p", probabilities)
-    uid = F.concat(F.lit("  # uid:"), F.col("user_id").cast("string"))
-    shared = F.concat(F.lit("shared "), _features(features, "f" if online else None), F.when(F.col("user_id").cast("long").isNotNull(), uid).otherwise(""))
+    if form not in ("train", "legacy", "online", "prediction"):
+        raise ValueError(f"unknown form {form}")
+    if form == "train":
+        rows = rows.withColumn("__p", propensity_vector(F.col("multiplier"), F.col("arm"), F.col("pi_old")))
+    elif form != "prediction":
+        given = F.transform(F.sequence(F.lit(1), F.lit(len(DELTAS))), lambda i: F.coalesce(F.try_element_at("probs", i.cast("int")), F.lit(0.2 if form == "online" else 1e-6)))
+        rows = rows.withColumn("__p", given if form == "online" else normalized(given, given))
+    rows = rows.withColumn("__f", feasible_flags(F.col("multiplier"))) if form != "online" else rows
+    shared = F.concat(F.lit("shared "), _features(features, "f" if form == "online" else None))
+    if form == "train":
+        uid = F.concat(F.lit("  # uid:"), F.col("user_id").cast("string"))
+        shared = F.concat(shared, F.when(F.col("user_id").try_cast("long").isNotNull(), uid).otherwise(""))
     lines = [shared]
     for i, delta in enumerate(DELTAS):
-        p = F.element_at("__p", i + 1)
-        context = F.concat(
-            F.lit(f"|a arm:{i} delta:{delta:.2f} |c mult:"), F.format_string("%.2f", F.col("multiplier")), F.lit(" feasible:"), F.element_at("__f", i + 1).cast("int").cast("string")
-        )
-        chosen = F.concat(F.lit(f"{i}:"), F.format_string("%.4f", -F.col("reward")), F.lit(":"), F.format_string("%.6f", p), F.lit(" "))
-        other = F.concat(F.lit(f"{i}:0.0000:"), F.format_string("%.6f", p), F.lit(" ")) if online else F.lit("")
-        lines.append(F.concat(F.when(F.col("arm") == i, chosen).otherwise(other), context))
+        context = F.lit(f"|a arm:{i}")
+        if form != "online":
+            flag = F.element_at("__f", i + 1).cast("int").cast("string")
+            context = F.concat(F.lit(f"|a arm:{i} delta:{delta:.2f} |c mult:"), F.format_string("%.2f", F.col("multiplier")), F.lit(" feasible:"), flag)
+        if form == "prediction":
+            label = F.lit(f"{i} ")
+        else:
+            p = F.format_string("%.6f", F.element_at("__p", i + 1))
+            chosen = F.concat(F.lit(f"{i}:"), F.format_string("%.4f", -F.col("reward")), F.lit(":"), p, F.lit(" "))
+            label = F.when(F.col("arm") == i, chosen).otherwise(F.concat(F.lit(f"{i}:0:"), p, F.lit(" ")) if form == "online" else F.lit(""))
+        lines.append(F.concat(label, context))
     return rows.select("user_id", "session_date", F.concat(F.array_join(F.array(*lines), "\n"), F.lit("\n")).alias("record"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestride.config import ARMS, DELTAS, EPS, HIGH, LOW
+from lodestride.config import ARMS, DELTAS, EPS, HIGH, LOW, QUANTILE_ACCURACY
 from lodestride.functions import arms as A
 from lodestride.operators import actions, cleaning, daily, decisions, ewma, features, models, ope, records
 from lodestride.plans import register
@@ -42,9 +42,13 @@ def bandit_table(spark: SparkSession, d: str) -> DataFrame:
     return actions.bandit_dataset(daily_table(spark, d), arm_table(spark, d))
 
 
-def observations(spark: SparkSession, d: str) -> DataFrame:
-    """Rows for off-policy evaluation, with a stand-in for the logged propensity."""
-    return bandit_table(spark, d).select(
+def observations(spark: SparkSession, d: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Rows for off-policy evaluation, with a stand-in for the logged propensity, and ``extra`` columns of the dataset."""
+    return observed(bandit_table(spark, d), extra)
+
+
+def observed(table: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    return table.select(
         "user_id",
         "session_date",
         "day_no",
@@ -52,6 +56,7 @@ def observations(spark: SparkSession, d: str) -> DataFrame:
         F.col("next_day_reward").alias("reward"),
         F.expr(PI_OLD).alias("pi_old"),
         F.col("current_effectivelevelmultiplier").alias("multiplier"),
+        *extra,
     )
 
 
@@ -97,7 +102,7 @@ def reward_filter(spark, d):
     return rounded(bandit_table(spark, d).select("user_id", "session_date", "next_day_reward").where("next_day_reward >= 0"))
 
 
-@register("winsorize", dates=("session_date",), oracle=f"{BANDIT} SELECT user_id, session_date, round(least(next_day_reward, (SELECT quantile_cont(next_day_reward, 0.999) FROM bandit)), 4) AS next_day_reward FROM bandit")
+@register("winsorize", dates=("session_date",), oracle=f"{BANDIT} SELECT user_id, session_date, round(least(next_day_reward, (SELECT quantile_disc(next_day_reward, 0.999) FROM bandit)), 4) AS next_day_reward FROM bandit")
 def winsorize(spark, d):
     return rounded(cleaning.winsorized(bandit_table(spark, d).select("user_id", "session_date", "next_day_reward"), "next_day_reward"), 4)
 
@@ -113,14 +118,29 @@ def fill_features(spark, d):
 @register("project_selected", dates=("session_date",), oracle=f"{BANDIT} SELECT user_id, session_date, difficulty_arm, {r('next_day_reward', 'next_day_reward')}, {r('completion_rate', 'completion_rate')} FROM bandit")
 def project_selected(spark, d):
     """Projection by a case-insensitive whitelist; action leaks the label and never passes."""
-    table, asked = bandit_table(spark, d), {"COMPLETION_RATE", "ACTION"}
-    chosen = [c for c in table.columns if c.upper() in asked and c != "action"]
-    return rounded(table.select("user_id", "session_date", "difficulty_arm", "next_day_reward", *chosen))
+    return rounded(cleaning.selected(bandit_table(spark, d), ["COMPLETION_RATE", "ACTION"], ("user_id", "session_date", "difficulty_arm", "next_day_reward")))
 
 
 @register("one_hot", dates=("session_date",), oracle=f"{DAILY} SELECT user_id, session_date, CAST(coalesce(user_segment = 'casual', FALSE) AS INT) AS user_segment_casual, CAST(coalesce(user_segment = 'core', FALSE) AS INT) AS user_segment_core FROM daily")
 def one_hot(spark, d):
-    return cleaning.one_hot(daily_table(spark, d).select("user_id", "session_date", "user_segment"), "user_segment", ["casual", "core"]).drop("user_segment")
+    return cleaning.encoded(daily_table(spark, d).select("user_id", "session_date", "user_segment", "day_start_ts"))
+
+
+@register("lower_case_columns", dates=("session_date",), oracle=f"{GAME} SELECT user_id, event_name, session_date FROM game WHERE event_name = 'levelEnded'")
+def lower_case_columns(spark, d):
+    rows = game_events(spark, d).where("event_name = 'levelEnded'")
+    return cleaning.lower_cased(rows.select(F.col("user_id").alias("USERID"), F.col("event_name").alias("EVENT_NAME"), F.col("session_date").alias("Session_Date")))
+
+
+@register("drop_dead_columns", dates=("session_date",), oracle=f"{DAILY} SELECT user_id, session_date, round(daily_spend_real, 6) AS daily_spend_real, levels_failed FROM daily")
+def drop_dead_columns(spark, d):
+    rows = daily_table(spark, d).select("user_id", "session_date", "daily_spend_real", "levels_failed", F.lit(None).cast("double").alias("nothing"), F.lit(0).alias("zero"))
+    return rounded(cleaning.without_dead_columns(rows))
+
+
+@register("sample_rows")
+def sample_rows(spark, d):
+    return cleaning.sampled(game_events(spark, d).select("event_id", "user_id"), 0.01, 42)
 
 
 @register("inference_day", dates=("session_date",), oracle=f"{DAILY} SELECT user_id, session_date, daily_event_count FROM daily WHERE session_date = DATE '2024-01-15'")
@@ -160,7 +180,7 @@ def minmax_train(spark, d):
 @register(
     "stratified_split",
     f"""{DAILY}, u AS (SELECT user_id, round(avg(daily_session_count), 6) AS mean_value FROM daily GROUP BY user_id),
-    b AS (SELECT {', '.join(f'quantile_cont(mean_value, {i / 5}) AS q{i}' for i in range(1, 5))} FROM u)
+    b AS (SELECT {', '.join(f'quantile_disc(mean_value, {i / 5}) AS q{i}' for i in range(1, 5))} FROM u)
     SELECT user_id, mean_value, 1 + {' + '.join(f'CAST(mean_value > q{i} AS INT)' for i in range(1, 5))} AS bin, {SPLIT.format(BUCKET.format('CAST(user_id AS VARCHAR)'))} AS split FROM u, b""",
 )
 def stratified_split(spark, d):
@@ -175,11 +195,14 @@ def union_days(spark, d):
     return now.unionByName(before, allowMissingColumns=True)
 
 
-@register("row_size", f"{DAILY} SELECT count(*) AS n, round(avg(length(CAST(user_id AS VARCHAR)) + length(CAST(daily_event_count AS VARCHAR)) + 33), 4) AS avg_bytes FROM daily")
+SIZED = ("event_id", "user_id", "event_type", "props")
+PAIR = "length('\"{0}\":') + length(CAST({0} AS VARCHAR)) + {1}"
+
+
+@register("row_size", "SELECT count(*) AS n, round(avg(1 + " + " + ".join(PAIR.format(c, 3 if c == "event_type" else 1 if c != "props" else "3 + len(props) - len(replace(props, chr(34), ''))") for c in SIZED) + "), 4) AS avg_bytes FROM events")
 def row_size(spark, d):
     """Average size of rows as JSON, for planning output files."""
-    rows = daily_table(spark, d).select("user_id", "daily_event_count")
-    return rows.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.length(F.to_json(F.struct("*")))), 4).alias("avg_bytes"))
+    return rounded(cleaning.average_row_bytes(spark.read.parquet(f"{d}/events.parquet").select(*SIZED)), 4)
 
 
 # Aggregates -----------------------------------------------------------------------------------
@@ -232,15 +255,15 @@ def reward_stats(spark, d):
     return bandit_table(spark, d).agg(*_stats("next_day_reward"))
 
 
-@register("propensity_stats", f"{OPE} SELECT {STATS.format('pi_old')}, round(quantile_cont(pi_old, 0.01), 6) AS p01 FROM obs")
+@register("propensity_stats", f"{OPE} SELECT {STATS.format('pi_old')}, round(quantile_disc(pi_old, 0.01), 6) AS p01 FROM obs")
 def propensity_stats(spark, d):
-    return observations(spark, d).agg(*_stats("pi_old"), F.round(F.expr("percentile(pi_old, 0.01)"), 6).alias("p01"))
+    return observations(spark, d).agg(*_stats("pi_old"), F.round(F.percentile_approx("pi_old", F.lit(0.01), F.lit(QUANTILE_ACCURACY)), 6).alias("p01"))
 
 
-@register("global_thresholds", f"{BANDIT} SELECT round(quantile_cont(daily_play_duration_seconds, 0.5), 4) AS play_median, round(quantile_cont(daily_spend_coins, 0.9), 4) AS spend_p90 FROM bandit")
+@register("global_thresholds", f"{BANDIT} SELECT round(quantile_disc(daily_play_duration_seconds, 0.5), 4) AS play_median, round(quantile_disc(daily_spend_coins, 0.9), 4) AS spend_p90 FROM bandit")
 def global_thresholds(spark, d):
     return bandit_table(spark, d).agg(
-        F.round(F.expr("percentile(daily_play_duration_seconds, 0.5)"), 4).alias("play_median"), F.round(F.expr("percentile(daily_spend_coins, 0.9)"), 4).alias("spend_p90")
+        F.round(F.percentile_approx("daily_play_duration_seconds", F.lit(0.5), F.lit(QUANTILE_ACCURACY)), 4).alias("play_median"), F.round(F.percentile_approx("daily_spend_coins", F.lit(0.9), F.lit(QUANTILE_ACCURACY)), 4).alias("spend_p90")
     )
 
 
@@ -388,7 +411,7 @@ def ips_policy(spark, d):
 @register(
     "ess_diagnostics",
     f"""{OPE} SELECT count(*) AS n, round(sum(raw_w) * sum(raw_w) / sum(raw_w * raw_w), 6) AS ess, round(sum(raw_w) * sum(raw_w) / sum(raw_w * raw_w) / count(*), 6) AS ess_ratio,
-    {', '.join(f'round(quantile_cont(raw_w, {p / 100}), 6) AS w_p{p}' for p in (5, 50, 90, 99))}, {', '.join(f'round(avg(CASE WHEN raw_w > {c} THEN 1.0 ELSE 0.0 END), 6) AS clip_rate_{c}' for c in (10, 20, 50, 100))},
+    {', '.join(f'round(quantile_disc(raw_w, {p / 100}), 6) AS w_p{p}' for p in (5, 50, 90, 99))}, {', '.join(f'round(avg(CASE WHEN raw_w > {c} THEN 1.0 ELSE 0.0 END), 6) AS clip_rate_{c}' for c in (10, 20, 50, 100))},
     round(max(raw_w), 6) AS w_max, count(*) FILTER (WHERE raw_w > 50) AS n_over_50, count(*) FILTER (WHERE raw_w > 100) AS n_over_100 FROM w""",
 )
 def ess_diagnostics(spark, d):
@@ -410,20 +433,49 @@ def coverage(spark, d):
     return rounded(ope.coverage(observations(spark, d)))
 
 
-@register("bootstrap_ope")
+STEPS = " + ".join(f"CAST(u >= {x!r} AS INT)" for x in ope.poisson_steps())
+
+
+def replicates_sql(replicates: int, by: str = "1") -> str:
+    """Weighted sums of each replicate, as common table expressions after OPE."""
+    return f"""users AS (SELECT {by} AS grp, user_id, count(*) AS n, sum(w) AS sw, sum(w * reward) AS swr, sum(v + w * (reward - q_obs)) AS sdr FROM w GROUP BY 1, 2),
+    drawn AS (SELECT *, (('0x' || substr(md5(CAST(user_id AS VARCHAR) || '_' || CAST(replicate // 8 AS VARCHAR) || '_42'), CAST(1 + 4 * (replicate % 8) AS INT), 4))::INT + 0.5::DOUBLE) / 65536 AS u FROM users, range({replicates}) t(replicate)),
+    weighed AS (SELECT *, {STEPS} AS k FROM drawn),
+    sums AS (SELECT grp, replicate, sum(k * n) AS n, sum(k * sw) AS sw, sum(k * swr) AS swr, sum(k * sdr) AS sdr FROM weighed GROUP BY 1, 2)"""
+
+
+@register(
+    "bootstrap_ope",
+    f"""{OPE}, {replicates_sql(1000)}, x AS (SELECT 'ips' AS estimator, swr / nullif(n, 0) AS x FROM sums UNION ALL SELECT 'snips', swr / nullif(sw, 0) FROM sums UNION ALL SELECT 'dr', sdr / nullif(n, 0) FROM sums)
+    SELECT estimator, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, round(quantile_cont(x, 0.025), 6) AS low, round(quantile_cont(x, 0.975), 6) AS high, count(x) AS replicates FROM x GROUP BY 1""",
+)
 def bootstrap_ope(spark, d):
     return rounded(ope.bootstrap(observations(spark, d)))
 
 
-@register("validation_alerts", f"""{OPE}, e AS (SELECT sum(raw_w) * sum(raw_w) / sum(raw_w * raw_w) / count(*) AS x, avg(CASE WHEN raw_w > 10 THEN 1.0 ELSE 0.0 END) AS c FROM w)
-    SELECT CASE WHEN x < 0.3 THEN 'critical' WHEN x < 0.5 THEN 'warning' ELSE 'ok' END AS ess_alert, CASE WHEN c > 0.05 THEN 'warning' ELSE 'ok' END AS clip_alert,
-    (SELECT CASE WHEN min(n) < 20 THEN 'critical' WHEN min(n) < 50 THEN 'warning' ELSE 'ok' END FROM q) AS arm_alert FROM e""")
+@register("scale_factor", f"{OPE} SELECT round(avg(v + w * (reward - q_obs)) / 0.43, 6) AS factor FROM w")
+def scale_factor(spark, d):
+    return rounded(ope.estimators(observations(spark, d)).select((F.col("dr") * F.lit(ope.scale_factor(1.0, -0.43))).alias("factor")))
+
+
+@register("uid_rate", f"{OPE} SELECT count(*) AS n, 1.0::DOUBLE AS success_rate, CAST(0 AS BIGINT) AS missing FROM obs")
+def uid_rate(spark, d):
+    return ope.uid_rate(records.parse_cb_adf(_records(spark, d)))
+
+
+@register("validation_alerts", f"""{OPE}, e AS (SELECT sum(raw_w) * sum(raw_w) / sum(raw_w * raw_w) / count(*) AS x, avg(CASE WHEN raw_w > 100 THEN 1.0 ELSE 0.0 END) AS c FROM w)
+    SELECT CASE WHEN x < 0.3 THEN 'critical' WHEN x < 0.5 THEN 'warning' WHEN x < 0.6 THEN 'info' ELSE 'ok' END AS ess_alert, CASE WHEN c > 0.05 THEN 'warning' ELSE 'ok' END AS clip_alert,
+    (SELECT CASE WHEN min(n) < 20 THEN 'critical' WHEN min(n) < 50 THEN 'warning' ELSE 'ok' END FROM q) AS arm_alert,
+    CASE WHEN (SELECT count(user_id) / count(*) FROM obs) < 0.9 THEN 'critical' WHEN (SELECT count(user_id) / count(*) FROM obs) < 0.95 THEN 'warning' ELSE 'ok' END AS uid_alert FROM e""")
 def validation_alerts(spark, d):
-    rows = observations(spark, d)
-    level = lambda c, critical, warning: F.when(c < critical, "critical").when(c < warning, "warning").otherwise("ok")
-    ess = ope.ess_diagnostics(rows).select(level(F.col("ess_ratio"), 0.3, 0.5).alias("ess_alert"), F.when(F.col("clip_rate_10") > 0.05, "warning").otherwise("ok").alias("clip_alert"), F.lit(1).alias("k"))
-    arm = ope.coverage(rows).select(level(F.col("min_count"), 20, 50).alias("arm_alert"), F.lit(1).alias("k"))
-    return ess.join(arm, "k").drop("k")
+    table = _record_table(spark, d)
+    rows = observed(table)
+    level = lambda c, critical, warning: F.when(c < critical, "critical").when(c < warning, "warning")
+    ratio = F.col("ess_ratio")
+    ess = ope.ess_diagnostics(rows).select(level(ratio, 0.3, 0.5).when(ratio < 0.6, "info").otherwise("ok").alias("ess_alert"), F.when(F.col("clip_rate_100") > 0.05, "warning").otherwise("ok").alias("clip_alert"))
+    arm = ope.coverage(rows).select(level(F.col("min_count"), 20, 50).otherwise("ok").alias("arm_alert"))
+    uid = ope.uid_rate(records.parse_cb_adf(_records_of(table))).select(level(F.col("success_rate"), 0.9, 0.95).otherwise("ok").alias("uid_alert"))
+    return ess.withColumn("arm_alert", arm.scalar()).withColumn("uid_alert", uid.scalar())
 
 
 # Records --------------------------------------------------------------------------------------
@@ -431,21 +483,45 @@ def validation_alerts(spark, d):
 RECORD_FEATURES = ["coin_balance_end", "levels_started", "completion_rate", "ewma_daily_spend_coins_alpha3"]
 
 
-def _records(spark, d, online=False):
-    table = ewma.add_ewma(bandit_table(spark, d), [], pairs=[("daily_spend_coins", 0.3)])
-    obs = observations(spark, d)
-    rows = table.select("user_id", "session_date", *RECORD_FEATURES).join(obs, ["user_id", "session_date"])
-    return records.cb_adf_records(rows, RECORD_FEATURES, online)
+def _record_table(spark, d):
+    return ewma.add_ewma(bandit_table(spark, d), [], pairs=[("daily_spend_coins", 0.3)])
+
+
+def _records_of(table: DataFrame, form: str = "train") -> DataFrame:
+    rows = observed(table, tuple(RECORD_FEATURES)).withColumn("probs", A.uniform_policy(F.col("multiplier")))
+    return records.cb_adf_records(rows, RECORD_FEATURES, form)
 
 
-@register("cb_adf_record")
-def cb_adf_record(spark, d):
-    return _records(spark, d)
+def _records(spark, d, form: str = "train"):
+    return _records_of(_record_table(spark, d), form)
 
 
-@register("cb_adf_online")
-def cb_adf_online(spark, d):
-    return _records(spark, d, online=True)
+def record_sql(form: str) -> str:
+    """Records as text, written out line by line; namespaces e, f and s hold the features."""
+    table = "WITH " + ewma_sql(["daily_spend_coins"], (0.3,)).replace(BANDIT, "").lstrip(", ")
+    p = [f"CASE WHEN nf > 0 THEN f[{i + 1}] / nf ELSE 0.2 END" for i in range(5)]
+    value = lambda c: f"CASE WHEN {c} <> 0 THEN '{c}:' || printf('%.6f', CAST({c} AS DOUBLE)) END"
+    space = lambda ns, *cs: f"CASE WHEN {' OR '.join(f'coalesce({c}, 0) <> 0' for c in cs)} THEN '|{ns} ' || concat_ws(' ', {', '.join(map(value, cs))}) END"
+    if form == "online":
+        shared = f"concat_ws(' ', 'shared', {space('f', *RECORD_FEATURES)})"
+        lines = [f"CASE WHEN arm = {i} THEN '{i}:' || printf('%.4f', -reward) || ':' ELSE '{i}:0:' END || printf('%.6f', {p[i]}) || ' |a arm:{i}'" for i in range(5)]
+    else:
+        by = {"e": ["coin_balance_end", "ewma_daily_spend_coins_alpha3"], "f": ["completion_rate"], "s": ["levels_started"]}
+        shared = "concat_ws(' ', 'shared', " + ", ".join(space(ns, *cs) for ns, cs in by.items()) + ")" + (" || '  # uid:' || CAST(user_id AS VARCHAR)" if form == "train" else "")
+        context = [f"'|a arm:{i} delta:{x:.2f} |c mult:' || printf('%.2f', multiplier) || ' feasible:' || CAST(CAST(f[{i + 1}] AS INT) AS VARCHAR)" for i, x in enumerate(DELTAS)]
+        if form == "train":
+            p = [f"CASE WHEN {MIXED_SUM} > 0 THEN m_{i} / ({MIXED_SUM}) WHEN nf > 0 THEN f[{i + 1}] / nf ELSE 0.2 END" for i in range(5)]
+        if form == "legacy":
+            p = [f"({x}) / ({' + '.join(f'({y})' for y in p)})" for x in p]
+        label = [f"'{i} '" if form == "prediction" else f"CASE WHEN arm = {i} THEN '{i}:' || printf('%.4f', -reward) || ':' || printf('%.6f', {p[i]}) || ' ' ELSE '' END" for i in range(5)]
+        lines = [f"{a} || {b}" for a, b in zip(label, context)]
+    return f"""{OPE}, ew AS ({table}), rec AS (SELECT *, {MIXED_SQL} FROM (SELECT pi.*, b.coin_balance_end, b.levels_started, b.completion_rate, ew.ewma_daily_spend_coins_alpha3
+      FROM pi JOIN bandit b ON b.user_id = pi.user_id AND b.session_date = pi.session_date JOIN ew ON ew.user_id = pi.user_id AND ew.session_date = pi.session_date))
+      SELECT user_id, session_date, {" || chr(10) || ".join([shared, *lines])} || chr(10) AS record FROM rec"""
+
+
+for _name, _form in (("cb_adf_record", "train"), ("cb_adf_online", "online"), ("cb_adf_prediction", "prediction"), ("cb_adf_legacy", "legacy")):
+    register(_name, record_sql(_form), ("session_date",))(lambda spark, d, form=_form: _records(spark, d, form))
 
 
 @register("cb_adf_parsed", f"{OPE} SELECT arm, round(reward, 2) AS reward, user_id AS uid FROM obs")
@@ -524,11 +600,35 @@ def ab_assign(spark, d):
     return decisions.assign_groups(game_events(spark, d).select("user_id").distinct())
 
 
-@register("ab_lift", f"""{OPE}, g AS (SELECT {GROUP} AS grp, avg(v + w * (reward - q_obs)) AS dr FROM w GROUP BY 1),
-    l AS (SELECT max(dr) FILTER (WHERE grp = 'treatment') AS dr_treatment, max(dr) FILTER (WHERE grp = 'control') AS dr_control FROM g)
-    SELECT round(dr_treatment, 6) AS dr_treatment, round(dr_control, 6) AS dr_control, round(dr_treatment - dr_control, 6) AS lift, round((dr_treatment - dr_control) / abs(dr_control), 6) AS lift_pct FROM l""")
+LIFT = f"""g AS (SELECT {GROUP} AS grp, avg(v + w * (reward - q_obs)) AS dr FROM w GROUP BY 1),
+    l AS (SELECT max(dr) FILTER (WHERE grp = 'treatment') AS dr_treatment, max(dr) FILTER (WHERE grp = 'control') AS dr_control FROM g),
+    each AS (SELECT replicate, max(sdr / nullif(n, 0)) FILTER (WHERE grp = 'treatment') - max(sdr / nullif(n, 0)) FILTER (WHERE grp = 'control') AS x FROM sums GROUP BY 1),
+    ci AS (SELECT quantile_cont(x, 0.025) AS ci_low, quantile_cont(x, 0.975) AS ci_high FROM each)"""
+LIFT_SQL = f"{OPE}, {replicates_sql(10_000, GROUP)}, {LIFT}"
+
+
+def _lift(rows: DataFrame) -> DataFrame:
+    assigned = decisions.assign_groups(rows)
+    both = decisions.lift(ope.estimators(assigned, by="grp"))
+    interval = ope.lift_interval(assigned)
+    return both.withColumn("ci_low", interval.select("ci_low").scalar()).withColumn("ci_high", interval.select("ci_high").scalar())
+
+
+@register("ab_lift", f"""{LIFT_SQL} SELECT round(dr_treatment, 6) AS dr_treatment, round(dr_control, 6) AS dr_control, round(dr_treatment - dr_control, 6) AS lift,
+    round((dr_treatment - dr_control) / abs(dr_control), 6) AS lift_pct, round(ci_low, 4) AS ci_low, round(ci_high, 4) AS ci_high FROM l, ci""")
 def ab_lift(spark, d):
-    return rounded(decisions.lift(ope.estimators(decisions.assign_groups(observations(spark, d)), by="grp")))
+    """Lift of the treatment group with the interval of a user bootstrap in each group."""
+    rows = _lift(observations(spark, d))
+    return rounded(rows.withColumns({c: F.round(c, 4) for c in ("ci_low", "ci_high")}))
+
+
+@register("ab_verdict", f"""{LIFT_SQL}, v AS (SELECT (SELECT count(DISTINCT session_date) FROM obs) AS days, (dr_treatment - dr_control) / abs(dr_control) AS lift_pct, ci_low, ci_high FROM l, ci)
+    SELECT days, CASE WHEN lift_pct < -0.05 AND ci_high < 0 THEN 'rollback' WHEN days >= 7 AND lift_pct >= 0.05 AND ci_low > 0 THEN 'advance' WHEN days >= 14 AND ci_low <= 0 THEN 'stop' ELSE 'continue' END AS decision FROM v""")
+def ab_verdict(spark, d):
+    """The sequential decision on the experiment as it stands."""
+    rows = observations(spark, d)
+    days = rows.agg(F.countDistinct("session_date")).scalar()
+    return decisions.sequential_decision(_lift(rows).withColumn("days", days)).select("days", "decision")
 
 
 @register("ab_srm", f"""{GAME}, n AS (SELECT count(DISTINCT user_id) FILTER (WHERE {GROUP} = 'treatment') AS n_treatment, count(DISTINCT user_id) FILTER (WHERE {GROUP} = 'control') AS n_control FROM game),
@@ -603,14 +703,12 @@ MODEL_FEATURES = ["daily_event_count", "daily_spend_coins", "completion_rate", "
 
 
 def model_rows(spark: SparkSession, d: str) -> DataFrame:
-    table = bandit_table(spark, d).select("user_id", "session_date", "difficulty_arm", *MODEL_FEATURES)
-    rows = table.join(observations(spark, d), ["user_id", "session_date"])
-    return rows.select("*").fillna(0.0, subset=MODEL_FEATURES)
+    return observations(spark, d, ("difficulty_arm", *MODEL_FEATURES)).fillna(0.0, subset=MODEL_FEATURES)
 
 
 @register("forest_importances")
 def forest_importances(spark, d):
-    return models.forest_importances(model_rows(spark, d), MODEL_FEATURES, trees=20, depth=5)
+    return models.forest_importances(model_rows(spark, d), MODEL_FEATURES)
 
 
 @register("logistic_ranking")
@@ -620,20 +718,34 @@ def logistic_ranking(spark, d):
 
 @register("arm_importances")
 def arm_importances(spark, d):
-    return models.arm_importances(model_rows(spark, d), MODEL_FEATURES, least_rows=5, trees=5, depth=4)
+    """Of arms with 500 rows; smaller tables may have none."""
+    return models.arm_importances(model_rows(spark, d), MODEL_FEATURES)
+
+
+@register("arm_importances_boosted")
+def arm_importances_boosted(spark, d):
+    return models.arm_importances(model_rows(spark, d), MODEL_FEATURES, boosted=True)
 
 
 @register("logged_propensities")
 def logged_propensities(spark, d):
     rows = model_rows(spark, d)
-    scored = models.propensity_pipeline(MODEL_FEATURES).fit(rows).transform(rows)
-    return scored.select("user_id", "session_date", "difficulty_arm", F.col("label").cast("int").alias("label"))
+    scored = models.logged_propensities(models.propensity_pipeline(MODEL_FEATURES).fit(rows), rows)
+    return scored.select("user_id", "session_date", "difficulty_arm", "label", "probabilities", "logged_propensity")
+
+
+@register("balanced_propensities")
+def balanced_propensities(spark, d):
+    """Scaled features, and each arm of the same weight."""
+    rows = models.balanced_weights(model_rows(spark, d))
+    scored = models.logged_propensities(models.propensity_pipeline(MODEL_FEATURES, scaled=True).fit(rows), rows)
+    return scored.select("user_id", "session_date", "difficulty_arm", "label", "probabilities", "logged_propensity")
 
 
 @register("forest_propensities")
 def forest_propensities(spark, d):
     rows = cleaning.user_folds(model_rows(spark, d), portable=True)
-    out = models.forest_propensities(rows.where("fold <> 0"), rows.where("fold = 0"), MODEL_FEATURES, trees=20, depth=5)
+    out = models.forest_propensities(rows.where("fold <> 0"), rows.where("fold = 0"), MODEL_FEATURES)
     return out.select("user_id", "session_date", "arm", "pscore")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,18 +26,50 @@ EVENT_SCHEMA = T.StructType(
 )
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on any file system that Spark reads."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def format_of(spark: SparkSession, path: str) -> str:
+    """delta for a folder with a transaction log; else by the suffix; else parquet."""
+    if exists(spark, f"{path.rstrip('/')}/_delta_log"):
+        return "delta"
+    return next((f for f in ("parquet", "csv", "json", "orc", "delta") if path.rstrip("/").endswith(f".{f}")), "parquet")
+
+
 def read_files(spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | None = None) -> DataFrame:
-    """Files of a format, guessed from the path's suffix; CSV has a header and no inferred types.
+    """Files of a format, found by format_of; CSV has a header and no inferred types.
 
-    The helper column ``partition_key`` is dropped, if there.
+    A Delta table is read as Parquet where its source isn't installed: right for a table that was only written
+    or appended to. The helper column ``partition_key`` is dropped, if there.
     """
-    fmt = fmt or next((f for f in ("parquet", "csv", "json", "orc", "delta") if path.rstrip("/").endswith(f".{f}")), "parquet")
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
+    fmt = fmt or format_of(spark, path)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "csv":
         reader = reader.option("header", True)
-    return reader.load(path).drop("partition_key")
+    try:
+        return reader.format(fmt).load(path).drop("partition_key")
+    except (AnalysisException, Py4JJavaError) as missing:
+        if fmt != "delta" or not re.search("DATA_SOURCE_NOT_FOUND|Failed to find the data source|ClassNotFound", str(missing)):
+            raise
+        return reader.format("parquet").load(path).drop("partition_key")
+
+
+def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
+    """A frame written by writers.write_checkpoint, named with or without its suffix."""
+    bare = path.rstrip("/").removesuffix(".parquet")
+    found = next((p for p in (path, f"{bare}.parquet", bare) if exists(spark, p)), None)
+    if found is None:
+        raise FileNotFoundError(path)
+    return spark.read.parquet(found)
+
+
+def merged_with_first(base: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """``base`` with the columns of ``other`` by ``keys`` where it has a row; of columns in both, that of ``base`` stays."""
+    fresh = [c for c in other.columns if c not in base.columns]
+    return base.join(other.dropDuplicates(keys).select(*keys, *fresh), keys, "left").select(*base.columns, *fresh)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, start: str, end: str, date_column: str, **options: str) -> DataFrame:

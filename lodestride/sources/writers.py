@@ -20,14 +20,44 @@ def write_partitioned(df: DataFrame, path: str, by: str = "session_date", mode:
     writer.mode("append" if mode == "append" else "overwrite").parquet(path)
 
 
+def replace_days(df: DataFrame, path: str, start: date, end: date, by: str = "session_date") -> None:
+    """All days from ``start`` to ``end`` become those of ``df``, also where it has none; other days stay. Rows outside the range are an error."""
+    spark = df.sparkSession
+    days = {str(r[0]) for r in df.select(by).distinct().collect()}  # one value a day
+    if any(not str(start) <= x <= str(end) for x in days):
+        raise ValueError(f"rows outside {start} to {end}")
+    write_partitioned(df, path, by, "replace")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(folder):
+        name, _, day = status.getPath().getName().partition("=")
+        if name == by and str(start) <= day <= str(end) and day not in days:
+            files.delete(status.getPath(), True)
+
+
+def write_checkpoint(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as Parquet under ``path`` (with its suffix), read again: its lineage is cut."""
+    path = f"{path.rstrip('/').removesuffix('.parquet')}.parquet"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
+    """A small result as one JSON or CSV file."""
+    writer = df.coalesce(1).write.mode("overwrite")
+    writer.option("header", True).csv(path) if fmt == "csv" else writer.json(path)
+
+
 def write_records(df: DataFrame, path: str) -> None:
     """The ``record`` column as text, in as many shards as the rows have partitions."""
     df.select("record").write.mode("overwrite").text(path)
 
 
-def write_splits(df: DataFrame, path: str) -> None:
-    """One folder of text per split, in one pass over ``df`` (columns split and record)."""
+def write_splits(df: DataFrame, path: str, table_path: str | None = None) -> None:
+    """One folder of text per split, in one pass over ``df`` (columns split and record); with ``table_path``, all columns as a table by split, too."""
     df.select("split", "record").write.mode("overwrite").partitionBy("split").text(path)
+    if table_path is not None:
+        df.drop("record").write.mode("overwrite").partitionBy("split").parquet(table_path)
 
 
 def write_test_split(df: DataFrame, path: str, ratio: float = 0.1, seed: int = 42, files: int = 64) -> None:

@@ -59,6 +59,87 @@ def test_ewma_equals_pandas_with_nulls(spark, alpha):
         assert np.allclose(g[ewma.name_of("x", alpha)], want, atol=1e-12)
 
 
+def test_ewma_of_long_histories(spark):
+    rng = np.random.default_rng(2)
+    x = [10.0] + [None] * 450 + [float(v) if rng.random() < 0.8 else None for v in rng.normal(size=149)]
+    y = [1000.0] * 500 + [0.0] * 100
+    rows = [(u, date(2020, 1, 1) + timedelta(days=i), a, b) for u in (1, 2) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "user_id long, session_date date, x double, y double")
+    alphas = (0.01, 0.02, 0.1)
+    got = ewma.add_ewma(df, ["x", "y"], alphas).where("user_id = 1").toPandas().sort_values("session_date")
+    assert len({c for c in got.columns if c.startswith("ewma_")}) == 6
+    for c in ("x", "y"):
+        for a in alphas:
+            want = got[c].ewm(alpha=a, adjust=False).mean().shift(1).fillna(0.0)
+            assert np.allclose(got[ewma.name_of(c, a)], want, rtol=1e-9, atol=1e-12)
+
+
+def test_schemas_and_whitelists(spark):
+    df = spark.createDataFrame([(1, "x", 0, None, 0.5), (2, None, 0, None, 0.7)], "USERID long, Segment string, zero int, nothing double, action double")
+    low = cleaning.lower_cased(df)
+    assert low.columns == ["user_id", "segment", "zero", "nothing", "action"]
+    assert cleaning.without_dead_columns(low).columns == ["user_id", "segment", "action"]
+    assert cleaning.selected(low, ["SEGMENT", "Action"], ("user_id",)).columns == ["user_id", "segment"]
+    assert cleaning.without_leaks(["a", "Action"]) == ["a"]
+    assert [tuple(r) for r in cleaning.encoded(low.select("user_id", "segment", F.lit(None).cast("timestamp").alias("t"))).orderBy("user_id").collect()] == [(1, 1), (2, 0)]
+    with pytest.raises(ValueError):
+        cleaning.distinct_values(spark.range(300), "id")
+    assert 0 < cleaning.sampled(spark.range(20_000)).count() < 400
+    assert ope.scale_factor(86.0, -0.43) == pytest.approx(200.0)
+    with pytest.raises(ValueError):
+        ope.scale_factor(1.0, 0.0)
+
+
+def test_day_ranges_checkpoints_and_formats(spark, tmp_path):
+    day = lambda d: date(2024, 1, d)
+    df = spark.createDataFrame([(i, day(i), "old") for i in range(1, 6)], "user_id long, session_date date, v string")
+    path = str(tmp_path / "t")
+    writers.write_partitioned(df, path)
+    writers.replace_days(df.where("user_id = 3").withColumn("v", F.lit("new")), path, day(2), day(4))
+    assert sorted(map(tuple, readers.read_files(spark, path).select("user_id", "v").collect())) == [(1, "old"), (3, "new"), (5, "old")]
+    with pytest.raises(ValueError):
+        writers.replace_days(df, path, day(2), day(4))
+    assert writers.write_checkpoint(df, str(tmp_path / "c")).count() == 5
+    assert readers.read_checkpoint(spark, str(tmp_path / "c")).count() == readers.read_checkpoint(spark, str(tmp_path / "c.parquet")).count() == 5
+    with pytest.raises(FileNotFoundError):
+        readers.read_checkpoint(spark, str(tmp_path / "none"))
+    df.write.parquet(str(tmp_path / "d"))
+    (tmp_path / "d" / "_delta_log").mkdir()
+    assert readers.format_of(spark, str(tmp_path / "d")) == "delta" and readers.read_files(spark, str(tmp_path / "d")).count() == 5
+    other = df.select("user_id", F.lit("second").alias("v"), F.lit(1).alias("w")).where("user_id < 3")
+    merged = readers.merged_with_first(df, other, ["user_id"]).orderBy("user_id")
+    assert values(merged, "v") == ["old"] * 5 and values(merged, "w") == [1, 1, None, None, None]
+    writers.write_report(df.select("user_id"), str(tmp_path / "r"))
+    assert spark.read.json(str(tmp_path / "r")).count() == 5
+    marked = df.withColumn("split", F.lit("train")).withColumn("record", F.lit("r"))
+    writers.write_splits(marked, str(tmp_path / "s"), str(tmp_path / "st"))
+    assert spark.read.parquet(str(tmp_path / "st")).columns == ["user_id", "session_date", "v", "split"]
+
+
+def test_bulk_writes_are_tried_again(spark, tmp_path):
+    mark = tmp_path / "failed"
+
+    def put(rows):
+        if not mark.exists():
+            mark.write_text("once")
+            raise OSError("busy")
+        (tmp_path / "done").write_text(str(len(rows)))
+
+    writers.write_bulk(spark.range(3).selectExpr("id AS k", "id AS v").coalesce(1), "k", "v", put, wait=0.0)
+    assert (tmp_path / "done").read_text() == "3"
+
+
+def test_record_forms(spark):
+    rows = spark.createDataFrame([(42, date(2024, 1, 1), 0.25, 3, 120.0, 0.88, [0.1, 0.2, None, 0.4, 0.3])], "user_id long, session_date date, coin_balance double, arm int, reward double, multiplier double, probs array<double>")
+    of = lambda form: values(records.cb_adf_records(rows, ["coin_balance"], form), "record")[0].split("\n")
+    online, prediction, legacy = of("online"), of("prediction"), of("legacy")
+    assert online[0] == "shared |f coin_balance:0.250000" and online[1] == "0:0:0.100000 |a arm:0" and online[3] == "2:0:0.200000 |a arm:2" and online[4] == "3:-120.0000:0.400000 |a arm:3"
+    assert prediction[0] == "shared |e coin_balance:0.250000" and prediction[5] == "4 |a arm:4 delta:0.12 |c mult:0.88 feasible:1"
+    assert legacy[3] == "|a arm:2 delta:0.00 |c mult:0.88 feasible:1" and legacy[4].startswith("3:-120.0000:0.400000 |a")
+    with pytest.raises(ValueError):
+        records.cb_adf_records(rows, [], "other")
+
+
 def feature_rows(spark, rows):
     """rows: (user, day of January 2024, completion rate)."""
     base = spark.createDataFrame([(u, date(2024, 1, d), r) for u, d, r in rows], "user_id long, session_date date, completion_rate double")

@@ -47,3 +47,19 @@ def test_query(spark, duck, name):
 def test_no_python_in_plans(spark, name):
     plan = QUERIES[name](spark, str(SF))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan
+
+
+# Their schema or model depends on the data.
+READ_WHILE_PLANNED = {"one_hot", "drop_dead_columns", "forest_importances", "logistic_ranking", "arm_importances", "arm_importances_boosted", "logged_propensities", "balanced_propensities", "forest_propensities", "ope_with_reward_models"}
+
+
+def test_planning_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    for name in sorted(set(QUERIES) - READ_WHILE_PLANNED):
+        QUERIES[name](spark, str(SF))
+        # Reading the footers for a schema is a job of its own, one stage of one task.
+        for job in tracker.getJobIdsForGroup("planning"):
+            info = tracker.getJobInfo(job)
+            assert info is None or len(info.stageIds) == 1, name
+    spark.sparkContext.setJobGroup("rest", "rest")
