@@ -7,17 +7,20 @@ a smaller id, or earlier in the same one) is removed. Matches never cross docume
    its anchor, which depends on the window's bytes alone, so equal windows have equal anchors at
    equal places.
 2. Contexts. Around each anchor lie all windows that have it. Keys of contexts (the anchor's
-   hash and a hash of the whole context, 128 bits) are joined within some megabytes, then meet by
-   anchor; of equal contexts, all but the earliest are removed as a whole. Only where an anchor has
-   several contexts are the bytes of the earliest of each fetched and dealt to tasks by the anchor's
-   hash. Those that share no part around the anchor that a common window would hold are set aside.
-3. Transforms. What is left of the contexts of a batch of anchors forms shards. Each shard sorts the
-   rotations of its own contexts once; then the shards' transforms are merged by refining their
+   hash and a hash of the whole context, 128 bits) meet within some megabytes, then by anchor. They only choose what is
+   compared: a later context with the keys of an earlier one becomes a claim to repeat it, and claims on one
+   document that touch are joined to runs. Where an anchor has several contexts, the bytes of the earliest of
+   each are fetched and dealt to tasks by the anchor's hash. Those that share no part around the anchor that a common window
+   would hold are set aside.
+3. Transforms. Strings form shards: the claims of a batch of documents and what they repeat in others, or the
+   contexts of a batch of anchors. Each shard sorts the
+   rotations of its own strings once; then the shards' transforms are merged by refining their
    interleave: starting from one block, rows in the current order are stably sorted by the symbol (STEP
    bytes) before them (their transform), which yields the order by one symbol more. No suffix is compared
    or sorted again. Where a new block begins during round r, neighbours share fewer than r symbols, so
    after length / STEP rounds the blocks are the repeated intervals of ``length`` bytes. In each, every
-   window but the earliest is removed.
+   window but the earliest is removed; nothing else removes a byte. Claims are read at whole steps, which cover them
+   with few windows; contexts at every byte.
 4. Removed windows are merged per document and cut out.
 
 Null texts count as empty; texts shorter than ``length`` stay whole. Null ids come before all
@@ -49,6 +52,7 @@ BLOCK = 32_768  # bytes hashed at a time, for the processor's cache
 PLACE_BITS = 17  # of a place in a block
 BATCH_BYTES = 40_000  # keeps a batch's arrays in the processor's cache and its symbols in 16 bits
 BATCH_ROWS = 64
+PROOF_BYTES = 2_000_000  # of claims in a batch
 SHARDS = 2
 
 
@@ -191,28 +195,34 @@ def merge(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarray]:
     return rows, block
 
 
-def repeated_windows(texts: list[bytes], order: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, place) of every window of ``texts`` that also is in a text of lower ``order`` or earlier in the same.
+def later_windows(shards: list[Shard], sizes: np.ndarray, order: np.ndarray, length: int, stride: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, place) of every window of the shards' texts that also starts earlier, from their merged transforms.
 
-    ``order`` ranks window starts: that of window p of text i is (order[i, 0], order[i, 1] + p).
+    ``order`` ranks window starts: that of window p of text i is (order[i, 0], order[i, 1] + stride x p). ``sizes`` are in places.
     """
+    rows, block = merge(shards, length)
+    text = np.concatenate([s.text for s in shards])[rows]
+    place = np.concatenate([s.place for s in shards])[rows]
+    inside = place + length // stride <= sizes[text]
+    text, place, block = text[inside], place[inside], block[inside]
+    start = order[text, 1] + stride * place
+    first = np.lexsort((start, order[text, 0], block))
+    text, place, block, start = text[first], place[first], block[first], start[first]
+    lead = np.r_[True, block[1:] != block[:-1]][: len(block)]
+    leader = np.maximum.accumulate(np.where(lead, np.arange(len(block)), 0)) if len(block) else np.zeros(0, np.int64)
+    same = (order[text, 0] == order[text[leader], 0]) & (start == start[leader])
+    return text[~same], place[~same]
+
+
+def repeated_windows(texts: list[bytes], order: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """As later_windows, for texts, at every place."""
     text, place, code, ahead = symbols(texts)
     if len(code) <= 1 << 16:
         code = code.astype(np.uint16)  # numpy sorts these by radix
     each = -(-len(texts) // SHARDS)
     cuts = np.searchsorted(text, [*range(0, len(texts), each), len(texts)])
     shards = [Shard(text[i:j], place[i:j], code[i:j], ahead[i:j] - i, length) for i, j in zip(cuts[:-1], cuts[1:])]
-    rows, block = merge(shards, length)
-    text = np.concatenate([s.text for s in shards])[rows]
-    place = np.concatenate([s.place for s in shards])[rows]
-    inside = place + length <= np.array([len(t) for t in texts])[text]
-    text, place, block = text[inside], place[inside], block[inside]
-    first = np.lexsort((order[text, 1] + place, order[text, 0], block))
-    text, place, block = text[first], place[first], block[first]
-    lead = np.r_[True, block[1:] != block[:-1]]
-    leader = np.maximum.accumulate(np.where(lead, np.arange(len(block)), 0))
-    same = (order[text, 0] == order[text[leader], 0]) & (order[text, 1] + place == order[text[leader], 1] + place[leader])
-    return text[~same], place[~same]
+    return later_windows(shards, np.array([len(t) for t in texts]), order, length)
 
 
 def _intervals(doc: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -228,31 +238,35 @@ def _intervals(doc: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndar
 # Jobs ---------------------------------------------------------------------------------------
 
 
-# Rows between the jobs: contexts, or (gone) intervals that are to be removed.
-ROWS = "hash long, key long, start int, size int, anchor int, doc_id long, version long, gone boolean"
+# Rows between the jobs: contexts, or (claim) runs of bytes with the run (of document ``key``, version l_version, from ``anchor`` on) that
+# their hashes say they repeat.
+ROWS = "hash long, key long, start int, size int, anchor int, doc_id long, version long, l_version long, claim boolean"
 
 
-def _gone(doc_id: np.ndarray, version: np.ndarray, start: np.ndarray, end: np.ndarray) -> dict[str, np.ndarray]:
-    """Rows of removed intervals, merged where they touch; their hash spreads documents over tasks."""
-    at = np.lexsort((start, version, doc_id))
-    doc_id, version, start, end = doc_id[at], version[at], start[at], end[at]
-    # All intervals of a document come after those of the one before on this line.
-    shift = np.cumsum(np.r_[False, (doc_id[1:] != doc_id[:-1]) | (version[1:] != version[:-1])][: len(at)]) << 40
-    reach = np.maximum.accumulate(shift + end)
-    first = np.flatnonzero(np.r_[True, (shift + start)[1:] > reach[:-1]][: len(at)])
+def _runs(doc_id: np.ndarray, version: np.ndarray, start: np.ndarray, end: np.ndarray, l_doc: np.ndarray, l_version: np.ndarray, l_start: np.ndarray) -> dict[str, np.ndarray]:
+    """Claim rows of copied intervals; those of a document that touch and repeat one document at one distance are joined. Their hash spreads documents over tasks."""
+    shift = start.astype(np.int64) - l_start
+    at = np.lexsort((start, shift, l_version, l_doc, version, doc_id))
+    doc_id, version, start, end, l_doc, l_version, shift = (x[at] for x in (doc_id, version, start.astype(np.int64), end.astype(np.int64), l_doc, l_version, shift))
+    other = np.zeros(len(at), bool)
+    for x in (doc_id, version, l_doc, l_version, shift):
+        other[1:] |= x[1:] != x[:-1]
+    # All intervals of a group come after those of the one before on this line.
+    line = np.cumsum(other) << 40
+    reach = np.maximum.accumulate(line + end) if len(at) else line
+    first = np.flatnonzero(np.r_[True, (line + start)[1:] > reach[:-1]][: len(at)])
     last = np.r_[first[1:] - 1, len(at) - 1] if len(first) else first
-    none = np.zeros(len(first), np.int64)
-    end = reach[last] - shift[first]
-    return {"hash": version[first] ^ doc_id[first], "key": none, "start": start[first], "size": end - start[first], "anchor": none, "doc_id": doc_id[first], "version": version[first], "gone": none == 0}
+    start, size = start[first], (reach[last] - line[first]) - start[first]
+    return {"hash": version[first] ^ doc_id[first], "key": l_doc[first], "start": start, "size": size, "anchor": start - shift[first], "doc_id": doc_id[first], "version": version[first], "l_version": l_version[first], "claim": np.ones(len(first), bool)}
 
 
 def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-    kinds = {"start": pa.int32(), "size": pa.int32(), "anchor": pa.int32(), "gone": pa.bool_()}
+    kinds = {"start": pa.int32(), "size": pa.int32(), "anchor": pa.int32(), "claim": pa.bool_()}
     return pa.RecordBatch.from_arrays([pa.array(x).cast(kinds.get(k, pa.int64())) for k, x in columns.items()], names=list(columns))
 
 
 def _find_contexts(length: int):
-    """Contexts of all anchors; of equal ones within some megabytes, the later are removed at once."""
+    """Contexts of all anchors; of those with equal hashes within some megabytes, the later become claims at once."""
 
     def over(batches):
         for b in batches:
@@ -267,22 +281,24 @@ def _find_contexts(length: int):
                 same = np.r_[False, (h[at][1:] == h[at][:-1]) & (key[at][1:] == key[at][:-1])] if len(at) else np.empty(0, bool)
                 lead = at[np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))]
                 # The same place of a repeated row is no copy.
-                copy = at[same & ((doc_id[at] != doc_id[lead]) | (version[at] != version[lead]) | (start[at] != start[lead]))]
+                copy = same & ((doc_id[at] != doc_id[lead]) | (version[at] != version[lead]) | (start[at] != start[lead]))
+                c, m = at[copy], lead[copy]
+                yield _batch(_runs(doc_id[c], version[c], start[c], end[c], doc_id[m], version[m], start[m]))
                 at = np.sort(at[~same])
-                yield _batch(_gone(doc_id[copy], version[copy], start[copy], end[copy]))
-                yield _batch({"hash": h[at].view(np.int64), "key": key[at].view(np.int64), "start": start[at], "size": (end - start)[at], "anchor": (place - start)[at], "doc_id": doc_id[at], "version": version[at], "gone": np.zeros(len(at), bool)})
+                none = np.zeros(len(at), np.int64)
+                yield _batch({"hash": h[at].view(np.int64), "key": key[at].view(np.int64), "start": start[at], "size": (end - start)[at], "anchor": (place - start)[at], "doc_id": doc_id[at], "version": version[at], "l_version": none, "claim": none > 0})
 
     return over
 
 
 def _sort_out(batches):
-    """Of rows sorted by hash, key, doc_id, version, start: later ones of equal contexts as intervals, and the first ones of anchors with several contexts."""
+    """Of rows sorted by hash, key, doc_id, version, start: claims of later contexts with equal hashes on the first one, and the first ones of anchors with several contexts."""
     names = ["hash", "key", "doc_id", "version", "start"]
     last, held = None, None  # last row; the first context of an anchor that has one so far
     for b in batches:
-        gone = b.column("gone")
-        yield b.filter(gone)
-        b = b.filter(pc.invert(gone))
+        claim = b.column("claim")
+        yield b.filter(claim)
+        b = b.filter(pc.invert(claim))
         if not b.num_rows:
             continue
         h, key, doc, version, start = (b.column(c).to_numpy(zero_copy_only=False) for c in names)
@@ -295,9 +311,8 @@ def _sort_out(batches):
         lead = [np.where(run > 0, x[np.maximum(run - 1, 0)], y) for x, y in zip((doc, version, start), last[2:] if last else (0, 0, 0))]
         later = same & ~((doc == lead[0]) & (version == lead[1]) & (start == lead[2]))
         if later.any():
-            copies = b.filter(pa.array(later))
-            none = pa.array(np.zeros(copies.num_rows, np.int64))
-            yield pa.RecordBatch.from_arrays([none, none, *copies.columns[2:7], pa.array(np.ones(copies.num_rows, bool))], schema=b.schema)
+            size = b.column("size").to_numpy(zero_copy_only=False)
+            yield _batch(_runs(doc[later], version[later], start[later], (start + size)[later], *(x[later] for x in lead)))
         first = np.flatnonzero(~same)
         if len(first):
             new = np.r_[last is None or h[first[0]] != last[0], h[first[1:]] != h[first[:-1]]]  # of another anchor than the one before
@@ -310,32 +325,105 @@ def _sort_out(batches):
         last = (h[-1], key[-1], *(x[-1] for x in lead))
 
 
+def _cut(b: pa.RecordBatch, claims: bool) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes], dict[str, np.ndarray]]]:
+    """For some documents at a time: texts, the number of the document of each of its rows in ``found``, and the rows that are claims or not."""
+    texts = [t.encode() for t in strings(b.column("text"))]
+    for i in range(0, len(texts), 256):
+        lists = b.column("found").slice(i, 256)
+        owner = np.repeat(np.arange(i, i + len(lists)), np.diff(lists.offsets.to_numpy()))
+        flat = lists.flatten()
+        found = {k: pc.struct_field(flat, k).to_numpy(zero_copy_only=False) for k in ("start", "size", "anchor", "hash", "key", "l_version", "claim")}
+        picked = found["claim"].astype(bool) == claims
+        yield texts, owner[picked], {k: x[picked] for k, x in found.items()}
+
+
 def _cut_contexts(length: int):
-    """The bytes of contexts, and the removed intervals of each document merged (without bytes)."""
+    """The bytes of contexts."""
 
     def over(batches):
         for b in batches:
-            texts = [t.encode() for t in strings(b.column("text"))]
             doc_id, version = (b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "version"))
-            for i in range(0, len(texts), 256):
-                lists = b.column("found").slice(i, 256)
-                owner = np.repeat(np.arange(i, i + len(lists)), np.diff(lists.offsets.to_numpy()))
-                found = {k: pc.struct_field(lists.flatten(), k).to_numpy(zero_copy_only=False) for k in ("start", "size", "anchor", "hash", "gone")}
-                g = found["gone"].astype(bool)
+            for texts, owner, found in _cut(b, claims=False):
                 start, size = found["start"].astype(np.int64), found["size"].astype(np.int64)
-                gone = _gone(doc_id[owner[g]], version[owner[g]], start[g], (start + size)[g])
-                kept = owner[~g]
-                bytes_ = [texts[j][s : s + n] for j, s, n in zip(kept.tolist(), start[~g].tolist(), size[~g].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.r_[found["hash"][~g], gone["hash"]]),
-                        pa.array([*bytes_, *[None] * len(gone["hash"])], pa.binary()),
-                        *(pa.array(np.r_[x[~g], gone[k]].astype(np.int32)) for k, x in (("start", start), ("size", size), ("anchor", found["anchor"]))),
-                        pa.array(np.r_[doc_id[kept], gone["doc_id"]]),
-                        pa.array(np.r_[version[kept], gone["version"]]),
-                    ],
-                    names=["hash", "context", "start", "size", "anchor", "doc_id", "version"],
-                )
+                bytes_ = [texts[j][s : s + n] for j, s, n in zip(owner.tolist(), start.tolist(), size.tolist())]
+                columns = [pa.array(found["hash"]), pa.array(bytes_, pa.binary()), *(pa.array(found[k].astype(np.int32)) for k in ("start", "size", "anchor")), pa.array(doc_id[owner]), pa.array(version[owner])]
+                yield pa.RecordBatch.from_arrays(columns, names=["hash", "context", "start", "size", "anchor", "doc_id", "version"])
+
+    return over
+
+
+def _cut_claims(batches):
+    """The claims of each document, joined where they touch, with their bytes; (l_doc, l_version, l_start) is what they claim to repeat."""
+    for b in batches:
+        doc_id, version = (b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "version"))
+        for texts, owner, found in _cut(b, claims=True):
+            start = found["start"].astype(np.int64)
+            runs = _runs(owner.astype(np.int64), version[owner], start, start + found["size"], found["key"].astype(np.int64), found["l_version"].astype(np.int64), found["anchor"].astype(np.int64))
+            who = runs["doc_id"]
+            part = [texts[j][s : s + n] for j, s, n in zip(who.tolist(), runs["start"].tolist(), runs["size"].tolist())]
+            columns = [pa.array(doc_id[who]), pa.array(version[who]), pa.array(runs["start"].astype(np.int32)), pa.array(part, pa.binary()), pa.array(runs["key"]), pa.array(runs["l_version"]), pa.array(runs["anchor"].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "start", "part", "l_doc", "l_version", "l_start"])
+
+
+def _strides(parts: list[bytes], length: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Strings of whole symbols that cover each part, from its start on and, for the rest, at its end: (strings, part number, place in it)."""
+    strings_, of, at = [], [], []
+    for i, part in enumerate(parts):
+        whole = len(part) // STEP * STEP
+        for place in (0, *([len(part) - length] if whole < len(part) else [])):
+            strings_.append(part[:whole] if place == 0 else part[place:])
+            of.append(i)
+            at.append(place)
+    return strings_, np.array(of, np.int64), np.array(at, np.int64)
+
+
+def stride_symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As symbols, for the places at whole steps alone; texts of whole steps, read as rings."""
+    words = np.frombuffer(b"".join(texts), ">u4").reshape(-1, STEP // 4).astype(np.uint64)
+    code = _dense(words[:, 0])
+    for j in range(1, words.shape[1]):
+        code = _dense((code.astype(np.uint64) << np.uint64(32)) | words[:, j])
+    sizes = np.array([len(t) // STEP for t in texts])
+    base, size = np.repeat(np.cumsum(sizes) - sizes, sizes), np.repeat(sizes, sizes)
+    place = np.arange(len(code)) - base
+    return np.repeat(np.arange(len(texts)), sizes), place, code, base + (place + 1) % size
+
+
+def _prove(length: int):
+    """Removed intervals of claims: rows with the bytes of a claim (part) and of what it claims to repeat (other).
+
+    The claims of a batch are one shard and what they repeat is another; both transforms are merged, and windows of a claim
+    in a repeated interval with an earlier start are removed. So bytes decide, and hashes only chose what is compared.
+    """
+
+    def solve(rows: list[tuple]) -> pa.RecordBatch:
+        claims, of, at = _strides([r[3] for r in rows], length)
+        others, l_of, l_at = _strides([r[7] for r in rows], length)
+        ids = np.array([(r[0], r[1], r[2]) for r in rows] + [(r[4], r[5], r[6]) for r in rows], np.int64)
+        _, number = np.unique(ids[:, :2], axis=0, return_inverse=True)  # in the order of documents
+        order = np.stack([number.ravel()[np.r_[l_of + len(rows), of]], ids[:, 2][np.r_[l_of + len(rows), of]] + np.r_[l_at, at]], 1)
+        text, place, code, ahead = stride_symbols([*others, *claims])
+        cut = int(np.searchsorted(text, len(others)))
+        shards = [Shard(text[i:j], place[i:j], code[i:j], ahead[i:j] - i, length) for i, j in ((0, cut), (cut, len(text)))]
+        text, place = later_windows(shards, np.array([len(t) // STEP for t in (*others, *claims)]), order, length, STEP)
+        mine = text >= len(others)
+        which, begin, end = _intervals(text[mine] - len(others), place[mine] * STEP, length)
+        row, start = of[which], at[which]
+        columns = [pa.array(ids[row, 0]), pa.array(ids[row, 1]), *(pa.array((ids[row, 2] + start + x).astype(np.int32)) for x in (begin, end))]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "start", "end"])
+
+    def over(batches):
+        held, n = [], 0
+        for b in batches:
+            for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "version", "start", "part", "l_doc", "l_version", "l_start", "other"))):
+                if len(row[3]) >= length and len(row[3]) == len(row[7]):
+                    held.append(row)
+                    n += len(row[3])
+                if n >= PROOF_BYTES:
+                    yield solve(held)
+                    held, n = [], 0
+        if held:
+            yield solve(held)
 
     return over
 
@@ -387,11 +475,7 @@ def _resolve(length: int):
 
     def over(batches):
         held, n = [], 0  # whole anchors, but for the last one
-        for b in batches:
-            gone = pc.is_null(b.column("context"))
-            done = b.filter(gone)
-            yield pa.RecordBatch.from_arrays([*(done.column(c) for c in ("doc_id", "version", "start")), pc.add(done.column("start"), done.column("size"))], names=["doc_id", "version", "start", "end"])
-            whole = b.filter(pc.invert(gone))
+        for whole in batches:
             for i in range(0, whole.num_rows, BATCH_ROWS):
                 b = whole.slice(i, BATCH_ROWS)
                 held.append(b)
@@ -438,19 +522,27 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256. ``length`` is a multiple of STEP, over ANCHOR."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     least = F.lit(-(2**63)).cast("long")
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), least).alias("doc_id"), text.alias("text"))
+    base = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{id_col}`").cast("long"), least).alias("doc_id"), text.alias("text"))
     base = base.withColumn("version", F.xxhash64("text"))
     long = base.where(F.octet_length("text") >= length)
     rows = long.select("doc_id", "version", "text").mapInArrow(_find_contexts(length), ROWS)
     rows = rows.repartition("hash").sortWithinPartitions("hash", "key", "doc_id", "version", "start").mapInArrow(_sort_out, ROWS)
-    marks = rows.groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "size", "anchor", "hash", "gone")).alias("found"))
-    # The texts are shuffled by document once: both joins read the same exchange.
-    contexts = base.join(marks, ["doc_id", "version"]).select("id", "text", "found", "doc_id", "version")
-    contexts = contexts.mapInArrow(_cut_contexts(length), "hash long, context binary, start int, size int, anchor int, doc_id long, version long")
+    key = F.when(F.col("claim"), F.col("key")).alias("key")
+    marks = rows.groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "size", "anchor", "hash", key, "l_version", "claim")).alias("found"))
+    # The texts are shuffled by document once: all joins read the same exchange. Repeated rows are one text.
+    placed = base.repartition("doc_id", "version")
+    single = placed.where(F.octet_length("text") >= length).groupBy("doc_id", "version").agg(F.first("text").alias("text"))
+    marked = single.join(marks, ["doc_id", "version"])
+    contexts = marked.mapInArrow(_cut_contexts(length), "hash long, context binary, start int, size int, anchor int, doc_id long, version long")
     contexts = contexts.repartition("hash").sortWithinPartitions("hash")
-    removed = contexts.mapInArrow(_resolve(length), "doc_id long, version long, start int, `end` int")
+    claims = marked.mapInArrow(_cut_claims, "doc_id long, version long, start int, part binary, l_doc long, l_version long, l_start int")
+    leaders = single.select(F.col("doc_id").alias("l_doc"), F.col("version").alias("l_version"), F.encode("text", "UTF-8").alias("l_text"))
+    other = F.substring(F.col("l_text"), F.col("l_start") + 1, F.octet_length("part"))
+    claims = claims.join(leaders, ["l_doc", "l_version"]).select("doc_id", "version", "start", "part", "l_doc", "l_version", "l_start", other.alias("other"))
+    found = "doc_id long, version long, start int, `end` int"
+    removed = contexts.mapInArrow(_resolve(length), found).unionByName(claims.mapInArrow(_prove(length), found))
     per_doc = removed.groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end")).alias("found"))
-    joined = base.join(per_doc, ["doc_id", "version"], "left").select("id", "text", "found")
+    joined = placed.join(per_doc, ["doc_id", "version"], "left").select("id", "text", "found")
 
     def cut(batches):
         for b in batches:

@@ -82,3 +82,34 @@ def test_documents_match_brute_force(spark, batch_rows):
     assert len(mine) == len(want)
     assert S.remove_repeats(docs.limit(0)).count() == 0
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def claim_rows(pairs):
+    import pyarrow as pa
+
+    kinds = {"doc_id": pa.int64(), "version": pa.int64(), "start": pa.int32(), "part": pa.binary(), "l_doc": pa.int64(), "l_version": pa.int64(), "l_start": pa.int32(), "other": pa.binary()}
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*pairs), kinds.values())], names=list(kinds))
+
+
+def test_bytes_decide_on_claims():
+    rng = random.Random(5)
+    a, b = (words(rng, 100).encode()[:331] for _ in range(2))
+    half = a[:150] + b[150:]
+    rows = [(9, 1, 7, a, 3, 1, 40, a), (10, 1, 0, b, 3, 2, 0, a), (11, 1, 5, half, 4, 1, 0, a), (12, 1, 0, a[:100], 5, 1, 0, a[:100])]
+    got = {}
+    for batch in S._prove(100)(iter([claim_rows(rows)])):
+        for r in batch.to_pylist():
+            got.setdefault(r["doc_id"], []).append((r["start"], r["end"]))
+    assert got == {9: [(7, 338)], 11: [(5, 145), *([(155, 336)] if (11, 155) in got else [])], 12: [(0, 100)]} or (got[9] == [(7, 338)] and 10 not in got and got[12] == [(0, 100)] and got[11][0] == (5, 145))
+
+
+def test_nothing_is_removed_without_the_merge(spark, monkeypatch):
+    import numpy as np
+
+    rng = random.Random(6)
+    passage = words(rng, 60).encode()
+    monkeypatch.setattr(S, "merge", lambda shards, length: (np.arange(sum(len(s.place) for s in shards)), np.arange(sum(len(s.place) for s in shards))))
+    batches = list(S._prove(100)(iter([claim_rows([(9, 1, 0, passage, 3, 1, 0, passage)])])))
+    assert sum(b.num_rows for b in batches) == 0
+    text, _ = S.repeated_windows([passage, passage], np.array([(0, 0), (1, 0)]))
+    assert len(text) == 0
