@@ -63,14 +63,17 @@ class Index:
     keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # sorted fingerprints, each with template and place
     of: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     at: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    members: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), bool))  # template x word number
 
     def __post_init__(self) -> None:
         self.words = [words_of(t) for _, t in self.templates]
         for word in sorted({w for ws in self.words for w in ws}):
             self.vocabulary[word] = len(self.vocabulary) + 1
         self.numbers = [np.array([self.vocabulary[w] for w in ws], np.int64) for ws in self.words]
+        self.members = np.zeros((len(self.words), len(self.vocabulary) + 1), bool)
         found = []
         for t, numbers in enumerate(self.numbers):
+            self.members[t, numbers] = True
             codes = self.fingerprints(numbers)
             kept = winnow(_mixed(codes).tolist(), WINDOW if len(numbers) >= SHORT else 1)
             found += [(int(codes[i]), t, i) for i in kept]
@@ -103,6 +106,12 @@ class Index:
         own, out = self.numbers[t], []
         n, band = len(own), band_of(len(own))
         need = math.ceil(LEAST_COVERAGE * n - 1e-9)
+        # Most diagonals end here: the text around them has too few words of the template.
+        known = np.r_[0, np.cumsum(self.members[t][numbers])]
+        inside = known[np.clip(diagonals + n + band, 0, len(numbers))] - known[np.clip(diagonals - band, 0, len(numbers))]
+        diagonals = diagonals[inside >= need]
+        if not len(diagonals):
+            return diagonals
         for run in np.split(diagonals, np.flatnonzero(np.diff(diagonals) > n + 2 * band) + 1):
             first, last = int(run[0]) - band, int(run[-1]) + n + band
             text = numbers[max(0, first) : last]
