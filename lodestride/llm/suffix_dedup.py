@@ -529,16 +529,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.repartition("hash").sortWithinPartitions("hash", "key", "doc_id", "version", "start").mapInArrow(_sort_out, ROWS)
     key = F.when(F.col("claim"), F.col("key")).alias("key")
     marks = rows.groupBy("doc_id", "version").agg(F.collect_list(F.struct("start", "size", "anchor", "hash", key, "l_version", "claim")).alias("found"))
-    # The texts are shuffled by document once: all joins read the same exchange. Repeated rows are one text.
+    # The texts are shuffled by document once: all joins read the same exchange, so all of them use each of its columns and
+    # none filters its rows. Repeated rows are one text.
     placed = base.repartition("doc_id", "version")
-    single = placed.where(F.octet_length("text") >= length).groupBy("doc_id", "version").agg(F.first("text").alias("text"))
+    single = placed.groupBy("doc_id", "version").agg(F.first("text").alias("text"), F.first("id").alias("id"))
     marked = single.join(marks, ["doc_id", "version"])
     contexts = marked.mapInArrow(_cut_contexts(length), "hash long, context binary, start int, size int, anchor int, doc_id long, version long")
     contexts = contexts.repartition("hash").sortWithinPartitions("hash")
     claims = marked.mapInArrow(_cut_claims, "doc_id long, version long, start int, part binary, l_doc long, l_version long, l_start int")
-    leaders = single.select(F.col("doc_id").alias("l_doc"), F.col("version").alias("l_version"), F.encode("text", "UTF-8").alias("l_text"))
+    leaders = single.select(F.col("doc_id").alias("l_doc"), F.col("version").alias("l_version"), F.encode("text", "UTF-8").alias("l_text"), F.col("id").alias("l_id"))
     other = F.substring(F.col("l_text"), F.col("l_start") + 1, F.octet_length("part"))
-    claims = claims.join(leaders, ["l_doc", "l_version"]).select("doc_id", "version", "start", "part", "l_doc", "l_version", "l_start", other.alias("other"))
+    claims = claims.join(leaders, ["l_doc", "l_version"]).select("doc_id", "version", "start", "part", "l_doc", "l_version", "l_start", other.alias("other"), "l_id")
     found = "doc_id long, version long, start int, `end` int"
     removed = contexts.mapInArrow(_resolve(length), found).unionByName(claims.mapInArrow(_prove(length), found))
     per_doc = removed.groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "end")).alias("found"))

@@ -99,8 +99,10 @@ def test_bytes_decide_on_claims():
     got = {}
     for batch in S._prove(100)(iter([claim_rows(rows)])):
         for r in batch.to_pylist():
-            got.setdefault(r["doc_id"], []).append((r["start"], r["end"]))
-    assert got == {9: [(7, 338)], 11: [(5, 145), *([(155, 336)] if (11, 155) in got else [])], 12: [(0, 100)]} or (got[9] == [(7, 338)] and 10 not in got and got[12] == [(0, 100)] and got[11][0] == (5, 145))
+            got.setdefault(r["doc_id"], set()).update(range(r["start"], r["end"]))
+    assert set(got) == {9, 11, 12} and got[9] == set(range(7, 338)) and got[12] == set(range(100))
+    # Of the half that differs from its claim, only what the batch holds elsewhere may go.
+    assert set(range(5, 145)) <= got[11] and not got[11] & set(range(155, 156))
 
 
 def test_nothing_is_removed_without_the_merge(spark, monkeypatch):
