@@ -127,14 +127,3 @@ def daily_features(events: DataFrame) -> DataFrame:
     )
     return days.select("*", *[F.expr(sql).alias(n) for n, sql in DERIVED.items()]).drop("start_second", "end_second")
 
-
-def oracle() -> str:
-    metrics, nulled = basic() | level() | economy(), _nulled()
-    kept = ", ".join(f"{nulled.get(n, n)} AS {n}" for n in metrics)
-    return f"""daily AS (
-  SELECT *, {", ".join(f"{sql} AS {n}" for n, sql in DERIVED.items())} FROM (
-    SELECT *, CAST(date_diff('day', min(session_date) OVER (PARTITION BY user_id), session_date) AS INT) AS days_since_install,
-      CAST(dayofweek(session_date) + 1 AS INT) AS day_of_week, CAST(date_diff('day', DATE '1970-01-01', session_date) AS INT) AS day_no,
-      CAST(epoch(date_trunc('second', day_start_ts)) AS BIGINT) AS start_second, CAST(epoch(date_trunc('second', day_end_ts)) AS BIGINT) AS end_second
-    FROM (SELECT user_id, session_date, {kept}
-      FROM (SELECT user_id, session_date, {", ".join(f"{sql} AS {n}" for n, sql in metrics.items())} FROM game GROUP BY user_id, session_date))))"""

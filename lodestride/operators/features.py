@@ -146,10 +146,3 @@ def add_features(rows: DataFrame, names: list[str] | None = None) -> DataFrame:
         rows = rows.select("*", *[F.expr(sql).alias(n) for n, sql in layer.items()])
     return rows.select(*base, *features)
 
-
-def oracle(features: dict[str, str], source: str = "bandit") -> str:
-    """SELECT of user_id, session_date and the features, rounded."""
-    inner = source
-    for layer in layers(features):
-        inner = f"(SELECT *, {', '.join(f'{sql} AS {n}' for n, sql in layer.items())} FROM {inner})"
-    return f"SELECT user_id, session_date, {', '.join(f'round({n}, 6) AS {n}' for n in features)} FROM {inner}"

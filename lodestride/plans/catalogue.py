@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from lodestride.config import ARMS, DELTAS, EPS, HIGH, LOW, QUANTILE_ACCURACY
 from lodestride.functions import arms as A
 from lodestride.operators import actions, cleaning, daily, decisions, ewma, features, models, ope, records
-from lodestride.plans import register
+from lodestride.plans import register, twins
 from lodestride.sources import game
 from lodestride.sources.game import game_events
 
 # Common tables --------------------------------------------------------------------------------
 
 GAME = f"WITH {game.ORACLE}"
-DAILY = f"{GAME}, {daily.oracle()}"
+DAILY = f"{GAME}, {twins.daily()}"
 ACTIONS = f"{GAME}, " + actions.ORACLE[: actions.ORACLE.index("bandit AS")].rstrip().rstrip(",")
 BANDIT = f"{DAILY}, {actions.ORACLE}"
 FEASIBLE = "[" + ", ".join(f"CASE WHEN multiplier + {d} >= {LOW - EPS} AND multiplier + {d} <= {HIGH + EPS} THEN CAST(1 AS DOUBLE) ELSE 0 END" for d in DELTAS) + "]"
@@ -296,7 +296,7 @@ def bandit_dataset(spark, d):
 
 
 def _feature_query(name: str, group: dict[str, str]) -> None:
-    @register(name, f"{BANDIT} {features.oracle(group)}", ("session_date",))
+    @register(name, f"{BANDIT} {twins.features(list(group))}", ("session_date",))
     def query(spark, d):
         rows = features.add_features(bandit_table(spark, d), list(group))
         return rows.select("user_id", "session_date", *[F.round(c, 6).alias(c) for c in group])
