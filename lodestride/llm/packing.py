@@ -42,8 +42,10 @@ BLOCK = 32
 QUADRATIC = 1 / 12288  # 4 d n / 24 d^2 for a model of width d = 2048
 GROUP_SEQUENCES = 1024
 ORDERED_SEQUENCES = 256
-CACHE_WORDS = 150_000
-CACHE_BYTES = 32 << 20  # of words and ids
+CACHE_WORDS = 300_000
+CACHE_CORES = 400_000
+CACHE_BYTES = 32 << 20  # of words
+LONG_WORD = 10_000  # letters; such words don't stay in the cache
 TOKENS_SCHEMA = "doc_id long, n long, crc long, blocks binary"
 PIECES_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -77,6 +79,7 @@ WORD_SPLIT = {
 # A run of Latin letters with ASCII marks around it: the tokenizer splits it just there. Apostrophes
 # (contractions), digits and all else take the tokenizer's own way.
 PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+PLAIN_LINES = re.compile(rf"^({PLAIN.pattern})$", re.M)
 # The byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes for U+0100 and on.
 VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_CHARS = dict(zip((b for b in range(256) if b not in VISIBLE), range(0x100, 0x200)))
@@ -90,9 +93,6 @@ class Words:
         self.model = self.tokenizer.model
         form = json.loads(self.tokenizer.to_str())
         self.by_word = (form["normalizer"], form["pre_tokenizer"]) == (NORMAL, WORD_SPLIT)
-        self._forget()
-
-    def _forget(self) -> None:
         self.words, self.cores, self.marks, self.bytes = {"": b""}, {}, {"": b""}, 0
 
     def encode(self, words: list[str]) -> list[bytes]:
@@ -101,13 +101,17 @@ class Words:
     def _core(self, letters: str) -> bytes:
         ids = self.cores.get(letters)
         if ids is None:
-            chars = letters.encode().decode("latin-1").translate(BYTE_CHARS)
+            if len(self.cores) >= CACHE_CORES or len(letters) > LONG_WORD:
+                self.cores = {}
+            chars = letters if letters.isascii() else letters.encode().decode("latin-1").translate(BYTE_CHARS)
             ids = self.cores[letters] = array("I", [t.id for t in self.model.tokenize(chars)]).tobytes()
         return ids
 
     def _mark(self, marks: str) -> bytes:
         ids = self.marks.get(marks)
         if ids is None:
+            if len(self.marks) >= CACHE_WORDS or len(marks) > LONG_WORD:
+                self.marks = {"": b""}
             ids = self.marks[marks] = self.encode([marks])[0]
         return ids
 
@@ -117,18 +121,22 @@ class Words:
         if not new:
             return
         if len(self.words) + len(new) > CACHE_WORDS or self.bytes > CACHE_BYTES:
-            self._forget()
+            self.words, self.bytes = {"": b""}, 0
             new = words - {""}
         self.bytes += sum(map(len, new))
-        other = []
-        for w in new:
-            m = PLAIN.fullmatch(w)
-            if m and "<|" not in w:  # special tokens hold it
-                before, letters, after = m.groups()
-                self.words[w] = self._mark(before) + self._core(letters.lower()) + self._mark(after)
-            else:
-                other.append(w)
-        self.words.update(zip(other, self.encode(other)) if other else ())
+        cores, marks, known, plain = self.cores, self.marks, self.words, set()
+        # One search splits all new words that are plain; special tokens hold "<|".
+        for word, before, letters, after in PLAIN_LINES.findall("\n".join(new)):
+            if "<|" not in word:
+                low = letters.lower()
+                ids = cores.get(low) or self._core(low)
+                if before:
+                    ids = (marks.get(before) or self._mark(before)) + ids
+                known[word] = ids + (marks.get(after) or self._mark(after)) if after else ids
+                cores, marks = self.cores, self.marks
+                plain.add(word)
+        other = list(new - plain)
+        known.update(zip(other, self.encode(other)) if other else ())
 
 
 def encode_all(texts: list[str], words: Words) -> Iterator[bytes]:
