@@ -12,8 +12,8 @@ that order: then the sequences of a group, and the groups, follow it, and the or
 
 Texts are tokenised once, in tasks; of the token ids only their number and the CRC-32 of each
 block are kept, from which the CRC-32 of any piece follows. With the tokenizer for which that holds
-(white space dropped, merges within words alone), words are tokenised one by one with the task's
-cache of word ids; with any other, whole texts are.
+(white space dropped, merges within words alone), the distinct words of some megabytes of texts are tokenised and texts
+put together from their ids; with any other, whole texts are tokenised.
 
 Null texts count as empty and hold the end token alone. Every row is packed, repeated ones too; rows without an id, or
 with one id on many rows, are spread over groups. An empty table gives an empty result; other columns are left alone.
@@ -24,17 +24,18 @@ from __future__ import annotations
 import heapq
 import json
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestride.llm.common import checkpointed, map_tasks, strings
+from lodestride.llm.common import checkpointed, map_tasks
 
 CAPACITY = 4096
 END_ID = 2
@@ -42,10 +43,7 @@ BLOCK = 32
 QUADRATIC = 1 / 12288  # 4 d n / 24 d^2 for a model of width d = 2048
 GROUP_SEQUENCES = 1024
 ORDERED_SEQUENCES = 256
-CACHE_WORDS = 300_000
-CACHE_CORES = 400_000
-CACHE_BYTES = 32 << 20  # of words
-LONG_WORD = 10_000  # letters; such words don't stay in the cache
+SLICE_BYTES = 4 << 20  # of texts whose distinct words are tokenised together
 TOKENS_SCHEMA = "doc_id long, n long, crc long, blocks binary"
 PIECES_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -76,82 +74,130 @@ WORD_SPLIT = {
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
     ],
 }
-# A run of Latin letters with ASCII marks around it: the tokenizer splits it just there. Apostrophes
-# (contractions), digits and all else take the tokenizer's own way.
-PLAIN = re.compile(r"([!-&(-/:-@\[-`{-~]*)([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
-PLAIN_LINES = re.compile(rf"^({PLAIN.pattern})$", re.M)
+# Letters and marks of plain words: the tokenizer splits these just between marks and letters, and only changes the case of letters.
+# Apostrophes (contractions), digits and all else take the tokenizer's own way.
+LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+MARKS = "!-&(-/:-@[-`{-~"
+OTHER, LETTER, MARK, LINE = range(4)
+SPECIAL = "<|"  # in each special token
 # The byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes for U+0100 and on.
 VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-BYTE_CHARS = dict(zip((b for b in range(256) if b not in VISIBLE), range(0x100, 0x200)))
+BYTE_CHARS = {b: b for b in VISIBLE} | dict(zip((b for b in range(256) if b not in VISIBLE), range(0x100, 0x200)))
+
+
+def _ranges(text: str) -> Iterator[int]:
+    """Code points of ranges such as A-Z."""
+    for first, last in zip(text[::3], text[2::3]):
+        yield from range(ord(first), ord(last) + 1)
+
+
+def take(flat: np.ndarray, bounds: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs flat[bounds[i] : bounds[i + 1]] for each i of ``index``, one after another, and their bounds."""
+    lengths = (bounds[1:] - bounds[:-1])[index]
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    return flat[np.repeat(bounds[index] - ends[:-1], lengths) + np.arange(ends[-1])], ends
 
 
 class Words:
-    """Ids of words, as bytes; bounded caches of one task."""
+    """Ids of texts, by their distinct words where the tokenizer allows that."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
-        self.model = self.tokenizer.model
         form = json.loads(self.tokenizer.to_str())
-        self.by_word = (form["normalizer"], form["pre_tokenizer"]) == (NORMAL, WORD_SPLIT)
-        self.words, self.cores, self.marks, self.bytes = {"": b""}, {}, {"": b""}, 0
-
-    def encode(self, words: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _core(self, letters: str) -> bytes:
-        ids = self.cores.get(letters)
-        if ids is None:
-            if len(self.cores) >= CACHE_CORES or len(letters) > LONG_WORD:
-                self.cores = {}
-            chars = letters if letters.isascii() else letters.encode().decode("latin-1").translate(BYTE_CHARS)
-            ids = self.cores[letters] = array("I", [t.id for t in self.model.tokenize(chars)]).tobytes()
-        return ids
-
-    def _mark(self, marks: str) -> bytes:
-        ids = self.marks.get(marks)
-        if ids is None:
-            if len(self.marks) >= CACHE_WORDS or len(marks) > LONG_WORD:
-                self.marks = {"": b""}
-            ids = self.marks[marks] = self.encode([marks])[0]
-        return ids
-
-    def learn(self, words: set[str]) -> None:
-        """Takes the ids of ``words`` into the cache, which forgets what it held before where that is too much."""
-        new = words.difference(self.words)
-        if not new:
-            return
-        if len(self.words) + len(new) > CACHE_WORDS or self.bytes > CACHE_BYTES:
-            self.words, self.bytes = {"": b""}, 0
-            new = words - {""}
-        self.bytes += sum(map(len, new))
-        cores, marks, known, plain = self.cores, self.marks, self.words, set()
-        # One search splits all new words that are plain; special tokens hold "<|".
-        for word, before, letters, after in PLAIN_LINES.findall("\n".join(new)):
-            if "<|" not in word:
-                low = letters.lower()
-                ids = cores.get(low) or self._core(low)
-                if before:
-                    ids = (marks.get(before) or self._mark(before)) + ids
-                known[word] = ids + (marks.get(after) or self._mark(after)) if after else ids
-                cores, marks = self.cores, self.marks
-                plain.add(word)
-        other = list(new - plain)
-        known.update(zip(other, self.encode(other)) if other else ())
-
-
-def encode_all(texts: list[str], words: Words) -> Iterator[bytes]:
-    """Ids of each text and the end id, as little-endian unsigned 32-bit numbers."""
-    end = array("I", [END_ID]).tobytes()
-    for i in range(0, len(texts), 64):
-        part = texts[i : i + 64]
-        if not words.by_word:
-            yield from (ids + end for ids in words.encode(part))
-            continue
+        self.by_word = (form["normalizer"], form["pre_tokenizer"]) == (NORMAL, WORD_SPLIT) and all(SPECIAL in t["content"] for t in form["added_tokens"])
+        if self.by_word:
+            self.parts, self.line = _part_tokenizer(path)
+            self.kind = np.zeros(ord(LETTERS[-1]) + 2, np.uint8)
+            self.kind[[*_ranges(LETTERS)]], self.kind[[*_ranges(MARKS)]], self.kind[ord("\n")] = LETTER, MARK, LINE
+            self.lower = np.arange(len(self.kind), dtype=np.uint32)
+            self.lower[self.kind == LETTER] = [ord(chr(c).lower()) for c in np.flatnonzero(self.kind == LETTER)]
+            self.chars = np.array([BYTE_CHARS[b] for b in range(256)], np.uint32)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``texts`` and the bounds of each, as the tokenizer gives them."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter((i for each in ids for i in each), np.uint32), np.cumsum([0, *map(len, ids)])
+
+    def _encode_parts(self, lines: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """As encode, for plain parts of words, each ended by a line feed."""
+        chars = self.chars[np.frombuffer(lines, np.uint8)].tobytes().decode("utf-32-le")
+        ids = np.array(self.parts.encode_batch_fast([chars], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(ids == self.line)
+        return ids[ids != self.line], np.concatenate([[0], ends - np.arange(len(ends))])
+
+    def encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As encode, for distinct words without ASCII white space."""
+        lines = _joined(words)
+        points = np.frombuffer(lines.encode("utf-32-le"), np.uint32)
+        kinds = self.kind[np.minimum(points, len(self.kind) - 1)]
+        ends = np.flatnonzero(kinds == LINE)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        letter = kinds == LETTER
+        first, last = np.flatnonzero(letter & ~np.r_[False, letter[:-1]]), np.flatnonzero(letter & ~np.r_[letter[1:], False])
+        # A plain word has one run of letters, marks beside it and no start of a special token.
+        runs = np.searchsorted(first, ends) - np.searchsorted(first, starts)
+        odd = (kinds == OTHER) | ((points == ord(SPECIAL[0])) & (np.r_[points[1:], 0] == ord(SPECIAL[1])))
+        odds = np.concatenate([[0], np.cumsum(odd)])
+        plain = (runs == 1) & (odds[ends] == odds[starts])
+        other, other_bounds = self.encode(words.filter(pa.array(~plain)).to_pylist())
+        # Each plain word becomes three lines: marks, letters, marks.
+        run = np.searchsorted(first, starts[plain])
+        inside = np.repeat(plain, ends - starts + 1)
+        cuts = np.sort(np.concatenate([first[run], last[run] + 1]))
+        own = np.cumsum(inside) - inside  # place among characters of plain words
+        text = np.insert(self.lower[points[inside]], own[cuts], ord("\n")).tobytes().decode("utf-32-le")
+        parts = pc.split_pattern(pa.array([text], pa.large_string()), "\n").flatten()[:-1].dictionary_encode()
+        ids, bounds = take(*self._encode_parts(_joined(parts.dictionary).encode()), parts.indices.to_numpy())
+        # Both kinds back to the order of the words.
+        place = np.empty(len(words), np.int64)
+        place[plain], place[~plain] = np.arange(plain.sum()), plain.sum() + np.arange((~plain).sum())
+        return take(np.concatenate([ids, other]), np.concatenate([bounds[::3], bounds[-1] + other_bounds[1:]]), place)
+
+    def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As encode; ``texts`` hold no null."""
+        if not self.by_word:
+            return self.encode(texts.to_pylist())
         # Only characters that surely are white space to the tokenizer part words here.
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in part]
-        words.learn(set().union(*split))
-        for each in split:
-            yield b"".join(map(words.words.__getitem__, each)) + end
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        ids, bounds = take(*self.encode_words(words.dictionary), words.indices.to_numpy())
+        offsets = split.offsets.to_numpy()
+        return ids, bounds[offsets - offsets[0]]
+
+
+@lru_cache(2)
+def _part_tokenizer(path: str):
+    """A tokenizer of lines in the byte-level alphabet, with the merges of the one at ``path``, and its id of a line feed."""
+    from tokenizers import Tokenizer
+
+    form, line = json.loads(_tokenizer(path).to_str()), chr(BYTE_CHARS[ord("\n")])
+    form |= {"normalizer": None, "post_processor": None, "added_tokens": []}
+    form["pre_tokenizer"] = {"type": "Split", "pattern": {"String": line}, "behavior": "Isolated", "invert": False}
+    tokenizer = Tokenizer.from_str(json.dumps(form))
+    (number,) = tokenizer.encode(line).ids
+    return tokenizer, number
+
+
+def _joined(words: pa.Array) -> str:
+    """``words``, each ended by a line feed."""
+    if not len(words):
+        return ""
+    one = pa.ListArray.from_arrays([0, len(words)], words)
+    return pc.binary_join(one, pa.scalar("\n", words.type))[0].as_py() + "\n"
+
+
+def encode_all(texts: pa.Array, words: Words) -> Iterator[np.ndarray]:
+    """Ids of each text and the end id, as 32-bit numbers; texts are taken SLICE_BYTES at a time, or one, if that is longer."""
+    texts = pc.fill_null(texts, "")
+    before = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
+    i = 0
+    while i < len(texts):
+        k = max(i + 1, int(np.searchsorted(before, before[i] + SLICE_BYTES, "right")) - 1)
+        ids, bounds = words.encode_texts(texts.slice(i, k - i))
+        ids = np.insert(ids, bounds[1:], END_ID)
+        bounds = bounds + np.arange(len(bounds))
+        yield from (ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+        i = k
 
 
 def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", kept: dict[str, Column] | None = None) -> DataFrame:
@@ -164,11 +210,11 @@ def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
 
         def batch(b: pa.RecordBatch) -> pa.RecordBatch:
             n, crc, blocks = [], [], []
-            for ids in encode_all(strings(b.column("text")), words):
-                n.append(len(ids) // 4)
-                crc.append(zlib.crc32(ids))
-                view = memoryview(ids)
-                blocks.append(array("I", [zlib.crc32(view[i : i + 4 * BLOCK]) for i in range(0, len(ids), 4 * BLOCK)]).tobytes())
+            for ids in encode_all(b.column("text"), words):
+                n.append(len(ids))
+                view = memoryview(ids).cast("B")
+                crc.append(zlib.crc32(view))
+                blocks.append(array("I", [zlib.crc32(view[i : i + 4 * BLOCK]) for i in range(0, len(view), 4 * BLOCK)]).tobytes())
             columns = [pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(blocks, pa.binary())]
             return pa.RecordBatch.from_arrays([b.column("doc_id"), *columns, *(b.column(k) for k in names)], names=["doc_id", "n", "crc", "blocks", *names])
 

@@ -4,6 +4,7 @@ from array import array
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from lodestride.llm import packing as P
@@ -21,9 +22,19 @@ ODD = ["", "a", " ", "don't  x's <|endoftext|>y ẞΣ\x1cfoo", " bar é é 
 
 def test_ids_equal_the_tokenizer():
     rng = random.Random(0)
-    texts = ODD + ["".join(rng.choices("aBé'! \n\t1_%<|>ßİŒΣ́", k=rng.randint(0, 40))) for _ in range(500)]
-    for text, got in zip(texts, P.encode_all(texts, P.Words(P.default_tokenizer()))):
-        assert list(array("I", got)) == ids_of(text), text
+    texts = ODD + [None] + ["".join(rng.choices("aBé'! \n\t1_%<|>ßİŒΣ́", k=rng.randint(0, 40))) for _ in range(500)]
+    texts += ["".join(rng.choices("aZéÖ.,!-\n (", k=rng.randint(0, 60))) for _ in range(500)]
+    texts += ["".join(chr(rng.choice([rng.randrange(0x20, 0x260), rng.randrange(1, 0xD800), rng.randrange(0x10000, 0x11000)])) for _ in range(30)) for _ in range(500)]
+    got = list(P.encode_all(pa.array(texts), P.Words(P.default_tokenizer())))
+    assert len(got) == len(texts)
+    for text, ids in zip(texts, got):
+        assert ids.tolist() == ids_of(text), text
+
+
+def test_no_texts_and_empty_texts():
+    words = P.Words(P.default_tokenizer())
+    assert list(P.encode_all(pa.array([], pa.string()), words)) == []
+    assert [x.tolist() for x in P.encode_all(pa.array([None, "", " "], pa.string()), words)] == [[P.END_ID]] * 3
 
 
 def test_piece_crc():
@@ -103,16 +114,19 @@ def test_other_tokenizers_read_whole_texts():
     words, plain = P.Words(path), Tokenizer.from_file(path)
     assert not words.by_word and P.Words(P.default_tokenizer()).by_word
     texts = ["a b  c", "", " x\n\n y", "don't"]
-    for text, got in zip(texts, P.encode_all(texts, words)):
-        assert list(array("I", got)) == [*plain.encode(text, add_special_tokens=False).ids, P.END_ID]
+    for text, got in zip(texts, P.encode_all(pa.array(texts), words)):
+        assert got.tolist() == [*plain.encode(text, add_special_tokens=False).ids, P.END_ID]
 
 
-def test_small_caches_change_nothing(monkeypatch):
+def test_slices_change_nothing(monkeypatch):
     rng = random.Random(3)
-    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(50)) for _ in range(300)]
-    want = list(P.encode_all(texts, P.Words(P.default_tokenizer())))
-    monkeypatch.setattr(P, "CACHE_WORDS", 100)
-    assert list(P.encode_all(texts, P.Words(P.default_tokenizer()))) == want
+    texts = pa.array(["", *(" ".join(f"w{rng.randrange(3000)} Été," for _ in range(rng.randrange(50))) for _ in range(300)), None])
+    want = [x.tolist() for x in P.encode_all(texts, P.Words(P.default_tokenizer()))]
+    assert len(want) == len(texts)
+    for n in (1, 100, 1000):
+        monkeypatch.setattr(P, "SLICE_BYTES", n)
+        assert [x.tolist() for x in P.encode_all(texts.slice(0), P.Words(P.default_tokenizer()))] == want
+        assert [x.tolist() for x in P.encode_all(texts.slice(50), P.Words(P.default_tokenizer()))] == want[50:]
 
 
 def test_packing_follows_the_stored_order(spark, tmp_path):
