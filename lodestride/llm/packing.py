@@ -44,6 +44,7 @@ QUADRATIC = 1 / 12288  # 4 d n / 24 d^2 for a model of width d = 2048
 GROUP_SEQUENCES = 1024
 ORDERED_SEQUENCES = 256
 SLICE_BYTES = 4 << 20  # of texts whose distinct words are tokenised together
+PARTS = 8192  # of words, in one call of the tokenizer
 TOKENS_SCHEMA = "doc_id long, n long, crc long, blocks binary"
 PIECES_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -118,10 +119,14 @@ class Words:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.fromiter((i for each in ids for i in each), np.uint32), np.cumsum([0, *map(len, ids)])
 
-    def _encode_parts(self, lines: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """As encode, for plain parts of words, each ended by a line feed."""
-        chars = self.chars[np.frombuffer(lines, np.uint8)].tobytes().decode("utf-32-le")
-        ids = np.array(self.parts.encode_batch_fast([chars], add_special_tokens=False)[0].ids, np.uint32)
+    def _encode_parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As encode, for plain parts of words."""
+        ids = [np.empty(0, np.uint32)]
+        for i in range(0, len(parts), PARTS):  # the tokenizer takes much memory a character
+            lines = np.frombuffer(_joined(parts.slice(i, PARTS)).encode(), np.uint8)
+            chars = self.chars[lines].tobytes().decode("utf-32-le")
+            ids.append(np.array(self.parts.encode_batch_fast([chars], add_special_tokens=False)[0].ids, np.uint32))
+        ids = np.concatenate(ids)
         ends = np.flatnonzero(ids == self.line)
         return ids[ids != self.line], np.concatenate([[0], ends - np.arange(len(ends))])
 
@@ -147,7 +152,7 @@ class Words:
         own = np.cumsum(inside) - inside  # place among characters of plain words
         text = np.insert(self.lower[points[inside]], own[cuts], ord("\n")).tobytes().decode("utf-32-le")
         parts = pc.split_pattern(pa.array([text], pa.large_string()), "\n").flatten()[:-1].dictionary_encode()
-        ids, bounds = take(*self._encode_parts(_joined(parts.dictionary).encode()), parts.indices.to_numpy())
+        ids, bounds = take(*self._encode_parts(parts.dictionary), parts.indices.to_numpy())
         # Both kinds back to the order of the words.
         place = np.empty(len(words), np.int64)
         place[plain], place[~plain] = np.arange(plain.sum()), plain.sum() + np.arange((~plain).sum())
