@@ -1,7 +1,7 @@
-"""User-day aggregates: every metric in one groupBy, from a specification table.
+"""User-day aggregates: a specification table of metrics, computed by two groupBys.
 
-Each entry is an aggregate in SQL; the three metric families of the domain (basic, level and
-economy) need no joins, for conditions sit inside the aggregates. On days without a level event,
+Each entry is an aggregate in SQL; conditions sit inside the aggregates. The distinct counts have a
+narrow groupBy of their own, as in one with all metrics they would expand every whole row. On days without a level event,
 level metrics are null, but for the counts that are filled with 0 at the end.
 """
 
@@ -82,6 +82,7 @@ def economy() -> dict[str, str]:
     return out | {"ad_events": _count("event_name LIKE '%ad%' OR event_name LIKE '%Ad%'"), "ad_revenue": _sum0("ad_revenue_usd")}
 
 
+DISTINCT = ("daily_session_count", "distinct_levels_played")
 FILLED = ("levels_started", "levels_completed", "levels_failed")
 BOOSTER_SUM = " + ".join(f"coalesce({b}_boosters, 0)" for b in BOOSTERS)
 RATE = "CASE WHEN levels_started > 0 THEN CAST({0} AS DOUBLE) / levels_started ELSE 0 END"
@@ -109,10 +110,18 @@ def _nulled() -> dict[str, str]:
     return {n: f"CASE WHEN level_event_count > 0 THEN {n} END" for n in level() if n not in (*FILLED, "level_event_count")}
 
 
+def _user_days(events: DataFrame, metrics: dict[str, str]) -> DataFrame:
+    """The metrics by user and day (null ones too); both sides of the join have one row for each."""
+    days = events.groupBy("user_id", "session_date")
+    plain = days.agg(*[F.expr(sql).alias(n) for n, sql in metrics.items() if n not in DISTINCT])
+    counts = days.agg(*[F.expr(metrics[n]).alias(n) for n in DISTINCT]).withColumnsRenamed({"user_id": "counted_user", "session_date": "counted_date"})
+    same = F.col("user_id").eqNullSafe(F.col("counted_user")) & F.col("session_date").eqNullSafe(F.col("counted_date"))
+    return plain.join(counts, same).select("user_id", "session_date", *metrics)
+
+
 def daily_features(events: DataFrame) -> DataFrame:
     """One row per user and day with all basic, level, economy and derived metrics."""
-    metrics = basic() | level() | economy()
-    days = events.groupBy("user_id", "session_date").agg(*[F.expr(sql).alias(n) for n, sql in metrics.items()])
+    days = _user_days(events, basic() | level() | economy())
     nulled = _nulled()
     days = days.select(*[F.expr(nulled[c]).alias(c) if c in nulled else F.col(c) for c in days.columns])
     first = F.expr("min(session_date) OVER (PARTITION BY user_id)")

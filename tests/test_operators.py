@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestride.functions import arms as A
-from lodestride.operators import actions, cleaning, decisions, ewma, features, ope, records
-from lodestride.sources import readers, writers
+from lodestride.operators import actions, cleaning, daily, decisions, ewma, features, ope, records
+from lodestride.sources import game, readers, writers
 from lodestride.streaming import daily as streaming
 from tests.conftest import DATA
 
@@ -254,3 +254,19 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got.to_dict() == want.to_dict()
     spans = streaming.sessions(events.withColumn("ts", F.col("ts").cast("timestamp")))
     assert spans.agg(F.sum("n")).first()[0] == 1000
+
+
+def test_daily_counts_keep_null_keys(spark):
+    """Distinct counts meet their own user and day, null ones too."""
+    events = game.game_events(spark, str(DATA / "sf0.001"))
+    some = events.where("event_id < 400").withColumn("user_id", F.expr("CASE WHEN event_id % 3 <> 0 THEN user_id END")).withColumn("session_date", F.expr("CASE WHEN event_id % 5 <> 0 THEN session_date END"))
+    some = some.withColumn("session_id", F.expr("CASE WHEN event_id % 2 = 0 THEN session_id END"))
+    frame = some.toPandas()
+    frame["user_id"], frame["session_date"] = frame["user_id"].fillna(-1), frame["session_date"].map(lambda d: "none" if pd.isna(d) else d)
+    on = frame["event_name"].isin(["levelStarted", "levelEnded", "levelOutOfSpace", "levelOutOfTime"])
+    want = sorted((int(u), str(d), int(g["session_id"].nunique()), int(g.loc[on, "level_index"].nunique()) if on[g.index].any() else None) for (u, d), g in frame.groupby(["user_id", "session_date"]))
+    days = daily.daily_features(some).select("user_id", "session_date", "daily_session_count", "distinct_levels_played").collect()
+    got = sorted((-1 if r[0] is None else r[0], str(r[1] or "none"), r[2], r[3]) for r in days)
+    assert len(want) > 50 and {-1, "none"} <= {k for w in want for k in w[:2]} and any(w[2] == 0 for w in want)
+    assert got == want
+    assert daily.daily_features(some.where("false")).count() == 0
