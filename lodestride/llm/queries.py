@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestride.llm import exact_dedup, language_id, licenses, mixing, neighbors, packing, secrets, simhash, suffix_dedup, toxicity
+from lodestride.llm import exact_dedup, language_id, licenses, mixing, neighbors, packing, quality, secrets, simhash, suffix_dedup, toxicity
 from lodestride.llm.common import read
 
 
@@ -51,11 +51,16 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.measure_quality(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("failed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_neighbors, op2_exact_dedup, op3_secrets, op4_mixing, op5_simhash, op6_suffix_dedup, op7_toxicity, op8_language_id, op9_packing, op10_licenses)
+    f.__name__: f for f in (op1_neighbors, op2_exact_dedup, op3_secrets, op4_mixing, op5_simhash, op6_suffix_dedup, op7_toxicity, op8_language_id, op9_packing, op10_licenses, op12_quality_rules)
 }
 
 ORACLES: dict[str, str] = {
+    "op12_quality_rules": quality.SQL,
     "op2_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
