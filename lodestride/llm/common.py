@@ -41,6 +41,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def few(rows: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` rows, as a table of their own; Spark reads partitions, the first ones first, until it has them. They pass through the driver, so ``rows`` should be short."""
+    return rows.sparkSession.createDataFrame(rows.limit(n).collect(), rows.schema)
+
+
 def _return_memory() -> None:
     """What a task has freed goes back to the system: Python workers live on, and those of several stages share a machine."""
     gc.collect()

@@ -4,7 +4,7 @@ A rule is a condition under which a text fails. Rules stand in one CASE expressi
 fails one isn't tried against those after it. Their order comes from a sample: each rule is timed on it
 alone, all rules are tried on it together, and the next rule is always the one that rejects the most of what
 its predecessors leave, per second of its cost. The order changes what a row costs, never its verdict, so
-the sample (at most SAMPLE_ROWS rows, from the first partitions that have them) decides no result.
+the sample (at most SAMPLE_ROWS rows of up to SAMPLE_CHARS characters, from the first partitions that have them) decides no result.
 
 Words are maximal runs without ASCII white space; nulls count as empty and fail for lack of words. Repeated
 windows of words are found by their hashes (64 bits), and equal hashes are compared by their words. Texts may
@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestride.llm.common import stored
+from lodestride.llm.common import few, stored
 
 # Fixed values.
 BLANK = " \t\n\x0b\x0c\r"
@@ -32,6 +32,7 @@ LEAST_WORDS = 10
 REPEAT_PERCENT = 20
 
 SAMPLE_ROWS = 500
+SAMPLE_CHARS = 32_768
 SAMPLE_SHARE = 16  # one row in so many may be in the sample
 REPEATS = 2
 
@@ -121,8 +122,8 @@ def _greedy(costs: dict[str, float], patterns: list[tuple[frozenset[str], int]])
 def plan_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, known: tuple[str, ...] = (), text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[str]:
     """Names of ``rules`` in the order of the cascade, from a sample of ``docs``. Without rows, as they are given."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")
-    rows = docs.select(text).where(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(SAMPLE_SHARE)) == 0).limit(sample_rows)
-    sample = _prepared(stored(rows))
+    rows = docs.select(text).where((F.pmod(F.xxhash64("text", F.lit(7)), F.lit(SAMPLE_SHARE)) == 0) & (F.length("text") <= SAMPLE_CHARS))
+    sample = _prepared(few(rows, sample_rows))
     sample = stored(sample.select("*", *[MEASURES[m]().cast("long").alias(m) for m in known]))
 
     def seconds(condition: Column) -> float:
@@ -176,12 +177,15 @@ def good_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def _sql() -> str:
     """The result of measure_quality without ``failed``, as DuckDB SQL."""
-    word, per = "[^\\x20\\x09-\\x0D]", ", ".join(f"words[i + {k}]" for k in range(1, WINDOW + 1))
+    word = "[^\\x20\\x09-\\x0D]"
+    after = ", ".join(f"lead(w, {k}) OVER (PARTITION BY r ORDER BY i) AS w{k}" for k in range(1, WINDOW))
+    window = ", ".join(["w", *[f"w{k}" for k in range(1, WINDOW)]])
     symbols = "".join(f"\\x{ord(c):02x}" for c in SYMBOLS)
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents),
     t AS (SELECT *, regexp_extract_all(text, '{word}+') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{word}')) AS lines FROM d),
-    win AS (SELECT r, i, [{per}] AS w FROM (SELECT r, words, unnest(range(greatest(len(words) - {WINDOW - 1}, 0))) AS i FROM t)),
-    twice AS (SELECT r, i FROM win QUALIFY count(*) OVER (PARTITION BY r, w) > 1),
+    tokens AS (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM t),
+    win AS (SELECT *, {after} FROM tokens),
+    twice AS (SELECT r, i FROM win WHERE w{WINDOW - 1} IS NOT NULL QUALIFY count(*) OVER (PARTITION BY r, {window}) > 1),
     repeats AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, range({WINDOW}) x(k) GROUP BY r),
     m AS (SELECT doc_id, len(words) AS n_words, len(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
       len(text) - len(regexp_replace(text, '[{symbols}]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestride.llm import exact_dedup, language_id, licenses, mixing, neighbors, packing, quality, secrets, simhash, suffix_dedup, toxicity
+from lodestride.llm import exact_dedup, language_id, lexical_search, licenses, mixing, neighbors, packing, quality, secrets, simhash, suffix_dedup, toxicity, vector_codes
 from lodestride.llm.common import read
 
 
@@ -55,12 +55,22 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure_quality(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("failed")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")).drop("label")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_neighbors, op2_exact_dedup, op3_secrets, op4_mixing, op5_simhash, op6_suffix_dedup, op7_toxicity, op8_language_id, op9_packing, op10_licenses, op12_quality_rules)
+    f.__name__: f for f in (op1_neighbors, op2_exact_dedup, op3_secrets, op4_mixing, op5_simhash, op6_suffix_dedup, op7_toxicity, op8_language_id, op9_packing, op10_licenses, op11_vector_codes, op12_quality_rules, op13_lexical_search)
 }
 
 ORACLES: dict[str, str] = {
+    "op11_vector_codes": vector_codes.SQL,
     "op12_quality_rules": quality.SQL,
+    "op13_lexical_search": lexical_search.SQL,
     "op2_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
