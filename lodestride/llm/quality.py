@@ -62,50 +62,60 @@ def _without(column: str, characters: str) -> Column:
     return F.length(F.translate(F.col(column), characters, ""))
 
 
-def _repeats() -> Column:
-    """Words in windows that the text has twice or more, from ``words`` and the hashes of its windows."""
+def _bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of ``value``, which is evaluated once: as the variable of a lambda no optimizer rule writes it out where it is used, which inside a lambda would mean once an element."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _words() -> Column:
+    trimmed = F.btrim("text", F.lit(BLANK))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, BLANKS))
+
+
+def _repeats(words: Column) -> Column:
+    """Words in windows that the text has twice or more."""
+
     def twice(rows: Column, field: str) -> Column:
         near = lambda x, k: F.coalesce(F.get(rows, k)[field] == x[field], F.lit(False))
         return F.filter(rows, lambda x, k: near(x, k - 1) | near(x, k + 1))
 
-    bound = lambda value, then: F.transform(F.array(value), then)[0]  # noqa: E731  evaluates ``value`` once
-    keyed = F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    likely = bound(F.sort_array(keyed), lambda s: twice(s, "h"))
-    texts = F.transform(likely, lambda x: F.struct(F.slice("words", x["i"] + 1, F.lit(WINDOW)).alias("w"), x["i"].alias("i")))
-    places = F.sort_array(F.transform(bound(F.sort_array(texts), lambda s: twice(s, "w")), lambda x: x["i"]))
-    start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
-    covered = F.aggregate(places, start, lambda a, i: F.struct((i + WINDOW).alias("end"), (a["n"] + i + WINDOW - F.greatest(a["end"], i)).alias("n")))
-    return F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"), covered["n"]).otherwise(0).cast("long")
+    def covered(hashes: Column) -> Column:
+        keyed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+        likely = _bound(F.sort_array(keyed), lambda s: twice(s, "h"))
+        texts = F.transform(likely, lambda x: F.struct(F.slice(words, x["i"] + 1, F.lit(WINDOW)).alias("w"), x["i"].alias("i")))
+        places = F.sort_array(F.transform(_bound(F.sort_array(texts), lambda s: twice(s, "w")), lambda x: x["i"]))
+        start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
+        total = F.aggregate(places, start, lambda a, i: F.struct((i + WINDOW).alias("end"), (a["n"] + i + WINDOW - F.greatest(a["end"], i)).alias("n")))
+        return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), total["n"]).otherwise(0)
+
+    starts = F.when(F.size(words) > WINDOW, F.sequence(F.lit(0), F.size(words) - WINDOW)).otherwise(F.array().cast("array<int>"))
+    return _bound(F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)])), covered)
 
 
 def _lines() -> Column:
     return F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(BLANK)) != "")
 
 
-def _prepared(rows: DataFrame) -> DataFrame:
-    """``rows`` (with a ``text`` that isn't null) with words and the hashes of their windows, which several measures read."""
-    trimmed = F.btrim("text", F.lit(BLANK))
-    rows = rows.withColumn("words", F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, BLANKS)))
-    window = lambda i: F.xxhash64(*[F.get("words", i + k) for k in range(WINDOW)])
-    starts = F.when(F.size("words") > WINDOW, F.sequence(F.lit(0), F.size("words") - WINDOW)).otherwise(F.array().cast("array<int>"))
-    return rows.withColumn("hashes", F.transform(starts, window))
-
-
-MEASURES: dict[str, Callable[[], Column]] = {
-    "n_words": lambda: F.size("words"),
-    "word_chars": lambda: _without("text", BLANK),
-    "n_symbols": lambda: F.length("text") - _without("text", SYMBOLS),
-    "n_lines": lambda: F.size(_lines()),
-    "n_dup_lines": lambda: F.size(_lines()) - F.size(F.array_distinct(_lines())),
+# Of the column ``text`` and its words.
+MEASURES: dict[str, Callable[[Column], Column]] = {
+    "n_words": lambda words: F.size(words),
+    "word_chars": lambda words: _without("text", BLANK),
+    "n_symbols": lambda words: F.length("text") - _without("text", SYMBOLS),
+    "n_lines": lambda words: F.size(_lines()),
+    "n_dup_lines": lambda words: _bound(_lines(), lambda x: F.size(x) - F.size(F.array_distinct(x))),
     "n_repeat_words": _repeats,
-    "n_letters": lambda: F.length("text") - F.length(F.regexp_replace("text", "\\p{L}+", "")),
-    "n_capitals": lambda: F.length("text") - F.length(F.regexp_replace("text", "\\p{Lu}+", "")),
+    "n_letters": lambda words: F.length("text") - F.length(F.regexp_replace("text", "\\p{L}+", "")),
+    "n_capitals": lambda words: F.length("text") - F.length(F.regexp_replace("text", "\\p{Lu}+", "")),
 }
 
 
-def _fails(rule: Rule, known: tuple[str, ...] = ()) -> Column:
+def _measured(names: tuple[str, ...]) -> Column:
+    return _bound(_words(), lambda words: F.struct(*[MEASURES[m](words).cast("long").alias(m) for m in names]))
+
+
+def _fails(rule: Rule, words: Column, known: tuple[str, ...] = ()) -> Column:
     """The condition of ``rule``; measures that aren't ``known`` as columns are worked out where CASE comes to the rule."""
-    return rule.fails({m: F.col(m) if m in known else MEASURES[m]().cast("long") for m in rule.needs})
+    return rule.fails({m: F.col(m) if m in known else MEASURES[m](words).cast("long") for m in rule.needs})
 
 
 def _greedy(costs: dict[str, float], patterns: list[tuple[frozenset[str], int]]) -> list[str]:
@@ -123,8 +133,9 @@ def plan_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, known: tuple[st
     """Names of ``rules`` in the order of the cascade, from a sample of ``docs``. Without rows, as they are given."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")
     rows = docs.select(text).where((F.pmod(F.xxhash64("text", F.lit(7)), F.lit(SAMPLE_SHARE)) == 0) & (F.length("text") <= SAMPLE_CHARS))
-    sample = _prepared(few(rows, sample_rows))
-    sample = stored(sample.select("*", *[MEASURES[m]().cast("long").alias(m) for m in known]))
+    sample = few(rows, sample_rows).withColumn("words", _words())
+    sample = stored(sample.withColumn("m", _measured(known)).select("text", "words", "m.*") if known else sample)
+    words = F.col("words")
 
     def seconds(condition: Column) -> float:
         took = []
@@ -135,18 +146,18 @@ def plan_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, known: tuple[st
         return min(took)
 
     nothing = seconds(F.length("text") < 0)
-    costs = {r.name: max(seconds(_fails(r, known)) - nothing, 1e-3) for r in rules}
-    failed = F.array_compact(F.array(*[F.when(_fails(r, known), r.name) for r in rules])).alias("failed")
+    costs = {r.name: max(seconds(_fails(r, words, known)) - nothing, 1e-3) for r in rules}
+    failed = F.array_compact(F.array(*[F.when(_fails(r, words, known), r.name) for r in rules])).alias("failed")
     counts = sample.select(failed).groupBy("failed").count().collect()  # at most sample_rows of them
     return _greedy(costs, [(frozenset(x["failed"]), x["count"]) for x in counts])
 
 
-def _judged(rows: DataFrame, order: list[str], known: tuple[str, ...]) -> Column:
+def _judged(order: list[str], words: Column, known: tuple[str, ...] = (), rules: tuple[Rule, ...] = RULES) -> Column:
     """Name of the first rule in ``order`` that a row fails, or null."""
-    by_name = {r.name: r for r in RULES}
-    chain = F.when(_fails(by_name[order[0]], known), order[0])
+    by_name = {r.name: r for r in rules}
+    chain = F.when(_fails(by_name[order[0]], words, known), order[0])
     for name in order[1:]:
-        chain = chain.when(_fails(by_name[name], known), name)
+        chain = chain.when(_fails(by_name[name], words, known), name)
     return chain
 
 
@@ -159,10 +170,10 @@ def measure_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     order = plan_order(docs, known=known, text_col=text_col)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")
-    rows = _prepared(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text))
-    rows = rows.select("doc_id", "text", "words", *[MEASURES[m]().cast("long").alias(m) for m in known])
-    base = [_fails(r, known) for r in RULES if r.name in BASE]
-    rows = rows.withColumn("failed", _judged(rows, order, known))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text)
+    rows = rows.withColumn("m", _measured(known)).select("doc_id", "text", "m.*")
+    base = [_fails(r, _words(), known) for r in RULES if r.name in BASE]
+    rows = rows.withColumn("failed", _judged(order, _words(), known))
     return rows.select("doc_id", *known, (base[0] | base[1]).alias("base_failed"), F.col("failed").isNull().alias("kept"), "failed")
 
 
@@ -171,8 +182,8 @@ def good_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
     order = plan_order(docs, text_col=text_col)
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = _prepared(docs.select(F.struct(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]).alias("row"), text.alias("text")))
-    return rows.where(_judged(rows, order, ()).isNull()).select(*[F.col(f"row.{n}").alias(c) for c, n in names.items()])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]).alias("row"), text.alias("text"))
+    return rows.where(_bound(_words(), lambda words: _judged(order, words)).isNull()).select(*[F.col(f"row.{n}").alias(c) for c, n in names.items()])
 
 
 def _sql() -> str:

@@ -85,13 +85,16 @@ def test_a_rejected_row_is_not_tried_further(spark):
     """The chain is one CASE: a later rule that would fail the job isn't reached."""
     rows = spark.createDataFrame([(1, "a b")], SCHEMA)
     trap = quality.Rule("trap", ("n_words",), lambda m: quality.F.raise_error("reached").cast("boolean") | (m["n_words"] > 0))
-    rules = (*quality.RULES, trap)
-    quality_rules, quality.RULES = quality.RULES, rules
-    try:
-        chain = quality._judged(quality._prepared(rows), ["few_words", "trap"], ())
-        assert quality._prepared(rows).select(chain.alias("f")).collect()[0]["f"] == "few_words"
-    finally:
-        quality.RULES = quality_rules
+    chain = quality._judged(["few_words", "trap"], quality._words(), (), (*quality.RULES, trap))
+    assert rows.select(chain.alias("f")).collect()[0]["f"] == "few_words"
+
+
+def test_a_filter_on_the_verdict_is_not_written_out_per_word(spark):
+    """Filters go below projections; the words must still be split once a row."""
+    text = " ".join(f"word{i}" for i in range(20_000))
+    rows = spark.createDataFrame([(1, text)], SCHEMA)
+    assert quality.measure_quality(rows).where("kept").count() == 0  # half of the characters are digits
+    assert quality.good_documents(spark.createDataFrame([(1, " ".join(f"longword{i}" for i in range(20_000)))], SCHEMA)).count() == 1
 
 
 def test_no_python_in_the_plan(rows):
