@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestride.sources.delta import read_delta
+
 JDBC_PARTITIONS, JDBC_FETCH = 20, 10_000
 DATED = re.compile(r"_(\d{4})[_-](\d{2})[_-](\d{2})")
 
@@ -42,8 +44,8 @@ def format_of(spark: SparkSession, path: str) -> str:
 def read_files(spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | None = None) -> DataFrame:
     """Files of a format, found by format_of; CSV has a header and no inferred types.
 
-    A Delta table is read as Parquet where its source isn't installed: right for a table that was only written
-    or appended to. The helper column ``partition_key`` is dropped, if there.
+    A table with a transaction log is read by its source where that is installed, else as the snapshot that the log gives
+    (sources.delta). The helper column ``partition_key`` is dropped, if there.
     """
     fmt = fmt or format_of(spark, path)
     reader = spark.read.schema(schema) if schema is not None else spark.read
@@ -54,7 +56,7 @@ def read_files(spark: SparkSession, path: str, fmt: str | None = None, schema: T
     except (AnalysisException, Py4JJavaError) as missing:
         if fmt != "delta" or not re.search("DATA_SOURCE_NOT_FOUND|Failed to find the data source|ClassNotFound", str(missing)):
             raise
-        return reader.format("parquet").load(path).drop("partition_key")
+        return read_delta(spark, path).drop("partition_key")
 
 
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
