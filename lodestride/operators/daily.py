@@ -1,7 +1,10 @@
 """User-day aggregates: every metric in one groupBy, from a specification table.
 
 Each entry is an aggregate in SQL; the three metric families of the domain (basic, level and
-economy) need no joins, for conditions sit inside the aggregates. On days without a level event,
+economy) need no joins among them, for conditions sit inside the aggregates. Exact distinct counts would multiply every row of that
+aggregation by their number and key it by their values, so each has a narrow one of its own: distinct (user, day, value)
+combine before they move, spread over values, so that a user-day with very many is no single task's, and the counts
+join on the day, which both sides are already dealt by. A count that nobody reads goes with its join, as the day is a key of it. On days without a level event,
 level metrics are null, but for the counts that are filled with 0 at the end.
 """
 
@@ -16,6 +19,11 @@ MEASURES = {"mean": "avg", "std": "stddev_samp", "max": "max", "min": "min"}
 BOOSTERS = ("undo", "extrabox", "hammer", "joker", "prejoker", "supersuit")
 
 
+# Metrics that count distinct values are no part of the one aggregation (count_distinct).
+DISTINCT = "distinct"
+COUNTED = {"daily_session_count": "session_id", "distinct_levels_played": f"CASE WHEN {LEVEL_EVENTS} THEN level_index END"}
+
+
 def _sum0(value: str, when: str = "TRUE") -> str:
     return f"CAST(sum(CASE WHEN {when} THEN coalesce({value}, 0) ELSE 0 END) AS DOUBLE)"
 
@@ -41,7 +49,7 @@ def basic() -> dict[str, str]:
     for name, value in (("user_segment", "user_segment"), ("platform", "platform"), ("user_level_start", "user_level")):
         out[name] = f"min_by({value}, ts) FILTER (WHERE {value} IS NOT NULL)"
     out["user_level_end"] = "max_by(user_level, ts) FILTER (WHERE user_level IS NOT NULL)"
-    return out | {"daily_event_count": "count(*)", "daily_session_count": "count(DISTINCT session_id)"}
+    return out | {"daily_event_count": "count(*)", "daily_session_count": DISTINCT}
 
 
 def level() -> dict[str, str]:
@@ -53,7 +61,7 @@ def level() -> dict[str, str]:
         "levels_failed": _count(f"{end} AND level_result IN ('Defeat', 'Abort')"),
         "total_level_attempts": _sum0("attempts", on),
         "avg_level_attempts": _measure("mean", "attempts", on),
-        "distinct_levels_played": f"count(DISTINCT CASE WHEN {on} THEN level_index END)",
+        "distinct_levels_played": DISTINCT,
         "total_level_duration": _sum0("duration", on),
         "avg_level_duration": _measure("mean", "duration", on),
         "avg_time_remaining": _measure("mean", "time_remaining", on),
@@ -111,8 +119,14 @@ def _nulled() -> dict[str, str]:
 
 def daily_features(events: DataFrame) -> DataFrame:
     """One row per user and day with all basic, level, economy and derived metrics."""
-    metrics = basic() | level() | economy()
-    days = events.groupBy("user_id", "session_date").agg(*[F.expr(sql).alias(n) for n, sql in metrics.items()])
+    metrics = {n: sql for n, sql in (basic() | level() | economy()).items() if sql != DISTINCT}
+    key = F.struct("user_id", "session_date")  # structs with null fields are equal
+    days = events.groupBy(key.alias("__day")).agg(*[F.expr(sql).alias(n) for n, sql in metrics.items()])
+    for name, value in COUNTED.items():
+        distinct = events.select(key.alias(f"__{name}"), F.expr(value).alias("__value")).where("__value IS NOT NULL").distinct()
+        counts = distinct.groupBy(f"__{name}").agg(F.count(F.lit(1)).alias(f"__n_{name}"))
+        days = days.join(counts, F.col("__day") == F.col(f"__{name}"), "left")
+    days = days.select("__day.*", *[F.coalesce(f"__n_{n}", F.lit(0)).alias(n) if sql == DISTINCT else F.col(n) for n, sql in (basic() | level() | economy()).items()])
     nulled = _nulled()
     days = days.select(*[F.expr(nulled[c]).alias(c) if c in nulled else F.col(c) for c in days.columns])
     first = F.expr("min(session_date) OVER (PARTITION BY user_id)")

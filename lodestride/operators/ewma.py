@@ -54,6 +54,45 @@ def add_ewma(rows: DataFrame, columns: list[str], alphas: tuple[float, ...] = EW
     return rows.select(*kept, *[F.aggregate(maps, F.lit(0.0), value(i)).alias(name_of(c, a)) for i, (c, a) in enumerate(wanted)])
 
 
+def advance(state: DataFrame | None, rows: DataFrame, columns: list[str], alphas: tuple[float, ...] = EWMA_ALPHAS, pairs: list[tuple[str, float]] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The averages of ``rows`` (user_id, session_date and name_of each pair), and the new states of their users, from stored states and ``rows`` alone.
+
+    A state is a row for each user: the names of its averages, the day of the last row, the average of everything so far (null before
+    the first value) and, for each column, rows since its last value. It is all that later days need, so a day costs its own rows, not the
+    history. Users without rows keep their states, so the new states are to be merged by user_id. ``state`` None begins a history.
+    Rows must be later than their user's state, and a state must have the names that are asked for; both are errors else.
+    """
+    wanted = pairs or [(c, a) for c in columns for a in alphas]
+    names, used = [name_of(c, a) for c, a in wanted], list(dict.fromkeys(c for c, _ in wanted))
+    value = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    days = rows.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("session_date", F.array(*map(value, used)).alias("x")))).alias("days"))
+    if state is None:
+        state = rows.sparkSession.createDataFrame([], f"user_id {rows.schema['user_id'].dataType.simpleString()}, names array<string>, last_date date, y array<double>, gap array<int>")
+    joined = days.join(state.select(F.col("user_id").alias("__user"), *STATE), F.col("user_id").eqNullSafe(F.col("__user")), "left").drop("__user")
+    known, first = F.array(*map(F.lit, names)), F.col("days")[0]["session_date"]
+    checked = F.when(F.col("names").isNotNull() & (F.col("names") != known), F.raise_error(F.lit("the state has other averages"))).when(first <= F.col("last_date"), F.raise_error(F.lit("the state is not older than the rows")))
+    empty = lambda n, kind: F.array(*[F.lit(None).cast(kind)] * n)
+    start = F.struct(F.coalesce(checked.cast("array<double>"), "y", empty(len(names), "double")).alias("y"), F.coalesce("gap", empty(len(used), "int")).alias("gap"), F.array().cast("array<array<double>>").alias("out"))
+    alpha, of = F.array(*[F.lit(a) for _, a in wanted]), F.array(*[F.lit(used.index(c)) for c, _ in wanted])
+
+    def step(s, day):
+        def average(y, i):
+            x, a = F.get(day["x"], F.get(of, i)), F.get(alpha, i)
+            old = F.pow(1 - a, F.get(s["gap"], F.get(of, i)))
+            return F.when(x.isNull(), y).when(y.isNull(), x).otherwise(old / (old + a) * y + a / (old + a) * x)
+
+        gap = F.transform(s["gap"], lambda g, j: F.when(F.get(day["x"], j).isNull(), g + 1).otherwise(1))
+        return F.struct(F.transform(s["y"], average).alias("y"), gap.alias("gap"), F.concat(s["out"], F.array(s["y"])).alias("out"))
+
+    folded = joined.select("user_id", "days", F.aggregate("days", start, step).alias("s"))
+    each = folded.select("user_id", F.explode(F.arrays_zip(F.col("days.session_date").alias("session_date"), F.col("s.out").alias("y"))).alias("r"))
+    averages = each.select("user_id", "r.session_date", *[F.coalesce(F.get("r.y", F.lit(i)), F.lit(0.0)).alias(n) for i, n in enumerate(names)])
+    return averages, folded.select("user_id", known.alias("names"), F.element_at("days", -1)["session_date"].alias("last_date"), "s.y", "s.gap")
+
+
+STATE = ("names", "last_date", "y", "gap")
+
+
 def compare(stored: DataFrame, recomputed: DataFrame, columns: list[str], tolerance: float = 1e-10) -> DataFrame:
     """Per column: largest, mean and summed absolute difference, rows, and whether it passes; one pass."""
     a, b = stored.alias("a"), recomputed.alias("b")

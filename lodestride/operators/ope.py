@@ -6,7 +6,7 @@ unless a ``pi`` array column is there. Q values are arm means, the global mean f
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestride.config import ARMS, PROPENSITY_FLOOR, QUANTILE_ACCURACY, WEIGHT_CLIP
@@ -157,17 +157,33 @@ def poisson_steps() -> list[float]:
     return steps
 
 
-def replicate_sums(rows: DataFrame, replicates: int, clip: float | None, seed: int, by: str | None = None) -> DataFrame:
-    """(by, replicate, n, sw, swr, sdr): weighted sums of per-user statistics; a replicate's weights depend on user, replicate and seed alone."""
+UNITS = 2048
+
+
+def resampled_unit(user: Column, units: int | None = UNITS) -> Column:
+    """What the bootstrap draws: one of ``units`` groups of users by a hash, or (None) each user."""
+    if units is None:
+        return user.cast("string")
+    return F.pmod(F.conv(F.substring(F.md5(F.concat(user.cast("string"), F.lit("_unit"))), 1, 8), 16, 10).cast("long"), F.lit(units)).cast("string")
+
+
+def replicate_sums(rows: DataFrame, replicates: int, clip: float | None, seed: int, by: str | None = None, units: int | None = UNITS) -> DataFrame:
+    """(by, replicate, n, sw, swr, sdr): weighted sums of per-unit statistics; a replicate's weights depend on unit, replicate and seed alone.
+
+    All rows of a user are in one unit, so clusters stay whole. With a fixed number of units the sums combine where the rows are and
+    what is drawn is units x replicates, however many users there are. The residuals of a ratio add up to nothing, so sums over
+    groups of users have the variance of the users' own in expectation; grouping adds an error of about sqrt(1 / (2 units)) to an interval's width,
+    1.6 %, as much as 1,000 replicates do.
+    """
     ready = weighted(rows, clip)
-    per_user = ready.groupBy(*([by] if by else []), "user_id").agg(
+    per_unit = ready.groupBy(*([by] if by else []), resampled_unit(F.col("user_id"), units).alias("unit")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("w").alias("sw"),
         F.sum(F.col("w") * F.col("reward")).alias("swr"),
         F.sum(F.col("v") + F.col("w") * (F.col("reward") - F.col("q_obs"))).alias("sdr"),
     )
-    digest = F.md5(F.concat_ws("_", F.col("user_id").cast("string"), F.col("block").cast("string"), F.lit(str(seed))))
-    drawn = per_user.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(-(-replicates // DRAWS) - 1)))).withColumn("digest", digest)
+    digest = F.md5(F.concat_ws("_", F.col("unit"), F.col("block").cast("string"), F.lit(str(seed))))
+    drawn = per_unit.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(-(-replicates // DRAWS) - 1)))).withColumn("digest", digest)
     drawn = drawn.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(DRAWS - 1)))).withColumn("replicate", F.col("block") * DRAWS + F.col("draw"))
     u = (F.conv(F.substring(F.col("digest"), F.col("draw") * 4 + 1, F.lit(4)), 16, 10).cast("int") + 0.5) / LEVELS
     k = sum(((F.col("u") >= x).cast("int") for x in poisson_steps()[1:]), (F.col("u") >= poisson_steps()[0]).cast("int"))
@@ -175,9 +191,9 @@ def replicate_sums(rows: DataFrame, replicates: int, clip: float | None, seed: i
     return drawn.groupBy(*([by] if by else []), "replicate").agg(*[F.sum(F.col("k") * F.col(c)).alias(c) for c in ("n", "sw", "swr", "sdr")])
 
 
-def bootstrap(rows: DataFrame, replicates: int = 1000, clip: float | None = WEIGHT_CLIP, seed: int = 42, alpha: float = 0.05) -> DataFrame:
-    """Cluster bootstrap by user: IPS, SNIPS and DR with mean, population deviation and percentile bounds."""
-    each = replicate_sums(rows, replicates, clip, seed)
+def bootstrap(rows: DataFrame, replicates: int = 1000, clip: float | None = WEIGHT_CLIP, seed: int = 42, alpha: float = 0.05, units: int | None = UNITS) -> DataFrame:
+    """Cluster bootstrap by groups of users (or, with ``units`` None, by user): IPS, SNIPS and DR with mean, population deviation and percentile bounds."""
+    each = replicate_sums(rows, replicates, clip, seed, units=units)
     of = {"ips": F.try_divide("swr", "n"), "snips": F.try_divide("swr", "sw"), "dr": F.try_divide("sdr", "n")}
     long = each.select(F.explode(F.array(*[F.struct(F.lit(e).alias("estimator"), x.alias("x")) for e, x in of.items()])).alias("r"))
     return long.groupBy("r.estimator").agg(
@@ -189,9 +205,9 @@ def bootstrap(rows: DataFrame, replicates: int = 1000, clip: float | None = WEIG
     )
 
 
-def lift_interval(rows: DataFrame, replicates: int = 10_000, clip: float | None = WEIGHT_CLIP, seed: int = 42, alpha: float = 0.05) -> DataFrame:
+def lift_interval(rows: DataFrame, replicates: int = 10_000, clip: float | None = WEIGHT_CLIP, seed: int = 42, alpha: float = 0.05, units: int | None = UNITS) -> DataFrame:
     """Percentile bounds of DR of treatment less DR of control (column grp), users drawn with repeats in each group."""
-    each = replicate_sums(rows, replicates, clip, seed, "grp")
+    each = replicate_sums(rows, replicates, clip, seed, "grp", units)
     of = lambda g: F.max(F.when(F.col("grp") == g, F.try_divide("sdr", "n")))
     lift = each.groupBy("replicate").agg((of("treatment") - of("control")).alias("x"))
     return lift.agg(F.expr(f"percentile(x, {alpha / 2})").alias("ci_low"), F.expr(f"percentile(x, {1 - alpha / 2})").alias("ci_high"), F.count("x").alias("replicates"))

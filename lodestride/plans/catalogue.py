@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,9 @@ from lodestride.config import ARMS, DELTAS, EPS, HIGH, LOW, QUANTILE_ACCURACY
 from lodestride.functions import arms as A
 from lodestride.operators import actions, cleaning, daily, decisions, ewma, features, models, ope, records
 from lodestride.plans import register, twins
-from lodestride.sources import game
+from lodestride.sources import delta, game, writers
 from lodestride.sources.game import game_events
+from lodestride.sources.scratch import scratch_path
 
 # Common tables --------------------------------------------------------------------------------
 
@@ -179,9 +182,11 @@ def minmax_train(spark, d):
 
 @register(
     "stratified_split",
-    f"""{DAILY}, u AS (SELECT user_id, round(avg(daily_session_count), 6) AS mean_value FROM daily GROUP BY user_id),
-    b AS (SELECT {', '.join(f'quantile_disc(mean_value, {i / 5}) AS q{i}' for i in range(1, 5))} FROM u)
-    SELECT user_id, mean_value, 1 + {' + '.join(f'CAST(mean_value > q{i} AS INT)' for i in range(1, 5))} AS bin, {SPLIT.format(BUCKET.format('CAST(user_id AS VARCHAR)'))} AS split FROM u, b""",
+    f"""{DAILY}, u AS (SELECT user_id, round(avg(daily_session_count), 6) AS mean_value, ('0x' || substr(md5(CAST(user_id AS VARCHAR) || '_42'), 1, 15))::BIGINT AS h FROM daily GROUP BY user_id),
+    b AS (SELECT {', '.join(f'quantile_disc(mean_value, {i / 5}) AS q{i}' for i in range(1, 5))} FROM u),
+    binned AS (SELECT user_id, mean_value, h, 1 + {' + '.join(f'CAST(mean_value > q{i} AS INT)' for i in range(1, 5))} AS bin FROM u, b),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY bin ORDER BY h, user_id) AS place, count(*) OVER (PARTITION BY bin) AS n FROM binned)
+    SELECT user_id, mean_value, bin, CASE WHEN place <= n * 8 // 10 THEN 'train' WHEN place <= n * 8 // 10 + n // 10 THEN 'validation' ELSE 'test' END AS split FROM placed""",
 )
 def stratified_split(spark, d):
     return cleaning.stratified_split(daily_table(spark, d).select("user_id", "daily_session_count"), "daily_session_count")
@@ -332,13 +337,47 @@ def ewma_selected(spark, d):
     return rounded(rows.select("user_id", "session_date", "ewma_daily_spend_coins_alpha3"))
 
 
-@register("ewma_incremental_check", f"{BANDIT} SELECT x AS feature, (SELECT count(*) FROM bandit WHERE session_date = DATE '2024-01-20') AS n, TRUE AS passed FROM (VALUES ('ewma_daily_spend_coins_alpha3'), ('ewma_daily_event_count_alpha3')) v(x) WHERE (SELECT count(*) FROM bandit WHERE session_date = DATE '2024-01-20') > 0")
+EWMA_DAYS = "session_date BETWEEN DATE '2024-01-20' AND DATE '2024-01-22'"
+
+
+def _ewma_advanced(spark: SparkSession, d: str, columns: list[str], alphas: tuple[float, ...]) -> DataFrame:
+    """Averages of three days, each from the stored states that the day before left; the first states come from all days before them."""
+    rows = bandit_table(spark, d).select("user_id", "session_date", *columns).where("session_date <= DATE '2024-01-22'")
+    rows = writers.write_checkpoint(rows, scratch_path(spark, "ewma_rows"))
+    states = scratch_path(spark, "ewma_states")
+    delta.write_delta(ewma.advance(None, rows.where("session_date < DATE '2024-01-20'"), columns, alphas)[1], states)
+    out = []
+    for version, day in enumerate(("2024-01-20", "2024-01-21", "2024-01-22")):
+        now = rows.where(F.col("session_date") == F.lit(day).cast("date"))
+        averages, fresh = ewma.advance(delta.read_delta(spark, states, version), now, columns, alphas)
+        if delta.merge_rows(fresh, states, ["user_id"]) == version:  # a day without rows
+            delta.write_delta(fresh, states)
+        out.append(averages)
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@register("ewma_incremental", dates=("session_date",), oracle=f"SELECT * FROM ({ewma_sql(EWMA_COLUMNS, (0.1, 0.3, 0.5, 0.7))}) WHERE {EWMA_DAYS}")
+def ewma_incremental(spark, d):
+    """Averages of new days from stored states alone; the twin recomputes them from the whole history."""
+    return rounded(_ewma_advanced(spark, d, EWMA_COLUMNS, (0.1, 0.3, 0.5, 0.7)))
+
+
+CHECKED = ("daily_spend_coins", "daily_event_count")
+FOLDED = ", ".join(f"list_reduce(list(CAST(p.{c} AS DOUBLE) ORDER BY p.session_date), lambda y, x: 0.7 * y + 0.3 * x)" for c in CHECKED)
+
+
+@register(
+    "ewma_incremental_check",
+    f"""{BANDIT}, closed AS (SELECT * FROM ({"WITH " + ewma_sql(list(CHECKED), (0.3,)).replace(BANDIT, "").lstrip(", ")}) WHERE {EWMA_DAYS}),
+    folded AS (SELECT c.user_id, c.session_date, {FOLDED.replace("list_reduce", "coalesce(list_reduce", 1).replace("x), ", "x), 0) AS a, coalesce(", 1)}, 0) AS b FROM closed c LEFT JOIN bandit p ON p.user_id = c.user_id AND p.session_date < c.session_date GROUP BY 1, 2),
+    pairs AS (SELECT abs(ewma_daily_spend_coins_alpha3 - round(a, 6)) AS a, abs(ewma_daily_event_count_alpha3 - round(b, 6)) AS b FROM closed JOIN folded USING (user_id, session_date))
+    SELECT 'ewma_daily_spend_coins_alpha3' AS feature, count(a) AS n, max(a) < 1e-5 AS passed FROM pairs HAVING count(*) > 0 UNION ALL SELECT 'ewma_daily_event_count_alpha3', count(b), max(b) < 1e-5 FROM pairs HAVING count(*) > 0""",
+)
 def ewma_incremental_check(spark, d):
-    """One day recomputed from full history against the stored table."""
-    stored = ewma.add_ewma(bandit_table(spark, d), ["daily_spend_coins", "daily_event_count"], (0.3,)).where("session_date = DATE '2024-01-20'")
-    until = bandit_table(spark, d).where("session_date <= DATE '2024-01-20'")
-    again = ewma.add_ewma(until, ["daily_spend_coins", "daily_event_count"], (0.3,)).where("session_date = DATE '2024-01-20'")
-    return ewma.compare(stored, again, ["ewma_daily_spend_coins_alpha3", "ewma_daily_event_count_alpha3"]).select("feature", "n", "passed")
+    """Averages from states against those from the whole history."""
+    names = [ewma.name_of(c, 0.3) for c in CHECKED]
+    stored = ewma.add_ewma(bandit_table(spark, d), list(CHECKED), (0.3,)).where(EWMA_DAYS)
+    return ewma.compare(stored, _ewma_advanced(spark, d, list(CHECKED), (0.3,)), names).select("feature", "n", "passed")
 
 
 # Policy and evaluation ------------------------------------------------------------------------
@@ -438,8 +477,9 @@ STEPS = " + ".join(f"CAST(u >= {x!r} AS INT)" for x in ope.poisson_steps())
 
 def replicates_sql(replicates: int, by: str = "1") -> str:
     """Weighted sums of each replicate, as common table expressions after OPE."""
-    return f"""users AS (SELECT {by} AS grp, user_id, count(*) AS n, sum(w) AS sw, sum(w * reward) AS swr, sum(v + w * (reward - q_obs)) AS sdr FROM w GROUP BY 1, 2),
-    drawn AS (SELECT *, (('0x' || substr(md5(CAST(user_id AS VARCHAR) || '_' || CAST(replicate // 8 AS VARCHAR) || '_42'), CAST(1 + 4 * (replicate % 8) AS INT), 4))::INT + 0.5::DOUBLE) / 65536 AS u FROM users, range({replicates}) t(replicate)),
+    unit = f"CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR) || '_unit'), 1, 8))::BIGINT % {ope.UNITS} AS VARCHAR)"
+    return f"""units AS (SELECT {by} AS grp, {unit} AS unit, count(*) AS n, sum(w) AS sw, sum(w * reward) AS swr, sum(v + w * (reward - q_obs)) AS sdr FROM w GROUP BY 1, 2),
+    drawn AS (SELECT *, (('0x' || substr(md5(unit || '_' || CAST(replicate // 8 AS VARCHAR) || '_42'), CAST(1 + 4 * (replicate % 8) AS INT), 4))::INT + 0.5::DOUBLE) / 65536 AS u FROM units, range({replicates}) t(replicate)),
     weighed AS (SELECT *, {STEPS} AS k FROM drawn),
     sums AS (SELECT grp, replicate, sum(k * n) AS n, sum(k * sw) AS sw, sum(k * swr) AS swr, sum(k * sdr) AS sdr FROM weighed GROUP BY 1, 2)"""
 
@@ -587,6 +627,59 @@ def upsert_multipliers(spark, d):
     return decisions.upsert(old, latest(logged.where("session_date BETWEEN DATE '2024-01-11' AND DATE '2024-01-12'")), ["user_id"])
 
 
+def _stored_multipliers(spark: SparkSession, d: str) -> str:
+    """A stored table with the latest multiplier of each user up to a day, updated with two later days."""
+    logged = actions.logged_actions(game_events(spark, d))
+    latest = lambda rows: decisions.latest_per_key(rows, ["user_id"], [F.col("session_date")]).select("user_id", F.col("multiplier").alias("current_multiplier"), F.col("session_date").alias("updated_on"))
+    path = scratch_path(spark, "multipliers")
+    delta.write_delta(latest(logged.where("session_date <= DATE '2024-01-10'")), path)
+    delta.merge_rows(latest(logged.where("session_date BETWEEN DATE '2024-01-11' AND DATE '2024-01-12'")), path, ["user_id"])
+    return path
+
+
+@register(
+    "merge_multipliers",
+    dates=("updated_on",),
+    oracle=f"""{ACTIONS} SELECT user_id, max_by(multiplier, session_date) AS current_multiplier, max(session_date) AS updated_on FROM logged WHERE session_date <= DATE '2024-01-12' GROUP BY user_id""",
+)
+def merge_multipliers(spark, d):
+    """Multipliers merged into a stored table: as if all days had been written at once."""
+    return delta.read_delta(spark, _stored_multipliers(spark, d))
+
+
+@register(
+    "merge_rewards",
+    dates=("decision_date",),
+    oracle=f"""{DECISIONS} SELECT d.user_id, d.decision_date, d.chosen_arm, CASE WHEN d.decision_date < DATE '2024-01-20' THEN round(b.next_day_reward, 6) END AS reward_amount
+    FROM decided d JOIN bandit b ON b.user_id = d.user_id AND b.session_date = d.decision_date""",
+)
+def merge_rewards(spark, d):
+    """Pending rewards filled in within a stored decision log, by day; decisions without a known reward, and other days' files, stay."""
+    path = scratch_path(spark, "decisions")
+    pending = decision_log(spark, d).select("user_id", "decision_date", "chosen_arm", F.lit(None).cast("double").alias("reward_amount"))
+    delta.write_delta(pending.repartition("decision_date"), path, partition_by=("decision_date",))
+    known = bandit_table(spark, d).where("session_date < DATE '2024-01-20'").select("user_id", F.col("session_date").alias("decision_date"), F.col("next_day_reward").alias("reward_amount"))
+    delta.merge_rows(known, path, ["user_id", "decision_date"], insert=False)
+    return rounded(delta.read_delta(spark, path).select("user_id", "decision_date", "chosen_arm", "reward_amount"))
+
+
+@register(
+    "delta_snapshot",
+    dates=("session_date",),
+    oracle=f"{GAME} SELECT event_id, user_id, session_date, event_name FROM game WHERE session_date > DATE '2024-01-05' AND session_date <= DATE '2024-01-25' AND event_name <> 'levelOutOfSpace' AND session_date >= DATE '2024-01-12'",
+)
+def delta_snapshot(spark, d):
+    """A table that was written, appended to, deleted from and checkpointed, read from a day on."""
+    rows = game_events(spark, d).select("event_id", "user_id", "session_date", "event_name")
+    path = scratch_path(spark, "events")
+    delta.write_delta(rows.where("session_date <= DATE '2024-01-05'"), path, partition_by=("session_date",))
+    delta.write_delta(rows.where("session_date > DATE '2024-01-05' AND session_date <= DATE '2024-01-15'"), path, "overwrite")
+    delta.delete_rows(spark, path, [("event_name", "=", "levelOutOfSpace")])
+    delta.write_log_checkpoint(spark, path)
+    delta.write_delta(rows.where("session_date > DATE '2024-01-15' AND session_date <= DATE '2024-01-25' AND event_name <> 'levelOutOfSpace'"), path)
+    return delta.read_delta(spark, path, where=[("session_date", ">=", datetime.date(2024, 1, 12))])
+
+
 @register("next_multiplier", dates=("session_date",), oracle=f"{OPE} SELECT user_id, session_date, round(CASE WHEN f[arm + 1] > 0 THEN multiplier + CASE arm {' '.join(f'WHEN {i} THEN {x}' for i, x in enumerate(DELTAS))} END ELSE multiplier END, 6) AS next_multiplier FROM pi")
 def next_multiplier(spark, d):
     return rounded(observations(spark, d).select("user_id", "session_date", A.next_multiplier(F.col("multiplier"), F.col("arm")).alias("next_multiplier")))

@@ -169,7 +169,7 @@ def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snap
     # A path that one version removes and adds again is live.
     files = paths.groupBy("path").agg(F.max("at").alias("at"), F.max_by("file", "at").alias("file")).where("at.live")
     files = files.select("path", F.coalesce("file.partitionValues", F.create_map().cast("map<string,string>")).alias("partition"), "file.size", "file.stats", F.col("file.deletionVector").isNotNull().alias("vector"))
-    return Snapshot(path, wanted, T.StructType.fromJson(json.loads(meta["schemaString"])), list(meta["partitionColumns"] or ()), files, meta)
+    return Snapshot(path, wanted, _nullable(T.StructType.fromJson(json.loads(meta["schemaString"]))), list(meta["partitionColumns"] or ()), files, meta)
 
 
 def _compare(low: Column, high: Column, op: str, value: Column) -> Column:
@@ -298,18 +298,25 @@ def write_delta(df: DataFrame, path: str, mode: str = "append", partition_by: tu
             {"protocol": {"minReaderVersion": 1, "minWriterVersion": 2}},
             {"metaData": {"id": str(uuid.uuid4()), "format": {"provider": "parquet", "options": {}}, "schemaString": _nullable(df.schema).json(), "partitionColumns": list(partition_by), "configuration": {}, "createdTime": int(time.time() * 1000)}},
         ]
-        return _commit(spark, path, 0, "WRITE", head + _staged(df, path, df.schema, list(partition_by)))
+        return _commit(spark, path, 0, "WRITE", head + _staged(df, path, _nullable(df.schema), list(partition_by)))
     state = snapshot(spark, path)
     fresh = [f for f in df.schema.fields if f.name not in state.schema.names]
-    schema = T.StructType([*state.schema.fields, *fresh])
+    schema = _nullable(T.StructType([*state.schema.fields, *fresh]))
     head = [{"metaData": state.meta | {"schemaString": _nullable(schema).json(), "format": {"provider": "parquet", "options": {}}}}] if fresh else []
     lacking = {f.name: F.lit(None).cast(f.dataType) for f in state.schema.fields if f.name not in df.columns}
     gone = [_remove(n) for n in live_files(state)] if mode == "overwrite" else []
     return _commit(spark, path, state.version + 1, "WRITE", head + gone + _staged(df.withColumns(lacking) if lacking else df, path, schema, state.partition_columns))
 
 
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
+def _nullable(kind: T.DataType) -> T.DataType:
+    """``kind`` with nulls allowed at every depth, as rows of later writes may have them."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True, f.metadata) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(_nullable(kind.keyType), _nullable(kind.valueType))
+    return kind
 
 
 def _touched(spark: SparkSession, state: Snapshot, rows: DataFrame) -> list[str]:
