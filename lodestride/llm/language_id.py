@@ -281,7 +281,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
     rows = rows.withColumn("n", F.length("text"))
     # Of languages with many documents, those with small hashes alone take part: four times as many as can be drawn.
-    each = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).cast("long").alias("doc_id")).where("lang is not null")
+    each = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).cast("long").alias("doc_id"))
+    each = each.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))  # what is held out has no say in it
     each = each.groupBy("lang").agg(F.greatest(F.lit(1.0), F.approx_count_distinct("doc_id") / (4.0 * sample_docs)).alias("one_in"))
     low = (F.xxhash64(F.lit(8), "doc_id").bitwiseAND((1 << 30) - 1) * F.col("one_in")) < float(1 << 30)
     numbers = rows.select("doc_id", "lang", "n").join(each, "lang").where(low).drop("one_in")

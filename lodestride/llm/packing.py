@@ -330,7 +330,8 @@ def pack_in_order(docs: DataFrame, path: str | None = None, id_col: str = "doc_i
     ``docs`` must come from files (as those of mixing.mixed_documents do when they are read again): the order is that of their names and
     of rows in them.
     """
-    kept = {"file": F.col("_metadata.file_name"), "row": F.col("_metadata.row_index")}
+    place = docs.metadataColumn("_metadata")  # not a column of that name that documents may have
+    kept = {"file": place["file_name"], "row": place["row_index"]}
     tokens = checkpointed(token_counts(docs, path, id_col, text_col, kept))
     total, rows = tokens.agg(F.sum("n"), F.count(F.lit(1))).first()
     each = max(1, round((rows or 0) * CAPACITY * group_sequences / max(total or 0, 1)))  # documents of a group

@@ -523,6 +523,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``options`` are those of near_copies.
     """
-    kept = near_copies(docs, id_col, text_col, **options).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    stays = docs.join(kept, docs[id_col] == F.col("__kept"), "left_semi")
-    return stays.unionByName(docs.where(F.col(id_col).isNull()))
+    kept = near_copies(docs, id_col, text_col, **options).where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # in a struct no column of ``docs`` has the name of another
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.struct(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]).alias("row"))
+    stays = rows.join(kept, F.col("id") == F.col("kept"), "left_semi").unionByName(rows.where(F.col("id").isNull()))
+    return stays.select(*[F.col(f"row.{n}").alias(c) for c, n in names.items()])

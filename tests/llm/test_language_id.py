@@ -91,3 +91,13 @@ def test_sample_with_one_id_on_many_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, held_out string")
     got = L.identify(docs).collect()
     assert len(got) == len(rows) and {r.lang_pred for r in got if r.doc_id == 1} == {"en"}
+
+
+def test_held_out_labels_change_nothing(spark):
+    """Which rows are sampled, and so the model, depends on rows that aren't held out alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    from pyspark.sql import functions as F
+
+    other = docs.withColumn("lang", F.when(L.held_out(F.col("doc_id")), F.lit("xx")).otherwise(F.col("lang")))
+    a, b = L.train(docs, sample_docs=20), L.train(other, sample_docs=20)
+    assert a.languages == b.languages and a.lexicon == b.lexicon and np.array_equal(a.transition, b.transition) and np.array_equal(a.weights, b.weights)

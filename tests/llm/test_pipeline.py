@@ -81,3 +81,19 @@ def test_near_stage_gives_the_groups_of_true_jaccard(stages):
         for i, j in pairs:
             label[i] = label[j] = min(label[i], label[j])
     assert len(pairs) >= 3 and {r["doc_id"] for r in near} == set(label.values())
+
+
+def test_stages_take_columns_with_the_names_of_helpers(spark, tmp_path):
+    from lodestride.llm.packing import pack_in_order
+    from lodestride.llm.simhash import one_of_each
+
+    names = ["__kept", "kept", "id", "row", "component_id", "_metadata", "c0"]
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text), (2, text), (3, "other words of another text that has nothing in common with it"), (None, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", *[f"7 AS `{n}`" for n in names])
+    kept = one_of_each(docs, words_per_shingle=5)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 1, 3]
+    docs.write.parquet(str(tmp_path / "d"))
+    packed = pack_in_order(spark.read.parquet(str(tmp_path / "d")))
+    assert {r["doc_id"] for r in packed.collect()} == {None, 1, 2, 3}
