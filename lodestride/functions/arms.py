@@ -70,3 +70,8 @@ def md5_bucket(value: Column) -> Column:
     high = F.conv(F.substring(digest, 1, 16), 16, 10).cast("decimal(20,0)") % 100
     low = F.conv(F.substring(digest, 17, 16), 16, 10).cast("decimal(20,0)") % 100
     return ((high * 16 + low) % 100).cast("int")
+
+
+def uniform_of(text: Column) -> Column:
+    """A number from 0 to below 1 by a hash of ``text``: 52 bits, so an arm of any probability that a double can tell from 0 is drawn in its share."""
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))

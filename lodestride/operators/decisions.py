@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestride.config import DEPLOY_LOSS_INCREASE, SRM_CRITICAL
+from lodestride.config import ARMS, DEPLOY_LOSS_INCREASE, SRM_CRITICAL
 from lodestride.functions.arms import md5_bucket
 
 
@@ -69,20 +69,46 @@ def lift(estimates: DataFrame) -> DataFrame:
 
 
 def sequential_decision(rows: DataFrame, min_lift: float = 0.05, min_days: int = 7, rollback: float = -0.05) -> DataFrame:
-    """rollback, advance, stop or continue from days, lift_pct and the bounds of its interval."""
+    """rollback, advance, stop or continue from days, lift_pct and the bounds of its interval (of the relative lift, too)."""
+    enough, lifted = F.col("days") >= min_days, F.coalesce(F.col("lift_pct") > min_lift, F.lit(False))
     verdict = (
-        F.when((F.col("lift_pct") < rollback) & (F.col("ci_high") < 0), "rollback")
-        .when((F.col("days") >= min_days) & (F.col("lift_pct") >= min_lift) & (F.col("ci_low") > 0), "advance")
-        .when((F.col("days") >= 2 * min_days) & (F.col("ci_low") <= 0), "stop")
+        F.when(F.col("ci_high") < rollback, "rollback")
+        .when(enough & lifted & (F.col("ci_low") > 0), "advance")
+        .when(enough & ~lifted, "stop")
         .otherwise("continue")
     )
     return rows.withColumn("decision", verdict)
 
 
+def progressive_loss(rows: DataFrame) -> DataFrame:
+    """Mean absolute error of each day's rewards under what all days before it say of their arms: session_date, n, loss.
+
+    The prediction is the mean reward of the arm on earlier days, 0 for an arm without one. Only sums by day and arm are kept for it.
+    """
+    sums = rows.groupBy("session_date", "arm").agg(F.sum("reward").alias("s"), F.count("reward").alias("k"))
+    days = sums.select("session_date").distinct().select("session_date", F.explode(F.array(*[F.lit(i) for i in range(len(ARMS))])).alias("arm"))
+    dense = days.join(sums, ["session_date", "arm"], "left")  # five rows a day
+    before = Window.partitionBy("arm").orderBy("session_date").rowsBetween(Window.unboundedPreceding, -1)
+    known = dense.select("session_date", "arm", F.coalesce(F.try_divide(F.sum("s").over(before), F.sum("k").over(before)), F.lit(0.0)).alias("predicted"))
+    scored = rows.where("reward IS NOT NULL").join(F.broadcast(known), ["session_date", "arm"])
+    return scored.groupBy("session_date").agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("reward") - F.col("predicted"))).alias("loss"))
+
+
 def deploy_gate(runs: DataFrame, threshold: float = DEPLOY_LOSS_INCREASE) -> DataFrame:
-    """Each run against the last run before it: a rise of the loss over ``threshold`` blocks; so does a loss that isn't finite."""
-    previous = F.last(F.when(F.abs("loss") < float("inf"), F.col("loss")), ignorenulls=True).over(Window.partitionBy("model_id").orderBy("run_at").rowsBetween(Window.unboundedPreceding, -1))
-    rows = runs.withColumn("previous_loss", previous)
-    rise = (F.col("loss") - F.col("previous_loss")) / F.abs("previous_loss")
-    ok = F.abs("loss") < float("inf")
-    return rows.withColumn("deploy", ok & (F.col("previous_loss").isNull() | (rise <= threshold)))
+    """Each run (model_id, run_at, loss) against the last deployed one: a rise of the loss over ``threshold`` blocks it.
+
+    Without a deployed run, or after one whose loss wasn't finite, a run is deployed; a run without a loss is blocked. A model's runs are folded in order, as each gate depends on the one before.
+    """
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    ordered = runs.groupBy("model_id").agg(F.array_sort(F.collect_list(F.struct("run_at", "loss"))).alias("runs"))
+    empty = F.array().cast(f"array<struct<run_at:{runs.schema['run_at'].dataType.simpleString()},loss:double,previous_loss:double,deploy:boolean>>")
+
+    def step(s, run):
+        loss, last = run["loss"].cast("double"), s["last"]
+        rise = (loss - last) / F.abs(last)
+        deploy = loss.isNotNull() & F.coalesce(~finite(last) | (finite(loss) & (rise <= threshold)), F.lit(True))
+        row = F.struct(run["run_at"].alias("run_at"), loss.alias("loss"), last.alias("previous_loss"), deploy.alias("deploy"))
+        return F.struct(F.when(deploy, loss).otherwise(last).alias("last"), F.concat(s["out"], F.array(row)).alias("out"))
+
+    start = F.struct(F.lit(None).cast("double").alias("last"), empty.alias("out"))
+    return ordered.select("model_id", F.explode(F.aggregate("runs", start, step)["out"]).alias("r")).select("model_id", "r.*")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestride.config import ARMS, DELTAS, EPS, HIGH, LOW, QUANTILE_ACCURACY
 from lodestride.functions import arms as A
-from lodestride.operators import actions, cleaning, daily, decisions, ewma, features, models, ope, records
+from lodestride.operators import actions, cleaning, daily, decisions, ewma, experiments, features, models, ope, records
 from lodestride.plans import register, twins
 from lodestride.sources import delta, game, writers
 from lodestride.sources.game import game_events
@@ -210,6 +210,13 @@ def row_size(spark, d):
     return rounded(cleaning.average_row_bytes(spark.read.parquet(f"{d}/events.parquet").select(*SIZED)), 4)
 
 
+@register("props_map", "SELECT event_id, key, CAST(json_extract_string(props, '$.' || key) AS DOUBLE) AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)")
+def props_map(spark, d):
+    """JSON properties as a map of numbers, one row for each entry."""
+    events = spark.read.parquet(f"{d}/events.parquet").select("event_id", F.from_json("props", "map<string,double>").alias("m"))
+    return events.select("event_id", F.explode("m").alias("key", "value"))
+
+
 # Aggregates -----------------------------------------------------------------------------------
 
 
@@ -410,12 +417,12 @@ def propensity_vector(spark, d):
 USER_DAY = "CAST(user_id AS VARCHAR) || '_' || CAST(session_date AS VARCHAR)"
 
 
-@register("sample_arm", dates=("session_date",), oracle=f"""{OPE}, u AS (SELECT *, ({BUCKET.format(USER_DAY)} + 0.5) / 100 AS u FROM pi)
+@register("sample_arm", dates=("session_date",), oracle=f"""{OPE}, u AS (SELECT *, ('0x' || substr(md5({USER_DAY}), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM pi)
     SELECT user_id, session_date, CAST(least(4, {' + '.join('CAST((' + ' + '.join(f'f[{j + 1}]' for j in range(i + 1)) + ') / nf <= u AS INT)' for i in range(5))}) AS INT) AS arm FROM u WHERE nf > 0""",
 )
 def sample_arm(spark, d):
     rows = observations(spark, d)
-    u = (A.md5_bucket(F.concat(F.col("user_id").cast("string"), F.lit("_"), F.col("session_date").cast("string"))) + 0.5) / 100
+    u = A.uniform_of(F.concat(F.col("user_id").cast("string"), F.lit("_"), F.col("session_date").cast("string")))
     return rows.select("user_id", "session_date", A.inverse_cdf(A.uniform_policy(F.col("multiplier")), u).cast("int").alias("arm"))
 
 
@@ -569,12 +576,16 @@ def cb_adf_parsed(spark, d):
     return records.parse_cb_adf(_records(spark, d)).select("arm", F.round("reward", 2).alias("reward"), "uid")
 
 
-NAMES = ["user_x", "level_count", "coin_balance", "day_of_week", "previous_action", "ewma_fps", "avg_fps", "lifetime_coins", "ewma_level"]
+NAMED = ("current_spend", "daily_event_count", "levels_started", "coin_balance_end", "avg_fps", "completion_rate", "is_weekend", "user_segment", "total_level_duration", "life_balance_start", "ad_revenue", "booster_usage_rate")
+NAMESPACE_OF = {"current_spend": "f", "daily_event_count": "f", "levels_started": "s", "coin_balance_end": "e", "avg_fps": "f", "completion_rate": "f", "is_weekend": "t", "user_segment": "u", "total_level_duration": "s", "life_balance_start": "e", "ad_revenue": "f", "booster_usage_rate": "f"}
 
 
-@register("feature_namespace", "SELECT name, ns FROM (VALUES ('user_x','u'),('level_count','s'),('coin_balance','e'),('day_of_week','t'),('previous_action','l'),('ewma_fps','e'),('avg_fps','f'),('lifetime_coins','u'),('ewma_level','s')) v(name, ns)")
+@register("feature_namespace", DAILY + " " + " UNION ALL ".join(f"SELECT '{c}' AS name, '{NAMESPACE_OF[c]}' AS ns, count({c}) AS n_values FROM daily" for c in NAMED))
 def feature_namespace(spark, d):
-    return spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in NAMES])).alias("name")).select("name", records.namespace_column(F.col("name")).alias("ns"))
+    """Columns of the daily table with their namespaces and how many values each hands to it."""
+    counts = daily_table(spark, d).agg(*[F.count(c).alias(c) for c in NAMED])
+    each = counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("n_values")) for c in NAMED])).alias("r")).select("r.*")
+    return each.select("name", records.namespace_column(F.col("name")).alias("ns"), "n_values")
 
 
 # Decisions and experiments --------------------------------------------------------------------
@@ -715,13 +726,17 @@ def ab_lift(spark, d):
     return rounded(rows.withColumns({c: F.round(c, 4) for c in ("ci_low", "ci_high")}))
 
 
-@register("ab_verdict", f"""{LIFT_SQL}, v AS (SELECT (SELECT count(DISTINCT session_date) FROM obs) AS days, (dr_treatment - dr_control) / abs(dr_control) AS lift_pct, ci_low, ci_high FROM l, ci)
-    SELECT days, CASE WHEN lift_pct < -0.05 AND ci_high < 0 THEN 'rollback' WHEN days >= 7 AND lift_pct >= 0.05 AND ci_low > 0 THEN 'advance' WHEN days >= 14 AND ci_low <= 0 THEN 'stop' ELSE 'continue' END AS decision FROM v""")
+VERDICT = "CASE WHEN ci_high < -0.05 THEN 'rollback' WHEN days >= 7 AND lift_pct > 0.05 AND ci_low > 0 THEN 'advance' WHEN days >= 7 AND NOT coalesce(lift_pct > 0.05, FALSE) THEN 'stop' ELSE 'continue' END"
+
+
+@register("ab_verdict", f"""{LIFT_SQL}, v AS (SELECT (SELECT count(DISTINCT session_date) FROM obs) AS days, (dr_treatment - dr_control) / abs(dr_control) AS lift_pct, ci_low / abs(dr_control) AS ci_low, ci_high / abs(dr_control) AS ci_high FROM l, ci)
+    SELECT days, {VERDICT} AS decision FROM v""")
 def ab_verdict(spark, d):
     """The sequential decision on the experiment as it stands."""
     rows = observations(spark, d)
     days = rows.agg(F.countDistinct("session_date")).scalar()
-    return decisions.sequential_decision(_lift(rows).withColumn("days", days)).select("days", "decision")
+    relative = {c: F.try_divide(c, F.abs("dr_control")) for c in ("ci_low", "ci_high")}
+    return decisions.sequential_decision(_lift(rows).withColumns(relative).withColumn("days", days)).select("days", "decision")
 
 
 @register("ab_srm", f"""{GAME}, n AS (SELECT count(DISTINCT user_id) FILTER (WHERE {GROUP} = 'treatment') AS n_treatment, count(DISTINCT user_id) FILTER (WHERE {GROUP} = 'control') AS n_control FROM game),
@@ -733,19 +748,64 @@ def ab_srm(spark, d):
     return rounded(decisions.sample_ratio_check(counts))
 
 
-TRIALS = "(VALUES (1, 3, -0.2, -0.3, -0.1), (2, 8, 0.1, 0.02, 0.2), (3, 20, 0.01, -0.1, 0.1), (4, 5, 0.1, 0.02, 0.2), (5, 9, 0.02, 0.01, 0.1))"
+LOOKS = 30
+BOUNDS = experiments.boundaries([k / LOOKS for k in range(1, LOOKS + 1)])
+# Each look sums all rows up to it anew, user by user.
+LOOKS_SQL = f"""{OPE}, g AS (SELECT *, {GROUP} AS grp FROM w), look_days AS (SELECT DISTINCT session_date AS day FROM g),
+    look_users AS (SELECT day, grp, user_id, sum(w * reward) AS d, sum(CASE WHEN reward IS NOT NULL THEN w END) AS n FROM look_days JOIN g ON session_date <= day GROUP BY ALL),
+    theta AS (SELECT day, grp, sum(d) / sum(n) AS t, sum(n) AS n FROM look_users GROUP BY ALL),
+    spread AS (SELECT u.day, u.grp, any_value(t) AS t, sum((d - t * u.n) ** 2) / any_value(theta.n) ** 2 AS v FROM look_users u JOIN theta ON theta.day = u.day AND theta.grp = u.grp GROUP BY ALL),
+    seen AS (SELECT day AS session_date, CAST(date_diff('day', (SELECT min(day) FROM look_days), day) + 1 AS INT) AS look, max(t) FILTER (WHERE grp = 'treatment') AS tt, max(t) FILTER (WHERE grp = 'control') AS tc,
+      sqrt(max(v) FILTER (WHERE grp = 'treatment') + max(v) FILTER (WHERE grp = 'control')) AS se FROM spread GROUP BY day),
+    looked AS (SELECT *, tt - tc AS lift, CASE WHEN se > 0 THEN (tt - tc) / se END AS z, [{", ".join(map(repr, BOUNDS))}][look] AS boundary FROM seen),
+    crossed AS (SELECT *, coalesce(abs(z) >= boundary, FALSE) AS hit, look AS days, lift / abs(tc) AS lift_pct, (lift - 1.959963984540054 * se) / abs(tc) AS ci_low, (lift + 1.959963984540054 * se) / abs(tc) AS ci_high FROM looked)"""
+
+
+def _looks(spark: SparkSession, d: str) -> DataFrame:
+    return experiments.daily_looks(decisions.assign_groups(observations(spark, d)), LOOKS, BOUNDS)
+
+
+@register(
+    "ab_looks",
+    dates=("session_date",),
+    oracle=f"""{LOOKS_SQL} SELECT session_date, look, round(lift, 4) AS lift, round(se, 4) AS se, round(z, 4) AS z, round(boundary, 4) AS boundary,
+    CASE WHEN hit AND z > 0 THEN 'better' WHEN hit THEN 'worse' WHEN look >= {LOOKS} THEN 'no difference' ELSE 'continue' END AS verdict,
+    coalesce(bool_or(hit) OVER (ORDER BY session_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS stopped FROM crossed""",
+)
+def ab_looks(spark, d):
+    """A look a day at the experiment, against the boundaries of an alpha-spending function over 30 planned looks."""
+    return rounded(_looks(spark, d).select("session_date", "look", "lift", "se", "z", "boundary", "verdict", "stopped"), 4)
 
 
-@register("ab_decision", "SELECT trial, decision FROM (VALUES (1, 'rollback'), (2, 'advance'), (3, 'stop'), (4, 'continue'), (5, 'continue')) v(trial, decision)")
+@register("ab_decision", dates=("session_date",), oracle=f"{LOOKS_SQL} SELECT session_date, days, {VERDICT} AS decision FROM crossed")
 def ab_decision(spark, d):
-    rows = spark.sql(f"SELECT trial, days, CAST(l AS DOUBLE) AS lift_pct, CAST(a AS DOUBLE) AS ci_low, CAST(b AS DOUBLE) AS ci_high FROM {TRIALS} t(trial, days, l, a, b)")
-    return decisions.sequential_decision(rows).select("trial", "decision")
+    """The decision that each day would have led to, from the interval of the relative lift up to it."""
+    return decisions.sequential_decision(_looks(spark, d).withColumn("days", F.col("look"))).select("session_date", "days", "decision")
+
+
+LOSS = f"""{OPE}, prior AS (SELECT o.session_date, o.user_id, o.arm, o.reward, (SELECT avg(p.reward) FROM obs p WHERE p.arm = o.arm AND p.session_date < o.session_date) AS predicted FROM obs o),
+    loss AS (SELECT session_date, count(*) AS n, avg(abs(reward - coalesce(predicted, 0))) AS loss FROM prior GROUP BY session_date)"""
+
+
+@register("progressive_loss", dates=("session_date",), oracle=f"{LOSS} SELECT session_date, n, round(loss, 6) AS loss FROM loss")
+def progressive_loss(spark, d):
+    """Validation loss by day of arm means learned on the days before it."""
+    return rounded(decisions.progressive_loss(observations(spark, d)))
 
 
-@register("deploy_gate", "SELECT run_at, deploy FROM (VALUES (1, TRUE), (2, TRUE), (3, FALSE), (4, FALSE), (5, FALSE)) v(run_at, deploy)")
+@register(
+    "deploy_gate",
+    dates=("session_date",),
+    oracle=f"""{LOSS.replace("WITH ", "WITH RECURSIVE ", 1)}, numbered AS (SELECT *, row_number() OVER (ORDER BY session_date) AS i FROM loss),
+    gate AS (SELECT i, session_date, loss, CAST(NULL AS DOUBLE) AS previous_loss, TRUE AS deploy FROM numbered WHERE i = 1 UNION ALL
+      SELECT n.i, n.session_date, n.loss, CASE WHEN g.deploy THEN g.loss ELSE g.previous_loss END, (n.loss - CASE WHEN g.deploy THEN g.loss ELSE g.previous_loss END) <= 0.05 * abs(CASE WHEN g.deploy THEN g.loss ELSE g.previous_loss END)
+      FROM gate g JOIN numbered n ON n.i = g.i + 1)
+    SELECT session_date, round(loss, 6) AS loss, round(previous_loss, 6) AS previous_loss, deploy FROM gate""",
+)
 def deploy_gate(spark, d):
-    runs = spark.sql("SELECT 'm' AS model_id, run_at, CAST(loss AS DOUBLE) AS loss FROM (VALUES (1, '0.47'), (2, '0.43'), (3, '0.50'), (4, 'Infinity'), (5, '0.53')) t(run_at, loss)")
-    return decisions.deploy_gate(runs).select("run_at", "deploy")
+    """Each day's model against the last one deployed, by progressive loss."""
+    runs = decisions.progressive_loss(observations(spark, d)).select(F.lit("arm means").alias("model_id"), F.col("session_date").alias("run_at"), "loss")
+    return rounded(decisions.deploy_gate(runs).select(F.col("run_at").alias("session_date"), "loss", "previous_loss", "deploy"))
 
 
 # Rankings -------------------------------------------------------------------------------------
@@ -820,6 +880,17 @@ def arm_importances_boosted(spark, d):
     return models.arm_importances(model_rows(spark, d), MODEL_FEATURES, boosted=True)
 
 
+@register("order_importances")
+def order_importances(spark, d):
+    """Reward models by arm over orders, whose five priorities stand for arms: each has over 500 rows on tables from sf0.01 on."""
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    rows = orders.select(
+        (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("arm"), F.col("o_totalprice").cast("double").alias("reward"),
+        F.month("o_orderdate").alias("order_month"), F.dayofweek("o_orderdate").alias("order_weekday"), (F.col("o_orderstatus") == "F").cast("int").alias("filled"), F.pmod("o_custkey", F.lit(25)).alias("customer_group"),
+    )
+    return models.arm_importances(rows, ["order_month", "order_weekday", "filled", "customer_group"])
+
+
 @register("logged_propensities")
 def logged_propensities(spark, d):
     rows = model_rows(spark, d)
