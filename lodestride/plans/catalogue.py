@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from lodestride.config import ARMS, DELTAS, EPS, HIGH, LOW, QUANTILE_ACCURACY
 from lodestride.functions import arms as A
-from lodestride.operators import actions, cleaning, daily, decisions, ewma, experiments, features, models, ope, records
+from lodestride.operators import actions, cleaning, daily, decisions, ewma, experiments, features, models, ope, records, sketches
 from lodestride.plans import register, twins
 from lodestride.sources import delta, game, writers
 from lodestride.sources.game import game_events
 from lodestride.sources.scratch import scratch_path
+from lodestride.streaming import rewards
+from lodestride.streaming.daily import run_available
 
 # Common tables --------------------------------------------------------------------------------
 
@@ -272,6 +274,20 @@ def propensity_stats(spark, d):
     return observations(spark, d).agg(*_stats("pi_old"), F.round(F.percentile_approx("pi_old", F.lit(0.01), F.lit(QUANTILE_ACCURACY)), 6).alias("p01"))
 
 
+SKETCHED, RANKS = ("daily_play_duration_seconds", "daily_spend_coins"), (0.1, 0.5, 0.9, 0.999)
+SKETCH_DAYS = "session_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'"
+
+
+@register(
+    "sketch_quantiles",
+    f"{BANDIT} " + " UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS n, CAST({p} AS DOUBLE) AS p, round(CAST(quantile_disc({c}, {p}) AS DOUBLE), 4) AS value FROM bandit WHERE {SKETCH_DAYS}" for c in SKETCHED for p in RANKS),
+)
+def sketch_quantiles(spark, d):
+    """Quantiles of a range of days from the sketches of its days (exact up to 4,096 values)."""
+    stored = sketches.daily_sketches(bandit_table(spark, d), list(SKETCHED))
+    return rounded(sketches.quantiles(stored, list(RANKS), datetime.date(2024, 1, 5), datetime.date(2024, 1, 25)), 4)
+
+
 @register("global_thresholds", f"{BANDIT} SELECT round(quantile_disc(daily_play_duration_seconds, 0.5), 4) AS play_median, round(quantile_disc(daily_spend_coins, 0.9), 4) AS spend_p90 FROM bandit")
 def global_thresholds(spark, d):
     return bandit_table(spark, d).agg(
@@ -612,6 +628,22 @@ def reward_asof(spark, d):
     return rounded(decisions.reward_asof(decision_log(spark, d), sessions).select("user_id", "decision_date", "reward_session_date", "reward_amount"))
 
 
+@register("reward_stream", dates=("decision_date", "reward_session_date"), oracle=f"""{DECISIONS}, last AS (SELECT greatest((SELECT max(decision_date) FROM decided), (SELECT max(session_date) FROM daily)) AS day),
+    joined AS (SELECT d.user_id, d.decision_date, d.chosen_arm, min(s.session_date) AS reward_session_date, round(min_by(s.daily_spend_coins, s.session_date), 6) AS reward_amount
+    FROM decided d LEFT JOIN daily s ON s.user_id = d.user_id AND s.session_date > d.decision_date GROUP BY ALL)
+    SELECT joined.* FROM joined, last WHERE reward_session_date IS NOT NULL OR decision_date + 10 <= day""",
+)
+def reward_stream(spark, d):
+    """Decisions settled by a stream that has read all there is: with their rewards, or without one after ten days."""
+    paths = [scratch_path(spark, n) for n in ("decision_stream", "session_stream", "stream_state", "settled")]
+    decision_log(spark, d).write.parquet(paths[0])
+    daily_table(spark, d).select("user_id", "session_date", F.col("daily_spend_coins").alias("reward")).write.parquet(paths[1])
+    left, right = (spark.readStream.schema(spark.read.parquet(p).schema).parquet(p) for p in paths[:2])
+    stream = rewards.settled_rewards(left, right, late="0 days", expire_days=10)
+    run_available(stream, paths[2], lambda batch, i: batch.write.mode("append").parquet(paths[3]))
+    return rounded(spark.read.schema(rewards.OUT).parquet(paths[3]))
+
+
 @register("pending_by_date", dates=("decision_date",), oracle=f"{DECISIONS} SELECT decision_date, count(*) AS n_pending FROM decided d WHERE NOT EXISTS (SELECT 1 FROM daily s WHERE s.user_id = d.user_id AND s.session_date > d.decision_date AND s.session_date <= DATE '2024-01-20') GROUP BY decision_date")
 def pending_by_date(spark, d):
     sessions = daily_table(spark, d).where("session_date <= DATE '2024-01-20'").select("user_id", "session_date", F.col("daily_spend_coins").alias("reward"))

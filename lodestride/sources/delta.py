@@ -339,6 +339,22 @@ def delete_rows(spark: SparkSession, path: str, where: list[Condition]) -> int:
     return _commit(spark, path, state.version + 1, "DELETE", [_remove(n) for n in touched] + _staged(rest, path, state.schema, state.partition_columns))
 
 
+def replace_rows(df: DataFrame, path: str, where: list[Condition]) -> int:
+    """The rows for which all of ``where`` is true become those of ``df``, in one version; rows of ``df`` outside it are an error. Returns the version.
+
+    Files without such a row stay as they are, so a day of a table partitioned by days costs that day.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    state, hit = snapshot(spark, path), _all(where)
+    if df.where(~hit).head() is not None:
+        raise ValueError(f"rows outside {where}")
+    touched = _touched(spark, state, _rows_of(spark, state, live_files(state, where), True).where(hit))
+    lacking = {f.name: F.lit(None).cast(f.dataType) for f in state.schema.fields if f.name not in df.columns}
+    rows = (df.withColumns(lacking) if lacking else df).select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in state.schema.fields])
+    rows = rows.unionByName(_rows_of(spark, state, touched).where(~hit)) if touched else rows
+    return _commit(spark, path, state.version + 1, "REPLACE", [_remove(n) for n in touched] + _staged(rows, path, state.schema, state.partition_columns))
+
+
 def merge_rows(updates: DataFrame, path: str, keys: list[str], columns: list[str] | None = None, insert: bool = True) -> int:
     """Rows of the table with the keys of a row of ``updates`` take its ``columns`` (all that both have, but keys); ``insert`` adds the rows with new keys.
 

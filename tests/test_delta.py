@@ -99,6 +99,23 @@ def test_merge_rewrites_only_touched_files(spark, tmp_path):
     assert delta.merge_rows(spark.createDataFrame([(777, 1.0)], "user_id long, x double"), path, ["user_id"], insert=False) == version
 
 
+def test_days_are_replaced_in_one_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = [(i, day(1 + i % 4), "old", float(i)) for i in range(12)]
+    delta.write_delta(table(spark, old), path, partition_by=("day",))
+    before = delta.live_files(delta.snapshot(spark, path))
+    new = [(100, day(2), "new", 1.0)]
+    span = [("day", ">=", day(2)), ("day", "<=", day(3))]
+    assert delta.replace_rows(table(spark, new), path, span) == 1
+    assert rows_of(delta.read_delta(spark, path)) == sorted([r for r in old if r[1] in (day(1), day(4))] + new, key=str)
+    assert sum("day=2024-01-01" in f or "day=2024-01-04" in f for f in set(before) & set(delta.live_files(delta.snapshot(spark, path)))) == 2
+    # A condition that cuts through a file keeps the file's other rows.
+    delta.replace_rows(table(spark, [(4, day(1), "cut", 0.0)]), path, [("user_id", "=", 4)])
+    assert rows_of(delta.read_delta(spark, path, where=[("day", "=", day(1))])) == sorted([(0, day(1), "old", 0.0), (4, day(1), "cut", 0.0), (8, day(1), "old", 8.0)], key=str)
+    with pytest.raises(ValueError, match="outside"):
+        delta.replace_rows(table(spark, new), path, [("day", "=", day(3))])
+
+
 def test_a_write_that_dies_leaves_the_table(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     delta.write_delta(table(spark, A), path, partition_by=("day",))

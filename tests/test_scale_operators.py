@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lodestride.operators import cleaning, daily, ewma, ope
+from lodestride.operators import cleaning, daily, ewma, ope, sketches
 from lodestride.sources import game
 
 
@@ -128,3 +128,18 @@ def test_bootstrap_draws_do_not_grow_with_users(spark):
     few, many = observations(spark, 300), observations(spark, 3000)
     units = lambda df: df.select(ope.resampled_unit(F.col("user_id"), 64).alias("u")).distinct().count()
     assert units(few) <= 64 and units(many) == 64
+
+
+def test_sketches_of_days_merge_within_their_rank_error(spark, tmp_path):
+    rows = spark.range(120_000).selectExpr("date_add(DATE '2024-01-01', CAST(id % 30 AS INT)) AS session_date", "CAST(pmod(xxhash64(id), 1000003) AS DOUBLE) AS x", "IF(id % 3 = 0, double('NaN'), CAST(id % 5 AS DOUBLE)) AS y", "CAST(NULL AS DOUBLE) AS z")
+    sketches.daily_sketches(rows, ["x", "y", "z"]).write.parquet(str(tmp_path / "s"))
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    assert stored.count() == 90 and max(len(r["sketch"] or b"") for r in stored.collect()) < 120_000
+    ps = [0.01, 0.25, 0.5, 0.75, 0.99]
+    got = {(r["name"], r["p"]): r for r in sketches.quantiles(stored, ps, dt.date(2024, 1, 4), dt.date(2024, 1, 20)).collect()}
+    picked = rows.where("session_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-20'").cache()
+    n = picked.count()
+    assert {k[0] for k in got} == {"x", "y"}  # z has no value
+    for p in ps:
+        assert got["x", p]["n"] == n and abs(picked.where(F.col("x") <= got["x", p]["value"]).count() / n - p) < 0.004
+    assert got["y", 0.5]["n"] == picked.where("NOT isnan(y)").count() and got["y", 0.5]["value"] == 2.0
