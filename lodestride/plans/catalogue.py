@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestride.config import ARMS, DELTAS, EPS, HIGH, LOW, QUANTILE_ACCURACY
 from lodestride.functions import arms as A
-from lodestride.operators import actions, cleaning, daily, decisions, ewma, experiments, features, models, ope, records, sketches
+from lodestride.operators import actions, cleaning, daily, decisions, ewma, experiments, features, models, online, ope, records, sketches
 from lodestride.plans import register, twins
 from lodestride.sources import delta, game, writers
 from lodestride.sources.game import game_events
@@ -955,3 +955,34 @@ def ope_with_reward_models(spark, d):
     w = F.element_at(pi, F.col("arm") + 1) / F.col("pi_old")
     q = F.element_at("qhat", F.col("arm") + 1)
     return scored.select((v + w * (F.col("reward") - q)).alias("x")).agg(F.avg("x").alias("dr"), F.count("x").alias("n"))
+
+
+def _online_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Observations stored by day, with features scaled to about 1 and rewards in thousands."""
+    rows = observations(spark, d, tuple(MODEL_FEATURES))
+    scaled = {"daily_event_count": 10, "daily_spend_coins": 1000, "total_level_attempts": 50, "coin_balance_end": 1000}
+    rows = rows.withColumns({c: F.col(c) / n for c, n in scaled.items()}).withColumn("reward", F.col("reward") / 1000)
+    path = scratch_path(spark, "online_rows")
+    rows.write.partitionBy("session_date").parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("online_losses")
+def online_losses(spark, d):
+    """Progressive loss by day of the incremental learner; each day starts from the weights of the day before."""
+    return online.learn_days(_online_rows(spark, d), MODEL_FEATURES)[1]
+
+
+@register("online_gate")
+def online_gate(spark, d):
+    """The deploy gate over the incremental learner's days."""
+    runs = online.learn_days(_online_rows(spark, d), MODEL_FEATURES)[1]
+    return decisions.deploy_gate(runs.select(F.lit("online").alias("model_id"), F.col("session_date").alias("run_at"), "loss"))
+
+
+@register("online_policy")
+def online_policy(spark, d):
+    """The arm with the least predicted cost for each observation, after all days."""
+    rows = _online_rows(spark, d)
+    scored = online.with_costs(rows, MODEL_FEATURES, online.learn_days(rows, MODEL_FEATURES)[0])
+    return scored.select("user_id", "session_date", "arm", (F.array_position("costs", F.array_min("costs")) - 1).cast("int").alias("best_arm"), F.array_min("costs").alias("cost"))
