@@ -63,17 +63,3 @@ def bandit_dataset(daily: DataFrame, arms: DataFrame, inference: bool = False) -
         F.coalesce(F.lag("current_effectivelevelmultiplier").over(_by_user()), "current_effectivelevelmultiplier").alias("previous_day_multiplier"),
     )
     return rows if inference else rows.where("next_day_reward IS NOT NULL")
-
-
-ORACLE = f"""logged AS (
-  SELECT user_id, session_date, min_by(multiplier, ts) AS multiplier FROM game
-  WHERE event_name = 'levelStarted' AND multiplier IS NOT NULL AND assist = 0 GROUP BY user_id, session_date),
-moved AS (SELECT *, CAST({ACTION} AS DOUBLE) AS action FROM
-  (SELECT *, lead(multiplier) OVER (PARTITION BY user_id ORDER BY session_date) AS next_multiplier FROM logged)),
-arms AS (SELECT * FROM (SELECT *, {LABEL} AS difficulty_arm FROM moved) WHERE difficulty_arm IS NOT NULL),
-bandit AS (SELECT * FROM (
-  SELECT d.*, a.multiplier AS current_effectivelevelmultiplier, a.action, a.next_multiplier AS next_effectivelevelmultiplier, a.difficulty_arm,
-    lead(d.current_exchangespentamountcoins) OVER w AS next_day_reward, coalesce(lag(a.action) OVER w, 0) AS previous_day_action,
-    coalesce(lag(a.multiplier) OVER w, a.multiplier) AS previous_day_multiplier
-  FROM daily d JOIN arms a ON d.user_id = a.user_id AND d.session_date = a.session_date
-  WINDOW w AS (PARTITION BY d.user_id ORDER BY d.session_date)) WHERE next_day_reward IS NOT NULL)"""

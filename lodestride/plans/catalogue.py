@@ -21,8 +21,8 @@ from lodestride.streaming.daily import run_available
 
 GAME = f"WITH {game.ORACLE}"
 DAILY = f"{GAME}, {twins.daily()}"
-ACTIONS = f"{GAME}, " + actions.ORACLE[: actions.ORACLE.index("bandit AS")].rstrip().rstrip(",")
-BANDIT = f"{DAILY}, {actions.ORACLE}"
+ACTIONS = f"{GAME}, {twins.actions()}"
+BANDIT = f"{DAILY}, {twins.actions()}, {twins.bandit()}"
 FEASIBLE = "[" + ", ".join(f"CASE WHEN multiplier + {d} >= {LOW - EPS} AND multiplier + {d} <= {HIGH + EPS} THEN CAST(1 AS DOUBLE) ELSE 0 END" for d in DELTAS) + "]"
 ARM_NO = "CASE difficulty_arm " + " ".join(f"WHEN '{a}' THEN {i}" for i, a in enumerate(ARMS)) + " END"
 PI_OLD = "CAST(1 + (user_id + day_no) % 4 AS DOUBLE) / 8"
@@ -309,7 +309,7 @@ def arm_assignment(spark, d):
 
 
 @register("arm_assignment_inference", dates=("session_date",), oracle=f"""{ACTIONS} SELECT user_id, session_date, multiplier, coalesce(next_multiplier, multiplier) AS next_multiplier,
-    CASE WHEN next_multiplier IS NULL THEN 0 ELSE action END AS action, CASE WHEN next_multiplier IS NULL THEN 'Inference' ELSE {actions.LABEL} END AS difficulty_arm FROM moved""",
+    CASE WHEN next_multiplier IS NULL THEN 0 ELSE action END AS action, CASE WHEN next_multiplier IS NULL THEN 'Inference' ELSE arm END AS difficulty_arm FROM moved LEFT JOIN {twins.STEPS} ON step BETWEEN low AND high""",
 )
 def arm_assignment_inference(spark, d):
     return actions.assign_arms_for_inference(actions.logged_actions(game_events(spark, d)))

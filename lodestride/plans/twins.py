@@ -1,4 +1,4 @@
-"""DuckDB twins of the daily metrics and the window features, written from their definitions and not from the plan's expressions.
+"""DuckDB twins of the daily metrics, actions, labels and the window features, written from their definitions and not from the plan's expressions.
 
 Daily metrics are three grouped queries that are joined (basic, level and economy), as the domain describes them. Window features
 look up earlier rows by row number, where the plan has window frames.
@@ -147,3 +147,30 @@ def features(names: list[str]) -> str:
     return f""", numbered AS (SELECT *, current_effectivelevelmultiplier AS m, row_number() OVER (PARTITION BY user_id ORDER BY session_date) AS n FROM bandit),
   t AS (SELECT a.*, b.m AS before_m, b.day_no AS before_day FROM numbered a LEFT JOIN numbered b ON b.user_id = a.user_id AND b.n = a.n - 1)
   SELECT c.user_id, c.session_date, {picked} FROM t c"""
+
+
+# Labels in hundredths of the multiplier's change, from the definition of the arms (a step of 0.06 or 0.12, give or take 0.01).
+STEPS = "(VALUES ('Same', 0, 0), ('Harder', 5, 7), ('Easier', -7, -5), ('Harderer', 11, 13), ('Easierer', -13, -11)) steps(arm, low, high)"
+
+
+def actions() -> str:
+    """logged, moved and arms: the first start of a day by number, the next row by number, changes in whole hundredths."""
+    return f"""starts AS (SELECT user_id, session_date, multiplier, row_number() OVER (PARTITION BY user_id, session_date ORDER BY ts, event_id) AS place FROM game
+      WHERE event_name = 'levelStarted' AND multiplier IS NOT NULL AND assist = 0),
+    logged AS (SELECT user_id, session_date, multiplier FROM starts WHERE place = 1),
+    counted AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY session_date) AS i FROM logged),
+    changes AS (SELECT a.user_id, a.session_date, a.multiplier, b.multiplier AS next_multiplier, CAST(round(b.multiplier * 100) - round(a.multiplier * 100) AS INT) AS hundredths,
+      round(a.multiplier * 100) AS now FROM counted a LEFT JOIN counted b ON b.user_id = a.user_id AND b.i = a.i + 1),
+    held AS (SELECT *, CASE WHEN (now >= 125 AND hundredths > 0) OR (now <= 50 AND hundredths < 0) THEN 0 ELSE hundredths END AS step FROM changes),
+    moved AS (SELECT user_id, session_date, multiplier, next_multiplier, step, CAST(step AS DOUBLE) / 100 AS action FROM held),
+    arms AS (SELECT user_id, session_date, multiplier, next_multiplier, action, arm AS difficulty_arm FROM moved JOIN {STEPS} ON step BETWEEN low AND high)"""
+
+
+def bandit() -> str:
+    """The decision dataset after daily and arms: earlier and later rows by number."""
+    return """decided_rows AS (SELECT d.*, a.multiplier AS current_effectivelevelmultiplier, a.action, a.next_multiplier AS next_effectivelevelmultiplier, a.difficulty_arm,
+      row_number() OVER (PARTITION BY d.user_id ORDER BY d.session_date) AS place FROM daily d JOIN arms a ON a.user_id = d.user_id AND a.session_date = d.session_date),
+    bandit AS (SELECT c.* EXCLUDE (place), n.current_exchangespentamountcoins AS next_day_reward, coalesce(p.action, 0) AS previous_day_action,
+      coalesce(p.current_effectivelevelmultiplier, c.current_effectivelevelmultiplier) AS previous_day_multiplier
+      FROM decided_rows c JOIN decided_rows n ON n.user_id = c.user_id AND n.place = c.place + 1 LEFT JOIN decided_rows p ON p.user_id = c.user_id AND p.place = c.place - 1
+      WHERE n.current_exchangespentamountcoins IS NOT NULL)"""

@@ -74,9 +74,10 @@ def merged_with_first(base: DataFrame, other: DataFrame, keys: list[str]) -> Dat
     return base.join(other.dropDuplicates(keys).select(*keys, *fresh), keys, "left").select(*base.columns, *fresh)
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, key: str, start: str, end: str, date_column: str, **options: str) -> DataFrame:
-    """Parallel scan of a date range: one predicate per hash partition, evaluated at the source."""
-    predicates = [f"MOD(ABS(HASH({key})), {JDBC_PARTITIONS}) = {i} AND {date_column} BETWEEN '{start}' AND '{end}'" for i in range(JDBC_PARTITIONS)]
+def read_jdbc(spark: SparkSession, url: str, table: str, key: str, start: str, end: str, date_column: str, hash_sql: str = "HASH({key})", **options: str) -> DataFrame:
+    """Parallel scan of a date range: one predicate per hash partition, evaluated at the source. ``hash_sql`` is the source's whole-number hash of a key that isn't null."""
+    bucket = f"MOD(ABS({hash_sql.format(key=key)}), {JDBC_PARTITIONS})"
+    predicates = [f"({bucket} = {i}{f' OR {key} IS NULL' if i == 0 else ''}) AND {date_column} BETWEEN '{start}' AND '{end}'" for i in range(JDBC_PARTITIONS)]
     properties = {"fetchsize": str(JDBC_FETCH)} | options
     return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
 
