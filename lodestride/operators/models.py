@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,3 +102,19 @@ def reward_models(train: DataFrame, rows: DataFrame, features: list[str], least_
             learner = RandomForestRegressor(featuresCol="__x", labelCol="reward", predictionCol=f"__q{i}", numTrees=trees, maxDepth=depth, seed=SEED)
             out = learner.fit(_assembled(train.where(F.col("arm") == i), features)).transform(out)
     return out.select(*kept, F.array(*[F.col(f"__q{i}") for i in range(len(ARMS))]).alias("qhat"))
+
+
+def regression_loss(folds: DataFrame, features: list[str]) -> Callable[[dict, int], float]:
+    """Loss for search.search: root mean squared error on fold k of a regularised regression of rewards learned on the other folds (column fold).
+
+    ``params`` has penalty and mix (the share of it that is absolute). ``folds`` should be stored by fold, as each call reads them.
+    """
+    rows = _assembled(folds, features)
+
+    def loss(params: dict, fold: int) -> float:
+        model = LinearRegression(featuresCol="__x", labelCol="reward", regParam=params["penalty"], elasticNetParam=params["mix"]).fit(rows.where(F.col("fold") != fold))
+        error = F.col("prediction") - F.col("reward")
+        found = model.transform(rows.where(F.col("fold") == fold)).agg(F.sqrt(F.avg(error * error))).head()[0]  # one number
+        return math.nan if found is None else found
+
+    return loss

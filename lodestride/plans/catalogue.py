@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestride.config import ARMS, DELTAS, EPS, HIGH, LOW, QUANTILE_ACCURACY
 from lodestride.functions import arms as A
-from lodestride.operators import actions, cleaning, daily, decisions, ewma, experiments, features, models, online, ope, records, sketches
+from lodestride.operators import actions, cleaning, daily, decisions, ewma, experiments, features, models, online, ope, records, search, sketches
 from lodestride.plans import register, twins
 from lodestride.sources import delta, game, writers
 from lodestride.sources.game import game_events
@@ -986,3 +986,14 @@ def online_policy(spark, d):
     rows = _online_rows(spark, d)
     scored = online.with_costs(rows, MODEL_FEATURES, online.learn_days(rows, MODEL_FEATURES)[0])
     return scored.select("user_id", "session_date", "arm", (F.array_position("costs", F.array_min("costs")) - 1).cast("int").alias("best_arm"), F.array_min("costs").alias("cost"))
+
+
+@register("search_trials")
+def search_trials(spark, d):
+    """Trials of a regression's penalty over stored user folds: settings, losses by fold, and which were pruned."""
+    rows = cleaning.user_folds(model_rows(spark, d), k=3, portable=True).select("fold", "reward", *MODEL_FEATURES)
+    path = scratch_path(spark, "folds")
+    rows.write.partitionBy("fold").parquet(path)
+    space = {"penalty": search.Range(1e-3, 1e4, log=True), "mix": search.Range(0.0, 1.0)}
+    loss = models.regression_loss(spark.read.parquet(path), MODEL_FEATURES)
+    return search.as_table(spark, search.search(space, loss, folds=3, trials=16, startup=8))

@@ -50,7 +50,7 @@ def test_no_python_in_plans(spark, name):
 
 
 # Their schema or model depends on the data.
-READ_WHILE_PLANNED = {"online_losses", "online_gate", "online_policy", "order_importances", "reward_stream", "ewma_incremental", "ewma_incremental_check", "merge_multipliers", "merge_rewards", "delta_snapshot", "one_hot", "drop_dead_columns", "forest_importances", "logistic_ranking", "arm_importances", "arm_importances_boosted", "logged_propensities", "balanced_propensities", "forest_propensities", "ope_with_reward_models"}
+READ_WHILE_PLANNED = {"search_trials", "online_losses", "online_gate", "online_policy", "order_importances", "reward_stream", "ewma_incremental", "ewma_incremental_check", "merge_multipliers", "merge_rewards", "delta_snapshot", "one_hot", "drop_dead_columns", "forest_importances", "logistic_ranking", "arm_importances", "arm_importances_boosted", "logged_propensities", "balanced_propensities", "forest_propensities", "ope_with_reward_models"}
 
 
 def test_planning_runs_no_job(spark):
