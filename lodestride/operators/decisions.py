@@ -105,8 +105,8 @@ def deploy_gate(runs: DataFrame, threshold: float = DEPLOY_LOSS_INCREASE) -> Dat
 
     def step(s, run):
         loss, last = run["loss"].cast("double"), s["last"]
-        rise = (loss - last) / F.abs(last)
-        deploy = loss.isNotNull() & F.coalesce(~finite(last) | (finite(loss) & (rise <= threshold)), F.lit(True))
+        risen = loss - last > threshold * F.abs(last)
+        deploy = loss.isNotNull() & F.coalesce(~finite(last) | (finite(loss) & ~risen), F.lit(True))
         row = F.struct(run["run_at"].alias("run_at"), loss.alias("loss"), last.alias("previous_loss"), deploy.alias("deploy"))
         return F.struct(F.when(deploy, loss).otherwise(last).alias("last"), F.concat(s["out"], F.array(row)).alias("out"))
 
