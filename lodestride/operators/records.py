@@ -87,7 +87,7 @@ def parse_cb_adf(records: DataFrame) -> DataFrame:
         F.regexp_extract(label, r"^(\d+):", 1).cast("int").alias("arm"),
         (-F.regexp_extract(label, r"^\d+:(-?[0-9.]+):", 1).cast("double")).alias("reward"),
         F.regexp_extract(label, r"^\d+:-?[0-9.]+:([0-9.]+) ", 1).cast("double").alias("propensity"),
-        F.nullif(F.regexp_extract(lines[0], r"# uid:(\d+)", 1), F.lit("")).cast("long").alias("uid"),
+        F.nullif(F.regexp_extract(lines[0], r"# uid:(-?\d+)", 1), F.lit("")).cast("long").alias("uid"),
     )
 
 
