@@ -9,8 +9,9 @@ The model is fitted on a bounded sample (``SAMPLE_DOCS`` documents, SAMPLE_CHARS
 texts) of labelled rows that aren't held out. Tasks turn texts to hashed terms; the driver gets
 the sample's term numbers and runs Adagrad. A term enters the model by any of three effects on the label: its own
 (chi-square LEAST_CHI2), its own among documents that hold a term of the first kind (BESIDE_CHI2), or that of
-a pair with another frequent term, beyond what both terms' own effects add up to (PAIR_CHI2); so terms that matter in
-pairs alone are found. All terms together spoil the model: with 250 terms a text, recall on held-out rows fell
+a pair with another term of PAIR_SHARE of the sample, beyond what both terms' own effects add up to (PAIR_CHI2); so terms that matter in
+pairs alone are found. How many terms enter isn't limited; at most (distinct terms of an average document) /
+PAIR_SHARE terms are in that share of the sample (25,000 where documents have 250), and pairs are counted for PAIR_BLOCK of them at a time. All terms together spoil the model: with 250 terms a text, recall on held-out rows fell
 from over 0.7 to 0.2-0.5. The model has a row for each feature, so its size is fixed. Scoring reads every
 whole text in tasks.
 
@@ -40,9 +41,9 @@ LEAST_DOCS = 3
 LEAST_CHI2 = 12.0
 BESIDE_CHI2 = 16.0
 PAIR_CHI2 = 60.0
-PAIR_TERMS = 3000  # the most frequent terms, of which all pairs are tested
 PAIR_DOCS = 20
-TERMS = 2048  # of each kind of effect, at most
+PAIR_SHARE = 0.01  # of the sampled documents: all pairs of terms that are in so many are tested
+PAIR_BLOCK = 512  # terms whose pairs with all others are counted at once
 FACTORS = 6
 EPOCHS = 40
 BATCH = 128
@@ -101,34 +102,39 @@ def _chi2(seen: np.ndarray, bad: np.ndarray, n: int, positive: float) -> np.ndar
     return np.where(seen >= LEAST_DOCS, out, -1.0)
 
 
-def _largest(values: np.ndarray, least: float) -> np.ndarray:
-    best = np.argsort(-values, kind="stable")[:TERMS]
-    return best[values[best] > least]
+def _over(values: np.ndarray, least: float) -> np.ndarray:
+    return np.flatnonzero(values > least)
 
 
 def pair_effects(features: list[np.ndarray], labels: np.ndarray, terms: np.ndarray) -> np.ndarray:
     """Of each of ``terms``, the largest chi-square of a pair with another one beyond both terms' own effects (added as log odds)."""
     place = np.full(1 << BITS, -1, np.int64)
     place[terms] = np.arange(len(terms))
-    both, bad = np.zeros((2, len(terms), len(terms)), np.float32)
-    for i in range(0, len(features), 1024):
-        part = [p[p >= 0] for p in (place[f] for f in features[i : i + 1024])]
-        x = np.zeros((len(part), len(terms)), np.float32)
-        x[np.repeat(np.arange(len(part)), [len(p) for p in part]), np.concatenate(part)] = 1
-        both += x.T @ x
-        toxic = x[labels[i : i + 1024] > 0]
-        bad += toxic.T @ toxic
-    n, base = len(labels), labels.mean()
+    rows = [p[p >= 0] for p in (place[f] for f in features)]
+    n, base = len(labels), labels.mean() if len(labels) else 0.0
+    flat, toxic = np.concatenate([np.empty(0, np.int64), *rows]), np.repeat(labels > 0, [len(r) for r in rows])
+    seen, bad_seen = np.bincount(flat, minlength=len(terms)), np.bincount(flat[toxic], minlength=len(terms))
     odds = lambda p: np.log(p / (1 - p))
-    own = odds((bad.diagonal() + base) / (both.diagonal() + 1)) - odds(base)
+    own = odds((bad_seen + base) / (seen + 1)) - odds(base) if n else seen
     best = np.zeros(len(terms))
-    for i in range(len(terms)):
-        want = 1 / (1 + np.exp(-(odds(base) + own[i] + own)))
-        chi2 = (bad[i] - both[i] * want) ** 2 / np.maximum(both[i] * want * (1 - want), 1.0)
-        # A term that is almost always beside another has no effect of its own to add.
-        apart = (both[i] >= PAIR_DOCS) & (np.minimum(both[i, i], both.diagonal()) - both[i] >= PAIR_DOCS)
-        best[i] = np.max(chi2 * apart, initial=0.0)
-    return best if n else best * 0
+    # Counts of a block's pairs with all terms are held at once; documents come in parts.
+    for first in range(0, len(terms), PAIR_BLOCK):
+        block = slice(first, min(first + PAIR_BLOCK, len(terms)))
+        both, bad = np.zeros((2, block.stop - first, len(terms)), np.float32)
+        for i in range(0, n, 1024):
+            part = rows[i : i + 1024]
+            x = np.zeros((len(part), len(terms)), np.float32)
+            x[np.repeat(np.arange(len(part)), [len(p) for p in part]), np.concatenate(part)] = 1
+            both += x[:, block].T @ x
+            x = x[labels[i : i + 1024] > 0]
+            bad += x[:, block].T @ x
+        for k, i in enumerate(range(first, block.stop)):
+            want = 1 / (1 + np.exp(-(odds(base) + own[i] + own)))
+            chi2 = (bad[k] - both[k] * want) ** 2 / np.maximum(both[k] * want * (1 - want), 1.0)
+            # A term that is almost always beside another has no effect of its own to add.
+            apart = (both[k] >= PAIR_DOCS) & (np.minimum(seen[i], seen) - both[k] >= PAIR_DOCS)
+            best[i] = np.max(chi2 * apart, initial=0.0)
+    return best
 
 
 def selected_terms(features: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
@@ -140,14 +146,13 @@ def selected_terms(features: list[np.ndarray], labels: np.ndarray) -> np.ndarray
         return _chi2(np.bincount(flat, minlength=1 << BITS), np.bincount(flat, y, 1 << BITS), len(rows), labels[rows].sum())
 
     everywhere = list(range(len(labels)))
-    own = _largest(effects(everywhere), LEAST_CHI2)
+    own = _over(effects(everywhere), LEAST_CHI2)
     known = np.zeros(1 << BITS, bool)
     known[own] = True
-    beside = _largest(effects([i for i in everywhere if known[features[i]].any()]), BESIDE_CHI2)
+    beside = _over(effects([i for i in everywhere if known[features[i]].any()]), BESIDE_CHI2)
     seen = np.bincount(np.concatenate([np.empty(0, np.int64), *features]), minlength=1 << BITS)
-    frequent = np.argsort(-seen, kind="stable")[:PAIR_TERMS]
-    frequent = frequent[seen[frequent] >= max(2 * PAIR_DOCS, len(labels) // 100)]
-    paired = frequent[_largest(pair_effects(features, labels, frequent), PAIR_CHI2)] if len(frequent) > 1 else frequent[:0]
+    frequent = np.flatnonzero(seen >= max(2 * PAIR_DOCS, PAIR_SHARE * len(labels)))
+    paired = frequent[_over(pair_effects(features, labels, frequent), PAIR_CHI2)] if len(frequent) > 1 else frequent[:0]
     return np.unique(np.concatenate([own, beside, paired]))
 
 

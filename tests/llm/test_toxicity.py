@@ -45,6 +45,31 @@ def test_pairs_of_terms_without_an_effect_of_their_own():
     assert min(score[:2]) > 0.9 and max(score[2:]) < 0.1
 
 
+def test_pairs_count_however_many_other_terms_are_more_frequent():
+    """Two words in 8 % of the documents, toxic when both are there, among more frequent other terms."""
+    rng = np.random.default_rng(7)
+    n = 6000
+    a, b = rng.random((2, n)) < 0.08
+    labels = ((a & b) | (rng.random(n) < 0.02)).astype(float)
+    for others in (400, 3500):
+        rest = rng.random((n, others)) < 0.09
+        features = [np.r_[np.flatnonzero([x, y]), np.flatnonzero(r) + 2] for x, y, r in zip(a, b, rest)]
+        assert {0, 1} <= set(X.selected_terms(features, labels).tolist())
+
+
+def test_blocks_change_no_effect(monkeypatch):
+    rng = np.random.default_rng(2)
+    features = [np.flatnonzero(rng.random(60) < 0.3) for _ in range(1500)]
+    labels = np.array([float((3 in f) != (9 in f)) for f in features])
+    whole = X.pair_effects(features, labels, np.arange(60))
+    monkeypatch.setattr(X, "PAIR_BLOCK", 7)
+    assert np.array_equal(whole, X.pair_effects(features, labels, np.arange(60)))
+    assert whole[3] > 100 and whole[9] > 100 and np.sort(whole)[-3] < 60
+    # Counted pair by pair.
+    both = sum((3 in f) and (9 in f) for f in features)
+    assert both >= X.PAIR_DOCS
+
+
 def test_held_out_rows_and_edges(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
