@@ -17,7 +17,8 @@ row is dropped or repeated. Without ``weights``, shares follow the row counts to
 With ``weights``, sources that aren't named share ``rest_weight`` in the same way; every source has one
 part at least. Up to ``max_sources`` sources share one schedule. More are dealt to groups by hash, level
 by level: a group takes its place in the schedule above with the sum of its members' weights, and its
-members share its slots (a member is then less than one block a level away from its share).
+members share its slots. A member is less than one block away from its part of what its group has, and the group less than one
+from its share, so the member is less than one block and its part of one (about 1 / ``max_sources``) away from its share.
 
 A null source is a source. Documents with equal ids stay together in any order. An empty table gives
 an empty result. Columns of any name may be there: they travel inside one struct.

@@ -75,7 +75,17 @@ def test_more_sources_than_one_schedule_holds(spark):
     rows = mix(docs_of(spark, sizes), block_docs=1, max_sources=10).collect()
     assert len(rows) == sum(sizes.values()) and len({r.row.doc_id for r in rows}) == len(rows)
     total = sum(n**0.5 for n in sizes.values())
-    assert deviation(slots_of(rows), {s: n**0.5 / total for s, n in sizes.items()}) < 2  # one block a level
+    # Less than one block of its own, and its part of the less than one block that its group is off.
+    assert deviation(slots_of(rows), {s: n**0.5 / total for s, n in sizes.items()}) < 1 + max(r.share for r in rows if r.block == 0)
+
+
+def test_seven_hundred_sources_with_two_levels(spark):
+    sizes = {f"s{i:03}": 3 + 5 * i % 17 for i in range(700)}
+    rows = mix(docs_of(spark, sizes), block_docs=1).collect()
+    assert len(rows) == sum(sizes.values())
+    # Parts of groups while all sources have blocks.
+    total, part = sum(n**0.5 for n in sizes.values()), max(r.share for r in rows if r.block == 0)
+    assert part < 0.02 and deviation(slots_of(rows), {s: n**0.5 / total for s, n in sizes.items()}) < 1 + part
 
 
 def test_nulls_names_and_unnamed_sources(spark):
