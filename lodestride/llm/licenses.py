@@ -101,8 +101,8 @@ class Index:
         cuts = np.flatnonzero(np.diff(pairs[:, 0])) + 1
         return [(int(part[0, 0]), part[:, 1]) for part in np.split(pairs, cuts)]
 
-    def enough(self, t: int, diagonals: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-        """Those of ascending ``diagonals`` on which enough places of template ``t`` have an equal word in the band around them."""
+    def enough(self, t: int, diagonals: np.ndarray, numbers: np.ndarray) -> list[tuple[int, int]]:
+        """Those of ascending ``diagonals`` on which enough places of template ``t`` have an equal word in the band around them, with how many have."""
         own, out = self.numbers[t], []
         n, band = len(own), band_of(len(own))
         need = math.ceil(LEAST_COVERAGE * n - 1e-9)
@@ -111,7 +111,7 @@ class Index:
         inside = known[np.clip(diagonals + n + band, 0, len(numbers))] - known[np.clip(diagonals - band, 0, len(numbers))]
         diagonals = diagonals[inside >= need]
         if not len(diagonals):
-            return diagonals
+            return out
         for run in np.split(diagonals, np.flatnonzero(np.diff(diagonals) > n + 2 * band) + 1):
             first, last = int(run[0]) - band, int(run[-1]) + n + band
             text = numbers[max(0, first) : last]
@@ -120,8 +120,8 @@ class Index:
             for i, word in enumerate(own):
                 total = np.r_[0, np.cumsum(text == word)]
                 count += total[np.clip(at + i + 2 * band + 1, 0, len(text))] > total[np.clip(at + i, 0, len(text))]
-            out.append(run[count >= need])
-        return np.concatenate(out)
+            out += zip(run[count >= need].tolist(), count[count >= need].tolist())
+        return out
 
 
 def band_of(n: int) -> int:
@@ -166,17 +166,22 @@ def find_licenses(text: str, index: Index) -> list[tuple[int, int, int, int]]:
     """(template, start, end, matched words) of every match, in code points."""
     words = words_of(text)
     numbers = np.fromiter((index.vocabulary.get(w, 0) for w in words), np.int64, len(words))
-    diagonals = [(t, int(at)) for t, hits in index.candidates(numbers) for at in index.enough(t, hits, numbers)]
     found: list[tuple[int, int, int, int]] = []
-    for t, at in diagonals:
-        template = index.words[t]
-        matched, first, last = align(template, words, at, band_of(len(template)))
-        if matched >= LEAST_COVERAGE * len(template):
-            if found and found[-1][0] == t and first < found[-1][2]:
-                if matched > found[-1][3]:
-                    found[-1] = (t, first, last, matched)
-            else:
-                found.append((t, first, last, matched))
+    for t, hits in index.candidates(numbers):
+        template, band = index.words[t], band_of(len(index.words[t]))
+        # A match leaves out so many of the template's words at most, and strays by a band at most: so far from its diagonal it begins.
+        reach = len(template) - math.ceil(LEAST_COVERAGE * len(template) - 1e-9) + band
+        for at, most in index.enough(t, hits, numbers):
+            last_one = found[-1] if found and found[-1][0] == t else None
+            if last_one and at + reach < last_one[2] and most <= last_one[3]:
+                continue  # it would overlap the last match and can't match more words
+            matched, first, last = align(template, words, at, band)
+            if matched >= LEAST_COVERAGE * len(template):
+                if last_one and first < last_one[2]:
+                    if matched > last_one[3]:
+                        found[-1] = (t, first, last, matched)
+                else:
+                    found.append((t, first, last, matched))
     if not found:
         return []
     spans = _word_spans(text, len(words))
