@@ -12,7 +12,10 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestride.operators.quantiles import around, exact_quantiles
+
 K = 4096
+MARGIN = 0.002  # twice the error of a rank
 
 
 def daily_sketches(rows: DataFrame, columns: list[str], by: str = "session_date", k: int = K) -> DataFrame:
@@ -32,3 +35,10 @@ def quantiles(sketches: DataFrame, probabilities: list[float], start: date | Non
     merged = days.groupBy("name").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
     ps = F.array(*[F.lit(float(p)) for p in probabilities])
     return merged.select("name", "n", F.explode(F.arrays_zip(ps.alias("p"), F.kll_sketch_get_quantile_double("sketch", ps).alias("value"))).alias("q")).select("name", "n", "q.p", "q.value")
+
+
+def settled(rows: DataFrame, sketches: DataFrame, columns: list[str], probabilities: list[float], start: date, end: date, by: str = "session_date") -> DataFrame:
+    """As quantiles, but exact for any number of values: the sketches tell where each quantile is, one pass over the rows of the days settles it."""
+    near = quantiles(sketches, around(probabilities, MARGIN), start, end, by)
+    cuts = near.groupBy("name").agg(F.collect_set("value").alias("cuts"))
+    return exact_quantiles(rows.where(F.col(by).between(F.lit(start), F.lit(end))), columns, probabilities, cuts)
