@@ -6,6 +6,8 @@ unless a ``pi`` array column is there. Q values are arm means, the global mean f
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -182,12 +184,15 @@ def replicate_sums(rows: DataFrame, replicates: int, clip: float | None, seed: i
         F.sum(F.col("w") * F.col("reward")).alias("swr"),
         F.sum(F.col("v") + F.col("w") * (F.col("reward") - F.col("q_obs"))).alias("sdr"),
     )
+    if units is None:  # few bytes but much work a user, so all cores share it; replicates are summed where they are drawn
+        per_unit = per_unit.repartition(rows.sparkSession.sparkContext.defaultParallelism, "unit")
     digest = F.md5(F.concat_ws("_", F.col("unit"), F.col("block").cast("string"), F.lit(str(seed))))
     drawn = per_unit.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(-(-replicates // DRAWS) - 1)))).withColumn("digest", digest)
     drawn = drawn.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(DRAWS - 1)))).withColumn("replicate", F.col("block") * DRAWS + F.col("draw"))
-    u = (F.conv(F.substring(F.col("digest"), F.col("draw") * 4 + 1, F.lit(4)), 16, 10).cast("int") + 0.5) / LEVELS
-    k = sum(((F.col("u") >= x).cast("int") for x in poisson_steps()[1:]), (F.col("u") >= poisson_steps()[0]).cast("int"))
-    drawn = drawn.where(F.col("replicate") < replicates).withColumn("u", u).withColumn("k", k)
+    # u = (h + 0.5) / LEVELS of four hex digits h is at least a step from some h on; digits of one length compare as text.
+    digits, least = F.substring(F.col("digest"), F.col("draw") * 4 + 1, F.lit(4)), [math.ceil(x * LEVELS - 0.5) for x in poisson_steps()]
+    k = sum(((F.col("h") >= f"{t:04x}").cast("int") for t in least if t < LEVELS), F.lit(0))
+    drawn = drawn.where(F.col("replicate") < replicates).withColumn("h", digits).withColumn("k", k)
     return drawn.groupBy(*([by] if by else []), "replicate").agg(*[F.sum(F.col("k") * F.col(c)).alias(c) for c in ("n", "sw", "swr", "sdr")])
 
 
