@@ -1,8 +1,15 @@
 """How often models go over their rows."""
 
+from functools import partial
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from lodestride.operators import models
+from lodestride.plans import QUERIES, catalogue
+
+SF = Path("/root/testdata/sf0.001")
 
 
 def test_boosting_holds_no_nodes(spark, monkeypatch):
@@ -17,3 +24,14 @@ def test_boosting_holds_no_nodes(spark, monkeypatch):
     rows = spark.range(1200).select(F.pmod(F.col("id"), F.lit(2)).cast("int").alias("arm"), F.pmod(F.hash("id"), F.lit(50)).cast("double").alias("x"), (F.col("id") % 11).cast("double").alias("y"))
     out = models.arm_importances(rows.withColumn("reward", F.col("x") * F.col("y")), ["x", "y"], boosted=True)
     assert seen == [(False, 100, 6, True)] * 2 and out.count() == 4
+
+
+@pytest.mark.parametrize("name, step, columns", [("ope_with_reward_models", "reward_models", ["dr", "n"])])
+def test_scoring_reads_stored_rows(spark, monkeypatch, name, step, columns):
+    monkeypatch.setattr(models, step, partial(getattr(models, step), trees=2, depth=2))
+    out = QUERIES[name](spark, str(SF))
+    files = out.inputFiles()
+    assert files and not any("events.parquet" in f for f in files)
+    assert out.columns == columns
+    held_out = catalogue.cleaning.user_folds(catalogue.model_rows(spark, str(SF)), portable=True).where("fold = 0")
+    assert (out.first()["n"] if "n" in columns else out.count()) == held_out.count() > 0
