@@ -26,7 +26,7 @@ def test_boosting_holds_no_nodes(spark, monkeypatch):
     assert seen == [(False, 100, 6, True)] * 2 and out.count() == 4
 
 
-@pytest.mark.parametrize("name, step, columns", [("ope_with_reward_models", "reward_models", ["dr", "n"])])
+@pytest.mark.parametrize("name, step, columns", [("forest_propensities", "forest_propensities", ["user_id", "session_date", "arm", "pscore"]), ("ope_with_reward_models", "reward_models", ["dr", "n"])])
 def test_scoring_reads_stored_rows(spark, monkeypatch, name, step, columns):
     monkeypatch.setattr(models, step, partial(getattr(models, step), trees=2, depth=2))
     out = QUERIES[name](spark, str(SF))
