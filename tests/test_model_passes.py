@@ -35,3 +35,17 @@ def test_scoring_reads_stored_rows(spark, monkeypatch, name, step, columns):
     assert out.columns == columns
     held_out = catalogue.cleaning.user_folds(catalogue.model_rows(spark, str(SF)), portable=True).where("fold = 0")
     assert (out.first()["n"] if "n" in columns else out.count()) == held_out.count() > 0
+
+
+def test_classifying_forest_reads_held_rows(spark, monkeypatch):
+    seen, fit = [], models.RandomForestClassifier.fit
+
+    def watched(self, rows):
+        seen.append((rows.rdd.getNumPartitions(), "InMemoryTableScan" in rows._jdf.queryExecution().executedPlan().toString(), rows.count()))
+        return fit(self, rows)
+
+    monkeypatch.setattr(models.RandomForestClassifier, "fit", watched)
+    rows = spark.range(1200, numPartitions=1).select((F.col("id") % 4).cast("int").alias("arm"), (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 11).cast("double").alias("y"))
+    out = models.forest_importances(rows, ["x", "y"], trees=3, depth=3)
+    assert seen == [(spark.sparkContext.defaultParallelism, True, 1200)]
+    assert out.count() == 2
